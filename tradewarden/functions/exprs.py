@@ -22,7 +22,7 @@ def exact(col: Column, scale: int = 8) -> Column:
 
 def rounded(col: Column, digits: int) -> Column:
     """Half-up rounding of a double, with a fixed scale."""
-    return F.round(exact(col), digits)
+    return F.round(exact(col, max(8, digits + 6)), digits)
 
 
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -81,7 +81,7 @@ def hour_weekday_heatmap(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     """Hours as rows, weekdays as columns. The calendar has one row per day."""
     days = F.broadcast(calendar.select("fecha", "dia_semana"))
     return (facts.join(days, "fecha").groupBy("hora_art").pivot("dia_semana", list(WEEKDAYS))
-            .agg(F.count("*")).orderBy("hora_art"))
+            .agg(F.count(F.lit(1))).orderBy("hora_art"))
 
 
 def bands_within_channel(facts: DataFrame) -> DataFrame:
