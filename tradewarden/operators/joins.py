@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a narrow key table that are safe to ship to every executor (well under 100 MB).
@@ -13,6 +14,13 @@ BROADCAST_ROWS = 500_000
 HOT_SHARE = 1000
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, NULL equal to NULL; the right side's keys are dropped."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def keyed_join(big: DataFrame, keyed: DataFrame, on: Sequence[str], weight: str, salt: str, how: str = "inner",
                broadcast_rows: int = BROADCAST_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
     """Join `big` with `keyed`, which has one row per key and in `weight` the number of big rows of

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewarden.functions.exprs import pct
+from tradewarden.operators.joins import join_same
 from tradewarden.sources.storage import settle
 
 # Percentile buffers of this many distinct values take a few MB of executor memory.
@@ -23,13 +24,6 @@ SKETCH_ACCURACY = 10_000
 BRACKET = 10 / SKETCH_ACCURACY
 
 
-def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on equal keys, NULL equal to NULL; the right side's keys are dropped."""
-    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def _sort_key(name: str) -> Column:
     return F.col(name[1:]).desc() if name.startswith("-") else F.col(name).asc()
 
@@ -60,7 +54,7 @@ def running_total(df: DataFrame, order: Sequence[str], weights: Mapping[str, str
     inside = (Window.partitionBy(*by, "_slice").orderBy(*keys)
               .rowsBetween(Window.unboundedPreceding, -1))
     local = rows.select("*", *[F.sum(w).over(inside).alias(f"_loc_{o}") for o, w in weights.items()])
-    return _join_same(local, offsets, [*by, "_slice"]).select(
+    return join_same(local, offsets, [*by, "_slice"]).select(
         *df.columns,
         *[(F.coalesce(F.col(f"_loc_{o}"), F.lit(0)) + F.coalesce(F.col(f"_off_{o}"), F.lit(0))).alias(o)
           for o in weights],
@@ -119,9 +113,9 @@ def percentiles_by_group(df: DataFrame, by: Sequence[str], value: str, quantiles
     if large.isEmpty():
         return hist.groupBy(*by).agg(*exact)
     large = settle(large)
-    small = _join_same(hist, large, by, "left_anti").groupBy(*by).agg(*exact)
+    small = join_same(hist, large, by, "left_anti").groupBy(*by).agg(*exact)
     return small.unionByName(
-        _sliced_percentiles(_join_same(hist, large, by, "left_semi"), by, value, quantiles, size_as))
+        _sliced_percentiles(join_same(hist, large, by, "left_semi"), by, value, quantiles, size_as))
 
 
 def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
@@ -138,7 +132,7 @@ def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping
     if sketch.count() > MAX_SKETCHES:
         return percentiles_by_group(df, by, value, quantiles)
 
-    marked = _join_same(rows, F.broadcast(sketch), by)
+    marked = join_same(rows, F.broadcast(sketch), by)
     low = [F.element_at("_marks", 2 * i + 1) for i in range(len(names))]
     high = [F.element_at("_marks", 2 * i + 2) for i in range(len(names))]
     v = F.col(value)
@@ -148,7 +142,7 @@ def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping
     in_brackets = F.array_compact(F.array(
         *[F.when(v.between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(zip(low, high))]))
     hist = _histogram(marked.select(*by, v, F.explode(in_brackets).alias("_q")), [*by, "_q"], value)
-    run = _join_same(running_total(hist, [value], {"_start": "_n"}, [*by, "_q"]), F.broadcast(counts), by)
+    run = join_same(running_total(hist, [value], {"_start": "_n"}, [*by, "_q"]), F.broadcast(counts), by)
     picks = [_at(F.col("_q") == i, value, F.col("_start") + F.col(f"_below{i}"), F.col("_n"),
                  side(_position(F.col("_size"), quantiles[out]))).alias(f"_{out}_{name}")
              for i, out in enumerate(names) for name, side in (("lo", F.floor), ("hi", F.ceil))]

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tradewarden.functions.exprs import (
     count_where, day_text, family, in_market, iso_weekday, pct, ratio, rounded, sum_where, weekday_label)
+from tradewarden.operators.joins import join_same
 from tradewarden.operators.ranking import percentiles, top_share
 from tradewarden.operators.spine import date_spine
 from tradewarden.params import ARS, BUY, DOLLAR_TICKER, USD, Params
@@ -80,12 +81,19 @@ def symbol_controls(trades: DataFrame) -> DataFrame:
     )).alias("r")).select("r.*")
 
 
+def rows_of(trades: DataFrame, top: DataFrame, keys: list[str]) -> DataFrame:
+    """The trades of the k groups of a top-k list; k rows are broadcast."""
+    return join_same(trades, F.broadcast(top.select(*keys)), keys, "left_semi")
+
+
 def top_instruments(trades: DataFrame, k: int = 15) -> DataFrame:
-    """The share needs the number of all trades only, so no window runs over the instruments."""
+    """The k instruments are found by count alone; distinct clients are then counted for those only."""
+    keys = ["simbolo_titulo", "moneda"]
     total = trades.agg(F.count("*")).scalar()
-    return (trades.groupBy("simbolo_titulo", "moneda")
+    top = trades.groupBy(*keys).agg(n_ops()).orderBy(F.desc("ops"), *keys).limit(k)
+    return (rows_of(trades, top, keys).groupBy(*keys)
             .agg(F.min("descripcion_titulo").alias("descripcion"), n_ops(), F.countDistinct("id_cliente").alias("clientes"))
-            .orderBy(F.desc("ops"), "simbolo_titulo", "moneda").limit(k)
+            .orderBy(F.desc("ops"), *keys)
             .select("simbolo_titulo", "descripcion", "moneda", "ops", pct(F.col("ops"), total).alias("pct_ops"),
                     "clientes"))
 
@@ -170,11 +178,12 @@ def concentration_curve(trades: DataFrame, p: Params) -> DataFrame:
 
 
 def top_clients(trades: DataFrame, k: int = 10) -> DataFrame:
-    return (trades.groupBy("id_cliente").agg(
+    top = ops_per_client(trades).orderBy(F.desc("ops"), "id_cliente").limit(k)
+    return (rows_of(trades, top, ["id_cliente"]).groupBy("id_cliente").agg(
         n_ops(), F.countDistinct("origen").alias("canales"), F.min("origen").alias("canal"),
         F.countDistinct("simbolo_titulo").alias("simbolos"), F.countDistinct("dia_art").alias("dias_activos"),
         F.round(sum_where(F.col("moneda") == ARS, F.col("monto")), 0).alias("monto_ars"))
-        .orderBy(F.desc("ops"), "id_cliente").limit(k))
+        .orderBy(F.desc("ops"), "id_cliente"))
 
 
 def by_weekday(trades: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from tradewarden.operators.joins import keyed_join
 from tradewarden.operators.ranking import global_rank, top_share
 from tradewarden.params import (
     CHANGE_ABRUPT, LEVEL_HIGH, LEVEL_LOW, LEVEL_MEDIUM, LEVEL_NONE, Params)
-from tradewarden.plans.explore import n_ops, bucket, ops_per_client
+from tradewarden.plans.explore import bucket, n_ops, ops_per_client, rows_of
 from tradewarden.plans.patterns import extreme, off_market, price_ratio
 
 
@@ -113,12 +113,13 @@ def api_log_export(log: DataFrame) -> DataFrame:
 
 
 def top_instruments_export(enriched: DataFrame, k: int = 15) -> DataFrame:
-    """The k instruments are cut first; the ranking then numbers those k rows only."""
+    """The k instruments are cut first; distinct clients and the ranking then concern those only."""
+    keys = ["simbolo_titulo", "moneda"]
     order = [F.desc("ops"), F.asc("simbolo_titulo"), F.asc("moneda")]
-    top = (enriched.groupBy("simbolo_titulo", "moneda")
-           .agg(n_ops(), F.countDistinct("id_cliente").alias("clientes"), F.sum("monto_ars").alias("m"))
-           .orderBy(*order).limit(k))
-    return top.select(
+    top = enriched.groupBy(*keys).agg(n_ops()).orderBy(*order).limit(k)
+    rows = rows_of(enriched, top, keys).groupBy(*keys).agg(
+        n_ops(), F.countDistinct("id_cliente").alias("clientes"), F.sum("monto_ars").alias("m"))
+    return rows.select(
         F.row_number().over(Window.orderBy(*order)).alias("ranking"),
         F.concat("simbolo_titulo", F.lit(" ("), "moneda", F.lit(")")).alias("instrumento"), "ops", "clientes",
         millions(F.col("m")).alias("monto_ars_mill")).orderBy("ranking")

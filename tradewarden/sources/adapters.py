@@ -13,6 +13,7 @@ from tradewarden.params import ARS, BUY, SELL, USD
 from tradewarden.functions.exprs import MONEY, PRICE
 from tradewarden.sources.external import HOLIDAY_PAYLOAD, QUOTE_PAYLOAD
 from tradewarden.sources.raw import local_time_columns
+from tradewarden.sources.storage import spread
 
 # Fixed values: (upper bound of k, ticker prefix, description), k = instrument number modulo 100.
 INSTRUMENTS = (
@@ -52,7 +53,7 @@ def event_trades(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
     price = F.col("value").cast("decimal(14,2)") * F.when(ticker == "AL30", F.lit(1000)).otherwise(F.lit(1))
     quantity = F.pmod(eid, F.lit(50)) + 1
     utc = F.col("ts").cast("timestamp_ntz")
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         eid.cast("string").alias("id_transaccion"),
         F.concat(F.lit("CLI"), F.col("user_id").cast("string")).alias("id_cliente"),
         utc.alias("fecha_utc"),
@@ -69,9 +70,9 @@ def event_trades(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
 
 def line_trades(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
     """One trade per order line: customer, order priority as channel, part as instrument."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_returnflag", "l_linestatus", "l_shipdate"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     ticker, description = _instrument(F.col("l_partkey"))
     second = F.pmod(F.col("l_orderkey") * 37 + F.col("l_partkey") * 11 + F.col("l_linenumber") * 3607, F.lit(86400))

@@ -33,6 +33,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a few small files over all cores. A table that already has a split per core is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class TableStore:
     """Named Parquet tables under one folder, each written on first use and then read back.
 
