@@ -80,14 +80,20 @@ def _json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("referencia_poblacion.promedio_operaciones_por_cliente").alias("prom_ops"))
 
 
-def _fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Holidays from the first of three sources that has any; the first two come back empty or missing."""
+def _external_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes written as a CSV file, read back with declared types."""
+    path = TableStore(spark).path("tipo_cambio_csv")
+    sinks.write_csv(adapters.line_quotes(spark, sf_dir), path)
+    return external.read_csv(spark, path, external.QUOTE_SCHEMA)
+
+
+def _first_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Holidays from the first of three sources that has any; the first two are missing and empty."""
     days = adapters.line_holidays(spark, sf_dir).drop("fuente")
-    chosen, _ = external.first_available(spark, [
+    return external.first_available(spark, [
         external.Source("missing", "feriados", lambda: spark.read.parquet(f"{sf_dir}/feriados.parquet")),
         external.Source("empty", "orders", lambda: days.where(F.col("nombre") == "")),
         external.Source("snapshot", "orders", lambda: days, fallback=True)])
-    return chosen
 
 
 # Queries over trades made from events: hours, days, calendar and rates.
@@ -103,8 +109,7 @@ EVENTS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "off_hours_by_channel": lambda p: explore.off_hours_by_channel(p.trades),
     "daily_window": lambda p: explore.daily_window(p.trades, date(2024, 1, 2), date(2024, 1, 20)),
     "days_without_activity": lambda p: explore.days_without_activity(
-        p.trades.where(F.pmod(F.dayofmonth("fecha_utc"), F.lit(9)) != 0),
-        F.date_sub("primero", 20), F.date_add("ultimo", 20)),
+        p.trades, F.date_sub("primero", 20), F.date_add("ultimo", 20)),
     "api_log_report": lambda p: market.api_log_report(p.api_log),
     "business_calendar": lambda p: p.calendar,
     "holidays_with_activity": lambda p: market.holidays_with_activity(
@@ -114,7 +119,7 @@ EVENTS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "fx_summary": lambda p: market.fx_summary(p.fx),
     "fx_crosscheck": lambda p: market.fx_crosscheck(p.quotes, p.implied),
     "enriched_trades": lambda p: p.enriched,
-    "dropped_trades": lambda p: market.dropped_trades(p.trades, p.fx.where(F.weekday("fecha") < 5)),
+    "dropped_trades": lambda p: market.dropped_trades(p.trades, p.quotes),
     "by_day_type": lambda p: market.by_day_type(p.enriched),
     "volume_by_currency_ars": lambda p: market.volume_by_currency_ars(p.enriched),
     "monthly_volume": lambda p: market.monthly_volume(p.enriched),
@@ -122,8 +127,6 @@ EVENTS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "weekday_time_span": lambda p: patterns.weekday_time_span(p.enriched),
     "api_log_view": lambda p: star.api_log_view(p.api_log),
     "api_log_export": lambda p: star.api_log_export(p.api_log),
-    "primary_key_check": lambda p: controls.duplicate_keys(
-        p.trades.unionByName(p.trades.where(F.col("moneda") == "USD")), ["id_transaccion"]),
 }
 
 # Queries over trades made from order lines: clients, amounts, prices, scores and publication.
@@ -218,6 +221,8 @@ LINES: dict[str, Callable[[Pipeline], DataFrame]] = {
 # Queries on sources and sinks, straight from the tables.
 TABLES: dict[str, Query] = {
     "csv_load_typed": _csv_load,
+    "primary_key_check": lambda spark, sf_dir: controls.duplicate_keys(
+        adapters.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]),
     "load_control": lambda spark, sf_dir: load_control(
         _raw_lines(spark, sf_dir), raw.type_trades(_raw_lines(spark, sf_dir), "America/Argentina/Buenos_Aires")),
     "reject_rows": lambda spark, sf_dir: raw.reject_rows(_raw_lines(spark, sf_dir).withColumns({
@@ -227,7 +232,9 @@ TABLES: dict[str, Query] = {
     "holiday_payload": lambda spark, sf_dir: external.parse_holidays(adapters.holiday_payload(spark, sf_dir), 1996),
     "quote_payload": lambda spark, sf_dir: external.parse_quotes(
         adapters.quote_payload(spark, sf_dir), date(1996, 1, 1), date(1997, 12, 31)),
-    "source_fallback": _fallback,
+    "external_csv_typed": _external_csv,
+    "source_fallback": lambda spark, sf_dir: _first_source(spark, sf_dir)[0],
+    "source_fallback_log": lambda spark, sf_dir: _first_source(spark, sf_dir)[1].select("api", "url", "estado", "filas"),
     "csv_export_typed": _csv_export,
     "json_lines_export": _json_export,
 }

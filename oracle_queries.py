@@ -387,8 +387,8 @@ UNION ALL SELECT 'ticker_termina_en_D_pero_moneda_ARS', COUNT(*) FROM et
 FROM et WHERE CAST(fecha_utc AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-20' GROUP BY ALL""",
     "days_without_activity": """SELECT d AS dia, strftime(d, '%a') AS dow FROM (
   SELECT CAST(unnest(generate_series(MIN(a) - INTERVAL 20 DAY, MAX(a) + INTERVAL 20 DAY, INTERVAL 1 DAY)) AS DATE) AS d
-  FROM (SELECT CAST(fecha_utc AS DATE) AS a FROM et WHERE day(fecha_utc) % 9 <> 0))
-WHERE isodow(d) < 7 AND d NOT IN (SELECT CAST(fecha_utc AS DATE) FROM et WHERE day(fecha_utc) % 9 <> 0)""",
+  FROM (SELECT CAST(fecha_utc AS DATE) AS a FROM et))
+WHERE isodow(d) < 7 AND d NOT IN (SELECT CAST(fecha_utc AS DATE) FROM et)""",
     "api_log_report": "SELECT api, estado, filas, left(detalle, 70) AS detalle FROM elog",
     "business_calendar": "SELECT fecha, dow, feriado, es_habil FROM ecal",
     "holidays_with_activity": """SELECT c.fecha, c.feriado, COUNT(t.dia_art) AS ops_ese_dia FROM ecal c LEFT JOIN et t ON t.dia_art = c.fecha
@@ -402,7 +402,7 @@ WHERE c.feriado IS NOT NULL AND c.fecha BETWEEN DATE '2024-01-01' AND DATE '2024
     "enriched_trades": f"""SELECT {TYPED}, {dbl('tc_ars_por_usd')} AS tc_ars_por_usd, {dbl('monto_ars')} AS monto_ars, es_habil, feriado,
   tipo_dia, franja_horaria, mes FROM ee""",
     "dropped_trades": f"""SELECT COUNT(*) AS ops_sin_tipo_de_cambio, COUNT(DISTINCT dia_art) AS dias FROM et
-WHERE dia_art NOT IN (SELECT fecha FROM efx WHERE isodow(fecha) < 6)""",
+WHERE dia_art NOT IN (SELECT fecha FROM eq)""",
     "by_day_type": shares("ee", "tipo_dia", ", COUNT(DISTINCT id_cliente) AS clientes, SUM(monto_ars) AS m",
                           f", clientes, {mill('m')} AS monto_ars_millones"),
     "volume_by_currency_ars": f"""SELECT moneda, ops, {mill('m')} AS monto_ars_millones, {pct('m', 'SUM(m) OVER ()')} AS pct_monto
@@ -416,7 +416,7 @@ FROM ee GROUP BY mes""",
   MIN(strftime(fecha_utc, '%H:%M')) AS hora_min, MAX(strftime(fecha_utc, '%H:%M')) AS hora_max, COUNT(*) AS ops FROM ee GROUP BY 1""",
     "api_log_view": "SELECT ts_utc, api, url, estado, filas, detalle FROM elog",
     "api_log_export": "SELECT api, estado, filas, detalle, url FROM elog",
-    "primary_key_check": "SELECT id_transaccion, CAST(2 AS BIGINT) AS n FROM et WHERE moneda = 'USD'",
+    "primary_key_check": "SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1",
 
     "top_instruments": shares("lt", "simbolo_titulo, moneda", ", MIN(descripcion_titulo) AS descripcion, COUNT(DISTINCT id_cliente) AS clientes",
                               ", descripcion, clientes") + " ORDER BY ops DESC, simbolo_titulo, moneda LIMIT 15",
@@ -579,6 +579,9 @@ FROM (SELECT *, fecha_utc + CASE ms_flag WHEN '010' THEN INTERVAL 10 MILLISECOND
     WHEN moneda = 'USD' THEN 'precio' END AS columnas_invalidas FROM lt) WHERE columnas_invalidas IS NOT NULL GROUP BY 1""",
     "holiday_payload": "SELECT fecha, nombre, tipo FROM lh WHERE year(fecha) = 1996",
     "quote_payload": f"SELECT fecha, {dbl('compra')} AS compra, {dbl('venta')} AS venta FROM lq WHERE year(fecha) IN (1996, 1997)",
+    "external_csv_typed": f"SELECT fecha, {dbl('compra')} AS compra, {dbl('venta')} AS venta, fuente FROM lq",
+    "source_fallback_log": """SELECT 'missing' AS api, 'feriados' AS url, 'ERROR' AS estado, 0 AS filas UNION ALL SELECT 'empty', 'orders', 'ERROR', 0
+UNION ALL SELECT 'snapshot', 'orders', 'FALLBACK', CAST(COUNT(*) AS INTEGER) FROM lh""",
     "source_fallback": "SELECT fecha, nombre, tipo, 'snapshot' AS fuente FROM lh",
     "csv_export_typed": f"""SELECT id_cliente, ops, monto_ars, nivel_riesgo, p1_actividad_alta, p4_precio_fuera_mercado FROM lc WHERE {ALERT}""",
     "json_lines_export": f"""SELECT nivel_riesgo, COUNT(*) AS clientes, {big('SUM(ops)')} AS ops, MAX(prom_ops) AS prom_ops FROM lk, lpop GROUP BY nivel_riesgo""",

@@ -32,15 +32,19 @@ def _counted(trades: DataFrame, *keys: Column | str, **more: Column) -> DataFram
 
 
 def overview(trades: DataFrame) -> DataFrame:
-    rows = trades.agg(
-        F.count("*").alias("operaciones"),
-        F.countDistinct("id_cliente").alias("clientes_unicos"),
-        F.countDistinct("simbolo_titulo").alias("simbolos"),
-        F.countDistinct("descripcion_titulo").alias("descripciones"),
-        F.min("fecha_utc").alias("primera_op_utc"),
-        F.max("fecha_utc").alias("ultima_op_utc"),
-        F.countDistinct(F.to_date("fecha_utc")).alias("dias_con_actividad_utc"))
-    return rows.withColumn("ops_por_cliente_prom", ratio(F.col("operaciones"), F.col("clientes_unicos"), 2))
+    """One row. Symbols, descriptions and days are counted among their few cells; clients in a pass of
+    their own, so that no trade row is repeated per distinct count."""
+    day = F.to_date("fecha_utc").alias("dia")
+    cells = trades.groupBy("simbolo_titulo", "descripcion_titulo", day).agg(
+        n_ops(), F.min("fecha_utc").alias("lo"), F.max("fecha_utc").alias("hi"))
+    clients = trades.agg(F.countDistinct("id_cliente")).scalar()
+    rows = cells.agg(
+        F.coalesce(F.sum("ops"), F.lit(0)).alias("operaciones"),
+        F.countDistinct("simbolo_titulo").alias("simbolos"), F.countDistinct("descripcion_titulo").alias("descripciones"),
+        F.min("lo").alias("primera_op_utc"), F.max("hi").alias("ultima_op_utc"),
+        F.countDistinct("dia").alias("dias_con_actividad_utc")).withColumn("clientes_unicos", clients)
+    return rows.select("operaciones", "clientes_unicos", "simbolos", "descripciones", "primera_op_utc", "ultima_op_utc",
+                       "dias_con_actividad_utc", ratio(F.col("operaciones"), F.col("clientes_unicos"), 2).alias("ops_por_cliente_prom"))
 
 
 def dq_counts(trades: DataFrame) -> DataFrame:
@@ -66,12 +70,18 @@ def ms_flag_by_channel(trades: DataFrame) -> DataFrame:
     return trades.groupBy("origen", "ms_flag").agg(n_ops()).orderBy("origen", "ms_flag")
 
 
+def instrument_cells(rows: DataFrame, *keys: str) -> DataFrame:
+    """Counts per key and description. Text under min or max would make Spark sort its input, so the
+    trades are counted by hash first and text is only compared among these few cells."""
+    return rows.groupBy(*keys, "descripcion_titulo").agg(n_ops())
+
+
 def symbol_controls(trades: DataFrame) -> DataFrame:
-    """Three controls in one pass per symbol, listed one per row."""
+    """Three controls in one pass, listed one per row."""
     in_pesos = F.col("simbolo_titulo").rlike(DOLLAR_TICKER) & (F.col("moneda") == ARS)
-    symbols = trades.groupBy("simbolo_titulo").agg(
+    symbols = instrument_cells(trades, "simbolo_titulo", "moneda").groupBy("simbolo_titulo").agg(
         F.countDistinct("descripcion_titulo").alias("d"), F.countDistinct("moneda").alias("m"),
-        count_where(in_pesos).alias("p"))
+        sum_where(in_pesos, F.col("ops")).alias("p"))
     found = symbols.agg(count_where(F.col("d") > 1).alias("d"), count_where(F.col("m") > 1).alias("m"),
                         F.coalesce(F.sum("p"), F.lit(0)).alias("p"))
     return found.select(F.explode(F.array(
@@ -90,9 +100,11 @@ def top_instruments(trades: DataFrame, k: int = 15) -> DataFrame:
     """The k instruments are found by count alone; distinct clients are then counted for those only."""
     keys = ["simbolo_titulo", "moneda"]
     total = trades.agg(F.count("*")).scalar()
-    top = trades.groupBy(*keys).agg(n_ops()).orderBy(F.desc("ops"), *keys).limit(k)
-    return (rows_of(trades, top, keys).groupBy(*keys)
-            .agg(F.min("descripcion_titulo").alias("descripcion"), n_ops(), F.countDistinct("id_cliente").alias("clientes"))
+    top = (instrument_cells(trades, *keys).groupBy(*keys)
+           .agg(F.sum("ops").alias("ops"), F.min("descripcion_titulo").alias("descripcion"))
+           .orderBy(F.desc("ops"), *keys).limit(k))
+    clients = rows_of(trades, top, keys).groupBy(*keys).agg(F.countDistinct("id_cliente").alias("clientes"))
+    return (join_same(clients, F.broadcast(top.select(*keys, "ops", "descripcion")), keys)
             .orderBy(F.desc("ops"), *keys)
             .select("simbolo_titulo", "descripcion", "moneda", "ops", pct(F.col("ops"), total).alias("pct_ops"),
                     "clientes"))
@@ -100,9 +112,9 @@ def top_instruments(trades: DataFrame, k: int = 15) -> DataFrame:
 
 def instrument_families(trades: DataFrame) -> DataFrame:
     # the class depends on the instrument alone: classify instruments, not trades
-    instruments = trades.groupBy("simbolo_titulo", "descripcion_titulo").agg(F.count("*").alias("n"))
+    instruments = instrument_cells(trades, "simbolo_titulo")
     kind = family(F.col("descripcion_titulo"), F.col("simbolo_titulo"), corporate=True)
-    return (instruments.groupBy(kind.alias("familia")).agg(F.sum("n").alias("ops"))
+    return (instruments.groupBy(kind.alias("familia")).agg(F.sum("ops").alias("ops"))
             .withColumn("pct_ops", share_of_all(F.col("ops"))).orderBy(F.desc("ops"), "familia"))
 
 
@@ -179,11 +191,15 @@ def concentration_curve(trades: DataFrame, p: Params) -> DataFrame:
 
 def top_clients(trades: DataFrame, k: int = 10) -> DataFrame:
     top = ops_per_client(trades).orderBy(F.desc("ops"), "id_cliente").limit(k)
-    return (rows_of(trades, top, ["id_cliente"]).groupBy("id_cliente").agg(
-        n_ops(), F.countDistinct("origen").alias("canales"), F.min("origen").alias("canal"),
-        F.countDistinct("simbolo_titulo").alias("simbolos"), F.countDistinct("dia_art").alias("dias_activos"),
-        F.round(sum_where(F.col("moneda") == ARS, F.col("monto")), 0).alias("monto_ars"))
-        .orderBy(F.desc("ops"), "id_cliente"))
+    rows = rows_of(trades, top, ["id_cliente"])
+    channels = (rows.groupBy("id_cliente", "origen")
+                .agg(n_ops(), sum_where(F.col("moneda") == ARS, F.col("monto")).alias("m")).groupBy("id_cliente")
+                .agg(F.sum("ops").alias("ops"), F.count("origen").alias("canales"), F.min("origen").alias("canal"),
+                     F.sum("m").alias("m")))
+    spread = rows.groupBy("id_cliente").agg(F.countDistinct("simbolo_titulo").alias("simbolos"),
+                                            F.countDistinct("dia_art").alias("dias_activos"))
+    return (join_same(channels, spread, ["id_cliente"]).orderBy(F.desc("ops"), "id_cliente")
+            .select("id_cliente", "ops", "canales", "canal", "simbolos", "dias_activos", F.round("m", 0).alias("monto_ars")))
 
 
 def by_weekday(trades: DataFrame) -> DataFrame:

@@ -70,11 +70,10 @@ def p1_channel_lift(enriched: DataFrame, p1: DataFrame) -> DataFrame:
 
 
 def p1_instruments(enriched: DataFrame, p1: DataFrame, k: int = 10) -> DataFrame:
-    cells = enriched.groupBy("id_cliente", "simbolo_titulo").agg(
-        n_ops(), F.min("descripcion_titulo").alias("d"), F.sum("monto_ars").alias("m"))
+    cells = enriched.groupBy("id_cliente", "simbolo_titulo", "descripcion_titulo").agg(n_ops(), F.sum("monto_ars").alias("m"))
     return (cells.join(p1.select("id_cliente"), "id_cliente", "left_semi").groupBy("simbolo_titulo")
-            .agg(F.min("d").alias("descripcion"), F.sum("ops").alias("ops"), F.count("*").alias("clientes_top01"),
-                 F.sum("m").alias("m"))
+            .agg(F.min("descripcion_titulo").alias("descripcion"), F.sum("ops").alias("ops"),
+                 F.countDistinct("id_cliente").alias("clientes_top01"), F.sum("m").alias("m"))
             .orderBy(F.desc("m"), "simbolo_titulo").limit(k)
             .select("simbolo_titulo", "descripcion", "ops", "clientes_top01",
                     millions(F.col("m")).alias("monto_ars_mill")))
@@ -120,11 +119,18 @@ def bands_by_channel(enriched: DataFrame) -> DataFrame:
 
 
 def weekday_time_span(enriched: DataFrame) -> DataFrame:
+    """First and last minute of the day per UTC weekday, as numbers until the seven rows are there."""
     utc = F.col("fecha_utc")
-    label = F.concat_ws(" ", (F.weekday(utc) + 1).cast("string"), F.date_format(utc, "E"))
-    clock = F.date_format(utc, "HH:mm")
-    return (enriched.groupBy(label.alias("dia_semana_utc"))
-            .agg(F.min(clock).alias("hora_min"), F.max(clock).alias("hora_max"), n_ops()).orderBy("dia_semana_utc"))
+    minute = F.hour(utc) * 60 + F.minute(utc)
+    rows = enriched.groupBy((F.weekday(utc) + 1).alias("d")).agg(F.min(minute).alias("lo"), F.max(minute).alias("hi"), n_ops())
+
+    def clock(m: str) -> Column:
+        return F.format_string("%02d:%02d", F.floor(F.col(m) / 60), F.pmod(F.col(m), F.lit(60)))
+
+    # 2024-01-01 was a Monday
+    name = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("d") - 1), "E")
+    return rows.select(F.concat_ws(" ", F.col("d").cast("string"), name).alias("dia_semana_utc"), clock("lo").alias("hora_min"),
+                       clock("hi").alias("hora_max"), "ops").orderBy("dia_semana_utc")
 
 
 def p2_atypical_hours(profile: DataFrame, limits: DataFrame, p: Params) -> DataFrame:
