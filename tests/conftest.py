@@ -13,7 +13,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 @pytest.fixture(scope="session")
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("tests").config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", "6g").config("spark.sql.shuffle.partitions", "8")
+               .config("spark.driver.memory", "6g").config("spark.sql.shuffle.partitions", "4")
                .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session

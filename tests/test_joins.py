@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tradewarden.operators.joins import join_same, keyed_join
@@ -37,6 +38,12 @@ def test_join_same_matches_nulls(spark):
     assert sorted((r["x"], r["y"]) for r in join_same(left, right, ["g"]).collect()) == [(1, 10), (2, 20)]
 
 
+def test_a_stray_date_does_not_blow_up_the_calendar(spark):
+    bounds = spark.sql("SELECT DATE'0202-01-01' a, DATE'2026-01-01' b")
+    with pytest.raises(PySparkException, match="calendar longer than"):
+        date_spine(bounds, F.col("a"), F.col("b")).count()
+
+
 def test_last_known(spark):
     days = date_spine(spark.sql("SELECT DATE'2026-01-01' a, DATE'2026-01-05' b"), F.col("a"), F.col("b"))
     quotes = spark.sql("SELECT * FROM VALUES (DATE'2025-12-20', 1.0), (DATE'2026-01-02', 2.0), (DATE'2026-01-04', NULL) q(fecha, v)")

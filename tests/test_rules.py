@@ -13,6 +13,7 @@ import micro
 from tradewarden.functions import exprs
 from tradewarden.params import Params
 from tradewarden.plans import casefile, market, measures, patterns, profile, score, star
+from tradewarden.sources.storage import settle
 
 P = Params(calendar_start=date(2025, 12, 15), calendar_end=date(2026, 3, 31), fx_start=date(2026, 1, 1), fx_end=date(2026, 3, 31))
 QUOTES = "fecha date, compra decimal(12,4), venta decimal(12,4), fuente string"
@@ -21,9 +22,10 @@ QUOTES = "fecha date, compra decimal(12,4), venta decimal(12,4), fuente string"
 def enrich(spark, trades, quotes=((date(2026, 1, 1), 1, 1000, "q"),), holidays=()):
     h = spark.createDataFrame([(d, n) for d, n in holidays], "fecha date, nombre string")
     q = spark.createDataFrame([(d, Decimal(a), Decimal(b), f) for d, a, b, f in quotes], QUOTES)
-    calendar = market.business_calendar(trades, h, P)
-    fx = market.daily_fx(calendar, trades, q, market.implied_fx(trades, P), P)
-    return market.enriched_trades(trades, fx, calendar), calendar, fx
+    trades = settle(trades)
+    calendar = settle(market.business_calendar(trades, h, P))
+    fx = settle(market.daily_fx(calendar, trades, q, market.implied_fx(trades, P), P))
+    return settle(market.enriched_trades(trades, fx, calendar)), calendar, fx
 
 
 def priced(symbol, *prices, day="2026-01-05", **more):
@@ -216,10 +218,10 @@ def test_long_detail_lists_continue_in_parts(spark):
 
 def test_case_file_leaves_out_empty_fields(spark):
     e, _, _ = enrich(spark, micro.trades(spark, *priced("YPFD", 5, 6, 7, id_cliente="C")))
-    c = profile.client_profile(e, P)
+    c = settle(profile.client_profile(e, P))
     u = limits(spark, p999_ops=3.0)
-    p4 = patterns.p4_off_market_price(e, patterns.reference_prices(e, P), P)
-    risk = score.risk_score(c, u, days(spark), p4, P)
+    p4 = settle(patterns.p4_off_market_price(e, patterns.reference_prices(e, P), P))
+    risk = settle(score.risk_score(c, u, days(spark), p4, P))
     cases = casefile.case_fields(risk, casefile.flagged_trades(e, risk), p4, casefile.population_reference(c, u), P)
     doc = json.loads(casefile.client_profile_json(cases).collect()[0]["perfil"])
     assert len(cases.columns) == 27 and "detalle_precio_fuera_de_mercado" not in doc and "operaciones_precio_fuera_de_mercado" not in doc

@@ -117,7 +117,7 @@ def test_pipeline_from_files(spark, tmp_path):
              for i in range(40)]
     trades = write(tmp_path / "t.csv", HEADER + "".join(lines))
     holidays = write(tmp_path / "h.csv", "fecha,nombre,tipo,fuente\n2026-01-01,Año nuevo,inamovible,x\n")
-    quotes = write(tmp_path / "q.csv", "fecha,compra,venta,fuente\n2025-12-30,1489.0,1496.4,argdatos_bolsa\n")
+    quotes = write(tmp_path / "q.csv", "fecha,compra,venta,fuente\n2025-12-30,1489.0,1496.4,bolsa\n")
     log = write(tmp_path / "l.csv", "ts_utc,api,url,estado,filas,detalle\n2026-10-07T14:28:13Z,a,u,OK,1,\n")
     p = from_files(spark, trades, holidays, quotes, log,
                    Params(calendar_start=date(2025, 12, 15), calendar_end=date(2026, 3, 31), fx_start=date(2026, 1, 1),

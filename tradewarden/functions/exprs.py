@@ -106,10 +106,6 @@ def day_text(day: Column) -> Column:
     return F.date_format(day, "E")
 
 
-def as_text(number: Column) -> Column:
-    return number.cast("string")
-
-
 def percent_text(share: Column) -> Column:
     """0.7041 -> '70.4%'."""
     return F.concat(F.round(share * 100, 1).cast("decimal(20,1)").cast("string"), F.lit("%"))
