@@ -229,9 +229,10 @@ TABLES: dict[str, Query] = {
         "precio": F.when(F.col("moneda") == "USD", F.concat(F.lit("U$S "), "precio")).otherwise(F.col("precio")),
         "cantidad": F.when(F.col("cantidad") == "7", F.lit("siete")).otherwise(F.col("cantidad"))})
     ).groupBy("columnas_invalidas").agg(F.count("*").alias("filas")),
-    "holiday_payload": lambda spark, sf_dir: external.parse_holidays(adapters.holiday_payload(spark, sf_dir), 1996),
+    "holiday_payload": lambda spark, sf_dir: external.parse_holidays(
+        adapters.holiday_payload(spark, sf_dir), adapters.PAYLOAD_YEAR),
     "quote_payload": lambda spark, sf_dir: external.parse_quotes(
-        adapters.quote_payload(spark, sf_dir), date(1996, 1, 1), date(1997, 12, 31)),
+        adapters.quote_payload(spark, sf_dir), date(1995, 6, 1), date(2001, 6, 30)),
     "external_csv_typed": _external_csv,
     "source_fallback": lambda spark, sf_dir: _first_source(spark, sf_dir)[0],
     "source_fallback_log": lambda spark, sf_dir: _first_source(spark, sf_dir)[1].select("api", "url", "estado", "filas"),

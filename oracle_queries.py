@@ -577,8 +577,8 @@ FROM (SELECT *, fecha_utc + CASE ms_flag WHEN '010' THEN INTERVAL 10 MILLISECOND
     "reject_rows": """SELECT columnas_invalidas, COUNT(*) AS filas FROM (
   SELECT CASE WHEN cantidad = 7 AND moneda = 'USD' THEN 'cantidad, precio' WHEN cantidad = 7 THEN 'cantidad'
     WHEN moneda = 'USD' THEN 'precio' END AS columnas_invalidas FROM lt) WHERE columnas_invalidas IS NOT NULL GROUP BY 1""",
-    "holiday_payload": "SELECT fecha, nombre, tipo FROM lh WHERE year(fecha) = 1996",
-    "quote_payload": f"SELECT fecha, {dbl('compra')} AS compra, {dbl('venta')} AS venta FROM lq WHERE year(fecha) IN (1996, 1997)",
+    "holiday_payload": "SELECT fecha, nombre, tipo FROM lh",
+    "quote_payload": f"SELECT fecha, {dbl('compra')} AS compra, {dbl('venta')} AS venta FROM lq WHERE fecha >= DATE '1995-06-01' AND fecha <= DATE '2001-06-30'",
     "external_csv_typed": f"SELECT fecha, {dbl('compra')} AS compra, {dbl('venta')} AS venta, fuente FROM lq",
     "source_fallback_log": """SELECT 'missing' AS api, 'feriados' AS url, 'ERROR' AS estado, 0 AS filas UNION ALL SELECT 'empty', 'orders', 'ERROR', 0
 UNION ALL SELECT 'snapshot', 'orders', 'FALLBACK', CAST(COUNT(*) AS INTEGER) FROM lh""",

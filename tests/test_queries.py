@@ -64,7 +64,7 @@ def test_no_window_over_one_partition(spark, name):
 
 def test_range_filter_and_columns_reach_the_scan(spark):
     text = plan(entry.queries()["daily_window"](spark, SMALL))
-    assert "GreaterThanOrEqual(fecha_utc" in text and re.search(r"ReadSchema: struct<fecha_utc:timestamp_ntz>", text)
+    assert "GreaterThanOrEqual(fecha_utc" in text and re.search(r"ReadSchema: struct<fecha_utc:timestamp_ntz,dia_art:date>", text)
 
 
 def test_entry(spark):

@@ -84,7 +84,7 @@ def test_percentiles_when_the_bracket_misses(skewed, monkeypatch):
 def test_top_share(skewed, cuts):
     cuts = [Decimal(c) for c in cuts]
     values = sorted((r["v"] for r in skewed.collect()), reverse=True)
-    got = {r["corte"]: r["s"] for r in ranking.top_share(skewed, "v", cuts, "s").collect()}
+    got = {r["corte"]: r["s"] for r in ranking.top_shares(skewed, {"s": "v", "i": "id"}, cuts).collect()}
     for c in cuts:
         share = 100 * sum(values[: int(len(values) * c)]) / sum(values)
         assert float(got[c]) == pytest.approx(float(share), abs=0.0051)
@@ -92,5 +92,5 @@ def test_top_share(skewed, cuts):
 
 def test_top_share_counts_null_as_zero(spark):
     df = spark.createDataFrame([(Decimal(8),), (None,), (Decimal(2),), (None,)], "v decimal(10,2)")
-    got = ranking.top_share(df, "v", [Decimal("0.25"), Decimal("0.5")], "s").orderBy("corte").collect()
+    got = ranking.top_shares(df, {"s": "v"}, [Decimal("0.25"), Decimal("0.5")]).orderBy("corte").collect()
     assert [float(r["s"]) for r in got] == [80.0, 100.0]

@@ -25,7 +25,7 @@ def enrich(spark, trades, quotes=((date(2026, 1, 1), 1, 1000, "q"),), holidays=(
     trades = settle(trades)
     calendar = settle(market.business_calendar(trades, h, P))
     fx = settle(market.daily_fx(calendar, trades, q, market.implied_fx(trades, P), P))
-    return settle(market.enriched_trades(trades, fx, calendar)), calendar, fx
+    return settle(market.enriched_trades(trades, market.rated_days(fx, calendar))), calendar, fx
 
 
 def priced(symbol, *prices, day="2026-01-05", **more):

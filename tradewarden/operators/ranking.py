@@ -153,17 +153,24 @@ def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping
     return found.select(*by, *[_interpolated(n, quantiles[n]) for n in names])
 
 
-def top_share(df: DataFrame, value: str, cuts: Sequence[Decimal], out: str) -> DataFrame:
-    """(corte, out): percentage of the total of `value` held by the largest `corte` of the rows.
-
-    Rows with equal values are interchangeable, so ranks are taken over the value histogram."""
-    hist = df.groupBy(F.coalesce(F.col(value), F.lit(0)).alias("_v")).agg(F.count("*").alias("_n"))
-    run = running_total(hist, ["-_v"], {"_start": "_n"})
+def top_shares(df: DataFrame, measures: Mapping[str, str], cuts: Sequence[Decimal]) -> DataFrame:
+    """(corte, out, ..): for each `out: value`, the percentage of the total of `value` held by the
+    largest `corte` of the rows; a missing value counts as zero.
+
+    Rows with equal values are interchangeable, so ranks are taken over the value histogram, for all
+    measures in one pass."""
+    amount = "decimal(38,4)"
+    values = df.select(F.explode(F.array(*[
+        F.struct(F.lit(out).alias("_m"), F.coalesce(F.col(v), F.lit(0)).cast(amount).alias("_v"))
+        for out, v in measures.items()])).alias("_r")).select("_r.*")
+    hist = values.groupBy("_m", "_v").agg(F.count("*").alias("_n"))
+    run = running_total(hist, ["-_v"], {"_start": "_n"}, ["_m"])
     taken = [F.least(F.col("_n"), F.greatest(
         F.lit(0), F.floor(F.col("_start_total") * F.lit(c)) - F.col("_start"))) for c in cuts]
-    held = run.agg(F.sum(F.col("_v") * F.col("_n")).alias("_all"),
-                   *[F.sum(F.col("_v") * t.cast("long")).alias(f"_top{i}") for i, t in enumerate(taken)])
+    held = run.groupBy("_m").agg(F.sum(F.col("_v") * F.col("_n")).alias("_all"),
+                                 *[F.sum(F.col("_v") * t.cast("long")).alias(f"_top{i}") for i, t in enumerate(taken)])
     per_cut = F.array(*[F.struct(F.lit(c).cast("decimal(9,4)").alias("corte"), F.col(f"_top{i}").alias("top"))
                         for i, c in enumerate(cuts)])
-    return (held.select("_all", F.explode(per_cut).alias("_r"))
-            .select("_r.corte", pct(F.col("_r.top"), F.col("_all")).alias(out)))
+    share = pct(F.col("_r.top"), F.col("_all"))
+    return (held.select("_m", "_all", F.explode(per_cut).alias("_r")).groupBy("_r.corte")
+            .agg(*[F.max(F.when(F.col("_m") == out, share)).alias(out) for out in measures]))

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from tradewarden.functions.exprs import (
     count_where, day_text, family, in_market, iso_weekday, pct, ratio, rounded, sum_where, weekday_label)
 from tradewarden.operators.joins import join_same
-from tradewarden.operators.ranking import percentiles, top_share
+from tradewarden.operators.ranking import percentiles, top_shares
 from tradewarden.operators.spine import date_spine
 from tradewarden.params import ARS, BUY, DOLLAR_TICKER, USD, Params
 
@@ -184,9 +184,7 @@ def activity_buckets(trades: DataFrame) -> DataFrame:
 def concentration_curve(trades: DataFrame, p: Params) -> DataFrame:
     clients = trades.groupBy("id_cliente").agg(
         n_ops(), sum_where(F.col("moneda") == ARS, F.col("monto")).alias("monto_ars"))
-    ops = top_share(clients, "ops", p.concentration_cuts, "pct_ops")
-    amount = top_share(clients, "monto_ars", p.concentration_cuts, "pct_monto_ars")
-    return ops.join(amount, "corte").orderBy("corte")
+    return top_shares(clients, {"pct_ops": "ops", "pct_monto_ars": "monto_ars"}, p.concentration_cuts).orderBy("corte")
 
 
 def top_clients(trades: DataFrame, k: int = 10) -> DataFrame:
@@ -233,10 +231,12 @@ def off_hours_by_channel(trades: DataFrame) -> DataFrame:
 
 
 def daily_window(trades: DataFrame, start: date, end: date) -> DataFrame:
-    """First and last time of each UTC day; the range filter is on the timestamp itself, so it reaches the scan."""
+    """First and last time of each UTC day. The filters are on plain columns, so they reach the scan; the
+    one on the local day, a day wider on both sides, prunes trades stored by day."""
     upto = F.date_add(F.lit(end), 1).cast("timestamp_ntz")
     in_range = (F.col("fecha_utc") >= F.lit(start).cast("timestamp_ntz")) & (F.col("fecha_utc") < upto)
-    return (trades.where(in_range).groupBy(F.to_date("fecha_utc").alias("dia_utc"))
+    near = F.col("dia_art").between(F.date_sub(F.lit(start), 1), F.date_add(F.lit(end), 1))
+    return (trades.where(in_range & near).groupBy(F.to_date("fecha_utc").alias("dia_utc"))
             .agg(n_ops(), F.min("fecha_utc").alias("lo"), F.max("fecha_utc").alias("hi"),
                  count_where(F.hour("fecha_utc") < 10).alias("ops_antes_10utc"))
             .select("dia_utc", day_text(F.col("dia_utc")).alias("dow"), "ops",

@@ -89,13 +89,17 @@ def fx_crosscheck(quotes: DataFrame, implied: DataFrame) -> DataFrame:
                                                  pct(imp - api, api).alias("desvio_pct")).orderBy("fecha"))
 
 
-def enriched_trades(trades: DataFrame, fx: DataFrame, calendar: DataFrame) -> DataFrame:
+def rated_days(fx: DataFrame, calendar: DataFrame) -> DataFrame:
+    """What the trades of a day need to know about it; days without a rate row are left out."""
+    return fx.select("fecha", "tc_ars_por_usd").join(calendar.select("fecha", "es_habil", "feriado"), "fecha")
+
+
+def enriched_trades(trades: DataFrame, days: DataFrame) -> DataFrame:
     """Trades with rate, amount in ARS, day type, hour band and month.
 
-    Rate and calendar have one row per calendar day, so this is a map-side join of the trades:
-    the enriched trades need no shuffle and no second copy on disk. Days without a rate row drop
-    their trades, see dropped_trades."""
-    days = fx.select("fecha", "tc_ars_por_usd").join(calendar.select("fecha", "es_habil", "feriado"), "fecha")
+    `days` has one row per calendar day and its spine is bounded, so this is a map-side join of the
+    trades: they need no shuffle and no second copy on disk. Trades on days without a rate row are
+    dropped, see dropped_trades."""
     joined = trades.join(F.broadcast(days), trades["dia_art"] == days["fecha"])
     in_ars = F.when(F.col("moneda") == USD, F.round(F.col("monto") * F.col("tc_ars_por_usd"), 2)) \
         .otherwise(F.col("monto"))

@@ -61,9 +61,13 @@ class Pipeline:
         return self._stored("tipo_cambio_diario", lambda: market.daily_fx(
             self.calendar, self.trades, self.quotes, self.implied, self.params))
 
+    @cached_property
+    def rated_days(self) -> DataFrame:
+        return self._stored("dias", lambda: market.rated_days(self.fx, self.calendar))
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return market.enriched_trades(self.trades, self.fx, self.calendar)
+        return market.enriched_trades(self.trades, self.rated_days)
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -175,13 +179,14 @@ class Pipeline:
 
 
 def from_files(spark: SparkSession, trades_csv: str, holidays_csv: str, quotes_csv: str, log_csv: str,
-               params: Params = Params(), root: str | None = None) -> Pipeline:
-    """The pipeline over a trade file and the fetched external data."""
+               params: Params = Params(), root: str | None = None, trades_by: tuple[str, ...] = ("dia_art",)) -> Pipeline:
+    """The pipeline over a trade file and the fetched external data. Trades are stored by day,
+    so that day ranges read only their partitions."""
     return Pipeline(
         spark, lambda: raw.type_trades(raw.read_trade_file(spark, trades_csv), params.local_zone),
         lambda: external.read_csv(spark, holidays_csv, external.HOLIDAY_SCHEMA),
         lambda: external.read_csv(spark, quotes_csv, external.QUOTE_SCHEMA),
-        lambda: external.read_csv(spark, log_csv, external.LOG_SCHEMA), params, root)
+        lambda: external.read_csv(spark, log_csv, external.LOG_SCHEMA), params, root, trades_by)
 
 
 def load_control(raw_rows: DataFrame, typed: DataFrame) -> DataFrame:

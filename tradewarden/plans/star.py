@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tradewarden.functions.exprs import family, millions, rounded, weekday_label
 from tradewarden.operators.joins import keyed_join
-from tradewarden.operators.ranking import global_rank, top_share
+from tradewarden.operators.ranking import global_rank, top_shares
 from tradewarden.params import (
     CHANGE_ABRUPT, LEVEL_HIGH, LEVEL_LOW, LEVEL_MEDIUM, LEVEL_NONE, Params)
 from tradewarden.plans.explore import bucket, n_ops, ops_per_client, rows_of
@@ -137,7 +137,7 @@ def buckets_export(trades: DataFrame) -> DataFrame:
 
 def pareto_export(profile: DataFrame, p: Params) -> DataFrame:
     """Concentration over all amounts in ARS; the cuts are percentages of the clients."""
-    curve = top_share(profile, "monto_ars", [c / 100 for c in p.pareto_cuts], "pct_monto")
+    curve = top_shares(profile, {"pct_monto": "monto_ars"}, [c / 100 for c in p.pareto_cuts])
     cut = (F.col("corte") * 100).cast("decimal(9,2)")
     text = F.replace(F.regexp_replace(cut.cast("string"), r"\.?0+$", ""), F.lit("."), F.lit(","))
     return curve.select(cut.alias("pct_clientes"), F.concat(F.lit("Top "), text, F.lit("%")).alias("segmento"),

@@ -165,13 +165,16 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(failed, F.repeat(F.col("props"), 12)).otherwise("").alias("detalle")))
 
 
+# Year of the holidays that come without one.
+PAYLOAD_YEAR = 1996
+
+
 def holiday_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Holiday objects in both payload shapes, from the holidays among the order dates of 1996."""
-    days = line_holidays(spark, sf_dir).where(F.year("fecha") == 1996)
-    dated = F.month("fecha") < 6
-    text = F.when(dated, F.to_json(F.struct(F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), "tipo", "nombre"))) \
-        .otherwise(F.to_json(F.struct(F.col("nombre").alias("motivo"), "tipo", F.dayofmonth("fecha").alias("dia"),
-                                      F.month("fecha").alias("mes"))))
+    """Holiday objects in both payload shapes: those of PAYLOAD_YEAR as day and month, the others dated."""
+    days = line_holidays(spark, sf_dir)
+    text = F.when(F.year("fecha") == PAYLOAD_YEAR, F.to_json(F.struct(
+        F.col("nombre").alias("motivo"), "tipo", F.dayofmonth("fecha").alias("dia"), F.month("fecha").alias("mes")))) \
+        .otherwise(F.to_json(F.struct(F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), "tipo", "nombre")))
     return days.select(F.from_json(text, HOLIDAY_PAYLOAD).alias("item")).select("item.*")
 
 

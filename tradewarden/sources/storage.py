@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,6 +40,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace the Parquet table at path. For a partitioned table the rows are first brought together
+    by partition; the rebalance splits a large partition over tasks and merges small ones, so that
+    the number of files follows the data and not tasks times partitions."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 class TableStore:
     """Named Parquet tables under one folder, each written on first use and then read back.
 
@@ -54,7 +64,6 @@ class TableStore:
 
     def get(self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
         if name not in self._ready:
-            df = build()
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+            write_parquet(build(), self.path(name), partition_by)
             self._ready.add(name)
         return self.spark.read.parquet(self.path(name))
