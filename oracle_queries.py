@@ -203,7 +203,7 @@ FROM lp, lu WHERE ops >= p999_ops OR CAST(monto_ars AS DOUBLE) >= p999_monto_cli
   ops_ene = 0 AS sin_actividad_en_enero FROM l30""",
     "l3": """SELECT *, CASE WHEN por_frecuencia OR por_monto THEN 'Cambio brusco' ELSE 'Sin historial en enero + monto alto' END AS tipo_cambio
 FROM l31 WHERE por_frecuencia OR por_monto OR (sin_actividad_en_enero AND monto_feb_mar >= 5000000)""",
-    "lref": f"""SELECT simbolo_titulo, dia_art, CAST(QUANTILE_CONT({dbl('precio')}, 0.5) AS DECIMAL(17,8)) AS mediana,
+    "lref": f"""SELECT simbolo_titulo, dia_art, CAST(QUANTILE_CONT({dbl('precio')}, 0.5) AS DECIMAL(16,7)) AS mediana,
   COUNT(*) AS ops_referencia FROM le WHERE NOT regexp_matches(simbolo_titulo, {OPTION}) GROUP BY ALL HAVING COUNT(*) >= 5""",
     "l40": f"""SELECT le.*, mediana, ops_referencia,
   {dec('CAST(precio AS DOUBLE) / CAST(mediana AS DOUBLE)', 4)} AS ratio_vs_mercado,
@@ -211,7 +211,7 @@ FROM l31 WHERE por_frecuencia OR por_monto OR (sin_actividad_en_enero AND monto_
     AND (precio * 2 < mediana OR precio > mediana * 2) AS fuera
 FROM le LEFT JOIN lref USING (simbolo_titulo, dia_art)""",
     "l4": f"""SELECT *, CAST(ROUND(mediana, 4) AS DOUBLE) AS precio_mediana_dia,
-  ROUND(CAST(CAST(cantidad AS DECIMAL(9,0)) * mediana AS DECIMAL(30,8))
+  ROUND(CAST(CAST(cantidad AS DECIMAL(9,0)) * mediana AS DECIMAL(28,7))
     * CASE moneda WHEN 'USD' THEN CAST(tc_ars_por_usd AS DECIMAL(8,2)) ELSE CAST(1 AS DECIMAL(8,2)) END, 2)
     AS monto_ars_a_precio_mercado FROM l40 WHERE fuera""",
     "l4c": """SELECT id_cliente, COUNT(*) AS ops_precio_fuera, SUM(abs(monto_ars_a_precio_mercado - monto_ars)) AS diferencia_valor_ars

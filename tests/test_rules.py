@@ -125,6 +125,15 @@ def test_off_market_value_uses_the_rate(spark):
     assert (row["monto_ars"], row["monto_ars_a_precio_mercado"], str(row["ratio_vs_mercado"])) == (3000, 300000, "0.0100")
 
 
+def test_market_value_of_very_large_trades(spark):
+    rows = spark.sql("""SELECT * FROM VALUES
+        ('USD', 3L, 1.0000005BD, 1234.5678BD), ('USD', 999999999999L, 1.5BD, 2BD), ('ARS', 7L, 0.0000005BD, 9BD) t(moneda, q, m, r)""").select(
+        "moneda", F.col("q").alias("cantidad"), F.col("m").cast("decimal(27,7)").alias("mediana"),
+        F.col("r").cast("decimal(12,4)").alias("tc_ars_por_usd"))
+    got = [str(r[0]) for r in rows.select(patterns.market_value()).collect()]
+    assert [Decimal(g) for g in got] == [Decimal("3703.71"), Decimal("2999999999997.00"), Decimal("0.00")]
+
+
 def fx_rows(fx):
     return {r["fecha"]: (r["tc_ars_por_usd"] and float(r["tc_ars_por_usd"]), r["fuente_tc"], r["arrastrado"]) for r in fx.collect()}
 

@@ -27,14 +27,14 @@ def rounded(col: Column, digits: int) -> Column:
 
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     """100 * part / whole in decimals; NULL for an empty whole."""
-    top = part.cast("decimal(27,4)") * F.lit(Decimal(100))
-    return F.round(top / F.nullif(whole.cast("decimal(27,4)"), F.lit(0).cast("decimal(27,4)")), digits)
+    top = part.cast("decimal(24,4)") * F.lit(Decimal(100))
+    return F.round(top / F.nullif(whole.cast("decimal(24,4)"), F.lit(0).cast("decimal(24,4)")), digits)
 
 
 def ratio(part: Column, whole: Column, digits: int) -> Column:
     """part / whole in decimals; NULL for an empty whole."""
-    return F.round(part.cast("decimal(27,4)")
-                   / F.nullif(whole.cast("decimal(27,4)"), F.lit(0).cast("decimal(27,4)")), digits)
+    return F.round(part.cast("decimal(24,4)")
+                   / F.nullif(whole.cast("decimal(24,4)"), F.lit(0).cast("decimal(24,4)")), digits)
 
 
 def millions(amount: Column, digits: int = 1) -> Column:

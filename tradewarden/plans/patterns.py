@@ -224,11 +224,12 @@ def p3_top_amount(p3: DataFrame, k: int = 15) -> DataFrame:
 
 def reference_prices(enriched: DataFrame, p: Params) -> DataFrame:
     """Median price and trade count per (symbol, day) with enough trades. Option tickers are never
-    judged, so they are left out before the shuffle."""
+    judged, so they are left out before the shuffle. Prices have six decimals, so a median has at
+    most seven and the cast recovers it exactly."""
     medians = percentiles_by_group(enriched.where(~F.col("simbolo_titulo").rlike(OPTION_TICKER)),
                                    ["simbolo_titulo", "dia_art"], "precio", {"mediana": 0.5}, size_as="ops_referencia")
     return (medians.where(F.col("ops_referencia") >= p.p4_min_refs)
-            .select("simbolo_titulo", "dia_art", exact(F.col("mediana")).alias("mediana"), "ops_referencia"))
+            .select("simbolo_titulo", "dia_art", exact(F.col("mediana"), 7).alias("mediana"), "ops_referencia"))
 
 
 def off_market(p: Params) -> Column:
@@ -238,19 +239,27 @@ def off_market(p: Params) -> Column:
 
 
 def price_ratio() -> Column:
-    return F.round(F.col("precio") / F.col("mediana").cast("decimal(20,8)"), 4)
+    return F.round(F.col("precio") / F.col("mediana").cast("decimal(20,7)"), 4)
+
+
+def market_value() -> Column:
+    """Quantity at the day's median, in ARS, rounded once. Factors of the usual size multiply exactly in
+    38 digits; larger ones use the widest types, where Spark cuts the product to six decimals first."""
+    rate = F.when(F.col("moneda") == USD, F.col("tc_ars_por_usd")).otherwise(F.lit(1).cast(RATE))
+    quantity, median = F.col("cantidad"), F.col("mediana")
+    usual = quantity.try_cast("decimal(11,0)") * median.try_cast("decimal(16,7)") * rate.try_cast("decimal(9,4)")
+    wide = quantity.cast("decimal(19,0)") * median * rate
+    return F.coalesce(F.round(usual, 2), F.round(wide, 2))
 
 
 def p4_off_market_price(enriched: DataFrame, references: DataFrame, p: Params) -> DataFrame:
     """Trades below half or above twice the day's median of their instrument."""
     joined = keyed_join(enriched, references, ["simbolo_titulo", "dia_art"], "ops_referencia", "id_transaccion")
-    rate = F.when(F.col("moneda") == USD, F.col("tc_ars_por_usd")).otherwise(F.lit(1).cast(RATE))
-    at_market = F.col("cantidad").cast("decimal(12,0)") * F.col("mediana").cast("decimal(18,8)")
     return joined.where(off_market(p)).select(
         "id_transaccion", "id_cliente", "fecha_art", "origen", "tipo_tran", "simbolo_titulo", "descripcion_titulo",
         "moneda", "cantidad", "precio", F.round("mediana", 4).alias("precio_mediana_dia"), "ops_referencia",
         price_ratio().alias("ratio_vs_mercado"), "monto_ars",
-        F.round(at_market * rate, 2).alias("monto_ars_a_precio_mercado"))
+        market_value().alias("monto_ars_a_precio_mercado"))
 
 
 def value_gap() -> Column:
