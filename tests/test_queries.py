@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle_check
+from tradewarden.operators import joins, ranking
+from tradewarden.plans.datasets import new_line_pipeline
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # empty on the smallest tables: too few trades per instrument and day
@@ -37,6 +39,24 @@ def test_medium(spark, con, name):
     assert oracle_check.compare(spark, con[MEDIUM], MEDIUM, name) is None
 
 
+def test_scale_paths_give_the_same_tables(spark, monkeypatch):
+    """Salted joins, sliced percentiles and unbracketed thresholds, forced on every group."""
+    plain = new_line_pipeline(spark, MEDIUM)
+    want = {name: getattr(plain, name) for name in ("limits", "references", "p4", "risk", "flagged")}
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_SHARE", 50)
+    monkeypatch.setattr(ranking, "MAX_DISTINCT", 4)
+    monkeypatch.setattr(ranking, "MAX_SKETCHES", 0)
+    forced = new_line_pipeline(spark, MEDIUM)
+    for name, table in want.items():
+        got = getattr(forced, name)
+        assert got.count() == table.count() > 0
+        if name != "limits":
+            assert got.exceptAll(table).isEmpty(), name
+        else:
+            assert tuple(got.collect()[0]) == pytest.approx(tuple(table.collect()[0]))
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -22,7 +22,7 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def keyed_join(big: DataFrame, keyed: DataFrame, on: Sequence[str], weight: str, salt: str, how: str = "inner",
-               broadcast_rows: int = BROADCAST_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
+               broadcast_rows: int | None = None, hot_share: int | None = None) -> DataFrame:
     """Join `big` with `keyed`, which has one row per key and in `weight` the number of big rows of
     that key (dropped from the result for a semi join).
 
@@ -30,7 +30,8 @@ def keyed_join(big: DataFrame, keyed: DataFrame, on: Sequence[str], weight: str,
     several salts, by a hash of column `salt`, and the key's row is repeated once per salt. By the
     pigeonhole principle there are at most `hot_share` hot keys, so their list is always broadcast."""
     on = list(on)
-    if keyed.count() <= broadcast_rows:
+    hot_share = HOT_SHARE if hot_share is None else hot_share
+    if keyed.count() <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         return big.join(F.broadcast(keyed), on, how)
 
     total = keyed.agg(F.sum(weight)).scalar()

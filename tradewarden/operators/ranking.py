@@ -98,13 +98,14 @@ def _histogram(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def percentiles_by_group(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float],
-                         size_as: str | None = None, max_distinct: int = MAX_DISTINCT) -> DataFrame:
+                         size_as: str | None = None, max_distinct: int | None = None) -> DataFrame:
     """Exact interpolated percentiles for any number of groups, and the rows per group on request.
 
     Equal values are counted before the shuffle. Groups with up to `max_distinct` different values
     are finished by the built-in aggregate on those counts; larger ones go through the sliced
     running total, so no task ever holds a hot group."""
     by = list(by)
+    max_distinct = MAX_DISTINCT if max_distinct is None else max_distinct
     hist = settle(_histogram(df, by, value))
     large = hist.groupBy(*by).agg(F.count("*").alias("_d")).where(F.col("_d") > max_distinct).select(*by)
     exact = [F.percentile(value, F.lit(float(p)), F.col("_n")).alias(out) for out, p in quantiles.items()]
