@@ -17,6 +17,12 @@ from tradewarden.plans.pipeline import Pipeline, load_control
 from tradewarden.sources import adapters, external, raw, sinks
 from tradewarden.sources.storage import TableStore
 
+try:
+    import corpus_pipeline
+    from tradewarden.llm import queries as llm_queries
+except ImportError:  # the subpackage is optional
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -250,8 +256,10 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {name: _on(event_pipeline, build) for name, build in EVENTS.items()}
     found |= {name: _on(line_pipeline, build) for name, build in LINES.items()}
     found |= {name: _on_tables(build) for name, build in TABLES.items()}
+    if llm_queries:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.statements()
+    return oracle_queries.statements() | (llm_queries.oracle_sql() if llm_queries else {})
