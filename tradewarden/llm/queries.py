@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewarden.llm import packing, quality, token_counts
+from tradewarden.llm import minhash, packing, quality, token_counts
 from tradewarden.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
