@@ -1,16 +1,49 @@
-"""The corpus pipeline: stages of tradewarden.llm, each on all that its predecessor kept."""
+"""The corpus pipeline: stages of tradewarden.llm over `documents`, each on all that its predecessor kept."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradewarden.llm.common import stored, table
+from tradewarden.llm import minhash, packing, quality, suffix_dedup
+from tradewarden.llm.common import numbered, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier, learnt from the labels of those at hand, doesn't reject."""
+    return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id. Documents without words stay."""
+    docs, uid = numbered(docs, "docs")
+    found = minhash.near_duplicates(docs, uid_col=uid)
+    first = found.groupBy("group").agg(F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias(uid))
+    return docs.join(first.select(uid), uid, "left_semi").drop(uid)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without the passages that repeat, here or in another; n_chars is that of the text that is left."""
+    columns = docs.columns
+    docs, uid = numbered(docs, "docs")
+    text = suffix_dedup.remove_repeats(docs, uid_col=uid, with_text=True).select(F.col("uid").alias("left_uid"), F.col("text").alias("left_text"))
+    changed = {"text": F.when(F.col("text").isNotNull(), F.col("left_text")), "n_chars": F.length("left_text").cast("long")}
+    joined = docs.join(text, F.col(uid) == F.col("left_uid"))
+    return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their training sequences."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_documents), ("near_duplicates", distinct_documents), ("repeated_passages", without_repeats), ("packing", packed)]
 
 # Learned scores, suffix arrays and tokenizers are out of SQL's reach; the tests hold the rows against brute force.
 ORACLE_SQL = None

@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +26,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows stored with a number each, in a column whose name no other has; and that name."""
+    col = "row_number"
+    while col in df.columns:
+        col += "_"
+    return stored(df.withColumn(col, F.monotonically_increasing_id()), name), col
+
+
 def parts(spark: SparkSession, rows: int, per_part: int) -> int:
     """Number of parts for `rows` rows: `per_part` rows each, and at least two per shuffle partition."""
     return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
@@ -37,18 +42,3 @@ def parts(spark: SparkSession, rows: int, per_part: int) -> int:
 def text_of(col: str) -> Column:
     """A text column as string, NULL as the empty text."""
     return F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(""))
-
-
-def row_key(id_col: str, text: Column) -> list[Column]:
-    """Two columns that identify a row by its id and text, NULL ids included. Rows that agree in both are alike."""
-    given = F.col(f"`{id_col}`").cast("long")
-    return [F.coalesce(given, F.lit(-(2 ** 63))).alias("k_id"), F.xxhash64(text, given.isNull()).alias("k_text")]
-
-
-def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = work(batch)
-            if out is not None and out.num_rows:
-                yield out
-    return run

@@ -225,14 +225,15 @@ def tiles(clusters: DataFrame, block: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                     size: int = WORDS, block: int = BLOCK, uid_col: str | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, uid: one row per row of `docs`.
+    """doc_id, n_shingles, component_id, kept, group, uid: one row per row of `docs`.
 
     A document's set holds the distinct `size`-word shingles of its text (ASCII letters lower-cased, words split at ASCII
     white space); a shorter text is one shingle. Documents are linked from `percent` % similarity of their sets on, and
     component_id is the smallest id that links reach. Texts without words, NULL included, have an empty set and are linked
     with nothing. kept: doc_id = component_id. A row without an id belongs to its component and is kept only if no row of
     it has an id; rows that repeat an id are documents of their own. An empty table gives an empty result; other columns
-    are ignored, whatever their names. uid tells rows apart: column `uid_col` if given, else a number made here."""
+    are ignored, whatever their names. uid tells rows apart, and group components: column `uid_col` if given, else a number made
+    here."""
     text = text_of(text_col)
     uid = F.col(f"`{uid_col}`").cast("long") if uid_col else F.monotonically_increasing_id()
     plain = docs.select(uid.alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
@@ -250,9 +251,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = components(links)
     named = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("h1", "h2", "component_id")
+    named = named.join(least, "component").select("h1", "h2", "component_id", F.col("component").alias("group"))
     rows = signed.select("uid", "doc_id", "n_shingles", "h1", "h2")
     linked = rows.where("n_shingles > 0").join(named, ["h1", "h2"])
-    alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    alone = rows.where("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "group": F.col("uid")})
     return (linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select("doc_id", "n_shingles", "component_id", "kept", "uid"))
+            .select("doc_id", "n_shingles", "component_id", "kept", "group", "uid"))

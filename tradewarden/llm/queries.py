@@ -32,7 +32,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("group", "uid")
 
 
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
