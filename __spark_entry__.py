@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,33 +58,58 @@ def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades written as a text CSV, read back through the staging schema and typed."""
+    """Trades written as a text CSV, read back through the staging schema and typed. Descriptions hold quotes and commas,
+    and the times of odd quantities are written with the local offset."""
     p = line_pipeline(spark, sf_dir)
     path = TableStore(spark).path("operaciones_raw")
-    adapters.raw_text_trades(p.trades).write.option("header", True).csv(path)
+    quoted = F.concat(F.lit('"'), "descripcion_titulo", F.lit('", serie A'))
+    text = adapters.raw_text_trades(p.trades.withColumn("descripcion_titulo", quoted), F.col("cantidad") % 2 == 1)
+    sinks.write_csv(text, path)
     return raw.type_trades(raw.read_trade_file(spark, path), p.params.local_zone)
 
 
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The client export written as CSV and read back with types and t / f booleans."""
     path = TableStore(spark).path("clientes_csv")
-    table = star.alert_export(line_pipeline(spark, sf_dir).clients).select(
-        "id_cliente", "ops", "monto_ars", "nivel_riesgo", "p1_actividad_alta", "p4_precio_fuera_mercado")
+    table = star.alert_export(line_pipeline(spark, sf_dir).clients)
     sinks.write_csv(table, path)
-    return sinks.read_exported_csv(spark, path, {
-        "id_cliente": "string", "ops": "long", "monto_ars": "double", "nivel_riesgo": "string",
-        "p1_actividad_alta": "boolean", "p4_precio_fuera_mercado": "boolean"})
+    return sinks.read_exported_csv(spark, path, {f.name: f.dataType.simpleString() for f in table.schema.fields})
 
 
 def _json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The case files written as JSON lines, read back and summarised per level."""
+    """The case files written as JSON lines and read back, every field of them."""
     path = TableStore(spark).path("perfiles_json")
     sinks.write_json_lines(casefile.client_profile_json(line_pipeline(spark, sf_dir).cases), path)
-    docs = spark.read.schema("id_cliente string, nivel_riesgo string, operaciones_total long, "
-                             "referencia_poblacion struct<promedio_operaciones_por_cliente double>").json(path)
-    return docs.groupBy("nivel_riesgo").agg(
-        F.count("*").alias("clientes"), F.sum("operaciones_total").alias("ops"),
-        F.max("referencia_poblacion.promedio_operaciones_por_cliente").alias("prom_ops"))
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return spark.read.text(path).select(field("id_cliente"), field("nivel_riesgo"),
+                                        F.get_json_object("value", "$.score").cast("int").alias("score"), F.col("value").alias("perfil"))
+
+
+def _holiday_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holiday objects written as one JSON array, as the service sends them, read and parsed."""
+    path = TableStore(spark).path("feriados_json")
+    items = adapters.holiday_payload(spark, sf_dir)
+    items.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).write.text(path)  # a few holidays per year
+    return external.parse_holidays(external.read_json_items(spark, path, external.HOLIDAY_PAYLOAD), adapters.PAYLOAD_YEAR)
+
+
+def _quote_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quote objects written as JSON lines, read and parsed."""
+    path = TableStore(spark).path("cotizaciones_json")
+    adapters.quote_payload(spark, sf_dir).write.json(path)
+    items = external.read_json_items(spark, path, external.QUOTE_PAYLOAD, lines=True)
+    return external.parse_quotes(items, date(1995, 6, 1), date(2001, 6, 30))
+
+
+def _dropped(p: Pipeline) -> DataFrame:
+    """Trades without a rate, under rate bounds that leave days out."""
+    bounds = replace(p.params, fx_start=date(2024, 1, 5), fx_end=date(2024, 1, 24))
+    return market.dropped_trades(p.trades, market.daily_fx(p.calendar, p.trades, p.quotes, p.implied, bounds))
+
+
+def _lookup(p: Pipeline) -> DataFrame:
+    return casefile.client_profile_json(casefile.lookup_case(
+        p.risk, p.flagged, p.p4, p.population, p.params, _top_client(p)))
 
 
 def _external_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +125,13 @@ def _first_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return external.first_available(spark, [
         external.Source("missing", "feriados", lambda: spark.read.parquet(f"{sf_dir}/feriados.parquet")),
         external.Source("empty", "orders", lambda: days.where(F.col("nombre") == "")),
-        external.Source("snapshot", "orders", lambda: days, fallback=True)])
+        external.Source("snapshot", "orders", lambda: days, fallback=True, detail="local snapshot")])
+
+
+def _source_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the attempts; of an error's text its kind."""
+    kind = F.substring_index("detalle", ":", 1)
+    return _first_source(spark, sf_dir)[1].select("api", "url", "estado", "filas", kind.alias("detalle"))
 
 
 # Queries over trades made from events: hours, days, calendar and rates.
@@ -125,7 +157,8 @@ EVENTS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "fx_summary": lambda p: market.fx_summary(p.fx),
     "fx_crosscheck": lambda p: market.fx_crosscheck(p.quotes, p.implied),
     "enriched_trades": lambda p: p.enriched,
-    "dropped_trades": lambda p: market.dropped_trades(p.trades, p.quotes),
+    "dropped_trades": _dropped,
+    "implied_only_fx": lambda p: market.daily_fx(p.calendar, p.trades, p.quotes.where(F.lit(False)), p.implied, p.params),
     "by_day_type": lambda p: market.by_day_type(p.enriched),
     "volume_by_currency_ars": lambda p: market.volume_by_currency_ars(p.enriched),
     "monthly_volume": lambda p: market.monthly_volume(p.enriched),
@@ -198,20 +231,19 @@ LINES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "population_reference": lambda p: p.population,
     "client_profile_json": lambda p: casefile.client_profile_json(p.cases),
     "profile_extras": lambda p: casefile.profile_extras(p.flagged),
-    "lookup_client": lambda p: casefile.lookup_client(p.cases, _top_client(p)).select(
-        "id_cliente", "nivel_riesgo", "score", "reglas_disparadas", "operaciones_total", "monto_total_ars"),
+    "lookup_client": _lookup,
+    "pipeline_keys": lambda p: p.key_report(),
     "list_clients_by_level": lambda p: casefile.list_clients(p.clients, level="Alto"),
     "list_clients_by_rule": lambda p: casefile.list_clients(p.clients, rule="p4_precio_fuera_mercado"),
-    "daily_job": lambda p: casefile.daily_job(casefile.client_profile_json(p.cases)).select(
-        "id_cliente", "nivel_riesgo", "score"),
+    "daily_job": lambda p: casefile.daily_job(casefile.client_profile_json(p.cases)),
     "trade_measures": lambda p: measures.trade_measures(p.facts),
     "client_measures": lambda p: measures.client_measures(p.clients),
     "kpi_cards": lambda p: measures.kpi_cards(p.facts, p.clients),
     "volume_by_level": lambda p: measures.volume_by_level(p.clients),
-    "trades_by_day": lambda p: measures.trades_by_day(p.facts),
-    "trades_by_channel": lambda p: measures.trades_by_channel(p.facts),
-    "hour_weekday_heatmap": lambda p: measures.hour_weekday_heatmap(p.facts, p.dim_calendar),
-    "bands_within_channel": lambda p: measures.bands_within_channel(p.facts),
+    "trades_by_day": lambda p: measures.trades_by_day(p.enriched),
+    "trades_by_channel": lambda p: measures.trades_by_channel(p.enriched),
+    "hour_weekday_heatmap": lambda p: measures.hour_weekday_heatmap(p.enriched, p.dim_calendar),
+    "bands_within_channel": lambda p: measures.bands_within_channel(p.enriched),
     "top10_by_amount": lambda p: measures.top_clients_by_amount(p.clients_export),
     "top10_by_ops": lambda p: measures.top_clients_by_ops(p.clients_export),
     "p3_pivot": lambda p: measures.p3_pivot(star.p3_top_long(p.p3, p.params), p.params.period_names),
@@ -235,13 +267,11 @@ TABLES: dict[str, Query] = {
         "precio": F.when(F.col("moneda") == "USD", F.concat(F.lit("U$S "), "precio")).otherwise(F.col("precio")),
         "cantidad": F.when(F.col("cantidad") == "7", F.lit("siete")).otherwise(F.col("cantidad"))})
     ).groupBy("columnas_invalidas").agg(F.count("*").alias("filas")),
-    "holiday_payload": lambda spark, sf_dir: external.parse_holidays(
-        adapters.holiday_payload(spark, sf_dir), adapters.PAYLOAD_YEAR),
-    "quote_payload": lambda spark, sf_dir: external.parse_quotes(
-        adapters.quote_payload(spark, sf_dir), date(1995, 6, 1), date(2001, 6, 30)),
+    "holiday_payload": _holiday_payload,
+    "quote_payload": _quote_payload,
     "external_csv_typed": _external_csv,
     "source_fallback": lambda spark, sf_dir: _first_source(spark, sf_dir)[0],
-    "source_fallback_log": lambda spark, sf_dir: _first_source(spark, sf_dir)[1].select("api", "url", "estado", "filas"),
+    "source_fallback_log": _source_log,
     "csv_export_typed": _csv_export,
     "json_lines_export": _json_export,
 }
@@ -252,10 +282,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["risk_score"](spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
+    """The queries that have nothing to do with the optional subpackage."""
     found: dict[str, Query] = {name: _on(event_pipeline, build) for name, build in EVENTS.items()}
     found |= {name: _on(line_pipeline, build) for name, build in LINES.items()}
     found |= {name: _on_tables(build) for name, build in TABLES.items()}
+    return found
+
+
+def queries() -> dict[str, Query]:
+    found = library_queries()
     if llm_queries:
         found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return found

@@ -7,8 +7,13 @@ from __future__ import annotations
 
 import re
 
-OPTION = "'^[A-Z]{3}[CV][0-9]'"
-BOND = "'^(AL|GD|AE|TX|TZ|S[0-9])'"
+from tradewarden.params import BOND_TICKER, DOLLAR_TICKER, LEVEL_HIGH, LEVEL_LOW, LEVEL_MEDIUM, OPTION_TICKER, WEIGHTS
+from tradewarden.plans.datasets import LINE_PARAMS
+
+# The rules' own limits, patterns, weights and texts; how they are applied is stated again below.
+OPTION, BOND, DOLLAR = (f"'{x}'" for x in (OPTION_TICKER, BOND_TICKER, DOLLAR_TICKER))
+RULES = LINE_PARAMS
+WHY = RULES.reasons()
 
 
 def dec(expr: str, digits: int) -> str:
@@ -94,8 +99,8 @@ def enriched(trades: str, cal: str, fx: str) -> str:
     ELSE CAST(t.monto AS DECIMAL(28,4)) END AS monto_ars,
   c.es_habil, c.feriado,
   CASE WHEN c.feriado IS NOT NULL THEN 'Feriado' WHEN t.dow_art > 5 THEN 'Fin de semana' ELSE 'Día hábil' END AS tipo_dia,
-  CASE WHEN t.hora_art <= 5 THEN 'Madrugada (0-6)' WHEN t.hora_art <= 10 THEN 'Pre-mercado (6-11)'
-       WHEN t.hora_art <= 16 THEN 'Mercado (11-17)' ELSE 'Post-mercado (17-24)' END AS franja_horaria,
+  CASE WHEN t.hora_art < 6 THEN 'Madrugada (0-6)' WHEN t.hora_art < 11 THEN 'Pre-mercado (6-11)'
+       WHEN t.hora_art < 17 THEN 'Mercado (11-17)' ELSE 'Post-mercado (17-24)' END AS franja_horaria,
   CAST(date_trunc('month', t.dia_art) AS DATE) AS mes
 FROM {trades} t, {fx} f, {cal} c WHERE f.fecha = t.dia_art AND c.fecha = t.dia_art"""
 
@@ -139,6 +144,8 @@ FROM events WHERE event_type = 'error' OR event_type = 'signup'""",
     "eimp": implied("et", 5),
     "efx": daily_fx("et", "ecal", "eq", "eimp"),
     "ee": enriched("et", "ecal", "efx"),
+    "eq0": "SELECT * FROM eq WHERE fecha IS NULL",
+    "eofx": daily_fx("et", "ecal", "eq0", "eimp"),
     # trades from order lines
     "ln0": f"""SELECT l.*, o.o_custkey, o.o_orderpriority, l_partkey % 100 AS k,
   CASE WHEN l_partkey % 100 < 15 THEN {prefix('l_partkey % 100')}
@@ -193,22 +200,23 @@ FROM lp, lu WHERE ops >= p999_ops OR CAST(monto_ars AS DOUBLE) >= p999_monto_cli
     "l2": f"""SELECT id_cliente, canal_principal, ops, ops_madrugada, ops_dia_inhabil,
   {dec('(ops_madrugada - ops * base_madrugada) / sqrt(ops * base_madrugada * (1 - base_madrugada))', 2)} AS z_madrugada,
   {dec('(ops_dia_inhabil - ops * base_inhabil) / sqrt(ops * base_inhabil * (1 - base_inhabil))', 2)} AS z_inhabil,
-  {mill('monto_ars', 2)} AS monto_ars_mill FROM lp, lu WHERE ops >= 10""",
+  {mill('monto_ars', 2)} AS monto_ars_mill FROM lp, lu WHERE ops >= {RULES.p2_min_ops}""",
     "l30": f"""SELECT lp.*, ops_feb + ops_mar AS ops_feb_mar, {div('ops_ene', 'dh_ene', 3)} AS tasa_ene,
   {div('ops_feb + ops_mar', 'dh_feb_mar', 3)} AS tasa_feb_mar,
   {div('(ops_feb + ops_mar) * dh_ene', 'dh_feb_mar * CASE WHEN ops_ene > 1 THEN ops_ene ELSE 1 END', 1)} AS multiplicador_frecuencia,
   CASE WHEN monto_ene > 0 THEN {div('monto_feb_mar', 'monto_ene', 1)} END AS multiplicador_monto FROM lp, ld""",
-    "l31": """SELECT *, ops_ene < 3 AND ops_feb_mar > 9 AND multiplicador_frecuencia >= 5 AS por_frecuencia,
-  ops_ene > 0 AND monto_feb_mar >= 5000000 AND monto_feb_mar >= monto_ene * 10 AS por_monto,
+    "l31": f"""SELECT *, ops_ene <= {RULES.p3_few_ops} AND ops_feb_mar >= {RULES.p3_many_ops}
+    AND multiplicador_frecuencia >= {RULES.p3_rate_ratio} AS por_frecuencia,
+  ops_ene > 0 AND monto_feb_mar >= {RULES.p3_min_amount} AND monto_feb_mar >= monto_ene * {RULES.p3_amount_ratio} AS por_monto,
   ops_ene = 0 AS sin_actividad_en_enero FROM l30""",
-    "l3": """SELECT *, CASE WHEN por_frecuencia OR por_monto THEN 'Cambio brusco' ELSE 'Sin historial en enero + monto alto' END AS tipo_cambio
-FROM l31 WHERE por_frecuencia OR por_monto OR (sin_actividad_en_enero AND monto_feb_mar >= 5000000)""",
+    "l3": f"""SELECT *, CASE WHEN por_frecuencia OR por_monto THEN 'Cambio brusco' ELSE 'Sin historial en enero + monto alto' END AS tipo_cambio
+FROM l31 WHERE por_frecuencia OR por_monto OR (sin_actividad_en_enero AND monto_feb_mar >= {RULES.p3_min_amount})""",
     "lref": f"""SELECT simbolo_titulo, dia_art, CAST(QUANTILE_CONT({dbl('precio')}, 0.5) AS DECIMAL(16,7)) AS mediana,
-  COUNT(*) AS ops_referencia FROM le WHERE NOT regexp_matches(simbolo_titulo, {OPTION}) GROUP BY ALL HAVING COUNT(*) >= 5""",
+  COUNT(*) AS ops_referencia FROM le WHERE NOT regexp_matches(simbolo_titulo, {OPTION}) GROUP BY ALL HAVING COUNT(*) >= {RULES.p4_min_refs}""",
     "l40": f"""SELECT le.*, mediana, ops_referencia,
   {dec('CAST(precio AS DOUBLE) / CAST(mediana AS DOUBLE)', 4)} AS ratio_vs_mercado,
   NOT (descripcion_titulo ILIKE '%opci%' OR regexp_matches(simbolo_titulo, {OPTION}))
-    AND (precio * 2 < mediana OR precio > mediana * 2) AS fuera
+    AND (precio < mediana * {RULES.p4_low} OR precio > mediana * {RULES.p4_high}) AS fuera
 FROM le LEFT JOIN lref USING (simbolo_titulo, dia_art)""",
     "l4": f"""SELECT *, CAST(ROUND(mediana, 4) AS DOUBLE) AS precio_mediana_dia,
   ROUND(CAST(CAST(cantidad AS DECIMAL(9,0)) * mediana AS DECIMAL(28,7))
@@ -216,29 +224,22 @@ FROM le LEFT JOIN lref USING (simbolo_titulo, dia_art)""",
     AS monto_ars_a_precio_mercado FROM l40 WHERE fuera""",
     "l4c": """SELECT id_cliente, COUNT(*) AS ops_precio_fuera, SUM(abs(monto_ars_a_precio_mercado - monto_ars)) AS diferencia_valor_ars
 FROM l4 GROUP BY id_cliente""",
-    "lk0": """SELECT lp.*, d.ops_precio_fuera, d.diferencia_valor_ars, d.id_cliente IS NOT NULL AS f_precio_fuera_mercado,
+    "lk0": f"""SELECT lp.*, d.ops_precio_fuera, d.diferencia_valor_ars, d.id_cliente IS NOT NULL AS f_precio_fuera_mercado,
   COALESCE(c.tipo_cambio = 'Cambio brusco', FALSE) AS f_cambio_brusco,
   COALESCE(c.tipo_cambio <> 'Cambio brusco', FALSE) AS f_sin_historial_monto_alto,
   a.id_cliente IS NOT NULL AS f_actividad_alta, CAST(lp.max_monto_op_ars AS DOUBLE) >= lu.p999_monto_op AS f_operacion_extrema,
-  COALESCE(b.z_madrugada >= 3 OR b.z_inhabil >= 3, FALSE) AS f_horario_atipico
+  COALESCE(b.z_madrugada >= {RULES.p2_z} OR b.z_inhabil >= {RULES.p2_z}, FALSE) AS f_horario_atipico
 FROM lp LEFT JOIN l1 a ON a.id_cliente = lp.id_cliente LEFT JOIN l2 b ON b.id_cliente = lp.id_cliente
 LEFT JOIN l3 c ON c.id_cliente = lp.id_cliente LEFT JOIN l4c d ON d.id_cliente = lp.id_cliente, lu""",
-    "lk1": """SELECT *, 3 * CAST(f_precio_fuera_mercado AS INTEGER) + 2 * CAST(f_cambio_brusco AS INTEGER)
-  + 2 * CAST(f_actividad_alta AS INTEGER) + CAST(f_sin_historial_monto_alto AS INTEGER) + CAST(f_horario_atipico AS INTEGER) AS score
-FROM lk0""",
-    "lk": """SELECT id_cliente, canal_principal, canales, ops, dias_activos, simbolos, simbolo_principal,
+    "lk1": "SELECT *, " + " + ".join(f"{w} * CAST({flag} AS INTEGER)" for flag, w in WEIGHTS.items()) + " AS score FROM lk0",
+    "lk": f"""SELECT id_cliente, canal_principal, canales, ops, dias_activos, simbolos, simbolo_principal,
   ROUND(monto_ars, 2) AS monto_ars, ROUND(max_monto_op_ars, 2) AS max_monto_op_ars, pct_compras, ops_ene, ops_feb, ops_mar,
   ROUND(monto_ene, 2) AS monto_ene, ROUND(monto_feb_mar, 2) AS monto_feb_mar, ops_madrugada, ops_dia_inhabil,
   f_precio_fuera_mercado, f_cambio_brusco, f_sin_historial_monto_alto, f_actividad_alta, f_operacion_extrema, f_horario_atipico,
   COALESCE(ops_precio_fuera, 0) AS ops_precio_fuera, COALESCE(diferencia_valor_ars, 0) AS diferencia_valor_ars, score,
   array_to_string(list_filter([
-    CASE WHEN f_precio_fuera_mercado THEN 'Precio fuera de mercado' END,
-    CASE WHEN f_cambio_brusco THEN 'Cambio brusco feb-mar' END,
-    CASE WHEN f_sin_historial_monto_alto THEN 'Sin historial en enero + monto alto' END,
-    CASE WHEN f_actividad_alta THEN 'Actividad top 0,1%' END,
-    CASE WHEN f_operacion_extrema THEN 'Operación >= p99,9 (info)' END,
-    CASE WHEN f_horario_atipico THEN 'Horario atípico (z>=3)' END], lambda x: x IS NOT NULL), ' | ') AS motivos,
-  CASE WHEN score > 3 THEN 'Alto' WHEN score > 1 THEN 'Medio' ELSE 'Bajo' END AS nivel_riesgo
+    {", ".join(f"CASE WHEN {flag} THEN '{text}' END" for flag, text in WHY.items())}], lambda x: x IS NOT NULL), ' | ') AS motivos,
+  CASE WHEN score >= {RULES.high_score} THEN '{LEVEL_HIGH}' WHEN score >= {RULES.medium_score} THEN '{LEVEL_MEDIUM}' ELSE '{LEVEL_LOW}' END AS nivel_riesgo
 FROM lk1 WHERE score > 0""",
     "lf": f"""SELECT id_transaccion, id_cliente, fecha_art, dia_art AS fecha, hora_art, franja_horaria, tipo_dia, tipo_tran,
   origen AS canal, moneda, simbolo_titulo, descripcion_titulo,
@@ -360,6 +361,11 @@ def grouped(expr: str) -> str:
     return f"format('{{:,}}', CAST(ROUND(CAST({expr} AS DECIMAL(28,4)), 0) AS BIGINT))"
 
 
+# One document per client in alert.
+CASES = f"""SELECT k.id_cliente, nivel_riesgo, score, {CASE_JSON} AS perfil
+FROM lk k JOIN lchan USING (id_cliente) JOIN linst USING (id_cliente) JOIN lsame USING (id_cliente) JOIN ldates USING (id_cliente)
+LEFT JOIN lnest USING (id_cliente), lpop"""
+
 STATEMENTS = {
     "overview": f"""SELECT COUNT(*) AS operaciones, COUNT(DISTINCT id_cliente) AS clientes_unicos, COUNT(DISTINCT simbolo_titulo) AS simbolos,
   COUNT(DISTINCT descripcion_titulo) AS descripciones, MIN(fecha_utc) AS primera_op_utc, MAX(fecha_utc) AS ultima_op_utc,
@@ -370,15 +376,15 @@ STATEMENTS = {
     "dq_logical_dupes": f"""SELECT COUNT(*) AS grupos_duplicados, {big('COALESCE(SUM(n), 0)')} AS operaciones_involucradas FROM (
   SELECT COUNT(*) AS n FROM et GROUP BY fecha_utc, id_cliente, tipo_tran, precio, cantidad, simbolo_titulo) WHERE n >= 2""",
     "ms_flag_by_channel": "SELECT origen, ms_flag, COUNT(*) AS ops FROM et GROUP BY ALL",
-    "symbol_controls": """SELECT 'simbolos_con_>1_descripcion' AS control, COUNT(*) AS casos FROM (
+    "symbol_controls": f"""SELECT 'simbolos_con_>1_descripcion' AS control, COUNT(*) AS casos FROM (
   SELECT simbolo_titulo FROM et GROUP BY ALL HAVING MIN(descripcion_titulo) <> MAX(descripcion_titulo))
 UNION ALL SELECT 'simbolos_operados_en_ARS_y_USD', COUNT(*) FROM (SELECT simbolo_titulo FROM et GROUP BY ALL HAVING MIN(moneda) <> MAX(moneda))
 UNION ALL SELECT 'ticker_termina_en_D_pero_moneda_ARS', COUNT(*) FROM et
-  WHERE regexp_full_match(simbolo_titulo, '[A-Z]{2}[0-9]{2}D') AND moneda = 'ARS'""",
+  WHERE regexp_matches(simbolo_titulo, {DOLLAR}) AND moneda = 'ARS'""",
     "by_weekday": shares("et", "dow_art", outer=f", {WEEKDAY.format('dow_art')} AS dia"),
     "by_hour": shares("et", "hora_art", outer=", CASE WHEN hora_art > 10 AND hora_art < 17 THEN 'mercado' ELSE 'fuera' END AS franja"),
     "atypical_bands": f"""SELECT {pct(cnt('hora_art < 11 OR hora_art > 16'), 'COUNT(*)')} AS pct_fuera_horario_mercado,
-  {pct(cnt('hora_art <= 5'), 'COUNT(*)')} AS pct_madrugada_0a6, {pct(cnt('dow_art > 5'), 'COUNT(*)')} AS pct_fin_de_semana,
+  {pct(cnt('hora_art < 6'), 'COUNT(*)')} AS pct_madrugada_0a6, {pct(cnt('dow_art > 5'), 'COUNT(*)')} AS pct_fin_de_semana,
   {cnt('dow_art > 5')} AS ops_fin_de_semana FROM et""",
     "off_hours_by_channel": f"""SELECT origen, {pct(cnt('hora_art < 11 OR hora_art > 16'), 'COUNT(*)', 1)} AS pct_fuera_horario,
   {pct(cnt('dow_art = 6'), 'COUNT(*)', 1)} AS pct_sabado FROM et GROUP BY origen""",
@@ -402,7 +408,14 @@ WHERE c.feriado IS NOT NULL AND c.fecha BETWEEN DATE '2024-01-01' AND DATE '2024
     "enriched_trades": f"""SELECT {TYPED}, {dbl('tc_ars_por_usd')} AS tc_ars_por_usd, {dbl('monto_ars')} AS monto_ars, es_habil, feriado,
   tipo_dia, franja_horaria, mes FROM ee""",
     "dropped_trades": f"""SELECT COUNT(*) AS ops_sin_tipo_de_cambio, COUNT(DISTINCT dia_art) AS dias FROM et
-WHERE dia_art NOT IN (SELECT fecha FROM eq)""",
+WHERE id_transaccion NOT IN (SELECT id_transaccion FROM ee WHERE dia_art BETWEEN DATE '2024-01-05' AND DATE '2024-01-24')""",
+    "implied_only_fx": f"SELECT fecha, {dbl('tc_ars_por_usd')} AS tc_ars_por_usd, fuente_tc, arrastrado FROM eofx",
+    "pipeline_keys": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, '{key}' AS clave, COUNT(*) AS filas, CAST(0 AS BIGINT) AS repetidas, CAST(0 AS BIGINT) AS nulas FROM {block}"
+        for name, key, block in (
+            ("operaciones", "id_transaccion", "lt"), ("feriados", "fecha", "lh"), ("tipo_cambio_api", "fecha", "lq"),
+            ("calendario", "fecha", "lcal"), ("tipo_cambio_diario", "fecha", "lfx"), ("operaciones_enriquecidas", "id_transaccion", "le"),
+            ("perfil_cliente", "id_cliente", "lp"), ("clientes_riesgo", "id_cliente", "lk"))),
     "by_day_type": shares("ee", "tipo_dia", ", COUNT(DISTINCT id_cliente) AS clientes, SUM(monto_ars) AS m",
                           f", clientes, {mill('m')} AS monto_ars_millones"),
     "volume_by_currency_ars": f"""SELECT moneda, ops, {mill('m')} AS monto_ars_millones, {pct('m', 'SUM(m) OVER ()')} AS pct_monto
@@ -530,16 +543,13 @@ FROM ({curve('lp', 'monto_ars', PERCENTS, 100)})""",
     "client_dates_median": "SELECT * FROM ldates",
     "p4_detail_nested": "SELECT * FROM lnest",
     "population_reference": "SELECT * FROM lpop",
-    "client_profile_json": f"""SELECT k.id_cliente, nivel_riesgo, score, {CASE_JSON} AS perfil
-FROM lk k JOIN lchan USING (id_cliente) JOIN linst USING (id_cliente) JOIN lsame USING (id_cliente) JOIN ldates USING (id_cliente)
-LEFT JOIN lnest USING (id_cliente), lpop""",
+    "client_profile_json": CASES,
     "profile_extras": f"""SELECT id_cliente, {div('SUM(monto_ars)', 'COUNT(*)', 0)} AS monto_promedio_por_operacion_ars,
   MIN(cantidad) AS nominales_min, MAX(cantidad) AS nominales_max FROM lg GROUP BY id_cliente""",
-    "lookup_client": f"""SELECT id_cliente, nivel_riesgo, score, motivos AS reglas_disparadas, ops AS operaciones_total, {dec('monto_ars', 0)} AS monto_total_ars
-FROM lk WHERE id_cliente = (SELECT id_cliente FROM ltop)""",
+    "lookup_client": f"""SELECT * FROM ({CASES}) WHERE id_cliente = (SELECT id_cliente FROM ltop)""",
     "list_clients_by_level": "SELECT id_cliente, nivel_riesgo, score AS score_riesgo, motivos FROM lk WHERE nivel_riesgo = 'Alto'",
     "list_clients_by_rule": "SELECT id_cliente, nivel_riesgo, score AS score_riesgo, motivos FROM lk WHERE f_precio_fuera_mercado",
-    "daily_job": "SELECT id_cliente, nivel_riesgo, score FROM lk WHERE score >= 2",
+    "daily_job": f"SELECT * FROM ({CASES}) WHERE score >= 2",
     "trade_measures": f"SELECT {TRADE_MEASURES} FROM lf",
     "client_measures": f"SELECT {CLIENT_MEASURES} FROM lc",
     "kpi_cards": f"""SELECT *, {grouped('cant_operaciones')} AS operaciones_totales_txt, {grouped('clientes_unicos')} AS clientes_activos_txt,
@@ -558,8 +568,8 @@ FROM (SELECT canal, franja_horaria, COUNT(*) AS operaciones FROM lf GROUP BY ALL
     "top10_by_amount": f"SELECT rank_monto, id_cliente, nivel_riesgo, {mill('monto_ars', 4)} AS monto_clientes_m FROM lx WHERE rank_monto <= 10",
     "top10_by_ops": "SELECT rank_ops, id_cliente, nivel_riesgo, ops FROM lx WHERE rank_ops <= 10",
     "p3_pivot": 'SELECT id_cliente, ops_ene AS "Enero", ops_feb AS "Febrero", ops_mar AS "Marzo (al 13)" FROM l3t',
-    "review_table": f"""SELECT id_cliente, nivel_riesgo, score_riesgo, motivos, canal_principal, ops, {dec('monto_ars', 2)} AS monto_ars FROM lc
-WHERE nivel_riesgo IN ('Alto', 'Medio') AND canal_principal IN ('1-URGENT', '2-HIGH')""",
+    "review_table": f"""SELECT id_cliente, nivel_riesgo, score_riesgo, motivos, canal_principal, ops, {dec('monto_ars', 2)} AS monto_ars,
+  ops_ene, ops_feb, ops_mar FROM lc WHERE nivel_riesgo IN ('Alto', 'Medio') AND canal_principal IN ('1-URGENT', '2-HIGH')""",
     "client_card": "SELECT * FROM lc WHERE id_cliente = (SELECT id_cliente FROM ltop)",
     "client_daily": """SELECT fecha, tipo_tran, COUNT(*) AS operaciones FROM lf WHERE id_cliente = (SELECT id_cliente FROM ltop) GROUP BY ALL""",
     "client_trades": """SELECT fecha_art, canal, tipo_tran, simbolo_titulo, cantidad, precio, monto_ars, flag_precio_fuera_mercado FROM lf
@@ -570,8 +580,9 @@ WHERE id_cliente = (SELECT id_cliente FROM ltop)""",
   {div('SUM(monto_ars) OVER (ORDER BY monto_ars DESC RANGE UNBOUNDED PRECEDING)', 'SUM(monto_ars) OVER ()', 6)} AS pct_acumulado_monto FROM lp""",
 
     "csv_load_typed": f"""SELECT id_transaccion, id_cliente, w AS fecha_utc, w - INTERVAL 3 HOUR AS fecha_art, CAST(w - INTERVAL 3 HOUR AS DATE) AS dia_art,
-  CAST(hour(w - INTERVAL 3 HOUR) AS INTEGER) AS hora_art, CAST(isodow(w - INTERVAL 3 HOUR) AS INTEGER) AS dow_art, tipo_tran, descripcion_titulo, simbolo_titulo, moneda, origen, cantidad,
-  {dbl('precio')} AS precio, {dbl('ROUND(cantidad * precio, 4)')} AS monto, ms_flag
+  CAST(hour(w - INTERVAL 3 HOUR) AS INTEGER) AS hora_art, CAST(isodow(w - INTERVAL 3 HOUR) AS INTEGER) AS dow_art, tipo_tran, '"' || descripcion_titulo || '", serie A' AS descripcion_titulo, simbolo_titulo, moneda, origen, cantidad,
+  {dbl('precio')} AS precio, {dbl('ROUND(cantidad * precio, 4)')} AS monto,
+  CASE WHEN cantidad % 2 = 0 THEN ms_flag END AS ms_flag
 FROM (SELECT *, fecha_utc + CASE ms_flag WHEN '010' THEN INTERVAL 10 MILLISECOND ELSE INTERVAL 0 MILLISECOND END AS w FROM lt)""",
     "load_control": """SELECT 'raw' AS tabla, COUNT(*) AS "count" FROM lineitem UNION ALL SELECT 'tipada', COUNT(*) FROM lineitem""",
     "reject_rows": """SELECT columnas_invalidas, COUNT(*) AS filas FROM (
@@ -580,11 +591,12 @@ FROM (SELECT *, fecha_utc + CASE ms_flag WHEN '010' THEN INTERVAL 10 MILLISECOND
     "holiday_payload": "SELECT fecha, nombre, tipo FROM lh",
     "quote_payload": f"SELECT fecha, {dbl('compra')} AS compra, {dbl('venta')} AS venta FROM lq WHERE fecha >= DATE '1995-06-01' AND fecha <= DATE '2001-06-30'",
     "external_csv_typed": f"SELECT fecha, {dbl('compra')} AS compra, {dbl('venta')} AS venta, fuente FROM lq",
-    "source_fallback_log": """SELECT 'missing' AS api, 'feriados' AS url, 'ERROR' AS estado, 0 AS filas UNION ALL SELECT 'empty', 'orders', 'ERROR', 0
-UNION ALL SELECT 'snapshot', 'orders', 'FALLBACK', CAST(COUNT(*) AS INTEGER) FROM lh""",
+    "source_fallback_log": """SELECT 'missing' AS api, 'feriados' AS url, 'ERROR' AS estado, 0 AS filas, 'AnalysisException' AS detalle
+UNION ALL SELECT 'empty', 'orders', 'ERROR', 0, 'EmptyPayload'
+UNION ALL SELECT 'snapshot', 'orders', 'FALLBACK', CAST(COUNT(*) AS INTEGER), 'local snapshot' FROM lh""",
     "source_fallback": "SELECT fecha, nombre, tipo, 'snapshot' AS fuente FROM lh",
-    "csv_export_typed": f"""SELECT id_cliente, ops, monto_ars, nivel_riesgo, p1_actividad_alta, p4_precio_fuera_mercado FROM lc WHERE {ALERT}""",
-    "json_lines_export": f"""SELECT nivel_riesgo, COUNT(*) AS clientes, {big('SUM(ops)')} AS ops, MAX(prom_ops) AS prom_ops FROM lk, lpop GROUP BY nivel_riesgo""",
+    "csv_export_typed": f"SELECT * FROM lc WHERE {ALERT}",
+    "json_lines_export": CASES,
 }
 
 

@@ -233,7 +233,7 @@ def test_case_file_leaves_out_empty_fields(spark):
     risk = settle(score.risk_score(c, u, days(spark), p4, P))
     cases = casefile.case_fields(risk, casefile.flagged_trades(e, risk), p4, casefile.population_reference(c, u), P)
     doc = json.loads(casefile.client_profile_json(cases).collect()[0]["perfil"])
-    assert len(cases.columns) == 27 and "detalle_precio_fuera_de_mercado" not in doc and "operaciones_precio_fuera_de_mercado" not in doc
+    assert len(cases.columns) == 29 and "parte" not in doc and "detalle_precio_fuera_de_mercado" not in doc and "operaciones_precio_fuera_de_mercado" not in doc
     assert doc["operaciones_por_canal"] == {"API": 3} and doc["top_instrumentos"][0]["compras"] == 3
     assert doc["dias_especie_compra_y_venta_mismo_dia"] == "0 de 1" and doc["monto_total_ars"] == 18
 

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import micro
-from tradewarden.operators.controls import duplicate_keys, require_unique
+from tradewarden.operators.controls import duplicate_keys, require_key
 from tradewarden.params import Params
 from tradewarden.plans.pipeline import from_files, load_control
 from tradewarden.sources import external, raw, sinks
@@ -63,8 +63,8 @@ def test_primary_key(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "id string")
     assert [tuple(r) for r in duplicate_keys(df, ["id"]).collect()] == [("a", 2)]
     with pytest.raises(ValueError):
-        require_unique(df, ["id"])
-    assert require_unique(df.distinct(), ["id"]).count() == 2
+        require_key(df, ["id"])
+    assert require_key(df.distinct(), ["id"]).count() == 2
 
 
 def test_holiday_payload_shapes(spark, tmp_path):

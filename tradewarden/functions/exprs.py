@@ -20,6 +20,16 @@ def exact(col: Column, scale: int = 8) -> Column:
     return col.cast(f"decimal({20 + scale},{scale})")
 
 
+def times_units(units: Column, price: Column, digits: int) -> Column:
+    """units * price, rounded once, for any long and any price of up to 18 digits before and 18 after the point; NULL for a
+    product of more than 34 digits. The product with the whole part of the price is a whole number, so only the product
+    with the fraction needs rounding."""
+    whole = F.floor(price).cast("decimal(18,0)")
+    quantity = units.cast("decimal(19,0)")
+    part = F.round(quantity * (price - whole).cast("decimal(18,18)"), digits)
+    return (quantity * whole).try_cast("decimal(34,0)") + part.cast(f"decimal({20 + digits},{digits})")
+
+
 def rounded(col: Column, digits: int) -> Column:
     """Half-up rounding of a double, with a fixed scale."""
     return F.round(exact(col, max(8, digits + 6)), digits)

@@ -73,12 +73,14 @@ def _position(size: Column, p: float) -> Column:
 
 def _at(cond: Column, value: str, start: Column, n: Column, k: Column) -> Column:
     """The value whose run [start, start + n) of equal rows holds row k."""
-    return F.max(F.when(cond & (start <= k) & (k < start + n), F.col(value).cast("double")))
+    return F.max(F.when(cond & (start <= k) & (k < start + n), F.col(value)))
 
 
 def _interpolated(out: str, p: float) -> Column:
+    """The weighted mean of the two neighbours, as the built-in aggregate forms it, to the last bit."""
     lo, hi, pos = F.col(f"_{out}_lo"), F.col(f"_{out}_hi"), _position(F.col("_size"), p)
-    return (lo + (hi - lo) * (pos - F.floor(pos))).alias(out)
+    mean = (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi
+    return F.when((lo == hi) | (F.ceil(pos) == F.floor(pos)), lo).otherwise(mean).alias(out)
 
 
 def _sliced_percentiles(hist: DataFrame, by: list[str], value: str, quantiles: Mapping[str, float],
@@ -86,7 +88,7 @@ def _sliced_percentiles(hist: DataFrame, by: list[str], value: str, quantiles: M
     """Percentiles of a (by, value) -> _n histogram, read off its running total."""
     run = running_total(hist, [value], {"_start": "_n"}, by)
     size = F.col("_start_total")
-    picks = [_at(F.lit(True), value, F.col("_start"), F.col("_n"), side(_position(size, p))).alias(f"_{out}_{name}")
+    picks = [_at(F.lit(True), value, F.col("_start"), F.col("_n"), side(_position(size, p))).cast("double").alias(f"_{out}_{name}")
              for out, p in quantiles.items() for name, side in (("lo", F.floor), ("hi", F.ceil))]
     kept = [F.col("_size").alias(size_as)] if size_as else []
     return (run.groupBy(*by).agg(F.max(size).alias("_size"), *picks)
@@ -119,6 +121,33 @@ def percentiles_by_group(df: DataFrame, by: Sequence[str], value: str, quantiles
         _sliced_percentiles(join_same(hist, large, by, "left_semi"), by, value, quantiles, size_as))
 
 
+def medians_by_group(df: DataFrame, by: Sequence[str], value: str, out: str, size_as: str | None = None,
+                     max_distinct: int | None = None) -> DataFrame:
+    """Exact medians of a decimal, with one digit more than the value has, and the rows per group on request.
+
+    The two middle values are read off the running count of equal values: in one window for groups with up to
+    `max_distinct` different values, over slices for larger ones."""
+    by = list(by)
+    max_distinct = MAX_DISTINCT if max_distinct is None else max_distinct
+    hist = settle(_histogram(df, by, value))
+    large = settle(hist.groupBy(*by).agg(F.count("*").alias("_d")).where(F.col("_d") > max_distinct).select(*by))
+    group = Window.partitionBy(*by)
+    before = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    small = hist if large.isEmpty() else join_same(hist, large, by, "left_anti")
+    run = small.select(*by, value, "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+                       F.sum("_n").over(group).alias("_start_total"))
+    if not large.isEmpty():
+        sliced = running_total(join_same(hist, large, by, "left_semi"), [value], {"_start": "_n"}, by)
+        run = run.unionByName(sliced.select(*run.columns))
+    size, kind = F.col("_start_total"), df.schema[value].dataType
+    middle = [_at(F.lit(True), value, F.col("_start"), F.col("_n"), F.floor((size - 1 + side) / 2)) for side in (0, 1)]
+    kept = [F.max(size).alias(size_as)] if size_as else []
+    wide = f"decimal({min(38, kind.precision + 2)},{kind.scale + 1})"
+    half = F.lit(Decimal("0.5"))
+    return run.groupBy(*by).agg(*[m.alias(f"_m{i}") for i, m in enumerate(middle)], *kept).select(
+        *by, ((F.col("_m0") + F.col("_m1")) * half).cast(wide).alias(out), *([size_as] if size_as else []))
+
+
 def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
     """Exact interpolated percentiles of few, very large groups (currencies, measures).
 
@@ -145,7 +174,7 @@ def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping
     hist = _histogram(marked.select(*by, v, F.explode(in_brackets).alias("_q")), [*by, "_q"], value)
     run = join_same(running_total(hist, [value], {"_start": "_n"}, [*by, "_q"]), F.broadcast(counts), by)
     picks = [_at(F.col("_q") == i, value, F.col("_start") + F.col(f"_below{i}"), F.col("_n"),
-                 side(_position(F.col("_size"), quantiles[out]))).alias(f"_{out}_{name}")
+                 side(_position(F.col("_size"), quantiles[out]))).cast("double").alias(f"_{out}_{name}")
              for i, out in enumerate(names) for name, side in (("lo", F.floor), ("hi", F.ceil))]
     found = settle(run.groupBy(*by).agg(F.max("_size").alias("_size"), *picks))
     missed = reduce(Column.__or__, [F.col(f"_{n}_{s}").isNull() for n in names for s in ("lo", "hi")])
@@ -170,7 +199,7 @@ def top_shares(df: DataFrame, measures: Mapping[str, str], cuts: Sequence[Decima
         F.lit(0), F.floor(F.col("_start_total") * F.lit(c)) - F.col("_start"))) for c in cuts]
     held = run.groupBy("_m").agg(F.sum(F.col("_v") * F.col("_n")).alias("_all"),
                                  *[F.sum(F.col("_v") * t.cast("long")).alias(f"_top{i}") for i, t in enumerate(taken)])
-    per_cut = F.array(*[F.struct(F.lit(c).cast("decimal(9,4)").alias("corte"), F.col(f"_top{i}").alias("top"))
+    per_cut = F.array(*[F.struct(F.lit(c).cast("decimal(20,12)").alias("corte"), F.col(f"_top{i}").alias("top"))
                         for i, c in enumerate(cuts)])
     share = pct(F.col("_r.top"), F.col("_all"))
     return (held.select("_m", "_all", F.explode(per_cut).alias("_r")).groupBy("_r.corte")

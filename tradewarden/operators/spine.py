@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-# Calendars are broadcast and read by one-partition windows; this bounds them to about a century.
-MAX_DAYS = 40_000
+# Days that are safe to ship to every executor: a century. A longer calendar is joined.
+BROADCAST_DAYS = 40_000
 
 
 def date_spine(bounds: DataFrame, start: Column, end: Column, out: str = "fecha") -> DataFrame:
-    """One row per day between two expressions over a one-row frame; a longer span is an error."""
-    too_long = F.raise_error(F.concat(F.lit(f"calendar longer than {MAX_DAYS} days: "), start.cast("string"), F.lit(" to "),
-                                      end.cast("string"))).cast("date")
-    last = F.when(F.date_diff(end, start) <= MAX_DAYS, end).otherwise(too_long)
-    return bounds.where(start <= end).select(F.explode(F.sequence(start, last, F.expr("INTERVAL 1 DAY"))).alias(out))
+    """One row per day between two expressions over a one-row frame. The date type itself bounds it to some
+    3.7 million days, whatever the number of trades."""
+    return bounds.where(start <= end).select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias(out))
+
+
+def join_days(rows: DataFrame, days: DataFrame, on: Column) -> DataFrame:
+    """Rows with their day. A calendar of up to BROADCAST_DAYS, counted first, is joined on the map side."""
+    few = days.limit(BROADCAST_DAYS + 1).count() <= BROADCAST_DAYS
+    return rows.join(F.broadcast(days) if few else days, on)
 
 
 def last_known(spine: DataFrame, quotes: DataFrame, on: str, out: str) -> DataFrame:

@@ -28,9 +28,9 @@ REASONS = {
     "f_precio_fuera_mercado": "Precio fuera de mercado",
     "f_cambio_brusco": "Cambio brusco feb-mar",
     "f_sin_historial_monto_alto": "Sin historial en enero + monto alto",
-    "f_actividad_alta": "Actividad top 0,1%",
-    "f_operacion_extrema": "Operación >= p99,9 (info)",
-    "f_horario_atipico": "Horario atípico (z>=3)",
+    "f_actividad_alta": "Actividad top {top}%",
+    "f_operacion_extrema": "Operación >= p{quantile} (info)",
+    "f_horario_atipico": "Horario atípico (z>={z})",
 }
 
 # Instrument text rules, tried in this order.
@@ -91,3 +91,14 @@ class Params:
         Decimal(x) for x in ("0.1", "1", "5", "10", "20", "50")))
     # entries per part of a client's nested off-market list
     detail_chunk: int = 1000
+    # characters kept of an error in the call log, and of its detail in the report
+    error_detail: int = 300
+    report_detail: int = 70
+
+    def reasons(self) -> dict[str, str]:
+        """The text of each flag, with the limits in force."""
+        def number(x: Decimal) -> str:
+            return f"{x.normalize():f}".replace(".", ",")
+        quantile = Decimal(str(self.activity_quantile)) * 100
+        return {flag: text.format(top=number(100 - quantile), quantile=number(quantile), z=number(Decimal(str(self.p2_z))))
+                for flag, text in REASONS.items()}

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tradewarden.functions.exprs import count_where, exact, ratio
 from tradewarden.operators.joins import keyed_join
-from tradewarden.operators.ranking import percentiles_by_group, running_total
+from tradewarden.operators.ranking import medians_by_group, running_total
 from tradewarden.params import BUY, LEVEL_HIGH, LEVEL_MEDIUM, SELL, Params
 from tradewarden.plans.explore import n_ops
 
@@ -55,11 +55,11 @@ def same_day_round_trips(ops: DataFrame) -> DataFrame:
 
 
 def client_dates_median(ops: DataFrame) -> DataFrame:
-    """First and last day, median amount; the median is a double and rounds half to even."""
+    """First and last day, median amount; the median is exact and rounds half to even."""
     dates = ops.groupBy("id_cliente").agg(F.min("dia_art").alias("primera"), F.max("dia_art").alias("ultima"))
-    median = percentiles_by_group(ops, ["id_cliente"], "monto_ars", {"mediana": 0.5})
+    median = medians_by_group(ops, ["id_cliente"], "monto_ars", "mediana")
     return dates.join(median, "id_cliente").select(
-        "id_cliente", "primera", "ultima", half_even(F.col("mediana")).alias("monto_mediano_op_ars"))
+        "id_cliente", "primera", "ultima", F.bround("mediana", 0).cast("decimal(38,0)").alias("monto_mediano_op_ars"))
 
 
 def half_even(value: Column) -> Column:
@@ -96,17 +96,24 @@ def profile_extras(ops: DataFrame) -> DataFrame:
 
 
 def case_fields(risk: DataFrame, ops: DataFrame, p4: DataFrame, population: DataFrame, p: Params) -> DataFrame:
-    """One row per flagged client with the 26 fields of its case file, nested ones as structs, and
-    last the exact amount, which only orders the files."""
+    """A row per flagged client with the 26 fields of its case file, nested ones as structs, and
+    last the exact amount, which only orders the files.
+
+    A client whose off-market trades fill several parts has a row per part: `parte` of `partes`, the first with the whole
+    profile and the others with the rest of the list. Both are NULL for all other clients."""
     pop = population.select(F.struct(
         F.col("prom_ops").cast("decimal(20,1)").alias("promedio_operaciones_por_cliente"),
         F.col("mediana_monto").alias("mediana_monto_total_por_cliente_ars"))).scalar()
-    first_part = p4_detail_nested(p4, p).where(F.col("parte") == 0).drop("parte")
+    # A client has one part for each `detail_chunk` trades.
+    parts = F.ceil(F.col("ops_precio_fuera") / p.detail_chunk).cast("int")
+    detail = p4_detail_nested(p4, p).join(risk.select(
+        "id_cliente", "nivel_riesgo", "score", "monto_ars", F.when(parts > 1, parts).alias("partes")), "id_cliente")
+    first_part = detail.where(F.col("parte") == 0).select("id_cliente", "detalle", "partes")
     rows = risk
     for side in (ops_by_channel(ops), top5_instruments(ops), same_day_round_trips(ops), client_dates_median(ops), first_part):
         rows = rows.join(side, "id_cliente", "left")
     zero = F.lit(0)
-    return rows.select(
+    profiles = rows.select(
         "id_cliente", "nivel_riesgo", "score", F.col("motivos").alias("reglas_disparadas"), "canal_principal",
         F.col("ops_por_canal").alias("operaciones_por_canal"), F.col("ops").alias("operaciones_total"),
         F.struct(F.col("ops_ene").alias("enero"), F.col("ops_feb").alias("febrero"),
@@ -124,7 +131,10 @@ def case_fields(risk: DataFrame, ops: DataFrame, p4: DataFrame, population: Data
         F.nullif(F.col("ops_precio_fuera"), zero).alias("operaciones_precio_fuera_de_mercado"),
         F.col("detalle").alias("detalle_precio_fuera_de_mercado"),
         _whole(F.nullif(F.col("diferencia_valor_ars"), zero.cast("decimal(38,2)"))).alias("diferencia_valor_vs_mercado_ars"),
-        pop.alias("referencia_poblacion"), "monto_ars")
+        pop.alias("referencia_poblacion"), F.when(F.col("partes").isNotNull(), F.lit(0)).alias("parte"), "partes", "monto_ars")
+    further = detail.where(F.col("parte") > 0).select(
+        "id_cliente", "nivel_riesgo", "score", F.col("detalle").alias("detalle_precio_fuera_de_mercado"), "parte", "partes", "monto_ars")
+    return profiles.unionByName(further, allowMissingColumns=True)
 
 
 def level_order() -> Column:
@@ -132,9 +142,9 @@ def level_order() -> Column:
 
 
 def client_profile_json(cases: DataFrame) -> DataFrame:
-    """One JSON document per client, empty fields left out, in review order."""
+    """One JSON document per client and part, empty fields left out, in review order."""
     document = F.to_json(F.struct(*[c for c in cases.columns if c != "monto_ars"]))
-    return (cases.orderBy(level_order(), F.desc("score"), F.desc("monto_ars"), "id_cliente")
+    return (cases.orderBy(level_order(), F.desc("score"), F.desc("monto_ars"), "id_cliente", F.col("parte").asc_nulls_first())
             .select("id_cliente", "nivel_riesgo", "score", document.alias("perfil")))
 
 
@@ -153,6 +163,12 @@ def list_clients(clients: DataFrame, level: str | None = None, rule: str | None
             .orderBy(F.desc("score_riesgo"), "id_cliente"))
 
 
+def lookup_case(risk: DataFrame, flagged: DataFrame, p4: DataFrame, population: DataFrame, p: Params, client: Column) -> DataFrame:
+    """The case file of one client, built from that client's rows alone."""
+    only = [df.where(F.col("id_cliente") == client) for df in (risk, flagged, p4)]
+    return case_fields(*only, population, p)
+
+
 def daily_job(documents: DataFrame, min_score: int = 2) -> DataFrame:
     """The documents the daily job hands on."""
     return documents.where(F.col("score") >= min_score)

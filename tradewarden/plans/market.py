@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tradewarden.functions.exprs import RATE, count_where, day_type, hour_band, iso_weekday, millions, pct, ratio, rounded
 from tradewarden.operators.ranking import percentiles_by_group
-from tradewarden.operators.spine import date_spine, last_known
+from tradewarden.operators.spine import date_spine, join_days, last_known
 from tradewarden.params import ARS, FX_IMPLIED_LABEL, USD, Params
 from tradewarden.plans.explore import n_ops, share_of_all
 
 
-def api_log_report(log: DataFrame) -> DataFrame:
+def api_log_report(log: DataFrame, p: Params = Params()) -> DataFrame:
     return (log.orderBy("ts_utc", "api", "url")
-            .select("api", "estado", "filas", F.substring("detalle", 1, 70).alias("detalle")))
+            .select("api", "estado", "filas", F.substring("detalle", 1, p.report_detail).alias("detalle")))
 
 
 def _day_bounds(trades: DataFrame) -> DataFrame:
@@ -97,10 +97,10 @@ def rated_days(fx: DataFrame, calendar: DataFrame) -> DataFrame:
 def enriched_trades(trades: DataFrame, days: DataFrame) -> DataFrame:
     """Trades with rate, amount in ARS, day type, hour band and month.
 
-    `days` has one row per calendar day and its spine is bounded, so this is a map-side join of the
-    trades: they need no shuffle and no second copy on disk. Trades on days without a rate row are
+    `days` has one row per calendar day, so this is a map-side join of the trades unless the calendar is
+    very long: they need no shuffle and no second copy on disk. Trades on days without a rate row are
     dropped, see dropped_trades."""
-    joined = trades.join(F.broadcast(days), trades["dia_art"] == days["fecha"])
+    joined = join_days(trades, days, trades["dia_art"] == days["fecha"])
     in_ars = F.when(F.col("moneda") == USD, F.round(F.col("monto") * F.col("tc_ars_por_usd"), 2)) \
         .otherwise(F.col("monto"))
     return joined.select(

@@ -69,24 +69,27 @@ def volume_by_level(clients: DataFrame) -> DataFrame:
             .orderBy("orden_nivel"))
 
 
-def trades_by_day(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("fecha", "tipo_dia").agg(_operations()).orderBy("fecha", "tipo_dia")
+# The visuals below count trades and need none of the fact's marks, so they read the enriched trades: the fact's join with
+# the reference prices would shuffle all trades for nothing.
 
+def trades_by_day(enriched: DataFrame) -> DataFrame:
+    return (enriched.groupBy(F.col("dia_art").alias("fecha"), "tipo_dia").agg(_operations()).orderBy("fecha", "tipo_dia"))
 
-def trades_by_channel(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("canal").agg(_operations()).orderBy(F.desc("operaciones"), "canal")
 
+def trades_by_channel(enriched: DataFrame) -> DataFrame:
+    return enriched.groupBy(F.col("origen").alias("canal")).agg(_operations()).orderBy(F.desc("operaciones"), "canal")
 
-def hour_weekday_heatmap(facts: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Hours as rows, weekdays as columns. The calendar has one row per day."""
-    days = F.broadcast(calendar.select("fecha", "dia_semana"))
-    return (facts.join(days, "fecha").groupBy("hora_art").pivot("dia_semana", list(WEEKDAYS))
-            .agg(F.count(F.lit(1))).orderBy("hora_art"))
 
+def hour_weekday_heatmap(enriched: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Hours as rows, weekdays as columns. Trades are counted per day and hour before they meet the calendar."""
+    cells = enriched.groupBy(F.col("dia_art").alias("fecha"), "hora_art").agg(F.count("*").alias("n"))
+    return (cells.join(calendar.select("fecha", "dia_semana"), "fecha").groupBy("hora_art")
+            .pivot("dia_semana", list(WEEKDAYS)).agg(F.sum("n")).orderBy("hora_art"))
 
-def bands_within_channel(facts: DataFrame) -> DataFrame:
+
+def bands_within_channel(enriched: DataFrame) -> DataFrame:
     """Hour bands as shares of their channel; the window runs over a few cells per channel."""
-    cells = facts.groupBy("canal", "franja_horaria").agg(_operations())
+    cells = enriched.groupBy(F.col("origen").alias("canal"), "franja_horaria").agg(_operations())
     return cells.withColumn("pct", pct(F.col("operaciones"), F.sum("operaciones").over(Window.partitionBy("canal"))))
 
 
@@ -111,7 +114,7 @@ def review_table(clients: DataFrame, levels: tuple[str, ...] = (LEVEL_HIGH, LEVE
     if channels is not None:
         rows = rows.where(F.col("canal_principal").isin(*channels))
     return (rows.select("id_cliente", "nivel_riesgo", "score_riesgo", "motivos", "canal_principal", "ops",
-                        F.round("monto_ars", 2).alias("monto_ars"))
+                        F.round("monto_ars", 2).alias("monto_ars"), "ops_ene", "ops_feb", "ops_mar")
             .orderBy(F.desc("score_riesgo"), F.desc("monto_ars"), "id_cliente"))
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewarden.functions.exprs import (
-    RATE, binomial_z, count_where, exact, is_option, millions, pct, ratio, sum_where)
+    RATE, binomial_z, count_where, exact, is_option, millions, pct, ratio, sum_where, times_units)
 from tradewarden.operators.joins import keyed_join
-from tradewarden.operators.ranking import percentiles_by_group, running_total
+from tradewarden.operators.ranking import medians_by_group, running_total
 from tradewarden.params import (
     BAND_MARKET, CHANGE_ABRUPT, CHANGE_NO_HISTORY, OPTION_TICKER, USD, Params)
 from tradewarden.plans.explore import n_ops, share_of_all
@@ -70,8 +70,11 @@ def p1_channel_lift(enriched: DataFrame, p1: DataFrame) -> DataFrame:
 
 
 def p1_instruments(enriched: DataFrame, p1: DataFrame, k: int = 10) -> DataFrame:
-    cells = enriched.groupBy("id_cliente", "simbolo_titulo", "descripcion_titulo").agg(n_ops(), F.sum("monto_ars").alias("m"))
-    return (cells.join(p1.select("id_cliente"), "id_cliente", "left_semi").groupBy("simbolo_titulo")
+    """Instruments of the clients with high activity. These are the hottest clients there are, so their trades are picked
+    by the join that splits hot keys, and then cut to cells on the map side."""
+    trades = keyed_join(enriched, p1.select("id_cliente", "ops"), ["id_cliente"], "ops", "id_transaccion", "left_semi")
+    cells = trades.groupBy("id_cliente", "simbolo_titulo", "descripcion_titulo").agg(n_ops(), F.sum("monto_ars").alias("m"))
+    return (cells.groupBy("simbolo_titulo")
             .agg(F.min("descripcion_titulo").alias("descripcion"), F.sum("ops").alias("ops"),
                  F.countDistinct("id_cliente").alias("clientes_top01"), F.sum("m").alias("m"))
             .orderBy(F.desc("m"), "simbolo_titulo").limit(k)
@@ -224,12 +227,11 @@ def p3_top_amount(p3: DataFrame, k: int = 15) -> DataFrame:
 
 def reference_prices(enriched: DataFrame, p: Params) -> DataFrame:
     """Median price and trade count per (symbol, day) with enough trades. Option tickers are never
-    judged, so they are left out before the shuffle. Prices have six decimals, so a median has at
-    most seven and the cast recovers it exactly."""
-    medians = percentiles_by_group(enriched.where(~F.col("simbolo_titulo").rlike(OPTION_TICKER)),
-                                   ["simbolo_titulo", "dia_art"], "precio", {"mediana": 0.5}, size_as="ops_referencia")
+    judged, so they are left out before the shuffle. Prices have six decimals, their medians seven."""
+    medians = medians_by_group(enriched.where(~F.col("simbolo_titulo").rlike(OPTION_TICKER)),
+                               ["simbolo_titulo", "dia_art"], "precio", "mediana", size_as="ops_referencia")
     return (medians.where(F.col("ops_referencia") >= p.p4_min_refs)
-            .select("simbolo_titulo", "dia_art", exact(F.col("mediana"), 7).alias("mediana"), "ops_referencia"))
+            .select("simbolo_titulo", "dia_art", "mediana", "ops_referencia"))
 
 
 def off_market(p: Params) -> Column:
@@ -239,17 +241,13 @@ def off_market(p: Params) -> Column:
 
 
 def price_ratio() -> Column:
-    return F.round(F.col("precio") / F.col("mediana").cast("decimal(20,7)"), 4)
+    return F.round(F.col("precio") / F.col("mediana"), 4)
 
 
 def market_value() -> Column:
-    """Quantity at the day's median, in ARS, rounded once. Factors of the usual size multiply exactly in
-    38 digits; larger ones use the widest types, where Spark cuts the product to six decimals first."""
+    """Quantity at the day's median, in ARS, rounded once."""
     rate = F.when(F.col("moneda") == USD, F.col("tc_ars_por_usd")).otherwise(F.lit(1).cast(RATE))
-    quantity, median = F.col("cantidad"), F.col("mediana")
-    usual = quantity.try_cast("decimal(11,0)") * median.try_cast("decimal(16,7)") * rate.try_cast("decimal(9,4)")
-    wide = quantity.cast("decimal(19,0)") * median * rate
-    return F.coalesce(F.round(usual, 2), F.round(wide, 2))
+    return times_units(F.col("cantidad"), (F.col("mediana") * rate).cast("decimal(33,11)"), 2)
 
 
 def p4_off_market_price(enriched: DataFrame, references: DataFrame, p: Params) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewarden.operators.controls import row_counts
+from tradewarden.operators.controls import key_report, require_key, row_counts
 from tradewarden.params import Params
 from tradewarden.plans import casefile, market, patterns, profile, score, star
 from tradewarden.sources import external, raw, sinks
@@ -32,17 +32,28 @@ class Pipeline:
     def _stored(self, name: str, build: Callable[[], DataFrame] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
         return self.store.get(name, build or self._sources[name], by)
 
+    def _keyed(self, name: str, key: str, by: tuple[str, ...] = ()) -> DataFrame:
+        """A stored source table, refused if its key repeats: a repeated day or trade would multiply trades."""
+        return require_key(self._stored(name, by=by), [key], name)
+
     @cached_property
     def trades(self) -> DataFrame:
-        return self._stored("operaciones", by=self._trades_by)
+        return self._keyed("operaciones", "id_transaccion", self._trades_by)
 
     @cached_property
     def holidays(self) -> DataFrame:
-        return self._stored("feriados")
+        return self._keyed("feriados", "fecha")
 
     @cached_property
     def quotes(self) -> DataFrame:
-        return self._stored("tipo_cambio_api")
+        return self._keyed("tipo_cambio_api", "fecha")
+
+    def key_report(self) -> DataFrame:
+        return key_report({
+            "operaciones": (self.trades, ["id_transaccion"]), "feriados": (self.holidays, ["fecha"]),
+            "tipo_cambio_api": (self.quotes, ["fecha"]), "calendario": (self.calendar, ["fecha"]),
+            "tipo_cambio_diario": (self.fx, ["fecha"]), "operaciones_enriquecidas": (self.enriched, ["id_transaccion"]),
+            "perfil_cliente": (self.profile, ["id_cliente"]), "clientes_riesgo": (self.risk, ["id_cliente"])})
 
     @cached_property
     def api_log(self) -> DataFrame:
@@ -139,7 +150,8 @@ class Pipeline:
 
     @cached_property
     def cases(self) -> DataFrame:
-        return casefile.case_fields(self.risk, self.flagged, self.p4, self.population, self.params)
+        return self._stored("perfiles", lambda: casefile.case_fields(
+            self.risk, self.flagged, self.p4, self.population, self.params))
 
     def views(self) -> dict[str, DataFrame]:
         found = {"vw_fact_operaciones": self.facts, "vw_dim_cliente": self.clients,
@@ -152,7 +164,8 @@ class Pipeline:
         sinks.register_views(self.views())
 
     def view_counts(self) -> DataFrame:
-        return row_counts(self.views(), "vista")
+        """Rows per view. The marks that the fact adds don't change its number of rows, so it is counted without them."""
+        return row_counts(self.views() | {"vw_fact_operaciones": self.enriched}, "vista")
 
     def exports(self) -> dict[str, DataFrame]:
         tables = {

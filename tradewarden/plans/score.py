@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewarden.functions.exprs import binomial_z, millions, pct
 from tradewarden.params import (
-    CHANGE_ABRUPT, CHANGE_NO_HISTORY, LEVEL_HIGH, LEVEL_LOW, LEVEL_MEDIUM, REASONS, WEIGHTS, Params)
+    CHANGE_ABRUPT, CHANGE_NO_HISTORY, LEVEL_HIGH, LEVEL_LOW, LEVEL_MEDIUM, WEIGHTS, Params)
 from tradewarden.plans.patterns import behaviour_columns, extreme, heavy, often, value_gap
 from tradewarden.plans.profile import limit
 
@@ -47,7 +47,7 @@ def risk_score(profile: DataFrame, limits: DataFrame, days: DataFrame, p4: DataF
                                    & (unusual("ops_madrugada", "base_madrugada") | unusual("ops_dia_inhabil", "base_inhabil"))),
     })
     score = reduce(add, [F.col(f).cast("int") * w for f, w in WEIGHTS.items()])
-    reasons = F.concat_ws(" | ", *[F.when(F.col(f), text) for f, text in REASONS.items()])
+    reasons = F.concat_ws(" | ", *[F.when(F.col(f), text) for f, text in p.reasons().items()])
     money = [F.round(c, 2).alias(c) for c in ("monto_ars", "max_monto_op_ars", "monto_ene", "monto_feb_mar")]
     total, largest, base, after = money
     return (flagged.where(reduce(lambda a, b: a | b, [F.col(f) for f in FLAGS]))

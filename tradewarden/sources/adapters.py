@@ -96,10 +96,13 @@ def line_trades(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
         F.lpad(F.pmod("l_orderkey", F.lit(2)) * 10, 3, "0").alias("ms_flag"))
 
 
-def raw_text_trades(trades: DataFrame) -> DataFrame:
-    """The same trades as the ten text columns of a trade file."""
+def raw_text_trades(trades: DataFrame, local: Column | None = None) -> DataFrame:
+    """The same trades as the ten text columns of a trade file, times in UTC or, where `local` holds, three hours behind."""
+    def written(col: str, zone: str) -> Column:
+        return F.concat(F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), "ms_flag", F.lit(zone))
+    utc = written("fecha_utc", "Z")
     return trades.select(
-        F.concat(F.date_format("fecha_utc", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), "ms_flag", F.lit("Z")).alias("fecha"),
+        (utc if local is None else F.when(local, written("fecha_art", "-03:00")).otherwise(utc)).alias("fecha"),
         F.col("tipo_tran").alias("tipoTran"), "id_cliente", "descripcion_titulo", "moneda", "simbolo_titulo",
         F.col("cantidad").cast("string").alias("cantidad"), F.col("precio").cast("string").alias("precio"),
         "id_transaccion", "origen")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,35 +30,35 @@ class EmptyPayload(ValueError):
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV with header and declared types."""
-    return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    """A CSV with header and declared types, quotes inside a field doubled."""
+    return (spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST")
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss'Z'").csv(path))
 
 
-def read_json_items(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The objects of a JSON array file (or of JSON lines)."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_json_items(spark: SparkSession, path: str, schema: T.StructType, lines: bool = False) -> DataFrame:
+    """The objects of files that hold one JSON array each or, with `lines`, one object per line."""
+    return not_empty(spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST").json(path))
 
 
 def parse_holidays(items: DataFrame, year: int) -> DataFrame:
-    """(fecha, nombre, tipo) from either payload shape."""
+    """(fecha, nombre, tipo) from either payload shape; a payload without a day is an error."""
     dated = F.col("fecha").isNotNull()
-    return items.select(
+    return not_empty(items.select(
         F.when(dated, F.to_date("fecha")).otherwise(F.make_date(F.lit(year), "mes", "dia")).alias("fecha"),
         F.coalesce(F.when(dated, F.col("nombre")).otherwise(F.col("motivo")), F.lit("")).alias("nombre"),
-        F.coalesce("tipo", F.lit("")).alias("tipo")).orderBy("fecha")
+        F.coalesce("tipo", F.lit("")).alias("tipo")).where(F.col("fecha").isNotNull())).orderBy("fecha")
 
 
 def parse_quotes(items: DataFrame, start: date, end: date) -> DataFrame:
-    """(fecha, compra, venta) of the period."""
+    """(fecha, compra, venta) of the period; a payload without a quote in it is an error."""
     day = F.to_date("fecha")
-    return (items.where(day.between(F.lit(start), F.lit(end)))
-            .select(day.alias("fecha"), "compra", "venta").orderBy("fecha"))
+    return not_empty(items.where(day.between(F.lit(start), F.lit(end)))
+                     .select(day.alias("fecha"), "compra", "venta")).orderBy("fecha")
 
 
 def not_empty(df: DataFrame) -> DataFrame:
     if df.isEmpty():
-        raise EmptyPayload("respuesta vacía")
+        raise EmptyPayload("the source has no rows")
     return df
 
 
@@ -69,28 +70,51 @@ class Source:
     url: str
     load: Callable[[], DataFrame]
     fallback: bool = False
+    detail: str = ""
+
+
+# Conditions that say that a landed file is broken; anything else, a lost executor for one, is not the source's fault.
+BROKEN = ("MALFORMED_RECORD_IN_PARSING", "FAILED_READ_FILE", "CAST_INVALID_INPUT", "CANNOT_PARSE", "INVALID_JSON", "UNABLE_TO_INFER_SCHEMA",
+          "PATH_NOT_FOUND", "PARSE_DATETIME", "CANNOT_READ_FILE")
+
+
+def _of_source(error: Exception) -> bool:
+    """Whether a source is missing, empty or unreadable."""
+    if isinstance(error, (EmptyPayload, FileNotFoundError)):
+        return True
+    if not isinstance(error, PySparkException):
+        return False
+    return any(c in f"{error.getCondition()} {error}" for c in BROKEN)
 
 
 def first_available(spark: SparkSession, sources: Sequence[Source], label: str | None = None,
-                    none_left: tuple[str, str, str] | None = None) -> tuple[DataFrame | None, DataFrame]:
-    """The first source that loads with rows, stamped with `fuente`, and the log of all attempts.
-    When none does, the result is None and `none_left` (api, url, detalle) is logged as the fallback.
+                    none_left: tuple[str, str, str] | None = None, error_detail: int = 300,
+                    ) -> tuple[DataFrame | None, DataFrame]:
+    """The first source that loads with rows, stamped with `fuente`, and the log of all attempts, each with its own time.
+    When none does, the result is None and `none_left` (api, url, detalle) is logged as the fallback. Only a source that is
+    missing, empty or unreadable is passed over; any other failure is raised.
 
     These are tables of a few hundred days; the attempts are a handful of driver-side decisions."""
     attempts, chosen = [], None
+
+    def log(api: str, url: str, state: str, rows: int, detail: str) -> None:
+        attempts.append((datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"), api, url, state, rows, detail[:error_detail]))
     for source in sources:
         try:
-            rows = not_empty(source.load())
+            rows = source.load()
             n = rows.count()
-        except Exception as error:  # a missing or broken landing file only moves on to the next source
-            attempts.append((source.api, source.url, "ERROR", 0, f"{type(error).__name__}: {error}"[:300]))
+            if not n:
+                raise EmptyPayload("the source has no rows")
+        except Exception as error:
+            if not _of_source(error):
+                raise
+            log(source.api, source.url, "ERROR", 0, f"{type(error).__name__}: {error}")
             continue
-        attempts.append((source.api, source.url, "FALLBACK" if source.fallback else "OK", n, ""))
+        log(source.api, source.url, "FALLBACK" if source.fallback else "OK", n, source.detail)
         chosen = rows.withColumn("fuente", F.lit(label or source.api))
         break
     if chosen is None and none_left:
         api, url, detail = none_left
-        attempts.append((api, url, "FALLBACK", 0, detail))
-    log = (spark.createDataFrame(attempts, "api string, url string, estado string, filas int, detalle string")
-           .select(F.to_timestamp_ntz(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).alias("ts_utc"), "*"))
-    return chosen, log
+        log(api, url, "FALLBACK", 0, detail)
+    log_rows = spark.createDataFrame(attempts, "ts string, api string, url string, estado string, filas int, detalle string")
+    return chosen, log_rows.select(F.to_timestamp_ntz("ts").alias("ts_utc"), "api", "url", "estado", "filas", "detalle")
