@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewarden.sources.storage import shared_dir
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers must find this package wherever the driver was started.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
