@@ -28,13 +28,18 @@ class Pipeline:
         self._sources = {"operaciones": trades, "feriados": holidays, "tipo_cambio_api": quotes}
         self._log, self._trades_by = log, trades_by
         self.store = TableStore(spark, root)
+        self._checked: set[str] = set()
 
     def _stored(self, name: str, build: Callable[[], DataFrame] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
         return self.store.get(name, build or self._sources[name], by)
 
     def _keyed(self, name: str, key: str, by: tuple[str, ...] = ()) -> DataFrame:
         """A stored source table, refused if its key repeats: a repeated day or trade would multiply trades."""
-        return require_key(self._stored(name, by=by), [key], name)
+        table = self._stored(name, by=by)
+        if name not in self._checked:
+            require_key(table, [key], name)
+            self._checked.add(name)
+        return table
 
     @cached_property
     def trades(self) -> DataFrame:
@@ -48,6 +53,11 @@ class Pipeline:
     def quotes(self) -> DataFrame:
         return self._keyed("tipo_cambio_api", "fecha")
 
+    def forget(self) -> None:
+        """Drop the frames built so far; stored tables stay and are read again."""
+        for name in [n for n, v in vars(self).items() if isinstance(v, DataFrame)]:
+            del self.__dict__[name]
+
     def key_report(self) -> DataFrame:
         return key_report({
             "operaciones": (self.trades, ["id_transaccion"]), "feriados": (self.holidays, ["fecha"]),

@@ -85,9 +85,10 @@ def thresholds(profile: DataFrame, enriched: DataFrame, p: Params) -> DataFrame:
     def of(measure: str, mark: str) -> Column:
         return F.max(F.when(F.col("medida") == measure, F.col(mark)))
 
-    base = enriched.agg(F.struct(
-        (count_where(at_night()) / F.count("*")).alias("night"),
-        (count_where(off_business()) / F.count("*")).alias("off")).alias("r")).scalar()
+    # A client's profile has its counts already; the trades are not read again for them.
+    base = profile.agg(F.struct(
+        (F.sum("ops_madrugada") / F.sum("ops")).alias("night"),
+        (F.sum("ops_dia_inhabil") / F.sum("ops")).alias("off")).alias("r")).scalar()
     return marks.agg(
         of("ops", "alto").alias("p999_ops"), of("cliente", "alto").alias("p999_monto_cliente"),
         of("ops", "p50").alias("p50_ops"), of("cliente", "p50").alias("p50_monto_cliente"),
