@@ -16,7 +16,7 @@ from tradewarden.operators import ranking, spine
 from tradewarden.operators.controls import KeyViolation
 from tradewarden.params import Params
 from tradewarden.plans import casefile
-from tradewarden.plans.pipeline import Pipeline
+from tradewarden.plans.pipeline import Pipeline, from_sources
 from tradewarden.sources import external, raw, sinks
 
 DAYS = "fecha date, nombre string, tipo string, fuente string"
@@ -120,3 +120,29 @@ def test_sources_that_fail_for_another_reason_are_not_passed_over(spark):
     chosen, log = external.first_available(spark, [missing], none_left=("b", "-", "the implied rate is used"))
     assert chosen is None and [(r["estado"], r["api"]) for r in log.collect()] == [("ERROR", "a"), ("FALLBACK", "b")]
     assert len({r["ts_utc"] for r in log.collect()}) == 2
+
+
+def test_pipeline_over_ordered_sources(spark, tmp_path):
+    fast = [{"simbolo_titulo": t, "moneda": m, "precio": q} for t, m, q in (("AL30", "ARS", "1000"), ("AL30D", "USD", "1")) for _ in range(5)]
+    text = [{"fecha": "2026-01-05T15:00:00.000Z", "tipoTran": "Compra", "id_cliente": "C", "descripcion_titulo": "Bono", "cantidad": "1",
+             "origen": "API", "id_transaccion": f"t{i}", **r} for i, r in enumerate(fast)]
+    rows = spark.createDataFrame([tuple(r[c] for c in raw.RAW_COLUMNS) for r in text], raw.RAW_SCHEMA)
+    sinks.write_csv(rows, str(tmp_path / "trades"))
+    (tmp_path / "days.json").write_text('[{"dia": 6, "mes": 1, "motivo": "x", "tipo": "t"}]')
+    (tmp_path / "none.json").write_text("[]")
+
+    def days(name):
+        return lambda: external.parse_holidays(external.read_json_items(spark, str(tmp_path / name), external.HOLIDAY_PAYLOAD), 2026)
+
+    def rates():
+        items = external.read_json_items(spark, str(tmp_path / "none.json"), external.QUOTE_PAYLOAD)
+        return external.parse_quotes(items, date(2026, 1, 1), date(2026, 2, 1))
+    p = from_sources(spark, str(tmp_path / "trades"),
+                     [external.Source("first", "none.json", days("none.json")), external.Source("second", "days.json", days("days.json"), fallback=True)],
+                     [external.Source("rates", "none.json", rates)], root=str(tmp_path / "store"))
+    assert {r["fuente_tc"] for r in p.fx.collect()} == {"MEP implícito dataset (AL30/AL30D)"} and p.enriched.count() == 10
+    assert [r["feriado"] for r in p.calendar.where("feriado is not null").collect()] == ["x"]
+    assert [(r["api"], r["estado"], r["filas"]) for r in p.api_log.orderBy("ts_utc").collect()] == [
+        ("first", "ERROR", 0), ("second", "FALLBACK", 1), ("rates", "ERROR", 0), ("rates", "FALLBACK", 0)]
+    with pytest.raises(external.EmptyPayload):
+        from_sources(spark, str(tmp_path / "trades"), [], []).holidays

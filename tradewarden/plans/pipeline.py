@@ -6,8 +6,8 @@ the enriched trades stay a view, because adding the rate and the calendar is a m
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import cached_property
+from collections.abc import Callable, Sequence
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -212,5 +212,34 @@ def from_files(spark: SparkSession, trades_csv: str, holidays_csv: str, quotes_c
         lambda: external.read_csv(spark, log_csv, external.LOG_SCHEMA), params, root, trades_by)
 
 
+def from_sources(spark: SparkSession, trades_csv: str, holidays: Sequence[external.Source], quotes: Sequence[external.Source],
+                 params: Params = Params(), root: str | None = None, trades_by: tuple[str, ...] = ("dia_art",)) -> Pipeline:
+    """The pipeline over a trade file and external data that may have landed in several places: of holidays and quotes the
+    first source that loads is taken, and every attempt is in the call log. Without any quotes the implied rate is used;
+    without any holidays the run stops."""
+    @cache
+    def found_holidays() -> tuple[DataFrame | None, DataFrame]:
+        return external.first_available(spark, holidays, error_detail=params.error_detail)
+
+    @cache
+    def found_quotes() -> tuple[DataFrame | None, DataFrame]:
+        nothing = (quotes[-1].api if quotes else "quotes", "-", "no quotes: the implied rate is used")
+        return external.first_available(spark, quotes, none_left=nothing, error_detail=params.error_detail)
+
+    def holiday_rows() -> DataFrame:
+        rows, log = found_holidays()
+        if rows is None:
+            raise external.EmptyPayload(f"no source has holidays: {[r['detalle'] for r in log.collect()]}")
+        return rows
+
+    def quote_rows() -> DataFrame:
+        rows, _ = found_quotes()
+        return spark.createDataFrame([], external.QUOTE_SCHEMA) if rows is None else rows
+
+    return Pipeline(
+        spark, lambda: raw.type_trades(raw.read_trade_file(spark, trades_csv), params.local_zone), holiday_rows, quote_rows,
+        lambda: found_holidays()[1].unionByName(found_quotes()[1]), params, root, trades_by)
+
+
 def load_control(raw_rows: DataFrame, typed: DataFrame) -> DataFrame:
     return row_counts({"raw": raw_rows, "tipada": typed}, "tabla")

@@ -50,13 +50,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 class TableStore:
-    """Named Parquet tables under one folder, each written on first use and then read back.
+    """Named Parquet tables under a folder of this store's own below `root`, each written on first use and then read back.
 
-    Reading back gives column pruning and filter pushdown to every later analytic."""
+    Reading back gives column pruning and filter pushdown to every later analytic. Two stores with one root never replace
+    each other's tables."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root or f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+        self.root = f"{root or shared_dir(spark)}/tables-{uuid.uuid4().hex}"
         self._ready: set[str] = set()
 
     def path(self, name: str) -> str:
