@@ -411,7 +411,8 @@ WHERE c.feriado IS NOT NULL AND c.fecha BETWEEN DATE '2024-01-01' AND DATE '2024
 WHERE id_transaccion NOT IN (SELECT id_transaccion FROM ee WHERE dia_art BETWEEN DATE '2024-01-05' AND DATE '2024-01-24')""",
     "implied_only_fx": f"SELECT fecha, {dbl('tc_ars_por_usd')} AS tc_ars_por_usd, fuente_tc, arrastrado FROM eofx",
     "pipeline_keys": " UNION ALL ".join(
-        f"SELECT '{name}' AS tabla, '{key}' AS clave, COUNT(*) AS filas, CAST(0 AS BIGINT) AS repetidas, CAST(0 AS BIGINT) AS nulas FROM {block}"
+        f"SELECT '{name}' AS tabla, '{key}' AS clave, {big('SUM(n)')} AS filas, COUNT(CASE WHEN n > 1 AND {key} IS NOT NULL THEN 1 END) AS repetidas, "
+        f"{big(f'COALESCE(SUM(CASE WHEN {key} IS NULL THEN n END), 0)')} AS nulas FROM (SELECT {key}, COUNT(*) AS n FROM {block} GROUP BY {key})"
         for name, key, block in (
             ("operaciones", "id_transaccion", "lt"), ("feriados", "fecha", "lh"), ("tipo_cambio_api", "fecha", "lq"),
             ("calendario", "fecha", "lcal"), ("tipo_cambio_diario", "fecha", "lfx"), ("operaciones_enriquecidas", "id_transaccion", "le"),

@@ -66,6 +66,7 @@ def test_no_cross_join_and_no_python_in_the_plan(spark, name):
 
 # Windows over one partition may only see a bounded list: groups with shares, slices, days, a top-k.
 ONE_PARTITION_WINDOWS = {
+    "implied_only_fx",
     "by_weekday", "by_hour", "by_day_type", "volume_by_currency_ars", "instrument_families", "by_channel", "by_currency", "by_side",
     "activity_buckets", "concentration_curve", "p1_channel_lift", "nonbusiness_concentration", "clients_export", "pareto_export",
     "top_instruments_export", "top10_by_ops", "top10_by_amount", "cumulative_share"}

@@ -23,27 +23,30 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, trades: Callable[[], DataFrame], holidays: Callable[[], DataFrame],
                  quotes: Callable[[], DataFrame], log: Callable[[], DataFrame] | None = None,
-                 params: Params = Params(), root: str | None = None, trades_by: tuple[str, ...] = ()):
-        self.spark, self.params = spark, params
+                 params: Params = Params(), root: str | None = None, trades_by: tuple[str, ...] = (), refuse_keys: bool = True):
+        """`refuse_keys`: stop at a repeated or missing key of a source table; else key_report tells."""
+        self.spark, self.params, self._refuse = spark, params, refuse_keys
         self._sources = {"operaciones": trades, "feriados": holidays, "tipo_cambio_api": quotes}
         self._log, self._trades_by = log, trades_by
         self.store = TableStore(spark, root)
         self._checked: set[str] = set()
 
-    def _stored(self, name: str, build: Callable[[], DataFrame] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
-        return self.store.get(name, build or self._sources[name], by)
+    def _stored(self, name: str, build: Callable[[], DataFrame] | None = None, by: tuple[str, ...] = (),
+                sort: tuple[str, ...] = ()) -> DataFrame:
+        return self.store.get(name, build or self._sources[name], by, sort)
 
-    def _keyed(self, name: str, key: str, by: tuple[str, ...] = ()) -> DataFrame:
-        """A stored source table, refused if its key repeats: a repeated day or trade would multiply trades."""
-        table = self._stored(name, by=by)
-        if name not in self._checked:
+    def _keyed(self, name: str, key: str, by: tuple[str, ...] = (), sort: tuple[str, ...] = ()) -> DataFrame:
+        """A stored source table, refused if its key repeats: a repeated day would multiply trades."""
+        table = self._stored(name, by=by, sort=sort)
+        if self._refuse and name not in self._checked:
             require_key(table, [key], name)
             self._checked.add(name)
         return table
 
     @cached_property
     def trades(self) -> DataFrame:
-        return self._keyed("operaciones", "id_transaccion", self._trades_by)
+        # Drill-through reads one client's trades.
+        return self._keyed("operaciones", "id_transaccion", self._trades_by, ("id_cliente",))
 
     @cached_property
     def holidays(self) -> DataFrame:
