@@ -78,7 +78,7 @@ def test_patterns_use_each_piece_once_and_pad_little():
         for n in lengths:
             used[n] = used.get(n, 0) + count
     assert used == histogram
-    assert sum(k * v for k, v in histogram.items()) >= 0.98 * 64 * sum(c for c, _ in patterns)
+    assert sum(k * v for k, v in histogram.items()) >= 0.95 * 64 * sum(c for c, _ in patterns)
 
 
 def test_pieces_as_the_library(docs, rows):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewarden.llm import embedding_dedup, lm, minhash, packing, pieces, quality, suffix_dedup, token_counts, topk, warc
 from tradewarden.llm.common import table
+from tradewarden.llm.sql import STATEMENTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,4 +62,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(STATEMENTS)
