@@ -186,11 +186,12 @@ def covered(scanned: DataFrame, span: int, shard_texts: int = SHARD_TEXTS, hot_t
     """uid, start, end: stretches of documents whose windows repeat, possibly overlapping."""
     spark = scanned.sparkSession
     flat = scanned.select("uid", F.explode("runs").alias("r")).select("uid", "r.*")
-    shared = flat.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
+    # Stored before they are joined, so that both sides of a join are shuffled and a hot name can be split.
+    shared = stored(flat.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"), "shared-names")
     flat = stored(flat.join(shared, "name"), "shared-runs")
     # Different texts of a name, with one place where each stands.
     texts = stored(flat.groupBy("name", "same").agg(F.count("*").alias("n"), F.min("uid").alias("uid")), "run-texts")
-    kinds = texts.groupBy("name").agg(F.count("*").alias("kinds"))
+    kinds = stored(texts.groupBy("name").agg(F.count("*").alias("kinds")), "name-kinds")
     whole = kinds.where("kinds = 1").select("name")
     all_of = flat.join(whole, "name").select("uid", "start", (F.col("start") + F.col("windows") + span - 1).alias("end"))
 
