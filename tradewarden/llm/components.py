@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from tradewarden.llm.common import stored
 
 
+# Each node's smallest neighbour is stored before the edges are joined with it: both sides of the join are then shuffled,
+# and adaptive execution can split the edges of a node with very many.
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -28,7 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
     many edges as the one before at most, and each round's edges are written to the shared folder."""
     edges, before = stored(edges.select("a", "b").distinct(), "edges"), None
     while True:
-        edges = stored(_small_star(_large_star(edges)), "stars")
+        edges = stored(_small_star(stored(_large_star(edges), "stars")), "stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -133,7 +133,7 @@ def _sign(size: int):
 
 def estimate(one: str, other: str):
     """Similarity by bit counts: the share of equal low bits, corrected for those equal by chance."""
-    lowest = sum(1 << i for i in range(0, 64, BITS)) - (1 << 64 if BITS == 64 else 0)
+    lowest = sum(1 << i for i in range(0, 64, BITS))
 
     def unequal(x, y):
         z = x.bitwiseXOR(y)
