@@ -45,6 +45,22 @@ def parts(spark: SparkSession, rows: int, per_part: int) -> int:
     return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
 
 
+def heaviest(rows: DataFrame, weight: str, most: int) -> DataFrame:
+    """At most `most` rows, those with the largest weights (1 or more), down to a weight class that would be too many.
+
+    Weights fall into some thousand classes by their logarithm; only the sizes of the classes reach the driver, and no
+    task sorts the rows or gathers them."""
+    kind = F.floor(F.log2(F.col(weight).cast("double")) * 16).cast("int")
+    sizes = sorted(rows.groupBy(kind.alias("k")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.k)
+    taken, least = 0, None
+    for r in sizes:
+        taken += r.n
+        if taken > most:
+            break
+        least = r.k
+    return rows.where(F.lit(False) if least is None else kind >= least)
+
+
 def text_of(col: str) -> Column:
     """A text column as string, NULL as the empty text."""
     return F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(""))
