@@ -29,12 +29,11 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the passages that repeat, here or in another; n_chars is that of the text that is left."""
-    columns = docs.columns
-    docs, uid = numbered(docs, "docs")
-    text = suffix_dedup.remove_repeats(docs, uid_col=uid, with_text=True).select(F.col("uid").alias("left_uid"), F.col("text").alias("left_text"))
-    changed = {"text": F.when(F.col("text").isNotNull(), F.col("left_text")), "n_chars": F.length("left_text").cast("long")}
-    joined = docs.join(text, F.col(uid) == F.col("left_uid"))
-    return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+    # The other columns go through the operator with their row, so that no text is stored or shuffled for a join with them.
+    row = F.struct(F.col("text").isNull().alias("missing"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"])
+    found = suffix_dedup.remove_repeats(docs, with_text=True, carry=row)
+    changed = {"text": F.when(~F.col("carried.missing"), F.col("text")), "n_chars": F.length("text").cast("long")}
+    return found.select(*[changed.get(c, F.col(f"carried.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

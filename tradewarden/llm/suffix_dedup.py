@@ -16,8 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewarden.llm import suffix_sort
 from tradewarden.llm.common import parts, stored, text_of
@@ -122,10 +123,12 @@ def _scan(span: int):
                 flat = [c.view(np.int64).astype(t.to_pandas_dtype()) for c, (_, t) in zip(flat, kinds, strict=True)]
                 listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
                     [pa.array(c, t) for c, (_, t) in zip(flat, kinds, strict=True)], names=[n for n, _ in kinds]))
+                carried = [n for n in part.schema.names if n == "carried"]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("uid"), part.column("doc_id"), pa.array(map(len, texts), pa.int64()),
-                     pa.array([hashlib.sha256(x).hexdigest() for x in texts]), pa.array(map(pack, texts), pa.binary()), listed],
-                    names=["uid", "doc_id", "n_bytes", "sha", "body", "runs"])
+                     pa.array([hashlib.sha256(x).hexdigest() for x in texts]), pa.array(map(pack, texts), pa.binary()), listed,
+                     *(part.column(n) for n in carried)],
+                    names=["uid", "doc_id", "n_bytes", "sha", "body", "runs", *carried])
     return run
 
 
@@ -247,25 +250,30 @@ def _apply(with_text: bool):
                       "spans": pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                       "kept_sha256": pa.array(out["kept_sha256"], pa.string())}
             arrays |= {"text": pa.array(out["text"], pa.string())} if with_text else {}
+            arrays |= {n: batch.column(n) for n in batch.schema.names if n == "carried"}
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), batch.column("n_bytes"), *arrays.values()],
                                              names=["uid", "doc_id", "n_bytes", *arrays])
     return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
-                   uid_col: str | None = None, with_text: bool = False, shard_texts: int = SHARD_TEXTS,
+                   uid_col: str | None = None, with_text: bool = False, carry: Column | None = None, shard_texts: int = SHARD_TEXTS,
                    hot_texts: int = HOT_TEXTS) -> DataFrame:
-    """uid, doc_id, n_bytes, n_removed, spans (maximal removed runs), kept_sha256 and, if wanted, text: one row per row.
+    """uid, doc_id, n_bytes, n_removed, spans (maximal removed runs), kept_sha256 and, if wanted, text and a column `carried`
+    with what `carry` is for the row: one row per row.
 
     All copies of a repeated string go, the first one too; matches never cross documents, and overlapping strings and
     those in the same document count. A NULL text is empty, and texts under `span` bytes stay. Rows that repeat an id, or
     have none, are documents of their own. An empty table gives an empty result; other columns are ignored, whatever their
     names. uid tells rows apart: column `uid_col` if given, else a number made here."""
     uid = F.col(f"`{uid_col}`").cast("long") if uid_col else F.monotonically_increasing_id()
-    plain = docs.select(uid.alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    scanned = stored(plain.mapInArrow(_scan(span), SCANNED), "scanned")
+    carried = [] if carry is None else [carry.alias("carried")]
+    plain = docs.select(uid.alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"), *carried)
+    extra = plain.schema.fields[3:]
+    scanned = stored(plain.mapInArrow(_scan(span), T.StructType([*T.StructType.fromDDL(SCANNED).fields, *extra])), "scanned")
     gone = (covered(scanned, span, shard_texts, hot_texts)
             .groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("gone")))
-    schema = "uid long, doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string"
-    return (scanned.drop("runs").join(gone, "uid", "left").select("uid", "doc_id", "n_bytes", "sha", "body", "gone")
-            .mapInArrow(_apply(with_text), schema + (", text string" if with_text else "")))
+    ddl = "uid long, doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string"
+    schema = T.StructType([*T.StructType.fromDDL(ddl + (", text string" if with_text else "")).fields, *extra])
+    return (scanned.drop("runs").join(gone, "uid", "left").select("uid", "doc_id", "n_bytes", "sha", "body", "gone", *[f.name for f in extra])
+            .mapInArrow(_apply(with_text), schema))
