@@ -105,11 +105,36 @@ def _text_runs(texts: list[bytes], span: int) -> list[tuple[np.ndarray, ...]]:
 
 
 SCANNED = ("uid long, doc_id long, n_bytes long, sha string, body binary, "
-           "runs array<struct<start:int,windows:int,name:long,same:long>>")
+           "runs array<struct<start:int,windows:int,name:long,same:long,k:int>>, own array<struct<start:long,end:long>>")
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    """The maximal stretches that the intervals cover."""
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    new = np.append(True, start[1:] > reach[:-1])
+    return list(zip(start[new].tolist(), reach[np.append(new[1:], True)].tolist(), strict=True))
+
+
+def _distinct(found: tuple[np.ndarray, ...], span: int) -> tuple[tuple[np.ndarray, ...], list[tuple[int, int]]]:
+    """One run of each kind with its number in the text, and the stretches under runs that the text itself repeats. A text
+    that says the same over and over has few kinds of runs, however long it is."""
+    start, windows, name, same = found
+    if len(np.unique(name)) == len(name):
+        return (*found, np.ones(len(name), dtype=np.int64)), []
+    order = np.lexsort((start, same, name))
+    new = np.append(True, (name[order][1:] != name[order][:-1]) | (same[order][1:] != same[order][:-1]))
+    kind = np.cumsum(new) - 1
+    k = np.bincount(kind)
+    again = order[k[kind] > 1]
+    spans = _merged(start[again], start[again] + windows[again] + span - 1) if len(again) else []
+    first = order[new]
+    return (start[first], windows[first], name[first], same[first], k.astype(np.int64)), spans
 
 
 def _scan(span: int):
-    kinds = [("start", pa.int32()), ("windows", pa.int32()), ("name", pa.int64()), ("same", pa.int64())]
+    kinds = [("start", pa.int32()), ("windows", pa.int32()), ("name", pa.int64()), ("same", pa.int64()), ("k", pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -117,7 +142,7 @@ def _scan(span: int):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts = [x.encode() for x in part.column("text").to_pylist()]
-                found = _text_runs(texts, span)
+                found, own = zip(*[_distinct(x, span) for x in _text_runs(texts, span)], strict=True)
                 offsets = np.cumsum([0, *(len(x[0]) for x in found)])
                 flat = [np.concatenate(c) for c in zip(*found, strict=True)]
                 flat = [c.view(np.int64).astype(t.to_pandas_dtype()) for c, (_, t) in zip(flat, kinds, strict=True)]
@@ -127,8 +152,8 @@ def _scan(span: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("uid"), part.column("doc_id"), pa.array(map(len, texts), pa.int64()),
                      pa.array([hashlib.sha256(x).hexdigest() for x in texts]), pa.array(map(pack, texts), pa.binary()), listed,
-                     *(part.column(n) for n in carried)],
-                    names=["uid", "doc_id", "n_bytes", "sha", "body", "runs", *carried])
+                     pa.array([[{"start": a, "end": b} for a, b in x] for x in own], _SPANS), *(part.column(n) for n in carried)],
+                    names=["uid", "doc_id", "n_bytes", "sha", "body", "runs", "own", *carried])
     return run
 
 
@@ -190,10 +215,10 @@ def covered(scanned: DataFrame, span: int, shard_texts: int = SHARD_TEXTS, hot_t
     spark = scanned.sparkSession
     flat = scanned.select("uid", F.explode("runs").alias("r")).select("uid", "r.*")
     # Stored before they are joined, so that both sides of a join are shuffled and a hot name can be split.
-    shared = stored(flat.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"), "shared-names")
+    shared = stored(flat.groupBy("name").agg(F.sum("k").alias("k")).where("k > 1").select("name"), "shared-names")
     flat = stored(flat.join(shared, "name"), "shared-runs")
     # Different texts of a name, with one place where each stands.
-    texts = stored(flat.groupBy("name", "same").agg(F.count("*").alias("n"), F.min("uid").alias("uid")), "run-texts")
+    texts = stored(flat.groupBy("name", "same").agg(F.sum("k").alias("n"), F.min("uid").alias("uid")), "run-texts")
     kinds = stored(texts.groupBy("name").agg(F.count("*").alias("kinds")), "name-kinds")
     whole = kinds.where("kinds = 1").select("name")
     all_of = flat.join(whole, "name").select("uid", "start", (F.col("start") + F.col("windows") + span - 1).alias("end"))
@@ -214,7 +239,8 @@ def covered(scanned: DataFrame, span: int, shard_texts: int = SHARD_TEXTS, hot_t
     hot = each.join(often, ["h", "g"]).groupBy("name", "same").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     part_of = flat.join(found.unionByName(hot), ["name", "same"]).select(
         "uid", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last") + span).alias("end"))
-    return all_of.unionByName(part_of)
+    own = scanned.select("uid", F.explode("own").alias("o")).select("uid", F.col("o.start").alias("start"), F.col("o.end").alias("end"))
+    return all_of.unionByName(part_of).unionByName(own)
 
 
 def _apply(with_text: bool):
@@ -231,10 +257,7 @@ def _apply(with_text: bool):
                         out["text"].append(unpack(body.as_py()).decode())
                     continue
                 start, end = gone.values.field("start").to_numpy(), gone.values.field("end").to_numpy()
-                order = np.argsort(start, kind="stable")
-                start, reach = start[order], np.maximum.accumulate(end[order])
-                new = np.append(True, start[1:] > reach[:-1])
-                spans = list(zip(start[new].tolist(), reach[np.append(new[1:], True)].tolist(), strict=True))
+                spans = _merged(start, end)
                 text, kept, at = unpack(body.as_py()), [], 0
                 for a, b in spans:
                     kept.append(text[at:a])
@@ -275,5 +298,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("gone")))
     ddl = "uid long, doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string"
     schema = T.StructType([*T.StructType.fromDDL(ddl + (", text string" if with_text else "")).fields, *extra])
-    return (scanned.drop("runs").join(gone, "uid", "left").select("uid", "doc_id", "n_bytes", "sha", "body", "gone", *[f.name for f in extra])
+    return (scanned.drop("runs", "own").join(gone, "uid", "left").select("uid", "doc_id", "n_bytes", "sha", "body", "gone", *[f.name for f in extra])
             .mapInArrow(_apply(with_text), schema))
