@@ -207,3 +207,14 @@ def test_empty_tables(spark, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
     assert lm.score(no_docs, steps=1).count() == 0
     assert quality.score(no_docs, quality.fit(no_docs, labels)).count() == 0
+
+
+@pytest.mark.parametrize("far", [0.5, 3.0, 50.0])
+def test_the_curve_is_found_however_far_the_labels_are_apart(far):
+    rng = np.random.default_rng(6)
+    y = np.repeat([0.0, 1.0], 300)
+    rate = rng.uniform(0.05, 0.6, 600)
+    x = np.column_stack([rng.normal(size=600) + far * y, rate, rate ** 2, rng.normal(7, 1, 600), rate * 7])
+    w = quality._logistic(x, y)
+    right = ((quality._curve(x @ w[:-1] + w[-1]) >= 0.5) == y).mean()
+    assert np.isfinite(w).all() and right >= (0.55 if far < 1 else 0.9 if far < 10 else 1)

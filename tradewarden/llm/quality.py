@@ -62,15 +62,26 @@ class Difference:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights, the constant last, of the logistic curve with the greatest likelihood, by Newton steps with a slight ridge."""
+    """Weights, the constant last, of the logistic curve with the greatest likelihood, by damped Newton steps with a
+    slight ridge; the likelihood grows with every step."""
     middle, scale = x.mean(axis=0), x.std(axis=0)
     scale[scale == 0] = 1
     a = np.column_stack([(x - middle) / scale, np.ones(len(x))])
-    w, ridge = np.zeros(a.shape[1]), 1e-2
-    for _ in range(60):
+    w, ridge = np.zeros(a.shape[1]), 0.1
+
+    def loss(w: np.ndarray) -> float:
+        z = a @ w
+        return np.logaddexp(0, z).sum() - y @ z + ridge / 2 * (w @ w)
+    for _ in range(100):
         p = _curve(a @ w)
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w)), a.T @ (y - p) - ridge * w)
-        w += np.clip(step, -3, 3)
+        down = a.T @ (y - p) - ridge * w
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w)), down)
+        size = 1.0
+        while size > 1e-8 and loss(w + size * step) > loss(w) - 1e-4 * size * (down @ step):
+            size /= 2  # a full step can overshoot where the curve is flat
+        w = w + size * step
+        if np.abs(size * step).max() < 1e-8:
+            break
     return np.append(w[:-1] / scale, w[-1] - (w[:-1] * middle / scale).sum())
 
 
