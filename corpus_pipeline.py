@@ -5,15 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewarden.llm import minhash, packing, quality, suffix_dedup
-from tradewarden.llm.common import numbered, stored, table
+from tradewarden.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _others(docs: DataFrame) -> Column:
+    """All columns but the text in one, which goes through an operator with its row: no text is then stored or shuffled
+    just to be joined with them again."""
+    named = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    return F.struct(F.col("text").isNull().alias("missing"), *named)
+
+
+def _whole(found: DataFrame, docs: DataFrame, changed: dict[str, Column]) -> DataFrame:
+    """The columns of `docs` again, from `carried` and `changed`."""
+    return found.select(*[changed.get(c, F.col(f"carried.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier, learnt from the labels of those at hand, doesn't reject."""
     return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -21,19 +33,14 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id. Documents without words stay."""
-    docs, uid = numbered(docs, "docs")
-    found = minhash.near_duplicates(docs, uid_col=uid)
-    first = found.groupBy("group").agg(F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias(uid))
-    return docs.join(first.select(uid), uid, "left_semi").drop(uid)
+    kept = minhash.one_of_each(docs, _others(docs))
+    return _whole(kept, docs, {"text": F.when(~F.col("carried.missing"), F.col("text"))})
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the passages that repeat, here or in another; n_chars is that of the text that is left."""
-    # The other columns go through the operator with their row, so that no text is stored or shuffled for a join with them.
-    row = F.struct(F.col("text").isNull().alias("missing"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"])
-    found = suffix_dedup.remove_repeats(docs, with_text=True, carry=row)
-    changed = {"text": F.when(~F.col("carried.missing"), F.col("text")), "n_chars": F.length("text").cast("long")}
-    return found.select(*[changed.get(c, F.col(f"carried.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+    found = suffix_dedup.remove_repeats(docs, with_text=True, carry=_others(docs))
+    return _whole(found, docs, {"text": F.when(~F.col("carried.missing"), F.col("text")), "n_chars": F.length("text").cast("long")})
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

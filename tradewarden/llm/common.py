@@ -32,14 +32,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The rows stored with a number each, in a column whose name no other has; and that name."""
-    col = "row_number"
-    while col in df.columns:
-        col += "_"
-    return stored(df.withColumn(col, F.monotonically_increasing_id()), name), col
-
-
 def parts(spark: SparkSession, rows: int, per_part: int) -> int:
     """Number of parts for `rows` rows: `per_part` rows each, and at least two per shuffle partition."""
     return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))

@@ -14,8 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewarden.llm.common import stored, text_of
 from tradewarden.llm.components import components
@@ -101,7 +102,7 @@ SIGNED = "uid long, doc_id long, h1 long, h2 long, n_shingles long, sig array<lo
 
 
 def _sign(size: int):
-    """Per document: a 128-bit hash of its words, the size of its set, signature, band keys, and its words, compressed."""
+    """Per document: a 128-bit hash of its words, the size of its set, signature, band keys, and its text, compressed."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,22 +113,23 @@ def _sign(size: int):
                 texts = part.column("text").to_pylist()
                 h, n, sigs, keys, bodies = [], [], [], [], []
                 for text in texts:
-                    words = text.encode().lower().split()
-                    body = b" ".join(words)
+                    raw = text.encode()
+                    words = raw.lower().split()
                     found = shingles(words, size)
-                    h.append(np.frombuffer(hashlib.blake2b(body, digest_size=16).digest(), dtype=np.int64))
+                    h.append(np.frombuffer(hashlib.blake2b(b" ".join(words), digest_size=16).digest(), dtype=np.int64))
                     n.append(len(found))
                     least = minima(found)
                     sigs.append(signature(least))
                     keys.append(bands(least))
-                    bodies.append(pack(body))
+                    bodies.append(pack(raw))
                 h = np.array(h)
                 lists = lambda x, k: pa.ListArray.from_arrays(
                     pa.array(np.arange(0, k * len(x) + 1, k), pa.int32()), pa.array(np.concatenate(x).view(np.int64)))
+                carried = [x for x in part.schema.names if x == "carried"]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("uid"), part.column("doc_id"), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(n, pa.int64()),
-                     lists(sigs, _LONGS), lists(keys, BANDS), pa.array(bodies, pa.binary())],
-                    names=["uid", "doc_id", "h1", "h2", "n_shingles", "sig", "bands", "body"])
+                     lists(sigs, _LONGS), lists(keys, BANDS), pa.array(bodies, pa.binary()), *(part.column(x) for x in carried)],
+                    names=["uid", "doc_id", "h1", "h2", "n_shingles", "sig", "bands", "body", *carried])
     return run
 
 
@@ -177,7 +179,7 @@ def _verify(percent: int, size: int):
 
         def of(i: int) -> np.ndarray:
             if i not in sets:
-                sets[i] = shingles(unpack(bodies[i]).split(), size)
+                sets[i] = shingles(unpack(bodies[i]).lower().split(), size)
             return sets[i]
         one = np.flatnonzero(block == block.min())
         two = np.flatnonzero(block == block.max())
@@ -223,8 +225,17 @@ def tiles(clusters: DataFrame, block: int) -> DataFrame:
         "uid", "block", F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("tile"))
 
 
+def sign(docs: DataFrame, id_col: str, text_col: str, size: int, carry: Column | None = None) -> DataFrame:
+    """SIGNED rows of `docs`, stored, with a number `uid` each and, if wanted, a column `carried`."""
+    carried = [] if carry is None else [carry.alias("carried")]
+    plain = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                        text_of(text_col).alias("text"), *carried)
+    schema = T.StructType([*T.StructType.fromDDL(SIGNED).fields, *plain.schema.fields[3:]])
+    return stored(plain.mapInArrow(_sign(size), schema), "signed")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                    size: int = WORDS, block: int = BLOCK, uid_col: str | None = None) -> DataFrame:
+                    size: int = WORDS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, group, uid: one row per row of `docs`.
 
     A document's set holds the distinct `size`-word shingles of its text (ASCII letters lower-cased, words split at ASCII
@@ -232,12 +243,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id that links reach. Texts without words, NULL included, have an empty set and are linked
     with nothing. kept: doc_id = component_id. A row without an id belongs to its component and is kept only if no row of
     it has an id; rows that repeat an id are documents of their own. An empty table gives an empty result; other columns
-    are ignored, whatever their names. uid tells rows apart, and group components: column `uid_col` if given, else a number made
-    here."""
-    text = text_of(text_col)
-    uid = F.col(f"`{uid_col}`").cast("long") if uid_col else F.monotonically_increasing_id()
-    plain = docs.select(uid.alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
-    signed = stored(plain.mapInArrow(_sign(size), SIGNED), "signed")
+    are ignored, whatever their names. uid tells rows apart, and group components."""
+    return groups(sign(docs, id_col, text_col, size), percent, size, block)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        texts = [unpack(b).decode() for b in batch.column("body").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("carried")], names=["text", "carried"])
+
+
+def one_of_each(docs: DataFrame, carry: Column, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+                size: int = WORDS, block: int = BLOCK) -> DataFrame:
+    """text and `carried`, what `carry` is for the row, of one row of each group: that with the smallest id. Texts without
+    words are groups of their own."""
+    signed = sign(docs, id_col, text_col, size, carry)
+    found = groups(signed, percent, size, block)
+    first = found.groupBy("group").agg(F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("uid"))
+    kept = signed.select("uid", "body", "carried").join(first.select("uid"), "uid", "left_semi").select("body", "carried")
+    return kept.mapInArrow(_texts, T.StructType([T.StructField("text", T.StringType()), signed.schema["carried"]]))
+
+
+def groups(signed: DataFrame, percent: int, size: int, block: int) -> DataFrame:
+    """What near_duplicates returns, from signed documents."""
     classes = (signed.where("n_shingles > 0").groupBy("h1", "h2")
                .agg(F.min("uid").alias("node"), F.min("doc_id").alias("least")))
     classes = stored(classes, "classes")
@@ -248,8 +277,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = (dealt.join(nodes.select("uid", "sig"), "uid")
                .join(signed.select("uid", "body").join(clusters.select(F.col("node").alias("uid")), "uid"), "uid"))
     links = members.groupBy("tile").applyInArrow(_verify(percent, size), "a long, b long")
-    groups = components(links)
-    named = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    linked_nodes = components(links)
+    named = classes.join(linked_nodes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("h1", "h2", "component_id", F.col("component").alias("group"))
     rows = signed.select("uid", "doc_id", "n_shingles", "h1", "h2")
