@@ -2,11 +2,10 @@
 
 A text is the sequence of its units, each a run of word marks with what follows up to the next one; no piece of the model
 reaches over a unit's end, so each distinct unit is encoded once. Its substrings of bounded length are exploded and joined
-with the table of pieces, and the edges found are grouped by unit into a lattice, over which Spark's higher-order aggregate
-folds: a state is the set of cuts that are left, held in the bits of a long, and each step takes the best-scored edge that
-spans exactly one cut, the leftmost among equals, until none is left. That is the order in which this kind of model merges;
-the best sum of scores over a lattice, which other models ask for, would give other pieces. Characters without a piece
-become bytes.
+with the table of pieces, and the edges found are grouped by unit into a lattice. A fold over the lattices of many units at
+once, in array steps, takes the best-scored edge that spans exactly one cut, the leftmost among equals, until none is left.
+That is the order in which this kind of model merges; the best sum of scores over a lattice, which other models ask for,
+would give other pieces. Characters without a piece become bytes.
 """
 
 from __future__ import annotations
@@ -20,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewarden.llm.common import stored, text_of
+from tradewarden.llm.common import heaviest, parts, stored, text_of
 
 MARK = "▁"
-#: Longest unit in characters for the fold, whose state has a bit for each cut; longer ones go through the library.
+#: Units from this many characters on have more cuts than a long has bits and go through the library.
 FOLDED = 61
 HEAD_UNITS, HEAD_BYTES = 200_000, 64
 MEMO_UNITS = 300_000
+TASK_UNITS = 10_000
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -62,54 +62,88 @@ def _fallback(path: str):
     return run
 
 
+def _fold(byte0: int):
+    """The ids of each unit from its lattice, for all units of a batch at once.
+
+    A unit's state is the set of cuts between its characters, as bits. Each round every unit takes its best-ranked edge that
+    spans exactly one cut, the leftmost among equals, and drops that cut; it is done when there is no such edge."""
+    one = np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [MARK + u for u in batch.column("unit").to_pylist()]
+            lists = batch.column("edges")
+            flat = lists.flatten()
+            start, length, rank = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "length", "rank"))
+            ids = flat.field("id").fill_null(-1).to_numpy(zero_copy_only=False)
+            unit = np.repeat(np.arange(len(words)), np.diff(lists.offsets.to_numpy()))
+            left, right = start.astype(np.uint64), (start + length).astype(np.uint64)
+            ends, inner = (one << left) | (one << right), (one << right) - (one << (left + one))
+            cuts = (one << (np.fromiter(map(len, words), dtype=np.uint64, count=len(words)) + one)) - one
+            going = np.lexsort((start, rank, unit))
+            going = going[length[going] > 1]
+            while len(going):
+                at = unit[going]
+                fits = going[((cuts[at] & ends[going]) == ends[going]) & (np.bitwise_count(cuts[at] & inner[going]) == 1)]
+                moved, first = np.unique(unit[fits], return_index=True)
+                cuts[moved] &= ~inner[fits[first]]
+                alive = np.zeros(len(words), dtype=bool)
+                alive[moved] = True
+                going = going[alive[at]]
+            kept = np.flatnonzero(((cuts[unit] & ends) == ends) & ((cuts[unit] & inner) == 0))
+            kept = kept[np.lexsort((start[kept], unit[kept]))]
+            unknown = {k: words[unit[e]][start[e]].encode() for k, e in enumerate(kept.tolist()) if ids[e] < 0}
+            many = np.ones(len(kept), dtype=np.int64)
+            many[list(unknown)] = [len(x) for x in unknown.values()]
+            out = np.repeat(ids[kept], many)
+            place = np.cumsum(many) - many
+            for k, raw in unknown.items():
+                out[place[k]:place[k] + len(raw)] = np.frombuffer(raw, dtype=np.uint8).astype(np.int64) + byte0
+            offsets = np.append(0, np.cumsum(np.bincount(unit[kept], weights=many, minlength=len(words)).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("unit"), batch.column("n"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))],
+                names=["unit", "n", "ids"])
+    return run
+
+
 def encode_units(counted: DataFrame, path: str) -> DataFrame:
     """unit, n, ids for distinct units (without their first mark) with their numbers of occurrences."""
     model = _model(path)
     pieces = piece_table(counted.sparkSession, path)
     longest = max(len(model.id_to_piece(i)) for i in range(model.get_piece_size()) if not model.is_byte(i))
     byte0 = model.piece_to_id("<0x00>")
-    short = counted.where(F.length("unit") < FOLDED).withColumn("word", F.concat(F.lit(MARK), "unit")).withColumn("size", F.length("word"))
-    spans = short.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("size") * longest - 1)))
-    spans = spans.select("unit", "n", "word", "size", F.expr(f"k div {longest}").cast("int").alias("start"),
-                         (F.col("k") % longest + 1).alias("length")).where("start + length <= size")
+    # Dealt by unit before its substrings are exploded: the join with the pieces and the grouping of the edges then stay
+    # where they are, and a task's lattices fit its memory.
+    short = counted.where(F.length("unit") < FOLDED).repartition(parts(counted.sparkSession, counted.count(), TASK_UNITS), "unit")
+    short = short.withColumn("word", F.concat(F.lit(MARK), "unit")).withColumn("size", F.length("word"))
+    starts = short.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
+    spans = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("size") - F.col("start")))))
     spans = spans.withColumn("piece", F.expr("substring(word, start + 1, length)"))
     # The piece table is as large as the vocabulary of the model, whatever the corpus.
     edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or length = 1")
-    bit = lambda c: f"shiftleft(1L, {c})"
     lattice = edges.groupBy("unit").agg(
-        F.first("n").alias("n"), F.first("size").alias("size"),
-        F.collect_list(F.expr(f"struct(start, length, rank, id, piece, {bit('start')} | {bit('start + length')} as ends, "
-                              f"{bit('start + length')} - {bit('start + 1')} as inner)")).alias("edges"))
-    lattice = lattice.withColumn("merges", F.expr(
-        "transform(filter(edges, e -> e.length > 1), e -> struct(e.rank, e.start, e.ends, e.inner))"))
-    cuts = lattice.withColumn("cuts", F.expr(
-        f"aggregate(sequence(1, greatest(size - 1, 1)), {bit('size + 1')} - 1L, (m, i) -> coalesce(m & ~(array_min("
-        "filter(merges, e -> (m & e.ends) = e.ends and bit_count(m & e.inner) = 1)).inner), m))"))
-    ids = cuts.withColumn("ids", F.expr(
-        "flatten(transform(array_sort(filter(edges, e -> (cuts & e.ends) = e.ends and (cuts & e.inner) = 0)), "
-        "e -> if(e.id is not null, array(e.id), transform(sequence(1, octet_length(e.piece)), "
-        f"b -> cast(conv(substring(hex(e.piece), 2 * b - 1, 2), 16, 10) as int) + {byte0}))))"))
+        F.first("n").cast("long").alias("n"), F.collect_list(F.struct("start", "length", "rank", "id")).alias("edges"))
+    ids = lattice.mapInArrow(_fold(byte0), "unit string, n long, ids array<int>")
     long = counted.where(F.length("unit") >= FOLDED).mapInArrow(_fallback(path), "unit string, n long, ids array<int>")
-    return ids.select("unit", F.col("n").cast("long").alias("n"), "ids").unionByName(long)
+    return ids.unionByName(long)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(found: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["unit", "n"])
     found: Counter = Counter()
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            found.update(units(text))
-            if len(found) > MEMO_UNITS:
-                yield rows(found)
-                found = Counter()
+    for text in (x.as_py() for batch in batches for x in batch.column("text")):
+        found.update(units(text))
+        if len(found) > MEMO_UNITS:
+            yield rows(found)
+            found = Counter()
     yield rows(found)
 
 
 def dictionary(texts: DataFrame, path: str) -> DataFrame:
     """unit, n, ids of all distinct units of `texts` (text), stored."""
     counted = texts.select("text").mapInArrow(_count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    return stored(encode_units(counted, path), "unit-dictionary")
+    return stored(encode_units(stored(counted, "units"), path), "unit-dictionary")
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -190,8 +224,8 @@ def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         F.aggregate("ids", F.lit(0).cast("long"), lambda s, i: s + i).alias("ids"),
         (~decode(F.col("ids"), path).eqNullSafe(back)).cast("long").alias("wrong"))
     figures = stored(figures, "unit-figures")
-    head = (figures.where(F.octet_length("unit") <= HEAD_BYTES).orderBy(F.desc("n"), "unit").limit(head_units)
-            .select("unit", "pieces", "bytes", "ids", "wrong").toArrow())
+    head = heaviest(figures.where(F.octet_length("unit") <= HEAD_BYTES), "n", head_units)
+    head = head.select("unit", "pieces", "bytes", "ids", "wrong").toArrow()
     sums = np.column_stack([head[c].to_numpy() for c in ("pieces", "bytes", "ids", "wrong")]).astype(np.int64)
     shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), sums))
     scanned = stored(plain.mapInArrow(_scan(shipped), SCANNED), "unit-scanned")
