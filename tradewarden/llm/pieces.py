@@ -141,9 +141,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dictionary(texts: DataFrame, path: str) -> DataFrame:
-    """unit, n, ids of all distinct units of `texts` (text), stored."""
+    """unit, n, ids of all distinct units of `texts` (text)."""
     counted = texts.select("text").mapInArrow(_count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    return stored(encode_units(stored(counted, "units"), path), "unit-dictionary")
+    return encode_units(stored(counted, "units"), path)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -161,7 +161,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     ids. Rows with NULL or repeated ids stay; an empty table gives an empty result; other columns are ignored."""
     texts = stored(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                                text_of(text_col).alias("text")), "texts")
-    known = dictionary(texts, path).select("unit", "ids")
+    known = stored(dictionary(texts, path).select("unit", "ids"), "unit-dictionary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
