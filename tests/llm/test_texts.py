@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from tradewarden.llm import lm, minhash, quality, suffix_dedup, suffix_sort
 
@@ -126,6 +127,26 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("block", [1024, 8])
+def test_similar_pairs_in_buckets_whose_smallest_member_is_unlike_both(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BUCKET_BLOCK", block, raising=False)
+    r = random.Random(8)
+    shared = [f"s{k}" for k in range(80)]
+    plain = [shared + [f"o{i}.{k}" for k in range(120)] for i in range(60)]  # some 0.24 alike
+    pairs = [w[:150] + [f"n{i}"] + w[151:] for i, w in enumerate(plain[30:])]
+    texts = [" ".join(w) for w in plain + pairs]
+    sets = shingle_sets(list(enumerate(texts)))
+    roots = linked(sets)
+    assert len(set(roots)) == 60 and all(0.15 < len(sets[0] & x) / len(sets[0] | x) < 0.3 for x in sets[1:])
+    hashed = [minhash.shingles([w.encode() for w in t.split()]) for t in texts]
+    # All meet in two buckets and nowhere else, as documents of a few templates do in a large table.
+    rows = [(i, i, i, i, len(h), minhash.signature(minhash.minima(h)).view(np.int64).tolist(), [1, 2], bytearray(zstandard.compress(t.encode())))
+            for i, (t, h) in enumerate(zip(texts, hashed))]
+    r.shuffle(rows)
+    got = {x.doc_id: x.component_id for x in minhash.groups(spark.createDataFrame(rows, minhash.SIGNED), 75, 5, 128).collect()}
+    assert got == {i: i if i < 60 else i - 30 for i in range(90)}
+
+
 def test_estimates_agree_with_the_sets():
     r = random.Random(5)
     a = [f"w{i}" for i in range(600)]

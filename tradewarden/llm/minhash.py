@@ -2,9 +2,10 @@
 
 Each document gets the minima of many hash functions over its shingles. Bands of minima give candidate buckets; of each
 minimum only the low bits are kept, packed into longs, and the share of equal ones, corrected for chance collisions,
-estimates the similarity. Documents that meet in a bucket and don't look unlike form a cluster. In a cluster pairs with a
-high enough estimate are compared on their full shingle sets, unless they are known to be connected. Equal texts are one
-node from the start, and large clusters are worked through in tiles of bounded size.
+estimates the similarity. Documents that meet the smallest of a bucket and don't look unlike it form a cluster. In buckets
+that still hold several clusters all members are compared by their signatures. In a cluster pairs with a high enough
+estimate are compared on their full shingle sets, unless they are known to be connected. Equal texts are one node from the
+start, and large buckets and clusters are worked through in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ from tradewarden.llm.components import components
 WORDS = 5
 PERCENT = 75
 ROWS_PER_BAND, BANDS, BITS = 6, 48, 4
-# A pair of similarity s meets in no band with probability (1 - s ** 6) ** 48: below 1e-4 for 0.75. Pairs in a bucket are
-# followed from an estimate of NEAR on (two documents similar to a third are at least 0.5 alike), and compared on their
-# full sets from PERCENT / 100 - MARGIN on, over five standard deviations of the estimate.
+# A pair of similarity s meets in no band with probability (1 - s ** 6) ** 48: below 1e-4 for 0.75. Edges to the smallest of
+# a bucket are followed from an estimate of NEAR on. Any other pair of a bucket is followed, and any pair of a cluster
+# compared on its full sets, from PERCENT / 100 - MARGIN on, over five standard deviations of the estimate.
 NEAR, MARGIN = 0.4, 0.15
-BLOCK = 128
+BLOCK, BUCKET_BLOCK = 128, 1024
 
 _HASHES = ROWS_PER_BAND * BANDS
 _LONGS = _HASHES * BITS // 64
@@ -213,16 +214,57 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return both.where(estimate("sa", "sb") >= NEAR).select("a", "b")
 
 
+def _meet(percent: int):
+    """Edges of one tile of a bucket that join its clusters: pairs of different clusters with a high enough estimate."""
+    def run(pdf: pa.Table) -> pa.Table:
+        uid, block = pdf["uid"].to_numpy(), pdf["block"].to_numpy()
+        sig = pdf["sig"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(uid), _LONGS)
+        names, cluster = np.unique(pdf["cluster"].to_numpy(), return_inverse=True)
+        one, two = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        up, links = list(range(len(names))), []
+        for at in range(0, len(one), 128):
+            rows = one[at:at + 128]
+            i, j = np.nonzero((_estimates(sig[rows], sig[two]) >= percent / 100 - MARGIN) & (cluster[rows][:, None] != cluster[two][None, :]))
+            for x, y in zip(rows[i].tolist(), two[j].tolist(), strict=True):
+                a, b = _root(up, cluster[x]), _root(up, cluster[y])
+                if a != b:
+                    up[a] = b
+                    links.append((uid[x], uid[y]))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+    return run
+
+
+def clustered(nodes: DataFrame, percent: int, block: int) -> DataFrame:
+    """node, component: clusters such that two nodes that share a bucket and look alike are always in the same one."""
+    stars = stored(components(candidates(nodes)), "star-clusters")
+    named = nodes.join(stars.withColumnRenamed("node", "uid"), "uid", "left")
+    members = named.select("uid", F.coalesce("component", "uid").alias("cluster"), F.explode("bands").alias("key"))
+    # The smallest of a bucket has met all others, so two members have nothing left to compare.
+    open_ = stored(members.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("uid").alias("first"), F.min("cluster").alias("least"), F.max("cluster").alias("most"))
+        .where("n > 2 and least <> most").select("key", "n", "first"), "open-buckets")
+    left = members.join(open_, "key").where("uid <> first").select(
+        F.col("key").alias("component"), "uid", "cluster", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    dealt = _dealt(left, "cluster")
+    links = dealt.join(nodes.select("uid", "sig"), "uid").groupBy("tile").applyInArrow(_meet(percent), "a long, b long")
+    edges = stars.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(edges.unionByName(links))
+
+
+def _dealt(rows: DataFrame, *more: str) -> DataFrame:
+    """uid, block, tile, more: each row (component, uid, blocks) in every tile of its component that holds its block."""
+    # Nodes are dealt to blocks at random, so the tiles of a component are even.
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return (rows.withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+            .select("uid", "component", "block", *more, other)
+            .select("uid", "block", F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), *more))
+
+
 def tiles(clusters: DataFrame, block: int) -> DataFrame:
     """uid, tile, block: each node of `clusters` (node, component) in every tile of its cluster that holds its block."""
-    # Nodes are dealt to blocks at random; a block has about `block` nodes, so the tiles of a cluster are even.
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    dealt = clusters.join(sizes, "component").select(
-        F.col("node").alias("uid"), "component", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
-        F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)).cast("int").alias("block"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    return dealt.select("uid", "component", "block", other).select(
-        "uid", "block", F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("tile"))
+    return _dealt(clusters.join(sizes, "component").select(
+        "component", F.col("node").alias("uid"), F.ceil(F.col("n") / block).cast("int").alias("blocks")))
 
 
 def sign(docs: DataFrame, id_col: str, text_col: str, size: int, carry: Column | None = None) -> DataFrame:
@@ -272,7 +314,7 @@ def groups(signed: DataFrame, percent: int, size: int, block: int) -> DataFrame:
     classes = stored(classes, "classes")
     nodes = signed.select("uid", "sig", "bands").join(classes.select(F.col("node").alias("uid")), "uid")
     nodes = stored(nodes, "nodes")
-    clusters = components(candidates(nodes))
+    clusters = clustered(nodes, percent, BUCKET_BLOCK)
     dealt = stored(tiles(clusters, block), "tiles")
     members = (dealt.join(nodes.select("uid", "sig"), "uid")
                .join(signed.select("uid", "body").join(clusters.select(F.col("node").alias("uid")), "uid"), "uid"))
