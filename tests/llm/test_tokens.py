@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tradewarden.llm import packing, pieces, token_counts
+from tradewarden.llm import packing, pieces, queries, token_counts
 
 WORD, BYTE, PIECE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
 
@@ -102,7 +102,29 @@ def test_piece_figures(docs, rows, head):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_pieces, r.n_byte_pieces, r.id_sum, r.round_trip) for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize("head", [200_000, 3])
+def test_whole_texts_as_the_library(docs, rows, head):
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    want = sorted((str(i), len((t or "").encode()), model.encode(t or ""), True) for i, t in rows)
+    got = pieces.encode_whole(docs, PIECE, head_units=head).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, list(r.ids), r.round_trip) for r in got) == want
+
+
+def test_the_query_returns_the_ids_of_whole_texts(spark, tmp_path):
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    rows = [(1, "one two  three "), (2, " three two one"), (3, "a ▁ mark"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op2_sentencepiece(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, list(r.ids), r.round_trip) for r in got) == [(i, model.encode(t or ""), i != 3) for i, t in rows]
+
+
 def test_empty_tables(no_docs):
     assert token_counts.count_tokens(no_docs, WORD).count() == 0
     assert packing.pack(no_docs, BYTE).count() == 0
     assert pieces.summarise(no_docs, PIECE).count() == 0 and pieces.encode(no_docs, PIECE).count() == 0
+
+
+def test_whole_texts_of_an_empty_table(no_docs):
+    assert pieces.encode_whole(no_docs, PIECE).count() == 0

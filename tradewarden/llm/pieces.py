@@ -10,6 +10,7 @@ would give other pieces. Characters without a piece become bytes.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -236,3 +237,92 @@ def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         {c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0)) for c in cols})
     return whole.select("doc_id", "n_bytes", "n_units", F.col("pieces").alias("n_pieces"), F.col("bytes").alias("n_byte_pieces"),
                         F.col("ids").alias("id_sum"), (F.col("wrong") == 0).alias("round_trip"))
+
+
+_PLACES = pa.list_(pa.struct([("at", pa.int32()), ("unit", pa.string())]))
+PLACED = "uid long, doc_id long, n_bytes long, sha256 binary, ids array<int>, tail array<struct<at:int,unit:string>>"
+
+
+def _place(head):
+    """The ids of each text in order, with -1 where a unit isn't in the table; these units with their rank among them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sizes, values = head.value
+        get, none = {u: i for i, u in enumerate(known)}.get, len(known)
+        sizes, values = np.append(sizes, 1), np.append(values, -1).astype(np.int32)
+        starts = np.cumsum(sizes) - sizes
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = part.column("text").to_pylist()
+                split = [units(t) for t in texts]
+                flat = np.array([get(u, none) for us in split for u in us], dtype=np.int64)
+                ends = np.append(0, np.cumsum([len(us) for us in split]))
+                many = sizes[flat]
+                place = np.append(0, np.cumsum(many))
+                ids = values[np.repeat(starts[flat] - place[:-1], many) + np.arange(place[-1])]
+                tails = []
+                for a, b, us in zip(ends[:-1].tolist(), ends[1:].tolist(), split, strict=True):
+                    rest = np.flatnonzero(flat[a:b] == none).tolist()
+                    tails.append([{"at": k, "unit": us[i]} for k, i in enumerate(rest)])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("uid"), part.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()),
+                     pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(place[ends], pa.int32()), pa.array(ids, pa.int32())), pa.array(tails, _PLACES)],
+                    names=["uid", "doc_id", "n_bytes", "sha256", "ids", "tail"])
+    return run
+
+
+def _splice(table: list[bytes]):
+    """The ids with the joined ones in their places, and whether they decode to the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part, out, same = batch.slice(at, 256), [], []
+                for ids, rest, digest in zip(part.column("ids"), part.column("rest"), part.column("sha256").to_pylist(), strict=True):
+                    whole = ids.values.to_numpy()
+                    if rest.is_valid:
+                        found = rest.values.to_pylist()
+                        holes = np.flatnonzero(whole < 0)
+                        if len(found) != len(holes):
+                            raise ValueError("a unit of a text has no ids")
+                        many = np.ones(len(whole), dtype=np.int64)
+                        many[holes] = [len(x) for x in found]
+                        joined = np.repeat(whole, many)
+                        joined[joined < 0] = [i for x in found for i in x]
+                        whole = joined
+                    if len(whole) and whole.min() < 0:
+                        raise ValueError("a unit of a text has no ids")
+                    text = b"".join(map(table.__getitem__, whole.tolist())).replace(MARK.encode(), b" ").removeprefix(b" ")
+                    out.append(whole)
+                    same.append(hashlib.sha256(text).digest() == digest)
+                offsets = np.append(0, np.cumsum([len(x) for x in out]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("n_bytes"), pa.ListArray.from_arrays(
+                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(out), pa.int32())), pa.array(same, pa.bool_())],
+                    names=["doc_id", "n_bytes", "ids", "round_trip"])
+    return run
+
+
+def encode_whole(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS) -> DataFrame:
+    """doc_id, n_bytes, ids, round_trip: the encoding of each whole text, one row per row of `docs`, as the library encodes it.
+
+    round_trip: the ids, decoded together, give the text again, byte for byte; a word mark in a text comes back as a blank.
+    The most frequent units go to every task as a table of bounded size, all others are joined and put in their places. NULL
+    and empty texts have no ids; rows with NULL or repeated ids stay; an empty table gives an empty result; other columns are
+    ignored, whatever their names."""
+    spark, model = docs.sparkSession, _model(path)
+    plain = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                        text_of(text_col).alias("text"))
+    known = stored(dictionary(plain, path), "unit-dictionary")
+    head = heaviest(known.where(F.octet_length("unit") <= HEAD_BYTES), "n", head_units).select("unit", "ids").toArrow().combine_chunks()
+    lists = head["ids"].to_pylist()
+    shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), np.array([len(x) for x in lists], dtype=np.int64),
+                                            np.array([i for x in lists for i in x], dtype=np.int32)))
+    placed = stored(plain.mapInArrow(_place(shipped), PLACED), "ids-placed")
+    tail = placed.select("uid", F.explode("tail").alias("t")).select("uid", "t.at", "t.unit").join(known.select("unit", F.col("ids").alias("found")), "unit")
+    rest = tail.groupBy("uid").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "found"))), lambda x: x["found"]).alias("rest"))
+    holed = placed.where(F.size("tail") > 0).drop("tail").join(rest, "uid", "left")
+    full = placed.where(F.size("tail") == 0).drop("tail").withColumn("rest", F.lit(None).cast("array<array<int>>"))
+    table = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i)
+             else model.id_to_piece(i).encode() for i in range(model.get_piece_size())]
+    return full.unionByName(holed).mapInArrow(_splice(table), "doc_id long, n_bytes long, ids array<int>, round_trip boolean")

@@ -41,7 +41,7 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.summarise(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encode_whole(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
