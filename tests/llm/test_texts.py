@@ -62,6 +62,20 @@ def test_repeats_go_and_nothing_else(docs, rows, limits):
     assert by_id[14].n_removed == by_id[14].n_bytes and by_id[17].n_removed == 0
 
 
+@pytest.mark.parametrize("limits", [{}, {"shard_texts": 1}])
+def test_common_passages_around_the_span(spark, limits):
+    """Tables whose texts share less than the span, just the span, or a little more; no window of a shard need repeat."""
+    r = random.Random(11)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    for common in (31, 32, 150, 199, 200, 201):
+        for n in (2, 5):
+            shared = word(common)
+            texts = [word(r.randint(200, 500)) + shared + word(r.randint(200, 500)) for _ in range(n)]
+            got = suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **limits)
+            found = sorted((x.doc_id, x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256) for x in got.collect())
+            assert found == [(i, *c) for i, c in enumerate(cover([t.encode() for t in texts], 200))]
+
+
 def test_long_text_in_stretches(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "STRETCH", 1000)
     r = random.Random(3)

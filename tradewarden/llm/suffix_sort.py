@@ -175,6 +175,8 @@ def repeated(texts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray, np.
     of = np.searchsorted(begins, found, side="right") - 1
     inside = found - begins[of] + span < sizes[of]
     found, of = found[inside], of[inside]
+    if not len(found):
+        return of, found, found
     which, first = np.unique(of, return_index=True)
     last = np.append(first[1:], len(of)) - 1
     return which, found[first] - begins[which], found[last] - begins[which]
