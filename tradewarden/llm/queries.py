@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewarden.llm import embedding_dedup, lm, minhash, packing, pieces, quality, suffix_dedup, token_counts, topk, warc
-from tradewarden.llm.common import table
+from tradewarden.llm import chat, embedding_dedup, lm, minhash, packing, pieces, quality, suffix_dedup, token_counts, topk, warc
+from tradewarden.llm.common import stored, table
 from tradewarden.llm.sql import STATEMENTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,16 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts look like a template's control strings, next to those of the table.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    return chat.read_back(stored(chat.format_conversations(rows.unionByName(more)), "chat"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

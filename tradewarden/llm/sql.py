@@ -47,4 +47,18 @@ nodes AS (SELECT doc_id AS id FROM documents),
 SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN least ON id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 
-STATEMENTS = {"op1_top_k": OP1, "op6_embedding_dedup": OP6, "op9_warc": OP9, "op10_minhash": OP10}
+def _length_written(role: str, text: str) -> str:
+    """Code points of a turn: marks and line breaks, the role with its escapes, the text with one more for each control string."""
+    return f"""16 + length(replace(replace(replace({role}, '\\', '\\\\'), chr(10), '\\n'), '<', '\\l')) + length({text})
+      + (length({text}) - length(replace({text}, '<turn>', ''))) // 6 + (length({text}) - length(replace({text}, '</turn>', ''))) // 7"""
+
+
+OP11 = f"""WITH t AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')
+SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(COALESCE(SUM(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(COALESCE(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(SUM({_length_written('role', 'text')}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+STATEMENTS = {"op1_top_k": OP1, "op6_embedding_dedup": OP6, "op9_warc": OP9, "op10_minhash": OP10, "op11_chat": OP11}
