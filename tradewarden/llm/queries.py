@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewarden.llm import chat, embedding_dedup, lm, minhash, packing, pieces, quality, spelling, suffix_dedup, token_counts, topk, warc
+from tradewarden.llm import chat, embedding_dedup, lm, minhash, packing, phrases, pieces, quality, spelling, suffix_dedup, token_counts, topk, warc
 from tradewarden.llm.common import stored, table
 from tradewarden.llm.sql import STATEMENTS
 
@@ -71,6 +71,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

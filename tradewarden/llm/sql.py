@@ -61,4 +61,22 @@ SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(SUM({_length_written('role', 'text')}) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id"""
 
-STATEMENTS = {"op1_top_k": OP1, "op6_embedding_dedup": OP6, "op9_warc": OP9, "op10_minhash": OP10, "op11_chat": OP11}
+OP13 = """WITH p AS (SELECT COALESCE(lang, 'und') AS lang, UNNEST(string_split_regex(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM p),
+g AS (SELECT lang, k, UNNEST(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS lengths(k)),
+f AS (SELECT lang, k, phrase, COUNT(*) AS n FROM g GROUP BY ALL),
+c AS (SELECT lang, k, phrase, n, string_split(phrase, ' ') AS s FROM f WHERE k > 1 AND n >= 10),
+inside AS (SELECT lang, array_to_string(s[j:j + 1], ' ') AS phrase, MAX(n) AS longer FROM c, (VALUES (1), (2)) AS places(j) WHERE k = 3 GROUP BY ALL),
+cuts AS (SELECT c.lang, c.phrase, c.n AS a, j, l.n AS l, r.n AS r, (CAST(1000000 AS HUGEINT) * c.n * c.n) // (CAST(l.n AS HUGEINT) * r.n) AS score
+  FROM c JOIN (VALUES (1), (2)) AS places(j) ON j < c.k
+  JOIN f l ON l.lang = c.lang AND l.k = j AND l.phrase = array_to_string(s[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - j AND r.phrase = array_to_string(s[j + 1:c.k], ' ')
+  LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase AND c.k = 2 WHERE longer IS NULL OR 100 * longer < 50 * c.n),
+best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cuts),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE o = 1),
+n AS (SELECT lang, CAST(SUM(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+STATEMENTS = {"op1_top_k": OP1, "op6_embedding_dedup": OP6, "op9_warc": OP9, "op10_minhash": OP10, "op11_chat": OP11, "op13_phrases": OP13}
