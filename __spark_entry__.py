@@ -136,22 +136,22 @@ def _source_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Queries over trades made from events: hours, days, calendar and rates.
 EVENTS: dict[str, Callable[[Pipeline], DataFrame]] = {
-    "overview": lambda p: explore.overview(p.trades),
+    "overview": lambda p: explore.overview(p.trades, p.client_cells),
     "dq_counts": lambda p: explore.dq_counts(p.trades),
     "dq_logical_dupes": lambda p: explore.dq_logical_dupes(p.trades),
     "ms_flag_by_channel": lambda p: explore.ms_flag_by_channel(p.trades),
     "symbol_controls": lambda p: explore.symbol_controls(p.trades),
-    "by_weekday": lambda p: explore.by_weekday(p.trades),
-    "by_hour": lambda p: explore.by_hour(p.trades),
-    "atypical_bands": lambda p: explore.atypical_bands(p.trades),
-    "off_hours_by_channel": lambda p: explore.off_hours_by_channel(p.trades),
+    "by_weekday": lambda p: explore.by_weekday(p.cells),
+    "by_hour": lambda p: explore.by_hour(p.cells),
+    "atypical_bands": lambda p: explore.atypical_bands(p.cells),
+    "off_hours_by_channel": lambda p: explore.off_hours_by_channel(p.cells),
     "daily_window": lambda p: explore.daily_window(p.trades, date(2024, 1, 2), date(2024, 1, 20)),
     "days_without_activity": lambda p: explore.days_without_activity(
         p.trades, F.date_sub("primero", 20), F.date_add("ultimo", 20)),
     "api_log_report": lambda p: market.api_log_report(p.api_log),
     "business_calendar": lambda p: p.calendar,
     "holidays_with_activity": lambda p: market.holidays_with_activity(
-        p.calendar, p.trades, F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 31))),
+        p.calendar, p.cells, F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 31))),
     "implied_fx": lambda p: p.implied,
     "daily_fx": lambda p: p.fx,
     "fx_summary": lambda p: market.fx_summary(p.fx),
@@ -159,28 +159,28 @@ EVENTS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "enriched_trades": lambda p: p.enriched,
     "dropped_trades": _dropped,
     "implied_only_fx": lambda p: market.daily_fx(p.calendar, p.trades, p.quotes.where(F.lit(False)), p.implied, p.params),
-    "by_day_type": lambda p: market.by_day_type(p.enriched),
-    "volume_by_currency_ars": lambda p: market.volume_by_currency_ars(p.enriched),
-    "monthly_volume": lambda p: market.monthly_volume(p.enriched),
-    "bands_by_channel": lambda p: patterns.bands_by_channel(p.enriched),
-    "weekday_time_span": lambda p: patterns.weekday_time_span(p.enriched),
+    "by_day_type": lambda p: market.by_day_type(p.rated_client_cells),
+    "volume_by_currency_ars": lambda p: market.volume_by_currency_ars(p.rated_cells),
+    "monthly_volume": lambda p: market.monthly_volume(p.rated_cells),
+    "bands_by_channel": lambda p: patterns.bands_by_channel(p.rated_cells),
+    "weekday_time_span": lambda p: patterns.weekday_time_span(p.rated_cells),
     "api_log_view": lambda p: star.api_log_view(p.api_log),
     "api_log_export": lambda p: star.api_log_export(p.api_log),
 }
 
 # Queries over trades made from order lines: clients, amounts, prices, scores and publication.
 LINES: dict[str, Callable[[Pipeline], DataFrame]] = {
-    "top_instruments": lambda p: explore.top_instruments(p.trades),
-    "instrument_families": lambda p: explore.instrument_families(p.trades),
-    "by_channel": lambda p: explore.by_channel(p.trades),
-    "by_currency": lambda p: explore.by_currency(p.trades),
-    "by_side": lambda p: explore.by_side(p.trades),
-    "channel_mix": lambda p: explore.channel_mix(p.trades),
+    "top_instruments": lambda p: explore.top_instruments(p.trades, p.cells),
+    "instrument_families": lambda p: explore.instrument_families(p.trades, p.cells),
+    "by_channel": lambda p: explore.by_channel(p.client_cells),
+    "by_currency": lambda p: explore.by_currency(p.cells),
+    "by_side": lambda p: explore.by_side(p.cells),
+    "channel_mix": lambda p: explore.channel_mix(p.cells),
     "amount_percentiles": lambda p: explore.amount_percentiles(p.trades),
     "largest_quantity": lambda p: explore.largest_quantity(p.trades),
-    "activity_buckets": lambda p: explore.activity_buckets(p.trades),
-    "concentration_curve": lambda p: explore.concentration_curve(p.trades, p.params),
-    "top_clients": lambda p: explore.top_clients(p.trades),
+    "activity_buckets": lambda p: explore.activity_buckets(p.client_cells),
+    "concentration_curve": lambda p: explore.concentration_curve(p.client_cells, p.params),
+    "top_clients": lambda p: explore.top_clients(p.trades, p.client_cells),
     "client_profile": lambda p: p.profile,
     "thresholds": lambda p: p.limits,
     "thresholds_report": lambda p: profile.thresholds_report(p.limits),
@@ -189,10 +189,10 @@ LINES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "p1_summary": lambda p: patterns.p1_summary(p.p1, p.profile),
     "p1_top_amount": lambda p: patterns.p1_top_amount(p.p1),
     "p1_top_frequency": lambda p: patterns.p1_top_frequency(p.p1),
-    "p1_channel_lift": lambda p: patterns.p1_channel_lift(p.enriched, p.p1),
+    "p1_channel_lift": lambda p: patterns.p1_channel_lift(p.rated_client_cells, p.p1),
     "p1_instruments": lambda p: patterns.p1_instruments(p.enriched, p.p1),
     "extreme_trades_by_channel": lambda p: patterns.extreme_trades_by_channel(p.enriched, p.limits),
-    "nonbusiness_concentration": lambda p: patterns.nonbusiness_concentration(p.enriched),
+    "nonbusiness_concentration": lambda p: patterns.nonbusiness_concentration(p.rated_client_cells),
     "p2_atypical_hours": lambda p: p.p2,
     "p2_summary": lambda p: patterns.p2_summary(p.p2, p.params),
     "p2_list": lambda p: patterns.p2_list(p.p2, p.params),
@@ -218,7 +218,7 @@ LINES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "clients_export": lambda p: p.clients_export,
     "calendar_export": lambda p: star.calendar_export(p.dim_calendar),
     "top_instruments_export": lambda p: star.top_instruments_export(p.enriched),
-    "buckets_export": lambda p: star.buckets_export(p.trades),
+    "buckets_export": lambda p: star.buckets_export(p.client_cells),
     "pareto_export": lambda p: star.pareto_export(p.profile, p.params),
     "p3_top_long": lambda p: star.p3_top_long(p.p3, p.params),
     "p4_export": lambda p: patterns.p4_export(p.p4),
@@ -240,10 +240,10 @@ LINES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "client_measures": lambda p: measures.client_measures(p.clients),
     "kpi_cards": lambda p: measures.kpi_cards(p.facts, p.clients),
     "volume_by_level": lambda p: measures.volume_by_level(p.clients),
-    "trades_by_day": lambda p: measures.trades_by_day(p.enriched),
-    "trades_by_channel": lambda p: measures.trades_by_channel(p.enriched),
-    "hour_weekday_heatmap": lambda p: measures.hour_weekday_heatmap(p.enriched, p.dim_calendar),
-    "bands_within_channel": lambda p: measures.bands_within_channel(p.enriched),
+    "trades_by_day": lambda p: measures.trades_by_day(p.rated_cells),
+    "trades_by_channel": lambda p: measures.trades_by_channel(p.rated_cells),
+    "hour_weekday_heatmap": lambda p: measures.hour_weekday_heatmap(p.rated_cells, p.dim_calendar),
+    "bands_within_channel": lambda p: measures.bands_within_channel(p.rated_cells),
     "top10_by_amount": lambda p: measures.top_clients_by_amount(p.clients_export),
     "top10_by_ops": lambda p: measures.top_clients_by_ops(p.clients_export),
     "p3_pivot": lambda p: measures.p3_pivot(star.p3_top_long(p.p3, p.params), p.params.period_names),

@@ -6,10 +6,12 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import oracle_check
 from tradewarden.operators import joins, ranking
+from tradewarden.plans import cube
 from tradewarden.plans.datasets import new_line_pipeline
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -64,11 +66,9 @@ def test_no_cross_join_and_no_python_in_the_plan(spark, name):
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas", text)
 
 
-# Windows over one partition may only see a bounded list: groups with shares, slices, days, a top-k.
+# Windows over one partition may only see a bounded list: slices, days, a top-k.
 ONE_PARTITION_WINDOWS = {
-    "implied_only_fx",
-    "by_weekday", "by_hour", "by_day_type", "volume_by_currency_ars", "instrument_families", "by_channel", "by_currency", "by_side",
-    "activity_buckets", "concentration_curve", "p1_channel_lift", "nonbusiness_concentration", "clients_export", "pareto_export",
+    "implied_only_fx", "concentration_curve", "nonbusiness_concentration", "clients_export", "pareto_export",
     "top_instruments_export", "top10_by_ops", "top10_by_amount", "cumulative_share"}
 
 
@@ -80,6 +80,32 @@ def test_no_window_over_one_partition(spark, name):
         assert not re.match(r"specifiedwindowframe|[^,]*(ASC|DESC) NULLS", spec), window[:200]
 
 
+# Reports that count and add up, and nothing else: they read the cube.
+CUBE_ONLY = (
+    "by_weekday", "by_hour", "atypical_bands", "off_hours_by_channel", "by_day_type", "volume_by_currency_ars", "monthly_volume",
+    "bands_by_channel", "weekday_time_span", "by_channel", "by_currency", "by_side", "channel_mix", "activity_buckets", "concentration_curve",
+    "nonbusiness_concentration", "buckets_export", "trades_by_day", "trades_by_channel", "hour_weekday_heatmap", "bands_within_channel",
+    "holidays_with_activity")
+
+
+@pytest.mark.parametrize("name", CUBE_ONLY)
+def test_counting_reports_read_one_part_of_the_cube(spark, name):
+    df = entry.queries()[name](spark, SMALL)
+    text, read = plan(df), {f.split("/tables-")[1].split("/")[1] for f in df.inputFiles()}
+    assert "operaciones" not in read and (read or "ExistingRDD" in text), read
+    if "cubo_actividad" in read:  # the others go through a checkpoint
+        assert "PartitionFilters: [isnotnull(conjunto" in text
+
+
+def test_the_cube_is_one_scan_of_the_trades(spark):
+    p = new_line_pipeline(spark, SMALL)
+    text = plan(cube.activity_cube(p.trades, p.rated_days))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*id_cliente", text)) == 1
+    assert p.cells.agg(F.sum("ops")).collect() == p.client_cells.agg(F.sum("ops")).collect() == [(p.trades.count(),)]
+    assert p.rated_cells.agg(F.sum("ops")).collect()[0][0] == p.enriched.count()
+    assert p.cells.count() <= p.trades.select("dia_art", "hora_art", "origen", "tipo_tran", "moneda").distinct().count() + 24
+
+
 def test_range_filter_and_columns_reach_the_scan(spark):
     text = plan(entry.queries()["daily_window"](spark, SMALL))
     assert "GreaterThanOrEqual(fecha_utc" in text and re.search(r"ReadSchema: struct<fecha_utc:timestamp_ntz,dia_art:date>", text)

@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tradewarden.functions.exprs import (
     count_where, day_text, family, in_market, iso_weekday, pct, ratio, rounded, sum_where, weekday_label)
@@ -20,29 +19,35 @@ def n_ops() -> Column:
     return F.count("*").alias("ops")
 
 
-def share_of_all(part: Column, digits: int = 2) -> Column:
-    """Percentage of a grouped column's total. Only for grouped results of a handful of rows."""
-    return pct(part, F.sum(part).over(Window.partitionBy()), digits)
+def total(rows: DataFrame, measure: str) -> Column:
+    """The sum over all rows as a scalar subquery, to take shares of; no window sees the rows."""
+    return rows.agg(F.sum(measure)).scalar()
 
 
-def _counted(trades: DataFrame, *keys: Column | str, **more: Column) -> DataFrame:
+def added(measure: str = "ops", cond: Column | None = None) -> Column:
+    """The sum of a measure over cells, zero where none qualifies."""
+    value = F.col(measure) if cond is None else F.when(cond, F.col(measure))
+    return F.coalesce(F.sum(value), F.lit(0))
+
+
+def _counted(cells: DataFrame, *keys: Column | str, **more: Column) -> DataFrame:
     """ops per key, further aggregates, and the share of all operations."""
-    rows = trades.groupBy(*keys).agg(n_ops(), *[c.alias(n) for n, c in more.items()])
-    return rows.withColumn("pct_ops", share_of_all(F.col("ops")))
+    rows = cells.groupBy(*keys).agg(F.sum("ops").alias("ops"), *[c.alias(n) for n, c in more.items()])
+    return rows.withColumn("pct_ops", pct(F.col("ops"), total(cells, "ops")))
 
 
-def overview(trades: DataFrame) -> DataFrame:
-    """One row. Symbols, descriptions and days are counted among their few cells; clients in a pass of
-    their own, so that no trade row is repeated per distinct count."""
+def overview(trades: DataFrame, clients: DataFrame) -> DataFrame:
+    """One row. Symbols, descriptions and days are counted among their few cells, clients among the client cells, so that
+    no trade row is repeated per distinct count."""
     day = F.to_date("fecha_utc").alias("dia")
     cells = trades.groupBy("simbolo_titulo", "descripcion_titulo", day).agg(
         n_ops(), F.min("fecha_utc").alias("lo"), F.max("fecha_utc").alias("hi"))
-    clients = trades.agg(F.countDistinct("id_cliente")).scalar()
     rows = cells.agg(
         F.coalesce(F.sum("ops"), F.lit(0)).alias("operaciones"),
         F.countDistinct("simbolo_titulo").alias("simbolos"), F.countDistinct("descripcion_titulo").alias("descripciones"),
         F.min("lo").alias("primera_op_utc"), F.max("hi").alias("ultima_op_utc"),
-        F.countDistinct("dia").alias("dias_con_actividad_utc")).withColumn("clientes_unicos", clients)
+        F.countDistinct("dia").alias("dias_con_actividad_utc")).withColumn(
+        "clientes_unicos", clients.agg(F.countDistinct("id_cliente")).scalar())
     return rows.select("operaciones", "clientes_unicos", "simbolos", "descripciones", "primera_op_utc", "ultima_op_utc",
                        "dias_con_actividad_utc", ratio(F.col("operaciones"), F.col("clientes_unicos"), 2).alias("ops_por_cliente_prom"))
 
@@ -96,50 +101,52 @@ def rows_of(trades: DataFrame, top: DataFrame, keys: list[str]) -> DataFrame:
     return join_same(trades, F.broadcast(top.select(*keys)), keys, "left_semi")
 
 
-def top_instruments(trades: DataFrame, k: int = 15) -> DataFrame:
+def top_instruments(trades: DataFrame, cells: DataFrame, k: int = 15) -> DataFrame:
     """The k instruments are found by count alone; distinct clients are then counted for those only."""
     keys = ["simbolo_titulo", "moneda"]
-    total = trades.agg(F.count("*")).scalar()
     top = (instrument_cells(trades, *keys).groupBy(*keys)
            .agg(F.sum("ops").alias("ops"), F.min("descripcion_titulo").alias("descripcion"))
            .orderBy(F.desc("ops"), *keys).limit(k))
     clients = rows_of(trades, top, keys).groupBy(*keys).agg(F.countDistinct("id_cliente").alias("clientes"))
     return (join_same(clients, F.broadcast(top.select(*keys, "ops", "descripcion")), keys)
             .orderBy(F.desc("ops"), *keys)
-            .select("simbolo_titulo", "descripcion", "moneda", "ops", pct(F.col("ops"), total).alias("pct_ops"),
+            .select("simbolo_titulo", "descripcion", "moneda", "ops", pct(F.col("ops"), total(cells, "ops")).alias("pct_ops"),
                     "clientes"))
 
 
-def instrument_families(trades: DataFrame) -> DataFrame:
+def instrument_families(trades: DataFrame, cells: DataFrame) -> DataFrame:
     # the class depends on the instrument alone: classify instruments, not trades
     instruments = instrument_cells(trades, "simbolo_titulo")
     kind = family(F.col("descripcion_titulo"), F.col("simbolo_titulo"), corporate=True)
     return (instruments.groupBy(kind.alias("familia")).agg(F.sum("ops").alias("ops"))
-            .withColumn("pct_ops", share_of_all(F.col("ops"))).orderBy(F.desc("ops"), "familia"))
+            .withColumn("pct_ops", pct(F.col("ops"), total(cells, "ops"))).orderBy(F.desc("ops"), "familia"))
 
 
-def by_channel(trades: DataFrame) -> DataFrame:
-    return (_counted(trades, "origen", clientes=F.countDistinct("id_cliente"))
+def by_channel(clients: DataFrame) -> DataFrame:
+    """From the client cells."""
+    return (_counted(clients, "origen", clientes=F.countDistinct("id_cliente"))
             .select("origen", "ops", "pct_ops", "clientes",
                     ratio(F.col("ops"), F.col("clientes"), 2).alias("ops_por_cliente"))
             .orderBy(F.desc("ops"), "origen"))
 
 
-def by_currency(trades: DataFrame) -> DataFrame:
-    return (_counted(trades, "moneda", monto_total_moneda_original=F.round(F.sum("monto"), 0))
+def by_currency(cells: DataFrame) -> DataFrame:
+    return (_counted(cells, "moneda", monto_total_moneda_original=F.round(F.sum("monto"), 0))
             .select("moneda", "ops", "pct_ops", "monto_total_moneda_original").orderBy(F.desc("ops"), "moneda"))
 
 
-def by_side(trades: DataFrame) -> DataFrame:
-    return _counted(trades, "tipo_tran").orderBy(F.desc("ops"), "tipo_tran")
+def by_side(cells: DataFrame) -> DataFrame:
+    return _counted(cells, "tipo_tran").orderBy(F.desc("ops"), "tipo_tran")
 
 
-def channel_mix(trades: DataFrame) -> DataFrame:
-    def part(cond: Column) -> Column:
-        return pct(count_where(cond), F.count("*"), 1)
+def part_of_ops(cond: Column, digits: int = 1) -> Column:
+    """The percentage of a group's trades in cells that fulfil a condition."""
+    return pct(added("ops", cond), F.sum("ops"), digits)
 
-    return (trades.groupBy("origen").agg(part(F.col("tipo_tran") == BUY).alias("pct_compra"),
-                                         part(F.col("moneda") == USD).alias("pct_usd")).orderBy("origen"))
+
+def channel_mix(cells: DataFrame) -> DataFrame:
+    return (cells.groupBy("origen").agg(part_of_ops(F.col("tipo_tran") == BUY).alias("pct_compra"),
+                                        part_of_ops(F.col("moneda") == USD).alias("pct_usd")).orderBy("origen"))
 
 
 def amount_percentiles(trades: DataFrame) -> DataFrame:
@@ -159,8 +166,9 @@ def largest_quantity(trades: DataFrame, k: int = 10) -> DataFrame:
                     F.round("monto", 2).alias("monto")))
 
 
-def ops_per_client(trades: DataFrame) -> DataFrame:
-    return trades.groupBy("id_cliente").agg(n_ops())
+def ops_per_client(clients: DataFrame) -> DataFrame:
+    """From the client cells."""
+    return clients.groupBy("id_cliente").agg(F.sum("ops").alias("ops"))
 
 
 # Upper bounds and labels of the activity buckets; the last has no bound.
@@ -174,39 +182,39 @@ def bucket(ops: Column, buckets: tuple) -> Column:
     return case.otherwise(buckets[-1][1])
 
 
-def activity_buckets(trades: DataFrame) -> DataFrame:
-    rows = (ops_per_client(trades).groupBy(bucket(F.col("ops"), ACTIVITY_BUCKETS).alias("tramo_ops"))
+def activity_buckets(clients: DataFrame) -> DataFrame:
+    rows = (ops_per_client(clients).groupBy(bucket(F.col("ops"), ACTIVITY_BUCKETS).alias("tramo_ops"))
             .agg(F.count("*").alias("clientes"), F.sum("ops").alias("ops")))
-    return rows.select("tramo_ops", "clientes", share_of_all(F.col("clientes")).alias("pct_clientes"), "ops",
-                       share_of_all(F.col("ops")).alias("pct_ops")).orderBy("tramo_ops")
+    return rows.select("tramo_ops", "clientes", pct(F.col("clientes"), total(rows, "clientes")).alias("pct_clientes"), "ops",
+                       pct(F.col("ops"), total(rows, "ops")).alias("pct_ops")).orderBy("tramo_ops")
 
 
-def concentration_curve(trades: DataFrame, p: Params) -> DataFrame:
-    clients = trades.groupBy("id_cliente").agg(
-        n_ops(), sum_where(F.col("moneda") == ARS, F.col("monto")).alias("monto_ars"))
-    return top_shares(clients, {"pct_ops": "ops", "pct_monto_ars": "monto_ars"}, p.concentration_cuts).orderBy("corte")
+def concentration_curve(clients: DataFrame, p: Params) -> DataFrame:
+    """From the client cells."""
+    amounts = clients.groupBy("id_cliente").agg(F.sum("ops").alias("ops"), F.sum("monto_en_ars").alias("monto_ars"))
+    return top_shares(amounts, {"pct_ops": "ops", "pct_monto_ars": "monto_ars"}, p.concentration_cuts).orderBy("corte")
 
 
-def top_clients(trades: DataFrame, k: int = 10) -> DataFrame:
-    top = ops_per_client(trades).orderBy(F.desc("ops"), "id_cliente").limit(k)
+def top_clients(trades: DataFrame, clients: DataFrame, k: int = 10) -> DataFrame:
+    """Found, counted and summed in the client cells; only symbols and days come from the trades of the k clients."""
+    top = ops_per_client(clients).orderBy(F.desc("ops"), "id_cliente").limit(k)
     rows = rows_of(trades, top, ["id_cliente"])
-    channels = (rows.groupBy("id_cliente", "origen")
-                .agg(n_ops(), sum_where(F.col("moneda") == ARS, F.col("monto")).alias("m")).groupBy("id_cliente")
-                .agg(F.sum("ops").alias("ops"), F.count("origen").alias("canales"), F.min("origen").alias("canal"),
-                     F.sum("m").alias("m")))
+    channels = (rows_of(clients, top, ["id_cliente"]).groupBy("id_cliente")
+                .agg(F.sum("ops").alias("ops"), F.countDistinct("origen").alias("canales"), F.min("origen").alias("canal"),
+                     F.sum("monto_en_ars").alias("m")))
     spread = rows.groupBy("id_cliente").agg(F.countDistinct("simbolo_titulo").alias("simbolos"),
                                             F.countDistinct("dia_art").alias("dias_activos"))
     return (join_same(channels, spread, ["id_cliente"]).orderBy(F.desc("ops"), "id_cliente")
             .select("id_cliente", "ops", "canales", "canal", "simbolos", "dias_activos", F.round("m", 0).alias("monto_ars")))
 
 
-def by_weekday(trades: DataFrame) -> DataFrame:
-    return (_counted(trades, "dow_art").select("dow_art", weekday_label(F.col("dow_art")).alias("dia"), "ops", "pct_ops")
+def by_weekday(cells: DataFrame) -> DataFrame:
+    return (_counted(cells, "dow_art").select("dow_art", weekday_label(F.col("dow_art")).alias("dia"), "ops", "pct_ops")
             .orderBy("dow_art"))
 
 
-def by_hour(trades: DataFrame) -> DataFrame:
-    return (_counted(trades, "hora_art")
+def by_hour(cells: DataFrame) -> DataFrame:
+    return (_counted(cells, "hora_art")
             .withColumn("franja", F.when(in_market(F.col("hora_art")), "mercado").otherwise("fuera")).orderBy("hora_art"))
 
 
@@ -214,20 +222,19 @@ def _off_market() -> Column:
     return ~in_market(F.col("hora_art"))
 
 
-def atypical_bands(trades: DataFrame) -> DataFrame:
+def atypical_bands(cells: DataFrame) -> DataFrame:
     weekend = F.col("dow_art").isin(6, 7)
-    everything = F.count("*")
-    return trades.agg(
-        pct(count_where(_off_market()), everything).alias("pct_fuera_horario_mercado"),
-        pct(count_where(F.col("hora_art") < 6), everything).alias("pct_madrugada_0a6"),
-        pct(count_where(weekend), everything).alias("pct_fin_de_semana"),
-        count_where(weekend).alias("ops_fin_de_semana"))
+    return cells.agg(
+        part_of_ops(_off_market(), 2).alias("pct_fuera_horario_mercado"),
+        part_of_ops(F.col("hora_art") < 6, 2).alias("pct_madrugada_0a6"),
+        part_of_ops(weekend, 2).alias("pct_fin_de_semana"),
+        added("ops", weekend).alias("ops_fin_de_semana"))
 
 
-def off_hours_by_channel(trades: DataFrame) -> DataFrame:
-    return (trades.groupBy("origen").agg(
-        pct(count_where(_off_market()), F.count("*"), 1).alias("pct_fuera_horario"),
-        pct(count_where(F.col("dow_art") == 6), F.count("*"), 1).alias("pct_sabado")).orderBy("origen"))
+def off_hours_by_channel(cells: DataFrame) -> DataFrame:
+    return (cells.groupBy("origen").agg(
+        part_of_ops(_off_market()).alias("pct_fuera_horario"),
+        part_of_ops(F.col("dow_art") == 6).alias("pct_sabado")).orderBy("origen"))
 
 
 def daily_window(trades: DataFrame, start: date, end: date) -> DataFrame:

@@ -9,7 +9,7 @@ from tradewarden.functions.exprs import RATE, count_where, day_type, hour_band,
 from tradewarden.operators.ranking import percentiles_by_group
 from tradewarden.operators.spine import date_spine, join_days, last_known
 from tradewarden.params import ARS, FX_IMPLIED_LABEL, USD, Params
-from tradewarden.plans.explore import n_ops, share_of_all
+from tradewarden.plans.explore import total
 
 
 def api_log_report(log: DataFrame, p: Params = Params()) -> DataFrame:
@@ -35,8 +35,8 @@ def business_calendar(trades: DataFrame, holidays: DataFrame, p: Params) -> Data
             .select("fecha", dow.alias("dow"), "feriado", ((dow < 6) & F.col("_off").isNull()).alias("es_habil")))
 
 
-def holidays_with_activity(calendar: DataFrame, trades: DataFrame, first: Column, last: Column) -> DataFrame:
-    active = trades.groupBy(F.col("dia_art").alias("fecha")).agg(F.count("*").alias("n"))
+def holidays_with_activity(calendar: DataFrame, cells: DataFrame, first: Column, last: Column) -> DataFrame:
+    active = cells.groupBy(F.col("dia_art").alias("fecha")).agg(F.sum("ops").alias("n"))
     return (calendar.where(F.col("feriado").isNotNull() & F.col("fecha").between(first, last))
             .join(active, "fecha", "left")
             .select("fecha", "feriado", F.coalesce("n", F.lit(0)).alias("ops_ese_dia")).orderBy("fecha"))
@@ -100,7 +100,11 @@ def enriched_trades(trades: DataFrame, days: DataFrame) -> DataFrame:
     `days` has one row per calendar day, so this is a map-side join of the trades unless the calendar is
     very long: they need no shuffle and no second copy on disk. Trades on days without a rate row are
     dropped, see dropped_trades."""
-    joined = join_days(trades, days, trades["dia_art"] == days["fecha"])
+    return rated_trades(trades, days, "inner")
+
+
+def rated_trades(trades: DataFrame, days: DataFrame, how: str) -> DataFrame:
+    joined = join_days(trades, days, trades["dia_art"] == days["fecha"], how)
     in_ars = F.when(F.col("moneda") == USD, F.round(F.col("monto") * F.col("tc_ars_por_usd"), 2)) \
         .otherwise(F.col("monto"))
     return joined.select(
@@ -115,22 +119,23 @@ def dropped_trades(trades: DataFrame, fx: DataFrame) -> DataFrame:
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("ops_sin_tipo_de_cambio"), F.count("*").alias("dias"))
 
 
-def by_day_type(enriched: DataFrame) -> DataFrame:
-    rows = enriched.groupBy("tipo_dia").agg(n_ops(), F.countDistinct("id_cliente").alias("clientes"),
-                                            millions(F.sum("monto_ars")).alias("monto_ars_millones"))
-    return (rows.select("tipo_dia", "ops", share_of_all(F.col("ops")).alias("pct_ops"), "clientes", "monto_ars_millones")
+def by_day_type(clients: DataFrame) -> DataFrame:
+    """From the rated client cells."""
+    rows = clients.groupBy("tipo_dia").agg(F.sum("ops").alias("ops"), F.countDistinct("id_cliente").alias("clientes"),
+                                           millions(F.sum("monto_ars")).alias("monto_ars_millones"))
+    return (rows.select("tipo_dia", "ops", pct(F.col("ops"), total(clients, "ops")).alias("pct_ops"), "clientes", "monto_ars_millones")
             .orderBy(F.desc("ops"), "tipo_dia"))
 
 
-def volume_by_currency_ars(enriched: DataFrame) -> DataFrame:
-    rows = enriched.groupBy("moneda").agg(n_ops(), F.sum("monto_ars").alias("m"))
+def volume_by_currency_ars(cells: DataFrame) -> DataFrame:
+    rows = cells.groupBy("moneda").agg(F.sum("ops").alias("ops"), F.sum("monto_ars").alias("m"))
     return rows.select("moneda", "ops", millions(F.col("m")).alias("monto_ars_millones"),
-                       share_of_all(F.col("m")).alias("pct_monto")).orderBy("moneda")
+                       pct(F.col("m"), total(cells, "monto_ars")).alias("pct_monto")).orderBy("moneda")
 
 
-def monthly_volume(enriched: DataFrame) -> DataFrame:
+def monthly_volume(cells: DataFrame) -> DataFrame:
     # per day first: the distinct business days of a month are then rows of this small table
-    days = enriched.groupBy("mes", "dia_art", "es_habil").agg(n_ops(), F.sum("monto_ars").alias("m"))
+    days = cells.groupBy("mes", "dia_art", "es_habil").agg(F.sum("ops").alias("ops"), F.sum("monto_ars").alias("m"))
     rows = days.groupBy("mes").agg(F.sum("ops").alias("ops"), count_where(F.col("es_habil")).alias("dias_habiles_con_ops"),
                                    millions(F.sum("m")).alias("monto_ars_millones"))
     return rows.withColumn("ops_por_dia_habil", ratio(F.col("ops"), F.col("dias_habiles_con_ops"), 0)).orderBy("mes")

@@ -69,28 +69,31 @@ def volume_by_level(clients: DataFrame) -> DataFrame:
             .orderBy("orden_nivel"))
 
 
-# The visuals below count trades and need none of the fact's marks, so they read the enriched trades: the fact's join with
-# the reference prices would shuffle all trades for nothing.
+# The visuals below count trades by what the rated cells of the cube hold; none reads a trade.
 
-def trades_by_day(enriched: DataFrame) -> DataFrame:
-    return (enriched.groupBy(F.col("dia_art").alias("fecha"), "tipo_dia").agg(_operations()).orderBy("fecha", "tipo_dia"))
+def _counted() -> Column:
+    return F.sum("ops").alias("operaciones")
 
 
-def trades_by_channel(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy(F.col("origen").alias("canal")).agg(_operations()).orderBy(F.desc("operaciones"), "canal")
+def trades_by_day(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(F.col("dia_art").alias("fecha"), "tipo_dia").agg(_counted()).orderBy("fecha", "tipo_dia")
 
 
-def hour_weekday_heatmap(enriched: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Hours as rows, weekdays as columns. Trades are counted per day and hour before they meet the calendar."""
-    cells = enriched.groupBy(F.col("dia_art").alias("fecha"), "hora_art").agg(F.count("*").alias("n"))
-    return (cells.join(calendar.select("fecha", "dia_semana"), "fecha").groupBy("hora_art")
+def trades_by_channel(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(F.col("origen").alias("canal")).agg(_counted()).orderBy(F.desc("operaciones"), "canal")
+
+
+def hour_weekday_heatmap(cells: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Hours as rows, weekdays as columns. Cells are added up per day and hour before they meet the calendar."""
+    hours = cells.groupBy(F.col("dia_art").alias("fecha"), "hora_art").agg(F.sum("ops").alias("n"))
+    return (hours.join(calendar.select("fecha", "dia_semana"), "fecha").groupBy("hora_art")
             .pivot("dia_semana", list(WEEKDAYS)).agg(F.sum("n")).orderBy("hora_art"))
 
 
-def bands_within_channel(enriched: DataFrame) -> DataFrame:
-    """Hour bands as shares of their channel; the window runs over a few cells per channel."""
-    cells = enriched.groupBy(F.col("origen").alias("canal"), "franja_horaria").agg(_operations())
-    return cells.withColumn("pct", pct(F.col("operaciones"), F.sum("operaciones").over(Window.partitionBy("canal"))))
+def bands_within_channel(cells: DataFrame) -> DataFrame:
+    """Hour bands as shares of their channel; the window runs over a few rows per channel."""
+    bands = cells.groupBy(F.col("origen").alias("canal"), "franja_horaria").agg(_counted())
+    return bands.withColumn("pct", pct(F.col("operaciones"), F.sum("operaciones").over(Window.partitionBy("canal"))))
 
 
 def top_clients_by_amount(export: DataFrame, k: int = 10) -> DataFrame:

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewarden.functions.exprs import (
-    RATE, binomial_z, count_where, exact, is_option, millions, pct, ratio, sum_where, times_units)
+    RATE, binomial_z, count_where, exact, is_option, millions, pct, ratio, times_units)
 from tradewarden.operators.joins import keyed_join
 from tradewarden.operators.ranking import medians_by_group, running_total
 from tradewarden.params import (
     BAND_MARKET, CHANGE_ABRUPT, CHANGE_NO_HISTORY, OPTION_TICKER, USD, Params)
-from tradewarden.plans.explore import n_ops, share_of_all
+from tradewarden.plans.explore import added, n_ops, part_of_ops, total
 from tradewarden.plans.profile import at_night, limit, off_business
 
 # ---- P1: unusually high activity
@@ -57,15 +57,13 @@ def p1_top_frequency(p1: DataFrame, k: int = 10) -> DataFrame:
         millions(F.col("monto_ars")).alias("monto_ars_mill"))
 
 
-def p1_channel_lift(enriched: DataFrame, p1: DataFrame) -> DataFrame:
-    """Channel shares of the flagged clients against everybody's. Trades are cut to (client, channel)
-    counts before they meet the flagged clients."""
-    cells = enriched.groupBy("id_cliente", "origen").agg(n_ops())
+def p1_channel_lift(clients: DataFrame, p1: DataFrame) -> DataFrame:
+    """Channel shares of the flagged clients against everybody's, from the rated client cells."""
     flagged = p1.select("id_cliente", F.lit(True).alias("_in"))
-    rows = (cells.join(flagged, "id_cliente", "left").groupBy("origen")
-            .agg(sum_where(F.col("_in"), F.col("ops")).alias("top"), F.sum("ops").alias("todos")))
-    return (rows.select("origen", share_of_all(F.coalesce("top", F.lit(0)), 1).alias("pct_ops_top01"),
-                        share_of_all(F.col("todos"), 1).alias("pct_ops_poblacion"))
+    rows = (clients.join(flagged, "id_cliente", "left").groupBy("origen")
+            .agg(added("ops", F.col("_in")).alias("top"), F.sum("ops").alias("todos")))
+    return (rows.select("origen", pct(F.col("top"), total(p1, "ops"), 1).alias("pct_ops_top01"),
+                        pct(F.col("todos"), total(clients, "ops"), 1).alias("pct_ops_poblacion"))
             .orderBy(F.desc("pct_ops_top01"), "origen"))
 
 
@@ -96,11 +94,11 @@ def extreme_trades_by_channel(enriched: DataFrame, limits: DataFrame) -> DataFra
 # ---- P2: unusual hours and days
 
 
-def nonbusiness_concentration(enriched: DataFrame) -> DataFrame:
-    """How much of the non-business trading the 10 and the 100 most active clients explain.
+def nonbusiness_concentration(clients: DataFrame) -> DataFrame:
+    """How much of the non-business trading the 10 and the 100 most active clients explain, from the rated client cells.
     Clients with equal counts are interchangeable, so ranks run over the histogram of counts."""
-    clients = enriched.where(off_business()).groupBy("id_cliente").agg(F.count("*").alias("n"))
-    hist = clients.groupBy("n").agg(F.count("*").alias("c"))
+    active = clients.where(off_business()).groupBy("id_cliente").agg(F.sum("ops").alias("n"))
+    hist = active.groupBy("n").agg(F.count("*").alias("c"))
     run = running_total(hist, ["-n"], {"antes": "c"})
 
     def held(k: int) -> Column:
@@ -112,20 +110,20 @@ def nonbusiness_concentration(enriched: DataFrame) -> DataFrame:
                    held(10).alias("pct_explicado_top10_clientes"), held(100).alias("pct_explicado_top100_clientes"))
 
 
-def bands_by_channel(enriched: DataFrame) -> DataFrame:
-    def part(cond: Column) -> Column:
-        return pct(count_where(cond), F.count("*"), 1)
+def bands_by_channel(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("origen").agg(
+        part_of_ops(at_night()).alias("pct_madrugada"), part_of_ops(F.col("franja_horaria") == BAND_MARKET).alias("pct_mercado"),
+        part_of_ops(off_business()).alias("pct_dia_inhabil")).orderBy("origen")
 
-    return enriched.groupBy("origen").agg(
-        part(at_night()).alias("pct_madrugada"), part(F.col("franja_horaria") == BAND_MARKET).alias("pct_mercado"),
-        part(off_business()).alias("pct_dia_inhabil")).orderBy("origen")
 
+def weekday_time_span(cells: DataFrame) -> DataFrame:
+    """First and last minute of the day per UTC weekday, as numbers until the seven rows are there. A cell lies within
+    one UTC day, so its first and last time are its first and last minute."""
+    def minute(c: str) -> Column:
+        return F.hour(c) * 60 + F.minute(c)
 
-def weekday_time_span(enriched: DataFrame) -> DataFrame:
-    """First and last minute of the day per UTC weekday, as numbers until the seven rows are there."""
-    utc = F.col("fecha_utc")
-    minute = F.hour(utc) * 60 + F.minute(utc)
-    rows = enriched.groupBy((F.weekday(utc) + 1).alias("d")).agg(F.min(minute).alias("lo"), F.max(minute).alias("hi"), n_ops())
+    rows = cells.groupBy((F.weekday("dia_utc") + 1).alias("d")).agg(
+        F.min(minute("primera_utc")).alias("lo"), F.max(minute("ultima_utc")).alias("hi"), F.sum("ops").alias("ops"))
 
     def clock(m: str) -> Column:
         return F.format_string("%02d:%02d", F.floor(F.col(m) / 60), F.pmod(F.col(m), F.lit(60)))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewarden.operators.controls import key_report, require_key, row_counts
 from tradewarden.params import Params
-from tradewarden.plans import casefile, market, patterns, profile, score, star
+from tradewarden.plans import casefile, cube, market, patterns, profile, score, star
 from tradewarden.sources import external, raw, sinks
 from tradewarden.sources.storage import TableStore
 
@@ -93,6 +93,27 @@ class Pipeline:
     def enriched(self) -> DataFrame:
         return market.enriched_trades(self.trades, self.rated_days)
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        """What the counting reports read instead of the trades."""
+        return self._stored("cubo_actividad", lambda: cube.activity_cube(self.trades, self.rated_days), ("conjunto",))
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return cube.cells(self.cube)
+
+    @cached_property
+    def client_cells(self) -> DataFrame:
+        return cube.client_cells(self.cube)
+
+    @cached_property
+    def rated_cells(self) -> DataFrame:
+        return cube.rated(self.cells)
+
+    @cached_property
+    def rated_client_cells(self) -> DataFrame:
+        return cube.rated(self.client_cells)
+
     @cached_property
     def profile(self) -> DataFrame:
         return self._stored("perfil_cliente", lambda: profile.client_profile(self.enriched, self.params))
@@ -103,7 +124,7 @@ class Pipeline:
 
     @cached_property
     def days(self) -> DataFrame:
-        return self._stored("dias_habiles", lambda: profile.working_days(self.enriched, self.params))
+        return self._stored("dias_habiles", lambda: profile.working_days(self.rated_cells, self.params))
 
     @cached_property
     def references(self) -> DataFrame:
@@ -187,7 +208,7 @@ class Pipeline:
             "clientes": self.clients_export,
             "calendario": star.calendar_export(self.dim_calendar),
             "top_instrumentos": star.top_instruments_export(self.enriched),
-            "tramos_clientes": star.buckets_export(self.trades),
+            "tramos_clientes": star.buckets_export(self.client_cells),
             "pareto": star.pareto_export(self.profile, self.params),
             "p3_top": star.p3_top_long(self.p3, self.params),
             "p4_precio_fuera_mercado": patterns.p4_export(self.p4),

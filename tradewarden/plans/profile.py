@@ -111,12 +111,12 @@ def limit(limits: DataFrame, name: str) -> Column:
     return limits.select(name).scalar()
 
 
-def working_days(enriched: DataFrame, p: Params) -> DataFrame:
-    """One row: business days with trades in the base period and after it, unless given."""
+def working_days(active: DataFrame, p: Params) -> DataFrame:
+    """One row: business days with trades in the base period and after it, unless given. Rated cells or trades will do."""
     if p.working_days:
         base, after = p.working_days
-        return enriched.agg(F.lit(base).cast("long").alias("dh_ene"), F.lit(after).cast("long").alias("dh_feb_mar"))
+        return active.agg(F.lit(base).cast("long").alias("dh_ene"), F.lit(after).cast("long").alias("dh_feb_mar"))
     start, second, _, end = (F.lit(d) for d in p.period_starts)
-    days = enriched.where("es_habil").select("dia_art").distinct()
+    days = active.where("es_habil").select("dia_art").distinct()
     return days.agg(count_where((F.col("dia_art") >= start) & (F.col("dia_art") < second)).alias("dh_ene"),
                     count_where((F.col("dia_art") >= second) & (F.col("dia_art") < end)).alias("dh_feb_mar"))

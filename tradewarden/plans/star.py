@@ -129,9 +129,9 @@ def top_instruments_export(enriched: DataFrame, k: int = 15) -> DataFrame:
 EXPORT_BUCKETS = ((1, "1 op"), (2, "2 ops"), (5, "3-5"), (10, "6-10"), (50, "11-50"), (None, ">50"))
 
 
-def buckets_export(trades: DataFrame) -> DataFrame:
+def buckets_export(clients: DataFrame) -> DataFrame:
     number = bucket(F.col("ops"), tuple((b, i + 1) for i, (b, _) in enumerate(EXPORT_BUCKETS)))
-    return (ops_per_client(trades).groupBy(number.alias("orden"), bucket(F.col("ops"), EXPORT_BUCKETS).alias("tramo"))
+    return (ops_per_client(clients).groupBy(number.alias("orden"), bucket(F.col("ops"), EXPORT_BUCKETS).alias("tramo"))
             .agg(F.count("*").alias("clientes"), F.sum("ops").alias("ops")).orderBy("orden"))
 
 
