@@ -30,20 +30,25 @@ LEAST_LETTERS, LEAST_COUNT = 7, 2
 CROWD = 32
 #: A form is at least this many times as frequent as its variant.
 FORM_RATIO = 10
+#: Words that a task counts before it hands them on.
+COUNTED_WORDS = 200_000
 #: One of so many runs loses a letter, by its hash.
 SLIP = 31
 
 
 def _words(least: int):
-    """Counts of words, added up over a batch before anything is shuffled."""
+    """Counts of words, added up over many texts before anything is shuffled."""
     run = re.compile("[a-zÀ-ÿ]{%d,}" % least)
 
+    def packed(total: Counter[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter[str] = Counter()
         for batch in batches:
-            total: Counter[str] = Counter()
-            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for key, text in zip(batch.column("id"), batch.column("text")):
                 start = zlib.crc32(f"{key}:".encode())
-                for word, n in Counter(run.findall(text.encode().lower().decode())).items():
+                for word, n in Counter(run.findall(text.as_py().encode().lower().decode())).items():
                     h = zlib.crc32(word.encode(), start)
                     if h % SLIP == 0:
                         cut = h % len(word)
@@ -51,7 +56,10 @@ def _words(least: int):
                         if len(word) < least:
                             continue
                     total[word] += n
-            yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
+                if len(total) >= COUNTED_WORDS:
+                    yield packed(total)
+                    total = Counter()
+        yield packed(total)
     return read
 
 
