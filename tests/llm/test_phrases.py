@@ -81,7 +81,7 @@ def test_long_texts_are_cut_between_pieces(monkeypatch, corpus):
     texts = [t or "" for _, t in corpus]
 
     def words():
-        return [(r, w.as_py(), (i, p)) for i, part in enumerate(phrases.slices(texts))
+        return [(r, w.as_py(), (i, p)) for i, part in enumerate(phrases.slices(enumerate(texts)))
                 for r, w, p in zip(part.row.tolist(), part.known.take(pa.array(part.word)), part.piece.tolist())]
     whole = words()
     monkeypatch.setattr(phrases, "SLICE", 50)

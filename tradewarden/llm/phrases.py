@@ -29,7 +29,7 @@ LEAST, WORDS, TOP = 10, 3, 2_000
 #: At most so many words are hot; a word below HOT_COUNT occurrences never is.
 HOT_WORDS, HOT_COUNT = 500_000, 1_000_000
 #: Pointers of a shard, on average, and bytes of text that are counted at a time.
-SHARD_POINTERS, SLICE = 1_000_000, 8 << 20
+SHARD_POINTERS, SLICE = 500_000, 2 << 20
 #: Shards that a slice is dealt to at once; more shards are dealt in a second step.
 FAN_OUT = 10_000
 NO_LANG = "und"
@@ -48,7 +48,7 @@ _POINTERS = pa.schema([("partial", pa.bool_()), ("lang", pa.string()), ("w1", pa
 class Slice:
     """Words of a stretch of lower-cased text: `word` indexes `known`, `piece` and `row` tell where a word stands."""
 
-    def __init__(self, raw: np.ndarray, begins: np.ndarray, start: int):
+    def __init__(self, raw: np.ndarray, begins: np.ndarray, rows: np.ndarray, start: int):
         letter = _LETTER[raw]
         edge = np.diff(letter.astype(np.int8), prepend=0)
         at, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -56,22 +56,35 @@ class Slice:
         words = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(raw[letter])).dictionary_encode()
         self.known, self.word = words.dictionary, words.indices.to_numpy().astype(np.int64)
         self.piece = np.cumsum(_BREAK[raw], dtype=np.int32)[at]
-        self.row = np.searchsorted(begins, at + start, side="right") - 1
+        self.row = rows[np.searchsorted(begins, at + start, side="right") - 1]
 
 
-def slices(texts: list[str]) -> Iterator[Slice]:
-    """The texts' words, a bounded stretch at a time; long texts are cut at the end of a piece."""
-    encoded = [t.encode() + b"\n" for t in texts]
+def slices(texts: Iterator[tuple[int, str]]) -> Iterator[Slice]:
+    """The words of numbered texts, a bounded stretch at a time; long texts are cut at the end of a piece."""
+    waiting, rows, size = [], [], 0
+    for row, text in texts:
+        waiting.append(text.encode() + b"\n")
+        rows.append(row)
+        size += len(waiting[-1])
+        if size >= SLICE:
+            yield from _stretches(waiting, rows)
+            waiting, rows, size = [], [], 0
+    if waiting:
+        yield from _stretches(waiting, rows)
+
+
+def _stretches(encoded: list[bytes], rows: list[int]) -> Iterator[Slice]:
     begins = np.cumsum([0, *map(len, encoded)])[:-1]
-    raw = _LOWER[np.frombuffer(b"".join(encoded), np.uint8)]
+    whole = b"".join(encoded)
     lo = 0
-    while lo < len(raw):
-        hi = min(lo + SLICE, len(raw))
-        while not _BREAK[raw[hi - 1]]:
-            further = np.flatnonzero(_BREAK[raw[hi:hi + SLICE]])
-            hi = hi + int(further[0]) + 1 if len(further) else min(hi + SLICE, len(raw))
-        yield Slice(raw[lo:hi], begins, lo)
-        lo = hi
+    while lo < len(whole):
+        raw = _LOWER[np.frombuffer(whole, np.uint8, min(2 * SLICE, len(whole) - lo), lo)]
+        while not _BREAK[raw[-1]]:
+            further = np.frombuffer(whole, np.uint8, min(SLICE, len(whole) - lo - len(raw)), lo + len(raw))
+            end = np.flatnonzero(_BREAK[further])
+            raw = np.append(raw, _LOWER[further[:end[0] + 1 if len(end) else len(further)]])
+        yield Slice(raw, begins, np.array(rows), lo)
+        lo += len(raw)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slice, list[str], np.ndarray]]:
@@ -79,7 +92,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slice, list[st
     for batch in batches:
         if len(batch):
             coded = batch.column("lang").dictionary_encode()
-            for part in slices(batch.column("text").to_pylist()):
+            for part in slices((i, x.as_py()) for i, x in enumerate(batch.column("text"))):
                 if len(part.word):
                     yield part, coded.dictionary.to_pylist(), coded.indices.to_numpy()[part.row].astype(np.int64)
 
