@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import oracle_check
 from tradewarden.operators import joins, ranking
-from tradewarden.plans import cube
+from tradewarden.plans import cube, patterns
 from tradewarden.plans.datasets import new_line_pipeline
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -106,6 +106,31 @@ def test_the_cube_is_one_scan_of_the_trades(spark):
     assert p.cells.count() <= p.trades.select("dia_art", "hora_art", "origen", "tipo_tran", "moneda").distinct().count() + 24
 
 
+def test_trades_meet_their_prices_without_an_exchange(spark, monkeypatch):
+    """Beyond the broadcast bound the fact and the off-market trades read the bucketed trades; only the prices move."""
+    plain = new_line_pipeline(spark, MEDIUM)
+    want = {"facts": plain.facts, "p4": plain.p4}
+    assert "Exchange hashpartitioning" not in plan(plain.facts)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_SHARE", 50)
+    forced = new_line_pipeline(spark, MEDIUM)
+    for df in (forced.facts, patterns.off_market_trades(forced.priced, forced.params)):
+        text = plan(df)
+        assert "ShuffledHashJoin" in text and "SelectedBucketsCount" in text and text.count("Exchange hashpartitioning") == 1
+        assert text.index("SelectedBucketsCount") < text.index("Exchange hashpartitioning") and "Sort " not in text
+    for name, table in want.items():
+        got = getattr(forced, name)
+        assert got.count() == table.count() and got.exceptAll(table).isEmpty() and table.exceptAll(got).isEmpty(), name
+    forced.store.remove()
+    assert not spark.sql("SHOW TABLES").where("tableName LIKE 'tradewarden_%'").count()
+
+
+def test_median_prices_are_selected_inside_the_aggregate(spark):
+    p = new_line_pipeline(spark, SMALL)
+    text = plan(patterns.reference_prices(p.enriched, p.params))
+    assert "Window" not in text and "collect_list" in text
+
+
 def test_range_filter_and_columns_reach_the_scan(spark):
     text = plan(entry.queries()["daily_window"](spark, SMALL))
     assert "GreaterThanOrEqual(fecha_utc" in text and re.search(r"ReadSchema: struct<fecha_utc:timestamp_ntz,dia_art:date>", text)

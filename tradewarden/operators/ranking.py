@@ -121,31 +121,43 @@ def percentiles_by_group(df: DataFrame, by: Sequence[str], value: str, quantiles
         _sliced_percentiles(join_same(hist, large, by, "left_semi"), by, value, quantiles, size_as))
 
 
+def _row_at(pairs: Column, k: Column, kind: str) -> Column:
+    """The value of row k (from 0) of sorted (value, count) pairs, folded up to where the counts pass k."""
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast(kind).alias("at"))
+
+    def step(acc: Column, e: Column) -> Column:
+        seen = acc["seen"] + e["n"]
+        return F.struct(seen.alias("seen"), F.when(acc["at"].isNull() & (seen > k), e["v"]).otherwise(acc["at"]).alias("at"))
+    return F.aggregate(pairs, start, step, lambda acc: acc["at"])
+
+
 def medians_by_group(df: DataFrame, by: Sequence[str], value: str, out: str, size_as: str | None = None,
                      max_distinct: int | None = None) -> DataFrame:
     """Exact medians of a decimal, with one digit more than the value has, and the rows per group on request.
 
-    The two middle values are read off the running count of equal values: in one window for groups with up to
-    `max_distinct` different values, over slices for larger ones."""
+    Equal values are counted first. A group with up to `max_distinct` different values selects its two middle rows inside the
+    aggregate, from its sorted (value, count) pairs; a larger one reads them off the running count over slices."""
     by = list(by)
     max_distinct = MAX_DISTINCT if max_distinct is None else max_distinct
+    kind = df.schema[value].dataType
     hist = settle(_histogram(df, by, value))
-    large = settle(hist.groupBy(*by).agg(F.count("*").alias("_d")).where(F.col("_d") > max_distinct).select(*by))
-    group = Window.partitionBy(*by)
-    before = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    small = hist if large.isEmpty() else join_same(hist, large, by, "left_anti")
-    run = small.select(*by, value, "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-                       F.sum("_n").over(group).alias("_start_total"))
-    if not large.isEmpty():
-        sliced = running_total(join_same(hist, large, by, "left_semi"), [value], {"_start": "_n"}, by)
-        run = run.unionByName(sliced.select(*run.columns))
-    size, kind = F.col("_start_total"), df.schema[value].dataType
-    middle = [_at(F.lit(True), value, F.col("_start"), F.col("_n"), F.floor((size - 1 + side) / 2)) for side in (0, 1)]
-    kept = [F.max(size).alias(size_as)] if size_as else []
+    large = hist.groupBy(*by).agg(F.count("*").alias("_d")).where(F.col("_d") > max_distinct).select(*by)
+    none_large = large.isEmpty()
+    large = large if none_large else settle(large)
+    small = hist if none_large else join_same(hist, large, by, "left_anti")
+    pairs = F.sort_array(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_n").alias("n"))))
+    middle = [_row_at(F.col("_pairs"), F.floor((F.col("_size") - 1 + side) / 2), kind.simpleString()) for side in (0, 1)]
+    found = (small.groupBy(*by).agg(pairs.alias("_pairs"), F.sum("_n").alias("_size"))
+             .select(*by, "_size", *[m.alias(f"_m{i}") for i, m in enumerate(middle)]))
+    if not none_large:
+        run = running_total(join_same(hist, large, by, "left_semi"), [value], {"_start": "_n"}, by)
+        size = F.col("_start_total")
+        found = found.unionByName(run.groupBy(*by).agg(F.max(size).alias("_size"), *[
+            _at(F.lit(True), value, F.col("_start"), F.col("_n"), F.floor((size - 1 + side) / 2)).alias(f"_m{side}") for side in (0, 1)]))
     wide = f"decimal({min(38, kind.precision + 2)},{kind.scale + 1})"
     half = F.lit(Decimal("0.5"))
-    return run.groupBy(*by).agg(*[m.alias(f"_m{i}") for i, m in enumerate(middle)], *kept).select(
-        *by, ((F.col("_m0") + F.col("_m1")) * half).cast(wide).alias(out), *([size_as] if size_as else []))
+    kept = [F.col("_size").alias(size_as)] if size_as else []
+    return found.select(*by, ((F.col("_m0") + F.col("_m1")) * half).cast(wide).alias(out), *kept)
 
 
 def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:

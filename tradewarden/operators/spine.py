@@ -16,9 +16,9 @@ def date_spine(bounds: DataFrame, start: Column, end: Column, out: str = "fecha"
     return bounds.where(start <= end).select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias(out))
 
 
-def join_days(rows: DataFrame, days: DataFrame, on: Column, how: str = "inner") -> DataFrame:
-    """Rows with their day. A calendar of up to BROADCAST_DAYS, counted first, is joined on the map side."""
-    few = days.limit(BROADCAST_DAYS + 1).count() <= BROADCAST_DAYS
+def join_days(rows: DataFrame, days: DataFrame, on: Column, how: str = "inner", n_days: int | None = None) -> DataFrame:
+    """Rows with their day. A calendar of up to BROADCAST_DAYS, counted first unless `n_days` tells, is joined on the map side."""
+    few = (days.limit(BROADCAST_DAYS + 1).count() if n_days is None else n_days) <= BROADCAST_DAYS
     return rows.join(F.broadcast(days) if few else days, on, how)
 
 

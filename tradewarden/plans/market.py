@@ -94,17 +94,17 @@ def rated_days(fx: DataFrame, calendar: DataFrame) -> DataFrame:
     return fx.select("fecha", "tc_ars_por_usd").join(calendar.select("fecha", "es_habil", "feriado"), "fecha")
 
 
-def enriched_trades(trades: DataFrame, days: DataFrame) -> DataFrame:
+def enriched_trades(trades: DataFrame, days: DataFrame, n_days: int | None = None) -> DataFrame:
     """Trades with rate, amount in ARS, day type, hour band and month.
 
     `days` has one row per calendar day, so this is a map-side join of the trades unless the calendar is
     very long: they need no shuffle and no second copy on disk. Trades on days without a rate row are
     dropped, see dropped_trades."""
-    return rated_trades(trades, days, "inner")
+    return rated_trades(trades, days, "inner", n_days)
 
 
-def rated_trades(trades: DataFrame, days: DataFrame, how: str) -> DataFrame:
-    joined = join_days(trades, days, trades["dia_art"] == days["fecha"], how)
+def rated_trades(trades: DataFrame, days: DataFrame, how: str, n_days: int | None = None) -> DataFrame:
+    joined = join_days(trades, days, trades["dia_art"] == days["fecha"], how, n_days)
     in_ars = F.when(F.col("moneda") == USD, F.round(F.col("monto") * F.col("tc_ars_por_usd"), 2)) \
         .otherwise(F.col("monto"))
     return joined.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewarden.functions.exprs import (
     RATE, binomial_z, count_where, exact, is_option, millions, pct, ratio, times_units)
-from tradewarden.operators.joins import keyed_join
+from tradewarden.operators.joins import bucket_layout, keyed_join
 from tradewarden.operators.ranking import medians_by_group, running_total
 from tradewarden.params import (
     BAND_MARKET, CHANGE_ABRUPT, CHANGE_NO_HISTORY, OPTION_TICKER, USD, Params)
@@ -248,10 +248,27 @@ def market_value() -> Column:
     return times_units(F.col("cantidad"), (F.col("mediana") * rate).cast("decimal(33,11)"), 2)
 
 
+PRICE_KEYS = ("simbolo_titulo", "dia_art")
+
+
+def priced_trades(enriched: DataFrame, references: DataFrame, n_references: int | None = None) -> DataFrame:
+    """The trades with the reference price of their symbol and day, NULL where there is none."""
+    return keyed_join(enriched, references, PRICE_KEYS, "ops_referencia", "id_transaccion", "left", keyed_rows=n_references)
+
+
+def price_layout(trades: DataFrame, references: DataFrame) -> DataFrame:
+    """Trades as they are stored to meet their reference prices in place; options never meet one."""
+    free = F.col("simbolo_titulo").rlike(OPTION_TICKER)
+    return bucket_layout(trades, references, PRICE_KEYS, "ops_referencia", "id_transaccion", free)
+
+
 def p4_off_market_price(enriched: DataFrame, references: DataFrame, p: Params) -> DataFrame:
     """Trades below half or above twice the day's median of their instrument."""
-    joined = keyed_join(enriched, references, ["simbolo_titulo", "dia_art"], "ops_referencia", "id_transaccion")
-    return joined.where(off_market(p)).select(
+    return off_market_trades(priced_trades(enriched, references), p)
+
+
+def off_market_trades(priced: DataFrame, p: Params) -> DataFrame:
+    return priced.where(F.col("mediana").isNotNull() & off_market(p)).select(
         "id_transaccion", "id_cliente", "fecha_art", "origen", "tipo_tran", "simbolo_titulo", "descripcion_titulo",
         "moneda", "cantidad", "precio", F.round("mediana", 4).alias("precio_mediana_dia"), "ops_referencia",
         price_ratio().alias("ratio_vs_mercado"), "monto_ars",

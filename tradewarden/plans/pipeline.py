@@ -11,12 +11,16 @@ from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewarden.operators import joins
 from tradewarden.operators.controls import key_report, require_key, row_counts
 from tradewarden.params import Params
 from tradewarden.plans import casefile, cube, market, patterns, profile, score, star
 from tradewarden.sources import external, raw, sinks
 from tradewarden.sources.storage import TableStore
 
+# Trades of a bucket, and buckets that Spark accepts.
+BUCKET_ROWS, MAX_BUCKETS = 5_000_000, 100_000
+
 
 class Pipeline:
     """Tables of one data set, built on first use."""
@@ -91,7 +95,26 @@ class Pipeline:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return market.enriched_trades(self.trades, self.rated_days)
+        return self._enriched(self.trades)
+
+    def _enriched(self, trades: DataFrame) -> DataFrame:
+        days = self.rated_days
+        return market.enriched_trades(trades, days, self.store.rows("dias"))
+
+    @cached_property
+    def priced(self) -> DataFrame:
+        """The enriched trades with their reference prices.
+
+        As long as the prices can be broadcast, this is a view. Beyond that the trades are stored a second time, once, in buckets of
+        symbol, day and the salt of hot cells: every reader then joins them where they lie."""
+        references = self.references
+        n = self.store.rows("precios_referencia")
+        if n <= joins.BROADCAST_ROWS:
+            return patterns.priced_trades(self.enriched, references, n)
+        buckets = min(MAX_BUCKETS, max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.store.rows("operaciones") // BUCKET_ROWS))
+        laid_out = self.store.bucketed("operaciones_por_especie", lambda: patterns.price_layout(self.trades, references),
+                                       [*patterns.PRICE_KEYS, "_salt"], buckets)
+        return joins.bucketed_join(self._enriched(laid_out), references, patterns.PRICE_KEYS, "ops_referencia")
 
     @cached_property
     def cube(self) -> DataFrame:
@@ -144,8 +167,7 @@ class Pipeline:
 
     @cached_property
     def p4(self) -> DataFrame:
-        return self._stored("p4_precio_fuera_mercado", lambda: patterns.p4_off_market_price(
-            self.enriched, self.references, self.params))
+        return self._stored("p4_precio_fuera_mercado", lambda: patterns.off_market_trades(self.priced, self.params))
 
     @cached_property
     def risk(self) -> DataFrame:
@@ -154,7 +176,7 @@ class Pipeline:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return star.fact_trades(self.enriched, self.limits, self.references, self.params)
+        return star.fact_trades(self.priced, self.limits, self.params)
 
     @cached_property
     def clients(self) -> DataFrame:

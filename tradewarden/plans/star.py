@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewarden.functions.exprs import family, millions, rounded, weekday_label
-from tradewarden.operators.joins import keyed_join
 from tradewarden.operators.ranking import global_rank, top_shares
 from tradewarden.params import (
     CHANGE_ABRUPT, LEVEL_HIGH, LEVEL_LOW, LEVEL_MEDIUM, LEVEL_NONE, Params)
@@ -15,12 +14,11 @@ from tradewarden.plans.explore import bucket, n_ops, ops_per_client, rows_of
 from tradewarden.plans.patterns import extreme, off_market, price_ratio
 
 
-def fact_trades(enriched: DataFrame, limits: DataFrame, references: DataFrame, p: Params) -> DataFrame:
-    """One row per trade with its anomaly marks. The off-market mark is taken straight from the
-    day's reference price, so the trades are joined once, on (symbol, day), and never on their id."""
-    joined = keyed_join(enriched, references, ["simbolo_titulo", "dia_art"], "ops_referencia", "id_transaccion", "left")
+def fact_trades(priced: DataFrame, limits: DataFrame, p: Params) -> DataFrame:
+    """One row per trade with its anomaly marks, from the enriched trades with their reference prices. The off-market mark is
+    taken straight from the day's reference price, so the trades are never joined on their id."""
     marked = F.coalesce(off_market(p), F.lit(False))
-    return joined.select(
+    return priced.select(
         "id_transaccion", "id_cliente", "fecha_art", F.col("dia_art").alias("fecha"), "hora_art", "franja_horaria",
         "tipo_dia", "tipo_tran", F.col("origen").alias("canal"), "moneda", "simbolo_titulo", "descripcion_titulo",
         family(F.col("descripcion_titulo"), F.col("simbolo_titulo"), corporate=False).alias("familia_instrumento"),

@@ -52,6 +52,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), so
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class TableStore:
     """Named Parquet tables under a folder of this store's own below `root`, each written on first use and then read back.
 
@@ -59,9 +65,11 @@ class TableStore:
     each other's tables."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark = spark
-        self.root = f"{root or shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+        self.spark, self._id = spark, uuid.uuid4().hex
+        self.root = f"{root or shared_dir(spark)}/tables-{self._id}"
         self._ready: set[str] = set()
+        self._rows: dict[str, int] = {}
+        self._named: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -72,3 +80,27 @@ class TableStore:
             write_parquet(build(), self.path(name), partition_by, sort_by)
             self._ready.add(name)
         return self.spark.read.parquet(self.path(name))
+
+    def bucketed(self, name: str, build: Callable[[], DataFrame], keys: Sequence[str], buckets: int) -> DataFrame:
+        """A table whose rows lie in one file per bucket of the keys, so that joins on the keys need no exchange of it. Spark
+        knows buckets of catalog tables only: the table has a name of its own there until `remove`."""
+        table = f"tradewarden_{self._id}_{name}"
+        if name not in self._ready:
+            (build().repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).option("path", self.path(name))
+             .format("parquet").saveAsTable(table))
+            self._named.append(table)
+            self._ready.add(name)
+        return self.spark.table(table)
+
+    def rows(self, name: str) -> int:
+        """Rows of a stored table, counted once."""
+        if name not in self._rows:
+            self._rows[name] = self.spark.read.parquet(self.path(name)).count()
+        return self._rows[name]
+
+    def remove(self) -> None:
+        """Delete every table of this store; frames read from them end here."""
+        for table in self._named:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove_folder(self.spark, self.root)
+        self._ready, self._rows, self._named = set(), {}, []
