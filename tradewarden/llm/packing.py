@@ -101,7 +101,7 @@ def pack_ids(ids: list[int]) -> bytes:
 
 @cache
 def ids_of(path: str) -> Ids:
-    """One encoder per process, so that a worker's later tasks find the units of its earlier ones."""
+    """One encoder per process; a task forgets its units when it ends."""
     return Ids(path)
 
 
@@ -125,6 +125,7 @@ def _pieces(path: str, size: int, end_id: int):
                         rows.append((doc_id, start, length, zlib.crc32(coded[4 * start:4 * (start + length)]), n))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
                                                  names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        ids.memo = {}
     return run
 
 

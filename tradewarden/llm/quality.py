@@ -89,12 +89,22 @@ def _curve(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+#: Rows whose texts are held as bytes and compressed together.
+ROWS = 256
+
+
 def _score(model: dict, difference: Difference | None, texts: list[bytes]) -> np.ndarray:
     if difference is None:
         return np.full(len(texts), model["constant"])
     return _curve(difference(texts) @ model["curve"][:-1] + model["curve"][-1])
 
 
+def _some_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _difference(model: dict) -> Difference | None:
     return None if "constant" in model else Difference(model["good"], model["bad"], model["trained"])
 
@@ -137,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def _scores(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         difference = _difference(model)
-        for batch in batches:
+        for batch in _some_rows(batches):
             score = _score(model, difference, [t.encode() for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*(c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "text"),
                                               pa.array(score, pa.float64())],
@@ -158,13 +168,14 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 
 def keep(docs: DataFrame, model: dict, text_col: str = "text", cut: float = CUT) -> DataFrame:
-    """The rows of `docs` that the classifier doesn't reject, with all their columns."""
+    """The rows of `docs` that the classifier doesn't reject, with all their columns. A NULL text counts as empty and is
+    kept or rejected as one; an empty table stays empty; texts of any length are compressed whole."""
     schema = docs.schema
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         difference = _difference(model)
-        for batch in batches:
+        for batch in _some_rows(batches):
             score = _score(model, difference, [(t or "").encode() for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array(score >= cut))
 
