@@ -48,9 +48,10 @@ def _on_tables(build: Query) -> Query:
     return lambda spark, sf_dir: _plain(build(spark, sf_dir))
 
 
-def _top_client(p: Pipeline):
-    """The client of the drill-through page: the first of the review queue."""
-    return p.risk.agg(F.max_by("id_cliente", F.struct("score", "monto_ars", "id_cliente"))).scalar()
+def _top_client(p: Pipeline) -> str | None:
+    """The client of the drill-through page: the first of the review queue. A value, as a user would give it, so that buckets
+    and row groups can be chosen by it."""
+    return p.risk.agg(F.max_by("id_cliente", F.struct("score", "monto_ars", "id_cliente"))).collect()[0][0]
 
 
 def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +109,7 @@ def _dropped(p: Pipeline) -> DataFrame:
 
 
 def _lookup(p: Pipeline) -> DataFrame:
-    return casefile.client_profile_json(casefile.lookup_case(
-        p.risk, p.flagged, p.p4, p.population, p.params, _top_client(p)))
+    return casefile.client_profile_json(p.case_of(_top_client(p)))
 
 
 def _external_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import oracle_check
 from tradewarden.operators import joins, ranking
-from tradewarden.plans import cube, patterns
+from tradewarden.plans import casefile, cube, patterns
 from tradewarden.plans.datasets import new_line_pipeline
+from tradewarden.sources import storage
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # empty on the smallest tables: too few trades per instrument and day
@@ -122,7 +123,29 @@ def test_trades_meet_their_prices_without_an_exchange(spark, monkeypatch):
         got = getattr(forced, name)
         assert got.count() == table.count() and got.exceptAll(table).isEmpty() and table.exceptAll(got).isEmpty(), name
     forced.store.remove()
-    assert not spark.sql("SHOW TABLES").where("tableName LIKE 'tradewarden_%'").count()
+    assert not spark.sql("SHOW TABLES").where(F.col("tableName").contains(forced.store._id)).count()
+
+
+def test_a_lookup_reads_one_bucket(spark, monkeypatch):
+    p = new_line_pipeline(spark, MEDIUM)
+    client = entry._top_client(p)
+    built = casefile.client_profile_json(p.case_of(client))
+    text = plan(casefile.same_day_round_trips(p.flagged.where(F.col("id_cliente") == client)))
+    assert "SelectedBucketsCount: 1 out of" in text
+    p.cases
+    found = casefile.client_profile_json(p.case_of(client))
+    assert found.collect() == built.collect() and found.count() == 1
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a split per file
+    try:
+        assert p.case_of(client)._jdf.queryExecution().toRdd().getNumPartitions() == 1 < len(p.cases.inputFiles())
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # The trades of a client with very many are written by several tasks, into one bucket.
+    monkeypatch.setattr(storage, "BUCKET_ROWS", 5)
+    split = new_line_pipeline(spark, MEDIUM)
+    assert split.flagged.exceptAll(p.flagged).isEmpty() and split.flagged.count() == p.flagged.count()
+    hot = split.flagged.where(F.col("id_cliente") == client)
+    assert hot.select(F.input_file_name()).distinct().count() > 1
 
 
 def test_median_prices_are_selected_inside_the_aggregate(spark):

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import micro
+from tradewarden.operators import controls
 from tradewarden.operators.controls import duplicate_keys, require_key
 from tradewarden.params import Params
 from tradewarden.plans.pipeline import from_files, load_control
@@ -133,3 +134,17 @@ def test_pipeline_from_files(spark, tmp_path):
     p.register_views()
     assert spark.sql("SELECT sum(ops) FROM vw_cliente_mes").collect()[0][0] == 40
     assert p.facts.where(F.col("fecha") < "2026-01-01").count() == 0
+
+
+def test_keys_are_checked_by_fingerprints(spark):
+    """Repeated, missing and half-missing keys, the same as by grouping the keys; the keys themselves are not shuffled."""
+    rows = [(i, f"k{i}") for i in range(200)] + [(7, "k7"), (7, "k7"), (None, None), (None, "x"), (9, None), (None, None)]
+    df = spark.createDataFrame(rows, "a long, b string")
+    got = {(r.a, r.b): r.n for r in controls.bad_keys(df, ["a", "b"]).collect()}
+    assert got == {(7, "k7"): 3, (None, None): 2, (None, "x"): 1, (9, None): 1}
+    report = controls.key_report({"t": (df, ["a", "b"], None), "u": (df.where("a < 5"), ["a"], None)}).collect()
+    assert [tuple(r) for r in report] == [("t", "a, b", 206, 1, 4), ("u", "a", 5, 0, 0)]
+    plan = df.select(F.xxhash64("a", "b").alias("_h")).groupBy("_h").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(_h" in plan
+    # A fingerprint shared by different keys is no repetition.
+    assert controls.bad_keys(df.where("a < 5"), ["a"], among=df.select(F.xxhash64("a").alias("_h")).distinct()).count() == 0

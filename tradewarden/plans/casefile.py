@@ -15,7 +15,13 @@ from tradewarden.plans.explore import n_ops
 
 def flagged_trades(enriched: DataFrame, risk: DataFrame) -> DataFrame:
     """The trades of flagged clients. A client's number of trades is known, so hot clients are split."""
-    return keyed_join(enriched, risk.select("id_cliente", "ops"), ["id_cliente"], "ops", "id_transaccion", "left_semi")
+    return weighted_flagged_trades(enriched, risk).drop("_ops")
+
+
+def weighted_flagged_trades(enriched: DataFrame, risk: DataFrame) -> DataFrame:
+    """With the number of the client's trades as `_ops`."""
+    known = risk.select("id_cliente", F.col("ops").alias("_ops"))
+    return keyed_join(enriched, known, ["id_cliente"], "_ops", "id_transaccion")
 
 
 def ops_by_channel(ops: DataFrame) -> DataFrame:
@@ -148,7 +154,7 @@ def client_profile_json(cases: DataFrame) -> DataFrame:
             .select("id_cliente", "nivel_riesgo", "score", document.alias("perfil")))
 
 
-def lookup_client(cases: DataFrame, client: str) -> DataFrame:
+def lookup_client(cases: DataFrame, client: Column | str) -> DataFrame:
     return cases.where(F.col("id_cliente") == client)
 
 
@@ -163,8 +169,8 @@ def list_clients(clients: DataFrame, level: str | None = None, rule: str | None
             .orderBy(F.desc("score_riesgo"), "id_cliente"))
 
 
-def lookup_case(risk: DataFrame, flagged: DataFrame, p4: DataFrame, population: DataFrame, p: Params, client: Column) -> DataFrame:
-    """The case file of one client, built from that client's rows alone."""
+def lookup_case(risk: DataFrame, flagged: DataFrame, p4: DataFrame, population: DataFrame, p: Params, client: Column | str) -> DataFrame:
+    """The case file of one client, built from that client's rows alone: of the flagged trades one bucket is read."""
     only = [df.where(F.col("id_cliente") == client) for df in (risk, flagged, p4)]
     return case_fields(*only, population, p)
 

@@ -121,17 +121,17 @@ def review_table(clients: DataFrame, levels: tuple[str, ...] = (LEVEL_HIGH, LEVE
             .orderBy(F.desc("score_riesgo"), F.desc("monto_ars"), "id_cliente"))
 
 
-def client_card(clients: DataFrame, client: Column) -> DataFrame:
+def client_card(clients: DataFrame, client: Column | str) -> DataFrame:
     return clients.where(F.col("id_cliente") == client)
 
 
-def client_daily(facts: DataFrame, client: Column) -> DataFrame:
+def client_daily(facts: DataFrame, client: Column | str) -> DataFrame:
     """A client's trades per day and side."""
     return (facts.where(F.col("id_cliente") == client).groupBy("fecha", "tipo_tran").agg(_operations())
             .orderBy("fecha", "tipo_tran"))
 
 
-def client_trades(facts: DataFrame, client: Column) -> DataFrame:
+def client_trades(facts: DataFrame, client: Column | str) -> DataFrame:
     return (facts.where(F.col("id_cliente") == client).orderBy("fecha_art", "id_transaccion")
             .select("fecha_art", "canal", "tipo_tran", "simbolo_titulo", "cantidad", "precio", "monto_ars",
                     "flag_precio_fuera_mercado"))

@@ -12,14 +12,14 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewarden.operators import joins
-from tradewarden.operators.controls import key_report, require_key, row_counts
+from tradewarden.operators.controls import key_report, require_key, row_counts, suspects
 from tradewarden.params import Params
 from tradewarden.plans import casefile, cube, market, patterns, profile, score, star
 from tradewarden.sources import external, raw, sinks
-from tradewarden.sources.storage import TableStore
+from tradewarden.sources.storage import BUCKET_ROWS, TableStore
 
-# Trades of a bucket, and buckets that Spark accepts.
-BUCKET_ROWS, MAX_BUCKETS = 5_000_000, 100_000
+# Buckets that Spark accepts.
+MAX_BUCKETS = 100_000
 
 
 class Pipeline:
@@ -34,6 +34,7 @@ class Pipeline:
         self._log, self._trades_by = log, trades_by
         self.store = TableStore(spark, root)
         self._checked: set[str] = set()
+        self._doubtful: dict[str, DataFrame] = {}
 
     def _stored(self, name: str, build: Callable[[], DataFrame] | None = None, by: tuple[str, ...] = (),
                 sort: tuple[str, ...] = ()) -> DataFrame:
@@ -43,10 +44,16 @@ class Pipeline:
         """A stored source table, refused if its key repeats: a repeated day would multiply trades."""
         table = self._stored(name, by=by, sort=sort)
         if self._refuse and name not in self._checked:
-            require_key(table, [key], name)
+            require_key(table, [key], name, self._suspects(name, table, key))
             self._checked.add(name)
         return table
 
+    def _suspects(self, name: str, table: DataFrame, key: str) -> DataFrame:
+        """Possible repetitions of a source table's key, looked for once."""
+        if name not in self._doubtful:
+            self._doubtful[name] = suspects(table, [key])
+        return self._doubtful[name]
+
     @cached_property
     def trades(self) -> DataFrame:
         # Drill-through reads one client's trades.
@@ -66,11 +73,14 @@ class Pipeline:
             del self.__dict__[name]
 
     def key_report(self) -> DataFrame:
-        return key_report({
-            "operaciones": (self.trades, ["id_transaccion"]), "feriados": (self.holidays, ["fecha"]),
-            "tipo_cambio_api": (self.quotes, ["fecha"]), "calendario": (self.calendar, ["fecha"]),
-            "tipo_cambio_diario": (self.fx, ["fecha"]), "operaciones_enriquecidas": (self.enriched, ["id_transaccion"]),
-            "perfil_cliente": (self.profile, ["id_cliente"]), "clientes_riesgo": (self.risk, ["id_cliente"])})
+        """The enriched trades are trades, once each as long as no day repeats, so only suspects among the trades can repeat there."""
+        keys = {"operaciones": (self.trades, "id_transaccion"), "feriados": (self.holidays, "fecha"),
+                "tipo_cambio_api": (self.quotes, "fecha"), "calendario": (self.calendar, "fecha"), "tipo_cambio_diario": (self.fx, "fecha"),
+                "dias": (self.rated_days, "fecha"), "perfil_cliente": (self.profile, "id_cliente"), "clientes_riesgo": (self.risk, "id_cliente")}
+        found = {name: self._suspects(name, df, key) for name, (df, key) in keys.items()}
+        tables = {name: (df, [key], found[name]) for name, (df, key) in keys.items() if name != "dias"}
+        among = found["operaciones"] if found["dias"].isEmpty() else None
+        return key_report(tables | {"operaciones_enriquecidas": (self.enriched, ["id_transaccion"], among)})
 
     @cached_property
     def api_log(self) -> DataFrame:
@@ -111,9 +121,8 @@ class Pipeline:
         n = self.store.rows("precios_referencia")
         if n <= joins.BROADCAST_ROWS:
             return patterns.priced_trades(self.enriched, references, n)
-        buckets = min(MAX_BUCKETS, max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.store.rows("operaciones") // BUCKET_ROWS))
         laid_out = self.store.bucketed("operaciones_por_especie", lambda: patterns.price_layout(self.trades, references),
-                                       [*patterns.PRICE_KEYS, "_salt"], buckets)
+                                       [*patterns.PRICE_KEYS, "_salt"], self._buckets())
         return joins.bucketed_join(self._enriched(laid_out), references, patterns.PRICE_KEYS, "ops_referencia")
 
     @cached_property
@@ -200,14 +209,33 @@ class Pipeline:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return self._stored("operaciones_en_alerta", lambda: casefile.flagged_trades(
-            self.enriched, self.risk).select("id_cliente", "origen", "simbolo_titulo", "tipo_tran", "dia_art",
-                                             "cantidad", "monto_ars"))
+        """In buckets of the client, which is how one client's trades are looked up."""
+        return self.store.bucketed("operaciones_en_alerta", lambda: casefile.weighted_flagged_trades(self.enriched, self.risk).select(
+            "id_cliente", "id_transaccion", "origen", "simbolo_titulo", "tipo_tran", "dia_art", "cantidad", "monto_ars", "_ops"),
+            ["id_cliente"], self._buckets(), "_ops", "id_transaccion").drop("id_transaccion")
+
+    def _buckets(self) -> int:
+        """Buckets of some BUCKET_ROWS trades, and at least one per shuffle partition."""
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return min(MAX_BUCKETS, max(least, self.n_trades // BUCKET_ROWS))
+
+    @property
+    def n_trades(self) -> int:
+        """Counted once, when the stored trades are first asked for."""
+        self.trades  # noqa: B018
+        return self.store.rows("operaciones")
 
     @cached_property
     def cases(self) -> DataFrame:
-        return self._stored("perfiles", lambda: casefile.case_fields(
-            self.risk, self.flagged, self.p4, self.population, self.params))
+        return self.store.bucketed("perfiles", lambda: casefile.case_fields(
+            self.risk, self.flagged, self.p4, self.population, self.params), ["id_cliente"], self._buckets())
+
+    def case_of(self, client: str) -> DataFrame:
+        """One client's case file: read from the stored ones if they are there, else built from the client's rows. Either way
+        one bucket is read."""
+        if self.store.has("perfiles"):
+            return casefile.lookup_client(self.cases, client)
+        return casefile.lookup_case(self.risk, self.flagged, self.p4, self.population, self.params, client)
 
     def views(self) -> dict[str, DataFrame]:
         found = {"vw_fact_operaciones": self.facts, "vw_dim_cliente": self.clients,

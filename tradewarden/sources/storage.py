@@ -52,6 +52,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), so
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+# Rows that one task writes of one key.
+BUCKET_ROWS = 5_000_000
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system its path names."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -81,17 +85,29 @@ class TableStore:
             self._ready.add(name)
         return self.spark.read.parquet(self.path(name))
 
-    def bucketed(self, name: str, build: Callable[[], DataFrame], keys: Sequence[str], buckets: int) -> DataFrame:
-        """A table whose rows lie in one file per bucket of the keys, so that joins on the keys need no exchange of it. Spark
-        knows buckets of catalog tables only: the table has a name of its own there until `remove`."""
+    def bucketed(self, name: str, build: Callable[[], DataFrame], keys: Sequence[str], buckets: int, weight: str | None = None,
+                 spread: str | None = None) -> DataFrame:
+        """A table whose rows lie in one file per bucket of the keys, so that joins on the keys need no exchange of it and a
+        look-up reads one bucket. Spark knows buckets of catalog tables only: the table has a name of its own there until `remove`.
+
+        `weight`, dropped from the table, is the number of rows of the row's key. The rows of a key with more than BUCKET_ROWS
+        are dealt by a hash of `spread` to several tasks, each of which writes a file of the bucket."""
         table = f"tradewarden_{self._id}_{name}"
         if name not in self._ready:
-            (build().repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).option("path", self.path(name))
-             .format("parquet").saveAsTable(table))
+            rows = build()
+            if weight is None:
+                rows = rows.repartition(buckets, *keys)
+            else:
+                part = F.pmod(F.xxhash64(spread), F.greatest(F.lit(1), F.ceil(F.col(weight) / BUCKET_ROWS)))
+                rows = rows.repartition(buckets, F.pmod(F.hash(*keys), F.lit(buckets)), part).drop(weight).sortWithinPartitions(*keys)
+            (rows.write.mode("overwrite").bucketBy(buckets, *keys).option("path", self.path(name)).format("parquet").saveAsTable(table))
             self._named.append(table)
             self._ready.add(name)
         return self.spark.table(table)
 
+    def has(self, name: str) -> bool:
+        return name in self._ready
+
     def rows(self, name: str) -> int:
         """Rows of a stored table, counted once."""
         if name not in self._rows:
