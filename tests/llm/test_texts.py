@@ -62,6 +62,35 @@ def test_repeats_go_and_nothing_else(docs, rows, limits):
     assert by_id[14].n_removed == by_id[14].n_bytes and by_id[17].n_removed == 0
 
 
+@pytest.mark.parametrize("hot_texts", [1, 3, 8192])
+def test_hot_passages_in_many_contexts(spark, hot_texts):
+    """One passage in many texts, with different bytes around it, at lengths about the span; hot names are named again and again."""
+    r = random.Random(12)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passages = [word(n) for n in (40, 120, 199, 200, 203, 420)]
+    texts = [word(r.randint(0, 150)) + p + (word(3) if i % 3 else p[:30]) + word(r.randint(0, 150)) for p in passages for i in range(14)]
+    texts += [t[:-1] + "é" for t in texts[::5]] + texts[::9]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), hot_texts=hot_texts)
+    found = sorted((x.doc_id, x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256) for x in got.collect())
+    assert found == [(i, *c) for i, c in enumerate(cover([t.encode() for t in texts], 200))]
+
+
+def test_names_of_any_length_agree_on_equal_windows():
+    r = random.Random(13)
+    common = bytes(r.choice(b"ab") for _ in range(300))
+    texts = [bytes(r.choice(b"ab") for _ in range(n)) + common for n in (0, 17, 300)]
+    for gram in (32, 33, 64, 116, 158, 199, 200):
+        names = []
+        for t in texts:
+            found = {}
+            for _, start, windows, name, _ in zip(*suffix_dedup.runs([t], 200, gram), strict=True):
+                found |= {t[i:i + 200]: int(name) for i in range(start, start + windows)}
+            assert len(found) == len({t[i:i + 200] for i in range(len(t) - 199)})
+            names.append(found)
+        for i in range(101):
+            assert len({f[common[i:i + 200]] for f in names}) == 1
+
+
 @pytest.mark.parametrize("limits", [{}, {"shard_texts": 1}])
 def test_common_passages_around_the_span(spark, limits):
     """Tables whose texts share less than the span, just the span, or a little more; no window of a shard need repeat."""

@@ -4,8 +4,10 @@ Finding what could repeat: each 200-byte window of a text is named by the smalle
 so equal windows have equal names wherever they stand. Neighbouring windows mostly take the name from the same place; such a
 run and the text under it is the unit of work. A name that occurs once repeats nothing, and where all runs of a name hold the same text all
 of it repeats. What remains, names with several different texts, is dealt by name to shards of bounded size; each shard
-gets a suffix array by induced sorting and permuted common prefixes, which show the windows that occur in two texts. Names
-with very many different texts don't go into a shard; their windows are counted one by one instead, by hash.
+gets a suffix array by induced sorting and permuted common prefixes, which show the windows that occur in two texts. Where a
+name has more different texts than a shard should hold, the windows of those texts are named again by the smallest hash of
+longer strings, whose length goes half of the way to the window's each time, until every name fits into a shard: at the length of the
+window all texts of a name are the same.
 """
 
 from __future__ import annotations
@@ -27,20 +29,22 @@ from tradewarden.llm.minhash import _BYTE, _STEP, _UNSTEP, _mix, _powers
 SPAN = 200
 GRAM = 32
 SHARD_TEXTS = 8_192
-#: Different texts of one name from which on their windows are counted by hash.
-HOT_TEXTS = 512
+#: Different texts of one name, beyond which their windows are named again.
+HOT_TEXTS = 8_192
 #: Bytes that are hashed at a time.
 STRETCH = 1 << 19
 
 
-def _windows(raw: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """The name of the window that starts at each byte: the smallest hash of a GRAM-byte string in it; and whether the
+def _windows(raw: np.ndarray, span: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """The name of the window that starts at each byte: the smallest hash of a string of `gram` bytes in it; and whether the
     string with that hash stands at the window's start."""
     h, w, p = _BYTE[raw], 1, _STEP
-    while w < GRAM:
+    while 2 * w <= gram:
         h[:-w] = h[:-w] * np.uint64(p) + h[w:]
         w, p = 2 * w, p * p % 2 ** 64
-    own, width = _mix(h), span - GRAM + 1
+    if w < gram:  # two overlapping halves
+        h[:w - gram] = _mix(h[:w - gram]) * np.uint64(_STEP) + h[gram - w:]
+    own, width = _mix(h), span - gram + 1
     least = own.copy()
     w = 1
     while 2 * w <= width:
@@ -57,14 +61,14 @@ def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return _mix((sums[ends] - sums[starts]) * _powers(_UNSTEP, len(raw) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
-def runs(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
+def runs(texts: list[bytes], span: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """text index, start, windows, name, hash of the text under it, for each run of windows with one name from one place."""
     sizes = np.array([len(x) for x in texts], dtype=np.int64)
     ends = np.cumsum(sizes)
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
     if not len(raw):
         return tuple(np.empty(0, dtype=np.int64) for _ in range(5))
-    name, at_start = _windows(raw, span)
+    name, at_start = _windows(raw, span, gram)
     room = np.repeat(ends, sizes) - np.arange(len(raw))
     inside = room >= span
     # A run ends where the name changes or comes from the next place with that hash, so that two equal windows, in a text
@@ -191,25 +195,55 @@ def _shard(span: int):
     return run
 
 
-def _each_window(span: int):
-    """Two hashes of each window of the texts of very common names."""
+def _named_again(span: int, gram: int):
+    """Runs of the texts of hot names, by the smallest hash of `gram` bytes, with the text under each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                out = []
-                for name, same, n, cut in zip(*(part.column(c).to_pylist() for c in ("name", "same", "n", "cut")), strict=True):
-                    raw = np.frombuffer(cut, dtype=np.uint8)
-                    starts = np.arange(len(raw) - span + 1)
-                    h = _hashes(raw, starts, starts + span).view(np.int64)
-                    g = _hashes(raw[::-1], starts[::-1], starts[::-1] + span).view(np.int64)
-                    out.append((np.full(len(h), name), np.full(len(h), same), np.full(len(h), n), starts, h, g))
-                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3], pa.int32()),
-                                                  pa.array(cols[4]), pa.array(cols[5])], names=["name", "same", "n", "at", "h", "g"])
+                cuts = part.column("cut").to_pylist()
+                of, start, windows, name, same = runs(cuts, span, gram)
+                rows = pa.array(of)
+                text = [cuts[i][a:a + w + span - 1] for i, a, w in zip(of.tolist(), start.tolist(), windows.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("name").take(rows), part.column("same").take(rows), part.column("n").take(rows), pa.array(start, pa.int32()),
+                     pa.array(windows, pa.int32()), pa.array(name.view(np.int64)), pa.array(same.view(np.int64)), pa.array(text, pa.binary())],
+                    names=["name", "same", "n", "at", "windows", "name2", "same2", "cut"])
     return run
 
 
+def _in_shards(texts: DataFrame, span: int, shard_texts: int) -> DataFrame:
+    """FOUND for texts (name, same, n, cut) whose names all fit into a shard."""
+    shards = parts(texts.sparkSession, texts.count(), shard_texts)
+    return (texts.select("name", "same", "n", "cut", F.pmod(F.xxhash64("name"), F.lit(shards)).alias("shard")).groupBy("shard")
+            .applyInArrow(_shard(span), FOUND))
+
+
+def _of_hot_names(hot: DataFrame, span: int, gram: int, shard_texts: int, hot_texts: int) -> DataFrame:
+    """(name, same, first, last) for texts (name, same, n, cut): repeated windows from the first to the last of each run under finer
+    names. Equal windows have equal names at every length, so nothing is missed."""
+    finer = stored(hot.mapInArrow(_named_again(span, gram), "name long, same long, n long, at int, windows int, name2 long, same2 long, cut binary"),
+                   "finer-runs")
+    texts = finer.groupBy("name2", "same2").agg(F.sum("n").alias("n"), F.first("windows").alias("windows"), F.first("cut").alias("cut")).select(
+        F.col("name2").alias("name"), F.col("same2").alias("same"), "n", "windows", "cut")
+    texts = stored(texts, "finer-texts")
+    kinds = texts.groupBy("name").agg(F.count("*").alias("kinds"), F.sum("n").alias("k"))
+    texts = stored(texts.join(kinds.where("k > 1"), "name"), "finer-kinds")
+    whole = texts.where("kinds = 1").select("name", "same", F.lit(0).alias("first"), (F.col("windows") - 1).alias("last"))
+    fits = F.lit(gram >= span) | (F.col("kinds") <= hot_texts)
+    found = whole.unionByName(_in_shards(texts.where((F.col("kinds") > 1) & fits), span, shard_texts))
+    still = texts.where((F.col("kinds") > 1) & ~fits)
+    if not still.isEmpty():
+        found = found.unionByName(_of_hot_names(still, span, _longer(gram, span), shard_texts, hot_texts))
+    found = found.withColumnsRenamed({"name": "name2", "same": "same2"})
+    return finer.join(found, ["name2", "same2"]).select("name", "same", (F.col("at") + F.col("first")).alias("first"),
+                                                        (F.col("at") + F.col("last")).alias("last"))
+
+
+def _longer(gram: int, span: int) -> int:
+    return gram + (span - gram + 1) // 2
+
+
 def covered(scanned: DataFrame, span: int, shard_texts: int = SHARD_TEXTS, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """uid, start, end: stretches of documents whose windows repeat, possibly overlapping."""
     spark = scanned.sparkSession
@@ -230,14 +264,10 @@ def covered(scanned: DataFrame, span: int, shard_texts: int = SHARD_TEXTS, hot_t
     wanted = places.groupBy("uid").agg(F.collect_list(F.struct("start", "windows", "name", "same", "n", "hot")).alias("wanted"))
     cut = stored(scanned.select("uid", "body").join(wanted, "uid").select("body", "wanted").mapInArrow(
         _slices(span), "name long, same long, n long, hot boolean, cut binary"), "cuts")
-    cold = cut.where("not hot")
-    shards = parts(spark, cold.count(), shard_texts)
-    found = (cold.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards))).groupBy("shard")
-             .applyInArrow(_shard(span), FOUND))
-    each = cut.where("hot").mapInArrow(_each_window(span), "name long, same long, n long, at int, h long, g long")
-    often = each.groupBy("h", "g").agg(F.sum("n").alias("k")).where("k > 1").select("h", "g")
-    hot = each.join(often, ["h", "g"]).groupBy("name", "same").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    part_of = flat.join(found.unionByName(hot), ["name", "same"]).select(
+    found, hot = _in_shards(cut.where("not hot"), span, shard_texts), cut.where("hot")
+    if not hot.isEmpty():
+        found = found.unionByName(_of_hot_names(hot, span, _longer(GRAM, span), shard_texts, hot_texts))
+    part_of = flat.join(found, ["name", "same"]).select(
         "uid", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last") + span).alias("end"))
     own = scanned.select("uid", F.explode("own").alias("o")).select("uid", F.col("o.start").alias("start"), F.col("o.end").alias("end"))
     return all_of.unionByName(part_of).unionByName(own)
