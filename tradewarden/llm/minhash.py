@@ -203,15 +203,17 @@ def _verify(percent: int, size: int):
     return run
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """a, b: nodes (uid, sig, bands) and the smallest node that they share a bucket with, unless the two look unlike."""
+def meetings(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of nodes (uid, sig, bands): (key, uid, b), the members of each bucket that holds several, with its smallest; and (a, b, near), each
+    member and the smallest it meets anywhere, and whether the two look alike. Both stored."""
     keyed = nodes.select("uid", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("uid").alias("b"), F.max("uid").alias("most")).where("b <> most").drop("most")
-    met = stored(keyed.join(shared, "key").where("uid <> b").select(F.col("uid").alias("a"), "b").distinct(), "met")
+    members = stored(keyed.join(shared, "key"), "bucket-members")
+    met = members.where("uid <> b").select(F.col("uid").alias("a"), "b").distinct()
     sigs = nodes.select("uid", "sig")
     both = (met.join(sigs.select(F.col("uid").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sigs.select(F.col("uid").alias("b"), F.col("sig").alias("sb")), "b"))
-    return both.where(estimate("sa", "sb") >= NEAR).select("a", "b")
+    return members, stored(both.select("a", "b", (estimate("sa", "sb") >= NEAR).alias("near")), "met")
 
 
 def _meet(percent: int):
@@ -236,15 +238,18 @@ def _meet(percent: int):
 
 def clustered(nodes: DataFrame, percent: int, block: int) -> DataFrame:
     """node, component: clusters such that two nodes that share a bucket and look alike are always in the same one."""
-    stars = stored(components(candidates(nodes)), "star-clusters")
-    named = nodes.join(stars.withColumnRenamed("node", "uid"), "uid", "left")
-    members = named.select("uid", F.coalesce("component", "uid").alias("cluster"), F.explode("bands").alias("key"))
-    # The smallest of a bucket has met all others, so two members have nothing left to compare.
-    open_ = stored(members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("uid").alias("first"), F.min("cluster").alias("least"), F.max("cluster").alias("most"))
-        .where("n > 2 and least <> most").select("key", "n", "first"), "open-buckets")
-    left = members.join(open_, "key").where("uid <> first").select(
-        F.col("key").alias("component"), "uid", "cluster", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    members, met = meetings(nodes)
+    stars = stored(components(met.where("near").select("a", "b")), "star-clusters")
+    # The smallest of a bucket has met all others. Where it looked unlike one that no other link brought into its cluster, the
+    # bucket is open: its other members are compared with each other.
+    of = [stars.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+    apart = met.where("not near").join(of[0], "a", "left").join(of[1], "b", "left").where(
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(F.col("a").alias("uid"), "b")
+    open_ = members.join(apart, ["uid", "b"], "left_semi").select("key").distinct()
+    left = stored(members.join(open_, "key", "left_semi").where("uid <> b"), "open-members")
+    sizes = stored(left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "open-buckets")
+    left = left.join(sizes, "key").join(of[0].toDF("uid", "cluster"), "uid", "left").select(
+        F.col("key").alias("component"), "uid", F.coalesce("cluster", "uid").alias("cluster"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     dealt = _dealt(left, "cluster")
     links = dealt.join(nodes.select("uid", "sig"), "uid").groupBy("tile").applyInArrow(_meet(percent), "a long, b long")
     edges = stars.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
