@@ -21,7 +21,9 @@ from tradewarden.sources.storage import TableStore
 try:
     import corpus_pipeline
     from tradewarden.llm import queries as llm_queries
-except ImportError:  # the subpackage is optional
+except ModuleNotFoundError as missing:  # the subpackage is optional; what it needs itself is not
+    if missing.name not in ("corpus_pipeline", "tradewarden.llm"):
+        raise
     corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -94,3 +94,23 @@ def test_top_share_counts_null_as_zero(spark):
     df = spark.createDataFrame([(Decimal(8),), (None,), (Decimal(2),), (None,)], "v decimal(10,2)")
     got = ranking.top_shares(df, {"s": "v"}, [Decimal("0.25"), Decimal("0.5")]).orderBy("corte").collect()
     assert [float(r["s"]) for r in got] == [80.0, 100.0]
+
+
+@pytest.mark.parametrize("parts", ["1", "3", "16"])
+def test_running_total_with_ties(spark, parts):
+    """Values that fill several slices, values that end with a slice, and single ones."""
+    r = random.Random(4)
+    values = [5] * 40 + [3] * 25 + [r.randint(0, 9) for _ in range(60)] + list(range(20, 60)) + [7]
+    df = spark.createDataFrame([(f"c{i}", Decimal(v)) for i, v in enumerate(values)], "k string, v decimal(20,4)").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.running_total_with_ties(df, "k", "v", "rank", "held").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = sorted(set(values), reverse=True)
+    assert len(got) == len(values)
+    for x in got:
+        assert x["rank"] == order.index(x["v"]) + 1 and x["held"] == sum(v for v in values if v >= x["v"]) and x["held_total"] == sum(values)

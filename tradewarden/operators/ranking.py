@@ -67,6 +67,35 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     return run.select(*df.columns, (F.col(out) + 1).alias(out))
 
 
+def running_total_with_ties(df: DataFrame, key: str, value: str, rank: str, held: str) -> DataFrame:
+    """Add the dense rank by `value`, largest first, as `rank`, and the sum of all values at least as large, ties included, as
+    `held`, and the sum of all as `<held>_total`. `key` tells rows apart.
+
+    Rows move once, into slices of the order (value, key), so that a very common value is cut as well. Each slice ranks and sums its
+    own; one row per slice, with its first and last value, tells what came before and how far the last value reaches into
+    the slices that follow."""
+    rows = settle(df.repartitionByRange(F.col(value).desc(), F.col(key)).withColumn("_slice", F.spark_partition_id()))
+    inside = Window.partitionBy("_slice").orderBy(F.col(value).desc())
+    ranked = rows.select("*", F.dense_rank().over(inside).alias("_rank"), F.sum(value).over(inside).alias("_held"))
+    slices = rows.groupBy("_slice").agg(F.max(value).alias("first"), F.min(value).alias("last"), F.sum(value).alias("sum"),
+                                        F.countDistinct(value).alias("distinct"))
+    lead = rows.groupBy("_slice", value).agg(F.sum(value).alias("lead")).join(
+        F.broadcast(slices.select("_slice", F.col("first").alias(value))), ["_slice", value]).select("_slice", "lead")
+    order = Window.orderBy("_slice")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    marks = slices.join(F.broadcast(lead), "_slice").select(
+        "*", F.lag("last").over(order).eqNullSafe(F.col("first")).cast("long").alias("goes_on"),
+        F.lead("first").over(order).eqNullSafe(F.col("last")).alias("reaches"),
+        F.sum("lead").over(Window.partitionBy("first").orderBy(F.desc("_slice"))).alias("from_here")).select(
+        "*", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("_before"), F.sum("sum").over(Window.partitionBy()).alias(f"{held}_total"),
+        (F.coalesce(F.sum("distinct").over(before), F.lit(0)) - F.sum("goes_on").over(order)).alias("_ranks"),
+        F.when(F.col("reaches"), F.lead("from_here").over(order)).otherwise(0).alias("_after"))
+    of_slice = F.broadcast(marks.select("_slice", "_before", "_ranks", "_after", "last", f"{held}_total"))
+    return ranked.join(of_slice, "_slice").select(
+        *df.columns, (F.col("_rank") + F.col("_ranks")).alias(rank),
+        (F.col("_held") + F.col("_before") + F.when(F.col(value) == F.col("last"), F.col("_after")).otherwise(0)).alias(held), f"{held}_total")
+
+
 def _position(size: Column, p: float) -> Column:
     return (size - 1) * F.lit(float(p))
 

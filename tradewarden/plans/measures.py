@@ -8,8 +8,7 @@ from pyspark.sql.window import Window
 
 from tradewarden.functions.exprs import (
     count_where, grouped_number, millions, pct, percent_text, ratio, sum_where)
-from tradewarden.operators.joins import keyed_join
-from tradewarden.operators.ranking import running_total
+from tradewarden.operators.ranking import running_total_with_ties
 from tradewarden.params import BAND_MARKET, BUSINESS_DAY, LEVEL_HIGH, LEVEL_LOW, LEVEL_MEDIUM, LEVEL_NONE, WEEKDAYS
 
 def _operations() -> Column:
@@ -149,14 +148,6 @@ def holiday_list(calendar_export: DataFrame, upto: int) -> DataFrame:
 
 
 def cumulative_share(clients: DataFrame) -> DataFrame:
-    """Dense rank by amount and share of the total held up to that rank, ties included.
-
-    Ranks and running sums are taken per distinct amount and joined back; the number of clients of
-    an amount is known, so a very common amount is split over tasks."""
-    hist = clients.groupBy("monto_ars").agg(F.count("*").alias("_n"), F.lit(1).cast("long").alias("_one"),
-                                            F.sum("monto_ars").alias("_sum"))
-    run = running_total(hist, ["-monto_ars"], {"_rank": "_one", "_held": "_sum"})
-    marks = run.select("monto_ars", "_n", (F.col("_rank") + 1).alias("rank_cliente_monto"),
-                       ratio(F.col("_held") + F.col("_sum"), F.col("_held_total"), 6).alias("pct_acumulado_monto"))
-    return (keyed_join(clients.select("id_cliente", "monto_ars"), marks, ["monto_ars"], "_n", "id_cliente")
-            .select("id_cliente", "rank_cliente_monto", "pct_acumulado_monto"))
+    """Dense rank by amount and share of the total held up to that rank, ties included. The clients are moved once."""
+    run = running_total_with_ties(clients.select("id_cliente", "monto_ars"), "id_cliente", "monto_ars", "rank_cliente_monto", "_held")
+    return run.select("id_cliente", "rank_cliente_monto", ratio(F.col("_held"), F.col("_held_total"), 6).alias("pct_acumulado_monto"))

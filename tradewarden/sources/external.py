@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -73,18 +73,28 @@ class Source:
     detail: str = ""
 
 
-# Conditions that say that a landed file is broken; anything else, a lost executor for one, is not the source's fault.
-BROKEN = ("MALFORMED_RECORD_IN_PARSING", "FAILED_READ_FILE", "CAST_INVALID_INPUT", "CANNOT_PARSE", "INVALID_JSON", "UNABLE_TO_INFER_SCHEMA",
-          "PATH_NOT_FOUND", "PARSE_DATETIME", "CANNOT_READ_FILE")
+# Error conditions that say that a landed file is missing or broken. A failed read alone, as in an outage of the storage, does
+# not: it counts only when one of these caused it.
+BROKEN = ("MALFORMED_RECORD_IN_PARSING", "CAST_INVALID_INPUT", "CANNOT_PARSE_DECIMAL", "CANNOT_PARSE_JSON_FIELD", "CANNOT_PARSE_TIMESTAMP",
+          "INVALID_JSON_ROOT_FIELD", "INVALID_JSON_RECORD_TYPE", "UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")
+
+
+def _conditions(error: Exception) -> Iterator[str]:
+    """The error conditions of an exception and of what caused it."""
+    if isinstance(error, PySparkException):
+        yield error.getCondition() or ""
+    cause = getattr(error, "_origin", None)
+    while cause is not None:
+        if "getCondition" in dir(cause):
+            yield cause.getCondition() or ""
+        cause = cause.getCause()
 
 
 def _of_source(error: Exception) -> bool:
-    """Whether a source is missing, empty or unreadable."""
+    """Whether a source is missing, empty or unreadable, told by the error's class and conditions and never by its text."""
     if isinstance(error, (EmptyPayload, FileNotFoundError)):
         return True
-    if not isinstance(error, PySparkException):
-        return False
-    return any(c in f"{error.getCondition()} {error}" for c in BROKEN)
+    return any(c.split(".")[0] in BROKEN for c in _conditions(error))
 
 
 def first_available(spark: SparkSession, sources: Sequence[Source], label: str | None = None,
