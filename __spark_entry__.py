@@ -15,7 +15,7 @@ from tradewarden.operators import controls
 from tradewarden.plans import casefile, explore, market, measures, patterns, profile, score, star
 from tradewarden.plans.datasets import event_pipeline, line_pipeline
 from tradewarden.plans.pipeline import Pipeline, load_control
-from tradewarden.sources import adapters, external, raw, sinks
+from tradewarden.sources import adapters, external, raw, sinks, versions
 from tradewarden.sources.storage import TableStore
 
 try:
@@ -88,6 +88,24 @@ def _json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.get_json_object("value", "$.score").cast("int").alias("score"), F.col("value").alias("perfil"))
 
 
+def _published(p: Pipeline) -> DataFrame:
+    """Rows of each output of the current version, read back from where its manifest leads."""
+    out = p.store.path("publicacion")
+    p.publish_version(out)
+    version = versions.current(p.spark, out)
+    readers = {"perfiles_clientes": p.spark.read.text, "detalle_precio_fuera_de_mercado": p.spark.read.parquet}
+    tables = {n: readers.get(n, p.spark.read.option("header", True).csv)(version.path(n)) for n in version.outputs}
+    return controls.row_counts(tables, "salida")
+
+
+def _through_views(p: Pipeline) -> DataFrame:
+    """Alerted clients per level and channel, in SQL over the registered views."""
+    p.register_views()
+    return p.spark.sql("""SELECT d.nivel_riesgo, f.canal, COUNT(*) AS ops, SUM(f.monto_ars) AS monto_ars,
+        COUNT(DISTINCT f.fecha) AS dias FROM vw_fact_operaciones f JOIN vw_dim_cliente d ON d.id_cliente = f.id_cliente
+        JOIN vw_dim_calendario c ON c.fecha = f.fecha WHERE d.nivel_riesgo <> 'Sin alerta' GROUP BY d.nivel_riesgo, f.canal""")
+
+
 def _holiday_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Holiday objects written as one JSON array, as the service sends them, read and parsed."""
     path = TableStore(spark).path("feriados_json")
@@ -255,6 +273,8 @@ LINES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "client_trades": lambda p: measures.client_trades(p.facts, _top_client(p)),
     "fx_line": lambda p: measures.fx_line(star.calendar_export(p.dim_calendar), 20010630),
     "holiday_list": lambda p: measures.holiday_list(star.calendar_export(p.dim_calendar), 20010630),
+    "published_outputs": _published,
+    "views_in_sql": _through_views,
     "cumulative_share": lambda p: measures.cumulative_share(p.clients),
 }
 

@@ -601,6 +601,18 @@ UNION ALL SELECT 'snapshot', 'orders', 'FALLBACK', CAST(COUNT(*) AS INTEGER), 'l
 }
 
 
+# Output of a published version -> the statement whose rows it holds.
+OUTPUTS = {
+    "clientes_riesgo": "alert_export", "operaciones": "trades_export", "clientes": "clients_export", "calendario": "calendar_export",
+    "top_instrumentos": "top_instruments_export", "tramos_clientes": "buckets_export", "pareto": "pareto_export", "p3_top": "p3_top_long",
+    "p4_precio_fuera_mercado": "p4_export", "api_log": "api_log_export", "perfiles_clientes": "client_profile_json",
+    "detalle_precio_fuera_de_mercado": "p4_detail_nested"}
+STATEMENTS["published_outputs"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS salida, COUNT(*) AS \"count\" FROM ({STATEMENTS[query]})" for name, query in OUTPUTS.items())
+STATEMENTS["views_in_sql"] = f"""SELECT nivel_riesgo, canal, COUNT(*) AS ops, {dbl('SUM(lf.monto_ars)')} AS monto_ars, COUNT(DISTINCT lf.fecha) AS dias
+FROM lf JOIN lc ON lc.id_cliente = lf.id_cliente JOIN ldc ON ldc.fecha = lf.fecha WHERE nivel_riesgo <> 'Sin alerta' GROUP BY nivel_riesgo, canal"""
+
+
 def _needed(sql: str) -> set[str]:
     return set(re.findall(r"[a-z][a-z0-9]*", sql)) & BLOCKS.keys()
 

@@ -12,7 +12,7 @@ from tradewarden.operators import controls
 from tradewarden.operators.controls import duplicate_keys, require_key
 from tradewarden.params import Params
 from tradewarden.plans.pipeline import from_files, load_control
-from tradewarden.sources import external, raw, sinks
+from tradewarden.sources import external, raw, sinks, versions
 from tradewarden.sources.storage import TableStore
 
 HEADER = ",".join(raw.RAW_COLUMNS) + "\n"
@@ -148,3 +148,31 @@ def test_keys_are_checked_by_fingerprints(spark):
     assert "Exchange hashpartitioning(_h" in plan
     # A fingerprint shared by different keys is no repetition.
     assert controls.bad_keys(df.where("a < 5"), ["a"], among=df.select(F.xxhash64("a").alias("_h")).distinct()).count() == 0
+
+
+def test_a_version_is_seen_whole_or_not_at_all(spark, tmp_path):
+    """A run that ends between outputs leaves the version before readable; later versions push old ones and broken ones out."""
+    out = str(tmp_path / "out")
+
+    def writers(mark, fails=False):
+        def write(path):
+            spark.createDataFrame([(mark,)], "mark string").write.parquet(path)
+
+        def break_off(path):
+            raise RuntimeError("killed")
+        return {"a": write, "b": break_off if fails else write, "c": write}
+
+    def read():
+        version = versions.current(spark, out)
+        return [spark.read.parquet(version.path(n)).collect()[0]["mark"] for n in version.outputs]
+    assert versions.current(spark, out) is None
+    versions.publish(spark, out, writers("one"))
+    with pytest.raises(RuntimeError):
+        versions.publish(spark, out, writers("broken", fails=True))
+    assert read() == ["one"] * 3 and len(list((tmp_path / "out" / "versiones").iterdir())) == 2
+    old = versions.current(spark, out)
+    versions.publish(spark, out, writers("two"))
+    assert read() == ["two"] * 3 and spark.read.parquet(old.path("a")).count() == 1
+    versions.publish(spark, out, writers("three"), keep=1)
+    assert read() == ["three"] * 3
+    assert [len(list((tmp_path / "out" / d).glob("[!.]*"))) for d in ("versiones", "manifiestos")] == [1, 1]

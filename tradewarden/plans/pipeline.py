@@ -7,7 +7,7 @@ the enriched trades stay a view, because adding the rate and the calendar is a m
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import cache, cached_property
+from functools import cache, cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +15,7 @@ from tradewarden.operators import joins
 from tradewarden.operators.controls import key_report, require_key, row_counts, suspects
 from tradewarden.params import Params
 from tradewarden.plans import casefile, cube, market, patterns, profile, score, star
-from tradewarden.sources import external, raw, sinks
+from tradewarden.sources import external, raw, sinks, versions
 from tradewarden.sources.storage import BUCKET_ROWS, TableStore
 
 # Buckets that Spark accepts.
@@ -267,12 +267,21 @@ class Pipeline:
             tables["api_log"] = star.api_log_export(self.api_log)
         return tables
 
+    def writers(self) -> dict[str, Callable[[str], None]]:
+        """What writes each output to a path: exports as CSV, case files as JSON lines, nested details as a table."""
+        found = {name: partial(sinks.write_csv, df) for name, df in self.exports().items()}
+        found["perfiles_clientes"] = partial(sinks.write_json_lines, casefile.client_profile_json(self.cases))
+        found["detalle_precio_fuera_de_mercado"] = partial(sinks.save_table, casefile.p4_detail_nested(self.p4, self.params))
+        return found
+
     def publish(self, out: str) -> None:
-        """Write every export as CSV and the case files as JSON lines."""
-        for name, df in self.exports().items():
-            sinks.write_csv(df, f"{out}/{name}")
-        sinks.write_json_lines(casefile.client_profile_json(self.cases), f"{out}/perfiles_clientes")
-        sinks.save_table(casefile.p4_detail_nested(self.p4, self.params), f"{out}/detalle_precio_fuera_de_mercado")
+        """Write every output straight below `out`, one after the other."""
+        for name, write in self.writers().items():
+            write(f"{out}/{name}")
+
+    def publish_version(self, out: str, keep: int = 2) -> versions.Version:
+        """Publish all outputs at once, as a version that readers find by `versions.current`."""
+        return versions.publish(self.spark, out, self.writers(), keep)
 
 
 def from_files(spark: SparkSession, trades_csv: str, holidays_csv: str, quotes_csv: str, log_csv: str,
