@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 import oracle_queries
 from tradewarden.operators import controls
-from tradewarden.plans import casefile, explore, market, measures, patterns, profile, score, star
+from tradewarden.plans import casefile, daily, explore, market, measures, patterns, profile, score, star
 from tradewarden.plans.datasets import event_pipeline, line_pipeline
 from tradewarden.plans.pipeline import Pipeline, load_control
 from tradewarden.sources import adapters, external, raw, sinks, versions
@@ -88,6 +88,15 @@ def _json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.get_json_object("value", "$.score").cast("int").alias("score"), F.col("value").alias("perfil"))
 
 
+def _daily(p: Pipeline) -> DataFrame:
+    """Volumes from tables that were built up to the day before the last and then brought up to date."""
+    run = daily.DailyRun(p.spark, p.store.path("diaria"), p.params)
+    run.update(p.trades.where(F.col("dia_art") < p.cells.agg(F.max("dia_art")).scalar()), p.holidays, p.quotes)
+    run.update(p.trades, p.holidays, p.quotes)
+    rows = run.cells.read().where("con_tc").join(run.rates.read().select(F.col("fecha").alias("dia_art"), "fuente_tc"), "dia_art")
+    return rows.groupBy("dia_art", "moneda", "fuente_tc").agg(F.sum("ops").alias("ops"), F.sum("monto_ars").alias("monto_ars"))
+
+
 def _published(p: Pipeline) -> DataFrame:
     """Rows of each output of the current version, read back from where its manifest leads."""
     out = p.store.path("publicacion")
@@ -184,6 +193,7 @@ EVENTS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "monthly_volume": lambda p: market.monthly_volume(p.rated_cells),
     "bands_by_channel": lambda p: patterns.bands_by_channel(p.rated_cells),
     "weekday_time_span": lambda p: patterns.weekday_time_span(p.rated_cells),
+    "daily_update": _daily,
     "api_log_view": lambda p: star.api_log_view(p.api_log),
     "api_log_export": lambda p: star.api_log_export(p.api_log),
 }

@@ -607,6 +607,8 @@ OUTPUTS = {
     "top_instrumentos": "top_instruments_export", "tramos_clientes": "buckets_export", "pareto": "pareto_export", "p3_top": "p3_top_long",
     "p4_precio_fuera_mercado": "p4_export", "api_log": "api_log_export", "perfiles_clientes": "client_profile_json",
     "detalle_precio_fuera_de_mercado": "p4_detail_nested"}
+STATEMENTS["daily_update"] = f"""SELECT dia_art, moneda, fuente_tc, COUNT(*) AS ops, {dbl('SUM(monto_ars)')} AS monto_ars
+FROM ee JOIN efx ON fecha = dia_art GROUP BY ALL"""
 STATEMENTS["published_outputs"] = " UNION ALL ".join(
     f"SELECT '{name}' AS salida, COUNT(*) AS \"count\" FROM ({STATEMENTS[query]})" for name, query in OUTPUTS.items())
 STATEMENTS["views_in_sql"] = f"""SELECT nivel_riesgo, canal, COUNT(*) AS ops, {dbl('SUM(lf.monto_ars)')} AS monto_ars, COUNT(DISTINCT lf.fecha) AS dias
