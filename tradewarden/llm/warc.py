@@ -2,8 +2,9 @@
 
 Each partition of pages becomes one archive file of gzipped WARC records; a payload that an earlier page id already holds
 becomes a revisit record. The captures are sorted by URL key (the host reversed, so that a domain's pages lie together) and
-written in compressed blocks of lines; a sparse directory keeps each block's first key and place. A lookup searches the
-directory by bisection, reads one block by its byte range, and then the record by its range.
+written in compressed blocks of lines; a sparse directory keeps each block's first key and place. A lookup sends each key to the
+index files whose range holds it, searches their part of the directory by bisection, reads a block by its byte range, and then the
+record by its range.
 
 Files are written and read by executors through pyarrow's file systems, in a folder that all of them share. A file name
 carries a random part, so that a task that runs again never writes to a file of its earlier attempt; the tables of captures
@@ -34,8 +35,8 @@ BLOCK_LINES = 3_000
 BLOCKS_A_FILE = 20
 DATE = "2000-01-01T00:00:00Z"
 LEVEL = 4
-#: Directory entries that a lookup holds in memory at a time; a larger directory is searched slice by slice.
-DIRECTORY_SLICE = 200_000
+#: Index files at most; the directory's upper level has a row for each.
+FILES = 20_000
 
 CAPTURE = "page_id long, url string, key string, file string, offset long, length long, digest string, type string, refers_to long"
 DIRECTORY = "first string, last string, file string, offset long, length long, lines long"
@@ -189,7 +190,7 @@ def _write_blocks(folder: str, block_lines: int):
 
 def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Writes the captures below `folder` in compressed blocks, sorted by URL key, and returns the directory (DIRECTORY), stored."""
-    n = max(8, -(-captures.count() // (BLOCKS_A_FILE * block_lines)))
+    n = min(FILES, max(8, -(-captures.count() // (BLOCKS_A_FILE * block_lines))))
     ordered = captures.repartitionByRange(n, "key", "page_id", "file", "offset").sortWithinPartitions("key", "page_id", "file", "offset")
     return stored(ordered.mapInArrow(_write_blocks(folder, block_lines), DIRECTORY), "directory")
 
@@ -211,55 +212,100 @@ def _read_record(files: Files, entry: dict) -> dict:
             "payload": found["payload"]}
 
 
-def read_all(directory: DataFrame, archives: str, index: str) -> DataFrame:
-    """Every record behind the index (RECORD), each block by its range and each record by its range."""
+def _assign(ranges: list[tuple[str, str, str]]):
+    """The index files that may hold each key: `ranges` are (first key, last key, file) in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts, lasts, names = zip(*ranges, strict=True)
+        for batch in batches:
+            rows = []
+            for url, key in zip(batch.column("url").to_pylist(), batch.column("key").to_pylist(), strict=True):
+                key = url_key(url) if key is None else key
+                at = bisect_left(lasts, key)
+                while at < len(firsts) and firsts[at] <= key:
+                    rows.append((names[at], key, url))
+                    at += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.string())] * 3,
+                                             names=["file", "key", "url"])
+    return run
+
+
+def _search(archives: str, index: str, schema: pa.Schema):
+    """Records behind keys. For each index file come its directory entries and then the keys, both in order: a key's blocks
+    are found by bisection and read by their ranges, and then its records by theirs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, files = Files(index), Files(archives)
+        name, firsts, places, at_hand, lines = None, [], [], None, {}
+        found: list[tuple[str | None, dict]] = []
+
+        def records() -> pa.RecordBatch:
+            found.sort(key=lambda x: (x[1]["file"], x[1]["offset"]))
+            rows = [{"url": url} | _read_record(files, e) for url, e in found]
+            found.clear()
+            return pa.RecordBatch.from_pylist([{n: r[n] for n in schema.names} for r in rows], schema=schema)
         for batch in batches:
-            for d in batch.to_pylist():
-                entries = sorted((e for _, e in _entries(blocks.read(d["file"], d["offset"], d["length"]))),
-                                 key=lambda e: (e["file"], e["offset"]))
-                for at in range(0, len(entries), 500):
-                    yield pa.RecordBatch.from_pylist([_read_record(files, e) for e in entries[at:at + 500]], schema=_RECORD)
-    return directory.repartition("file", "offset").mapInArrow(run, RECORD)
+            for r in batch.to_pylist():
+                if r["file"] != name:
+                    name, firsts, places = r["file"], [], []
+                if not r["wanted"]:
+                    firsts.append(r["key"])
+                    places.append((r["last"], r["offset"], r["length"]))
+                    continue
+                at = max(0, bisect_left(firsts, r["key"]) - 1)
+                while at < len(firsts) and firsts[at] <= r["key"]:
+                    last, offset, length = places[at]
+                    if last >= r["key"]:
+                        if at_hand != (name, offset):
+                            at_hand, lines = (name, offset), {}
+                            for key, entry in _entries(blocks.read(name, offset, length)):
+                                lines.setdefault(key, []).append(entry)
+                        found += [(r["url"], e) for e in lines.get(r["key"], ())]
+                    at += 1
+                    if len(found) >= 500:
+                        yield records()
+        if found:
+            yield records()
+    return run
+
+
+def _through_index(wanted: DataFrame, directory: DataFrame, archives: str, index: str, schema: pa.Schema, ddl: str, slice_rows: int) -> DataFrame:
+    """The records of each row of `wanted` (url, key; a NULL key is that of the URL), by both levels of the index.
+
+    The index files' key ranges, at most FILES rows, send each key to its files, where it meets the part of the directory
+    that describes them; nothing else of the directory is held in one place."""
+    ranges = [tuple(r) for r in directory.groupBy("file").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+              .select("first", "last", "file").orderBy("first", "last", "file").collect()]
+    asked = [wanted.mapInArrow(_assign(ranges[at:at + slice_rows]), "file string, key string, url string") for at in range(0, len(ranges), slice_rows)]
+    described = directory.select("file", F.lit(False).alias("wanted"), F.col("first").alias("key"), "last", "offset", "length",
+                                 F.lit(None).cast("string").alias("url"))
+    rows = described
+    for part in asked:
+        rows = rows.unionByName(part.withColumn("wanted", F.lit(True)), allowMissingColumns=True)
+    # An explicit number of parts: few small rows stand for many records here, so their size tells nothing about the work.
+    dealt = rows.repartition(max(2, 2 * len(ranges)), "file").sortWithinPartitions("file", "wanted", "key", "offset")
+    return dealt.mapInArrow(_search(archives, index, schema), ddl)
 
 
 def lookup(spark: SparkSession, urls: DataFrame, directory: DataFrame, archives: str, index: str, url_col: str = "url",
-           slice_rows: int = DIRECTORY_SLICE) -> DataFrame:
-    """The records captured for each URL in `urls`: url and the columns of RECORD, with the payload of responses."""
-    keys = urls.select(F.col(f"`{url_col}`").cast("string").alias("url")).distinct()
-    ordered = directory.orderBy("first", "last", "file", "offset").toLocalIterator()
-    found, part = None, []
-
-    def searched(rows: list) -> DataFrame:
-        shipped = spark.sparkContext.broadcast([tuple(r) for r in rows])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            places, blocks, files = shipped.value, Files(index), Files(archives)
-            firsts = [p[0] for p in places]
-            for batch in batches:
-                out = []
-                for url in batch.column("url").to_pylist():
-                    key = url_key(url)
-                    at = max(0, bisect_left(firsts, key) - 1)
-                    while at < len(places) and firsts[at] <= key:
-                        if places[at][1] >= key:
-                            out += [{"url": url} | _read_record(files, e) for k, e in _entries(blocks.read(*places[at][2:5])) if k == key]
-                        at += 1
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("url", pa.string()), *_RECORD, ("payload", pa.binary())]))
-        return keys.mapInArrow(run, f"url string, {RECORD}, payload binary")
-    for row in ordered:
-        part.append(row)
-        if len(part) == slice_rows:
-            found, part = searched(part) if found is None else found.unionByName(searched(part)), []
-    last = searched(part)
-    return last if found is None else found.unionByName(last)
+           slice_rows: int = FILES) -> DataFrame:
+    """The records captured for each URL in `urls`: url and the columns of RECORD, with the payload of responses.
+
+    A NULL URL is the empty one, whose captures are those of pages without a URL; a URL that was never captured, an empty
+    table or an empty index give no rows. Other columns are ignored, whatever their names. Payloads of any length are read whole."""
+    wanted = urls.select(F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("url"), F.lit(None).cast("string").alias("key")).distinct()
+    return _through_index(wanted, directory, archives, index, pa.schema([("url", pa.string()), *_RECORD, ("payload", pa.binary())]),
+                          f"url string, {RECORD}, payload binary", slice_rows)
 
 
 def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
             min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Pages written as archives and index, and read back: one row (RECORD) per row of `pages`."""
+    """Pages written as archives and index, and looked up again by the URL key of each: one row (RECORD) per row of `pages`.
+
+    NULL payloads and URLs are empty ones, and rows without an id are records too, see write_archives; an empty table gives an
+    empty result; other columns are ignored, whatever their names. A page of any length is one record, written and read
+    as a whole by the task that holds it."""
     spark = pages.sparkSession
     archives, index = scratch(spark, "warc"), scratch(spark, "cdx")
-    directory = write_index(write_archives(pages, archives, id_col, url_col, payload_col, min_bytes), index)
-    return read_all(directory, archives, index)
+    captures = write_archives(pages, archives, id_col, url_col, payload_col, min_bytes)
+    directory = write_index(captures, index)
+    wanted = captures.select(F.lit(None).cast("string").alias("url"), "key").distinct()
+    return _through_index(wanted, directory, archives, index, _RECORD, RECORD, FILES)
