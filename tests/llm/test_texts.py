@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import zstandard
 
-from tradewarden.llm import lm, minhash, quality, suffix_dedup, suffix_sort
+from tradewarden.llm import common, lm, minhash, quality, suffix_dedup, suffix_sort
 
 
 def held(doc_id, folds, which):
@@ -220,6 +220,69 @@ def test_unigram_counts_and_scores(docs, rows, head):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def plain_score(model, counts, text):
+    """log10 probability of a text, token by token from the parts of the model."""
+    n, groups = model["classes"].n, model["classes"].groups
+    place = {w: i for i, w in enumerate(model["words"])}
+    group_of = dict(zip(model["anchors"], model["group_of_anchor"].tolist()))
+    words = [*(text or "").encode().lower().split(), b""]
+    votes = [Counter(group_of[w] for w in words[a:a + lm.STRETCH] if w in group_of) for a in range(0, len(words), lm.STRETCH)]
+    whole = sum(votes, Counter())
+    lead = [min(v or whole or {0: 1}, key=lambda g, v=v: (-(v or whole)[g], g)) for v in votes]
+
+    def kind(i):
+        if words[i] in place:
+            return int(model["class_of"][place[words[i]]])
+        return int(model["classes"].tails[lead[i // lm.STRETCH]])
+    end = int(model["class_of"][place[b""]]) if b"" in place else 0
+    total = 0.0
+    for i, w in enumerate(words):
+        row = model["table"][kind(i - 2) if i > 1 else end, kind(i - 1) if i > 0 else end]
+        if w in counts:
+            own = kind(i) if w in place else int(model["classes"].tails[counts[w][1]])
+            total += float(row[own]) + math.log10((counts[w][0] + 1) / model["held"][own])
+        else:
+            total += float(row[n])
+    return total
+
+
+@pytest.mark.parametrize("head", [200_000, 40])
+def test_scores_against_a_plain_loop(spark, docs, rows, head):
+    texts = docs.select("text").fillna("")
+    model = lm.fit(texts, head_words=head, steps=60)
+    counts = {bytes(r.word): (r.c, r.g) for r in model["counts"].collect()}
+    assert len(model["words"]) <= min(head, len(counts))
+    # All words and the unseen one share out one whole after any two classes.
+    held, n = model["held"], model["classes"].n
+    own = {w: (int(model["class_of"][model["words"].index(w)]) if w in model["words"] else int(model["classes"].tails[g])) for w, (_, g) in counts.items()}
+    for two, one in ((0, 0), (1, 2), (n - 1, 5)):
+        row = 10.0 ** model["table"][two, one].astype(float)
+        assert abs(sum(row[own[w]] * (c + 1) / held[own[w]] for w, (c, _) in counts.items()) + row[n] + sum(
+            row[k] for k in range(n) if k not in own.values() and k <= model["classes"].anchors) - 1) < 1e-3
+    texts = [t for _, t in rows] + ["words that were never seen before " * 40, "ABCDE abcde", "x"]
+    plain = spark.createDataFrame([(i, i, True, t or "") for i, t in enumerate(texts)], "uid long, doc_id long, held_out boolean, text string")
+    for r in lm.score_with(model, plain).collect():
+        assert abs(r.score - plain_score(model, counts, texts[r.doc_id])) < 1e-3 * max(1, r.n_tokens / 100), r.doc_id
+
+
+def test_held_out_perplexity_is_a_third_below_the_base(spark):
+    got = lm.score(common.table(spark, "/root/testdata/sf0.01", "documents")).where("held_out")
+    n, base, model = got.selectExpr("sum(n_tokens)", "sum(base_score)", "sum(score)").first()
+    assert 10 ** (-model / n) < 2 / 3 * 10 ** (-base / n)
+
+
+def test_training_in_rounds(spark):
+    """Events in several tasks, averaged, teach what all events at hand do."""
+    rng = np.random.default_rng(0)
+    n, follow = 8, rng.permutation(8)
+    own = rng.integers(0, n, 4000)
+    codes, counts = np.unique((rng.integers(0, n, 4000) * n + own) * n + follow[own], return_counts=True)
+    events = spark.createDataFrame(list(zip(codes.tolist(), counts.tolist())), "code long, n long")
+    table = lm.train_in_rounds(events, n, steps=200, task_events=20)
+    assert np.allclose((10 ** table).sum(axis=2), 1) and table[:, np.arange(n), follow].mean() > np.log10(0.5)
+    assert np.allclose((10 ** lm.train_in_rounds(events.limit(0), n, steps=5)).sum(axis=2), 1)
+
+
 def test_predictions_are_normalised_and_learn():
     rng = np.random.default_rng(0)
     n, follow = 8, rng.permutation(8)
