@@ -118,17 +118,19 @@ def _together(anchors: list[bytes]):
 def group_anchors(together: np.ndarray, groups: int) -> np.ndarray:
     """The group of each anchor: k-means over the rows of positive pointwise mutual information, from far-apart beginnings."""
     n = len(together)
+    if not n:
+        return np.empty(0, dtype=np.int64)
     seen = np.diag(together).copy()
     seen[seen == 0] = 1
-    lift = np.maximum(np.log((together + 1e-9) * max(seen.max(), 1) / np.outer(seen, seen)), 0)
+    lift = np.maximum(np.log((together + 1e-9) * seen.max() / np.outer(seen, seen)), 0)
     lift /= np.maximum(np.linalg.norm(lift, axis=1, keepdims=True), 1e-9)
-    centre = [int(seen.argmax())] if n else []
+    centre = [int(seen.argmax())]
     while len(centre) < min(groups, n):
         centre.append(int((lift @ lift[centre].T).max(axis=1).argmin()))
-    middle, of = lift[centre], np.zeros(n, dtype=np.int64)
+    middle = lift[centre]
     for _ in range(30):
-        of = (lift @ middle.T).argmax(axis=1) if n else of
-        middle = np.stack([lift[of == g].mean(axis=0) if (of == g).any() else middle[g] for g in range(len(middle))]) if n else middle
+        of = (lift @ middle.T).argmax(axis=1)
+        middle = np.stack([lift[of == g].mean(axis=0) if (of == g).any() else middle[g] for g in range(len(middle))])
         middle /= np.maximum(np.linalg.norm(middle, axis=1, keepdims=True), 1e-9)
     return of
 
@@ -348,7 +350,7 @@ def fit(texts: DataFrame, head_words: int = HEAD_WORDS, steps: int = STEPS) -> d
     own = np.array([anchor_of.get(w, -1) for w in words], dtype=np.int64)
     class_of = np.where(own >= 0, own + 1, classes.of(g, np.searchsorted(BANDS, c, side="right") - 1)).astype(np.int64)
     # What each class holds: the counts of its words, one more for each, and in groups one for a word that was never seen.
-    held = np.bincount(class_of, weights=c + 1.0, minlength=classes.n)
+    held = np.bincount(class_of, weights=c + 1.0, minlength=classes.n).astype(np.float64)
     beyond = weight - np.bincount(g, weights=c + 1.0, minlength=GROUPS)
     held[classes.tails] += beyond
     held[1 + classes.anchors:] += 1
