@@ -130,7 +130,7 @@ def test_a_lookup_reads_one_bucket(spark, monkeypatch):
     p = new_line_pipeline(spark, MEDIUM)
     client = entry._top_client(p)
     built = casefile.client_profile_json(p.case_of(client))
-    text = plan(casefile.same_day_round_trips(p.flagged.where(F.col("id_cliente") == client)))
+    text = plan(casefile.same_day_round_trips(p.flagged_of(client)))
     assert "SelectedBucketsCount: 1 out of" in text
     p.cases
     found = casefile.client_profile_json(p.case_of(client))
@@ -144,7 +144,8 @@ def test_a_lookup_reads_one_bucket(spark, monkeypatch):
     monkeypatch.setattr(storage, "BUCKET_ROWS", 5)
     split = new_line_pipeline(spark, MEDIUM)
     assert split.flagged.exceptAll(p.flagged).isEmpty() and split.flagged.count() == p.flagged.count()
-    hot = split.flagged.where(F.col("id_cliente") == client)
+    hot = split.flagged_of(client)
+    assert "SelectedBucketsCount" not in plan(casefile.same_day_round_trips(split.flagged))
     assert hot.select(F.input_file_name()).distinct().count() > 1
 
 

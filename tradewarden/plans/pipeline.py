@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from functools import cache, cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewarden.operators import joins
 from tradewarden.operators.controls import key_report, require_key, row_counts, suspects
@@ -209,10 +210,18 @@ class Pipeline:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        """In buckets of the client, which is how one client's trades are looked up."""
+        """The trades of flagged clients, read in even splits: a bucket as a whole would be one task, whatever its client."""
+        self._flagged_buckets()
+        return self.spark.read.parquet(self.store.path("operaciones_en_alerta")).drop("id_transaccion")
+
+    def flagged_of(self, client: str) -> DataFrame:
+        """One client's flagged trades, from the client's bucket."""
+        return self._flagged_buckets().drop("id_transaccion").where(F.col("id_cliente") == client)
+
+    def _flagged_buckets(self) -> DataFrame:
         return self.store.bucketed("operaciones_en_alerta", lambda: casefile.weighted_flagged_trades(self.enriched, self.risk).select(
             "id_cliente", "id_transaccion", "origen", "simbolo_titulo", "tipo_tran", "dia_art", "cantidad", "monto_ars", "_ops"),
-            ["id_cliente"], self._buckets(), "_ops", "id_transaccion").drop("id_transaccion")
+            ["id_cliente"], self._buckets(), "_ops", "id_transaccion")
 
     def _buckets(self) -> int:
         """Buckets of some BUCKET_ROWS trades, and at least one per shuffle partition."""
@@ -235,7 +244,7 @@ class Pipeline:
         one bucket is read."""
         if self.store.has("perfiles"):
             return casefile.lookup_client(self.cases, client)
-        return casefile.lookup_case(self.risk, self.flagged, self.p4, self.population, self.params, client)
+        return casefile.lookup_case(self.risk, self.flagged_of(client), self.p4, self.population, self.params, client)
 
     def views(self) -> dict[str, DataFrame]:
         found = {"vw_fact_operaciones": self.facts, "vw_dim_cliente": self.clients,
