@@ -47,6 +47,29 @@ def test_bounds_hold_and_large_numbers_stay_exact():
     assert topk._products(big, big)[0, 0] == 2 ** 63 - 1 and topk._products(big, np.array([[2 ** 20 + 1, 1]]))[0, 0] == 2 ** 60 + 2 ** 40 + 3
 
 
+def test_bounds_leave_a_fifth_of_structured_vectors():
+    """Vectors near a few directions, hidden in a turned space: exact results, and few exact products."""
+    rng = np.random.default_rng(3)
+    turn = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    centres = rng.normal(size=(40, 6)) @ turn[:6]
+    x = np.floor(64 * (centres[rng.integers(0, 40, 6000)] + 0.1 * rng.normal(size=(6000, 64)))).astype(np.int64)
+    ids, tally = np.arange(6000), []
+    q, vec, score = topk.search(ids[::20], x[::20], ids, x, 20, tally=tally)
+    pairs, exact = map(sum, zip(*tally))
+    assert exact < pairs / 5
+    products = x[::20] @ x.T
+    for i in range(300):
+        want = sorted((-s, j) for j, s in enumerate(products[i].tolist()) if j != 20 * i)[:20]
+        assert [(-s, j) for s, j in want] == list(zip(score[q == 20 * i].tolist(), vec[q == 20 * i].tolist()))
+
+
+def test_resolutions_cover_all_axes():
+    for d in (1, 2, 3, 16, 64, 1000):
+        for leading in (1, 2, 8, 24):
+            cuts = topk._resolution(d, leading)
+            assert cuts[0] == 0 and cuts[-1] == d and (np.diff(cuts) > 0).all()
+
+
 def near(rows, least=0.98):
     n = len(rows)
     unit = [None if label is None or v is None or not all(x is not None and np.isfinite(x) for x in v) or not np.any(v)
