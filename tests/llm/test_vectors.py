@@ -144,6 +144,38 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_the_audit_acts_on_a_broken_graph(spark, monkeypatch):
+    """A search that finds nothing ends in exact tiles; one that works is kept."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(30, 16))
+    rows = [(i, (centre[i % 30] + 0.02 * rng.normal(size=16)).tolist(), i % 2) for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    real, calls = embedding_dedup.links, []
+
+    def broken(*given, exact=False):
+        calls.append(exact)
+        found = real(*given, exact=exact)
+        return found if exact else found.limit(0)
+    monkeypatch.setattr(embedding_dedup, "links", broken)
+    got = embedding_dedup.near_duplicates(df, size=64).collect()
+    assert calls == [False] * embedding_dedup.ROUNDS + [True]
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in got) == near(rows)
+
+
+def test_the_audit_looks_until_it_has_seen_links(spark):
+    """Rare links, and a node with very many copies, which count once."""
+    rng = np.random.default_rng(6)
+    unit = rng.normal(size=(900, 32))
+    unit[1::90] = unit[0::90] + 0.01 * rng.normal(size=(10, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, str(i // 450), 32, u.tolist(), 5000 if i < 2 else 1) for i, u in enumerate(unit)],
+                                  "node long, label string, dim int, unit array<double>, weight long")
+    links = [(i, 1) for k in range(0, 900, 90) for i in (k, k + 1)]
+    for kept, share in ((links, 1.0), (links[:2], 0.1), ([], 0.0)):
+        found = spark.createDataFrame(kept, "node long, apart long")
+        assert embedding_dedup.audit(nodes, found, 0.98, size=5, seen=1000, most=2000) == (share, 20)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert topk.top_k(none).count() == 0 and embedding_dedup.near_duplicates(none).count() == 0

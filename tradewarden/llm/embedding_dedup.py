@@ -4,9 +4,9 @@ Equal vectors are one node. Nodes are dealt to the pivots of their label that th
 until a shard is small. Each shard builds its graph; a node's adjacency list is the union of its lists in all its shards.
 Every shard then searches from its medoid for each of its nodes, along the united lists, which also lead to close nodes of
 other shards, and expands all that lies in range. A link is verified in double precision and counted once, in the first
-shard that both ends share. The result is audited: exact links of a bounded sample of nodes against those found; if too few
-were found, all is done again with a wider overlap. A crowd of nodes too close together to be split goes through exact
-tiles instead.
+shard that both ends share. The result is audited: exact links of sampled nodes against those found, copies counted once,
+over all labels alike, with more nodes until enough links were seen. If too few were found, all is done again with a wider
+overlap, and after the last round by exact tiles. A crowd of nodes too close together to be split goes through exact tiles anyway.
 """
 
 from __future__ import annotations
@@ -34,11 +34,13 @@ SPREAD = 0.9
 #: A shard with more than this share of its parent's nodes is a crowd that pivots don't split.
 STUCK = 0.7
 TILE = 256
-AUDITED, RECALL, ROUNDS = 200, 0.95, 3
+RECALL, ROUNDS = 0.95, 3
+#: Nodes of the first audit, links to be seen, and nodes of the last audit if they aren't.
+AUDITED, LINKS_SEEN, AUDITED_MOST = 200, 400, 3_200
 
 MEMBER = "node long, shard long, unit array<double>"
-#: kind 0: node a has n links counted here; 1: a and b are connected; 2: a and b are linked and share no shard.
-RESULT = "kind int, a long, b long, n long"
+#: kind 0: node a has n links counted here, m of them to different vectors; 1: a and b are connected; 2: a and b are linked and share no shard.
+RESULT = "kind int, a long, b long, n long, m long"
 
 
 def _matrix(t: pa.Table) -> np.ndarray:
@@ -121,18 +123,20 @@ def _rows(shard: int, nodes: np.ndarray, weight: np.ndarray, homes: np.ndarray,
     """RESULT rows for links i -> j, given in both directions."""
     counted = _first_common(homes, i, j) == shard
     n = np.bincount(i[counted], weights=weight[j[counted]], minlength=len(nodes)).astype(np.int64)
-    has = np.flatnonzero(n)
+    m = np.bincount(i[counted], minlength=len(nodes))
+    has = np.flatnonzero(m)
     least, before = np.arange(len(nodes)), None
     while before is None or (least != before).any():
         before = least.copy()
         np.minimum.at(least, i, before[j])
     up = np.flatnonzero(least != np.arange(len(nodes)))
-    return [(np.zeros(len(has)), nodes[has], nodes[has], n[has]), (np.ones(len(up)), nodes[up], nodes[least[up]], np.zeros(len(up)))]
+    none = np.zeros(len(up))
+    return [(np.zeros(len(has)), nodes[has], nodes[has], n[has], m[has]), (np.ones(len(up)), nodes[up], nodes[least[up]], none, none)]
 
 
 def _result(rows: list[tuple[np.ndarray, ...]]) -> pa.Table:
-    kind, a, b, n = map(np.concatenate, zip(*rows, strict=True))
-    return pa.table([pa.array(kind.astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in (a, b, n))], names=["kind", "a", "b", "n"])
+    kind, *rest = map(np.concatenate, zip(*rows, strict=True))
+    return pa.table([pa.array(kind.astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in rest)], names=["kind", "a", "b", "n", "m"])
 
 
 def _search(least: float):
@@ -153,7 +157,7 @@ def _search(least: float):
         i, j = np.nonzero(hit & inside[:, None] & ~inside[None, :])
         apart = _first_common(homes, i, j) == np.iinfo(np.int64).max
         a, b = nodes[i[apart]], nodes[j[apart]]
-        rows.append((np.full(len(a), 2), np.minimum(a, b), np.maximum(a, b), np.zeros(len(a))))
+        rows.append((np.full(len(a), 2), np.minimum(a, b), np.maximum(a, b), np.zeros(len(a)), np.zeros(len(a))))
         return _result(rows)
     return run
 
@@ -171,9 +175,13 @@ def _tile(least: float):
     return run
 
 
-def links(nodes: DataFrame, least: float, overlap: float, size: int, tile: int) -> DataFrame:
-    """RESULT rows for nodes (node, label, dim, unit, weight), stored."""
-    small, crowds = shards(nodes, overlap, size)
+def links(nodes: DataFrame, least: float, overlap: float, size: int, tile: int, exact: bool = False) -> DataFrame:
+    """RESULT rows for nodes (node, label, dim, unit, weight), stored. `exact`: all nodes of a label are one crowd."""
+    if exact:
+        crowds = nodes.select("node", F.xxhash64("label", "dim").alias("shard"), "unit")
+        small = crowds.limit(0)
+    else:
+        small, crowds = shards(nodes, overlap, size)
     small, crowds = stored(small, "shards"), stored(crowds, "crowds")
     edges = stored(small.groupBy("shard").applyInArrow(_build, "a long, b long, cosine double"), "graph")
     near = edges.groupBy("a").agg(F.collect_set("b").alias("near")).withColumnRenamed("a", "node")
@@ -197,7 +205,7 @@ def links(nodes: DataFrame, least: float, overlap: float, size: int, tile: int)
 
 
 def _exact(sample: list, least: float):
-    """Links of the sampled nodes, by comparing them with all nodes."""
+    """Links of the sampled nodes, by comparing them with all nodes: a matrix product per label and batch."""
     by_label: dict = {}
     for r in sample:
         by_label.setdefault((r.label, r.dim), []).append(r)
@@ -205,21 +213,36 @@ def _exact(sample: list, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = {k: (np.array([r.node for r in v]), np.array([r.unit for r in v])) for k, v in by_label.items()}
         for batch in batches:
-            out = []
-            for node, label, dim, unit, weight in zip(*(batch.column(c).to_pylist() for c in ("node", "label", "dim", "unit", "weight")), strict=True):
-                if (label, dim) in given:
-                    ids, units = given[label, dim]
-                    out += [{"node": x, "n": weight} for x in ids[(units @ np.array(unit) >= least) & (ids != node)].tolist()]
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("node", pa.int64()), ("n", pa.int64())]))
+            labels, dims = batch.column("label").to_pylist(), batch.column("dim").to_pylist()
+            nodes, rows, found = batch.column("node").to_numpy(), {}, [np.empty(0, np.int64)]
+            for i, key in enumerate(zip(labels, dims, strict=True)):
+                rows.setdefault(key, []).append(i)
+            for key in rows.keys() & given.keys():
+                ids, units = given[key]
+                unit = batch.column("unit").take(pa.array(rows[key])).flatten().to_numpy().reshape(len(rows[key]), -1)
+                sampled, _ = np.nonzero((units @ unit.T >= least) & (ids[:, None] != nodes[rows[key]][None, :]))
+                found.append(ids[sampled])
+            node, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int64())], names=["node", "n"])
     return run
 
 
-def audit(nodes: DataFrame, found: DataFrame, least: float, size: int = AUDITED) -> float:
-    """Share of the links of the `size` nodes with the smallest hashes that `found` (node, links) holds."""
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(7)), "node").limit(size).select("node", "label", "dim", "unit").collect()
-    exact = nodes.mapInArrow(_exact(sample, least), "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    got = exact.join(found, "node", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("links", F.lit(0))))).first()
-    return float(got[1]) / float(got[0]) if got[0] else 1.0
+def audit(nodes: DataFrame, found: DataFrame, least: float, size: int = AUDITED, seen: int = LINKS_SEEN, most: int = AUDITED_MOST) -> tuple[float, int]:
+    """The share of the exact links of sampled nodes that `found` (node, apart: links to different vectors) holds, and how many
+    there are. Nodes are taken by a hash, from every label alike, at first `size` and then more until `seen` links were met, `most`
+    nodes compared, or none is left. No links at all is a share of 1."""
+    in_label = Window.partitionBy("label", "dim").orderBy(F.xxhash64("node", F.lit(7)), "node")
+    ranked = nodes.select("node", "label", "dim", "unit", F.row_number().over(in_label).alias("rank")).where(F.col("rank") <= most)
+    turn = ("rank", F.xxhash64("label", "dim", F.lit(7)), "node")
+    pool = stored(ranked.orderBy(*turn).limit(most), "audited")
+    while True:
+        sample = pool.orderBy(*turn).limit(size).collect()
+        exact = nodes.mapInArrow(_exact(sample, least), "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+        got = exact.join(found, "node", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("apart", F.lit(0))))).first()
+        links_, held = int(got[0] or 0), int(got[1] or 0)
+        if links_ >= seen or size >= most or len(sample) < size:
+            return (held / links_ if links_ else 1.0), links_
+        size = min(most, 4 * size)
 
 
 def near_duplicates(vectors: DataFrame, least: float = LEAST, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -231,7 +254,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, id_col: str = "vec
     another length, or that hold NULL or non-finite components are linked with nothing. A row without an id belongs to its
     component and is kept only if no row of it has an id; rows that repeat an id are vectors of their own. An empty table
     gives an empty result; other columns are ignored, whatever their names. No link found is below `least`; the share of
-    all links that is found is audited, not guaranteed."""
+    all links that is found is audited, see `audit`: below RECALL the search is widened, and at last everything is compared."""
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").cast("string").alias("label"),
                           F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     largest = F.array_max(F.transform("v", F.abs))
@@ -242,14 +265,16 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, id_col: str = "vec
     norm = F.sqrt(F.aggregate("u", F.lit(0.0), lambda s, c: s + c * c))
     nodes = stored(scaled.withColumn("norm", norm).withColumn("unit", F.transform("u", lambda c: c / F.col("norm")))
                    .select("node", "least", "label", "v", F.size("v").alias("dim"), "unit", "weight"), "vector-nodes")
-    for _ in range(ROUNDS):
-        found = links(nodes, least, overlap, size, tile)
+    for round_ in range(ROUNDS + 1):
+        found = links(nodes, least, overlap, size, tile, exact=round_ == ROUNDS)
         across = found.where("kind = 2").select("a", "b").distinct()
         weight = nodes.select(F.col("node").alias("b"), F.col("weight").alias("n"))
-        both = across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weight, "b").select("a", "n")
-        counts = found.where("kind = 0").select("a", "n").unionByName(both).groupBy("a").agg(F.sum("n").alias("links"))
+        both = across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weight, "b").select(
+            "a", "n", F.lit(1).cast("long").alias("m"))
+        counts = found.where("kind = 0").select("a", "n", "m").unionByName(both).groupBy("a").agg(
+            F.sum("n").alias("links"), F.sum("m").alias("apart"))
         counts = stored(counts.withColumnRenamed("a", "node"), "link-counts")
-        if audit(nodes, counts, least) >= RECALL:
+        if round_ == ROUNDS or audit(nodes, counts, least)[0] >= RECALL:
             break
         overlap *= 2
     groups = components(found.where("kind = 1").select("a", "b").unionByName(across))
