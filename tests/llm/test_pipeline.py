@@ -108,3 +108,11 @@ def test_run_on_an_empty_table(spark, tmp_path, some_labels):
     labels = [(1, 1, 0), (2, 0, 0)] if some_labels else []
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_steps_are_removed(spark, tmp_path):
+    common.remove_steps(spark)
+    df = common.stored(spark.range(5), "five")
+    assert df.count() == 5 and common.remove_steps(spark) == 1 and common.remove_steps(spark) == 0
+    with pytest.raises(Exception, match="(?i)not.exist|not found"):
+        common.stored(spark.range(3), "three").unionByName(df).count()

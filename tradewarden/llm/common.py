@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewarden.sources.storage import shared_dir
+from tradewarden.sources.storage import remove_folder, shared_dir
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -20,8 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share; `remove_steps` deletes it."""
+    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    made = getattr(spark.sparkContext, "_llm_steps", [])
+    made.append(path)
+    spark.sparkContext._llm_steps = made
+    return path
+
+
+def remove_steps(spark: SparkSession) -> int:
+    """Delete the folders of all steps of this session so far, and return their number. Results that weren't written
+    elsewhere read from them and end here."""
+    made = getattr(spark.sparkContext, "_llm_steps", [])
+    for path in made:
+        remove_folder(spark, path)
+    spark.sparkContext._llm_steps = []
+    return len(made)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -297,7 +297,8 @@ def _unpacked(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.nda
 
 def train_in_rounds(events: DataFrame, n: int, steps: int, rounds: int = ROUNDS, task_events: int = TASK_EVENTS) -> np.ndarray:
     """The normalised table learnt from the stored events (code, n), which stay where they are: a round is a pass of every task over
-    its part, in as many steps as it takes to draw it `steps` / STEPS times over, and the mean of the parameters by weight."""
+    its part, in as many steps as it takes to draw it `steps` / STEPS times over, and the mean of the parameters by weight.
+    A task gets some `task_events` events, in whatever number of files they are stored."""
     sums = events.groupBy((F.col("code") % n).alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()
     seen = np.ones(n)
     for r in sums:
@@ -316,7 +317,7 @@ def train_in_rounds(events: DataFrame, n: int, steps: int, rounds: int = ROUNDS,
                 due = max(1, -(-max(len(code), BATCH * STEPS // rounds) * steps // (BATCH * STEPS)))
                 after = learn(p, code, count, seen, due, seed=SEED + 1000 * round_ + int(code[0] % 997))
                 yield pa.RecordBatch.from_arrays([pa.array([float(count.sum())]), pa.array([_packed(after).tobytes()], pa.binary())], names=["w", "p"])
-        found = events.repartition(parts, F.xxhash64("code")).mapInArrow(run, "w double, p binary").collect()
+        found = events.coalesce(parts).mapInArrow(run, "w double, p binary").collect()
         found = sorted((r.w, bytes(r.p)) for r in found)
         flat = sum(w * np.frombuffer(x) for w, x in found) / sum(w for w, _ in found)
         p = _unpacked(flat, p)
