@@ -27,24 +27,27 @@ def _whole(found: DataFrame, docs: DataFrame, changed: dict[str, Column]) -> Dat
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality classifier, learnt from the labels of those at hand, doesn't reject."""
+    """The documents that the quality classifier, learnt from the labels of those at hand, doesn't reject. A NULL text is scored as
+    an empty one; without labels of both kinds all documents have one score; texts of any length are scored whole."""
     return quality.keep(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id. Documents without words stay."""
+    """One document of each group of near-duplicates: the one with the smallest id. Documents without words, NULL included, stay;
+    rows that repeat an id are documents of their own, and one without an id stays only if no row of its group has one."""
     kept = minhash.one_of_each(docs, _others(docs))
     return _whole(kept, docs, {"text": F.when(~F.col("carried.missing"), F.col("text"))})
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the passages that repeat, here or in another; n_chars is that of the text that is left."""
+    """The documents without the passages that repeat, here or in another; n_chars is that of the text that is left. A NULL text
+    stays NULL, with no characters; a text that only repeats becomes empty and stays."""
     found = suffix_dedup.remove_repeats(docs, with_text=True, carry=_others(docs))
     return _whole(found, docs, {"text": F.when(~F.col("carried.missing"), F.col("text")), "n_chars": F.length("text").cast("long")})
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their training sequences."""
+    """The pieces of all documents in their training sequences; a NULL or empty text is the end token alone."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -56,7 +59,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written as Parquet and reread as the next stage's documents."""
+    """All stages over `documents`; each result is written as Parquet and reread as the next stage's documents. An empty table, or
+    one of which the classifier keeps nothing, gives no pieces; further columns of `documents` are carried along."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
