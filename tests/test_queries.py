@@ -149,6 +149,15 @@ def test_a_lookup_reads_one_bucket(spark, monkeypatch):
     assert hot.select(F.input_file_name()).distinct().count() > 1
 
 
+@pytest.mark.parametrize("name", ["overview", "by_channel", "top_clients", "top_instruments", "by_day_type", "kpi_cards", "dq_counts", "p1_instruments"])
+def test_distinct_counts_expand_no_trades(spark, name):
+    """Where several things are counted apart, rows are repeated after they were cut to cells, never trade by trade."""
+    lines = plan(entry.queries()[name](spark, SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Expand [" in line:
+            assert "HashAggregate" in lines[i + 1] or "HashAggregate" in lines[i + 2], lines[i:i + 4]
+
+
 def test_median_prices_are_selected_inside_the_aggregate(spark):
     p = new_line_pipeline(spark, SMALL)
     text = plan(patterns.reference_prices(p.enriched, p.params))

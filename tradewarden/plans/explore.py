@@ -196,14 +196,15 @@ def concentration_curve(clients: DataFrame, p: Params) -> DataFrame:
 
 
 def top_clients(trades: DataFrame, clients: DataFrame, k: int = 10) -> DataFrame:
-    """Found, counted and summed in the client cells; only symbols and days come from the trades of the k clients."""
+    """Found, counted and summed in the client cells; only symbols and days come from the trades of the k clients, cut to cells on the
+    map side before they are told apart."""
     top = ops_per_client(clients).orderBy(F.desc("ops"), "id_cliente").limit(k)
     rows = rows_of(trades, top, ["id_cliente"])
     channels = (rows_of(clients, top, ["id_cliente"]).groupBy("id_cliente")
-                .agg(F.sum("ops").alias("ops"), F.countDistinct("origen").alias("canales"), F.min("origen").alias("canal"),
+                .agg(F.countDistinct("origen").alias("canales"), F.min("origen").alias("canal"),
                      F.sum("monto_en_ars").alias("m")))
-    spread = rows.groupBy("id_cliente").agg(F.countDistinct("simbolo_titulo").alias("simbolos"),
-                                            F.countDistinct("dia_art").alias("dias_activos"))
+    spread = rows.groupBy("id_cliente", "simbolo_titulo", "dia_art").agg(n_ops()).groupBy("id_cliente").agg(
+        F.sum("ops").alias("ops"), F.countDistinct("simbolo_titulo").alias("simbolos"), F.countDistinct("dia_art").alias("dias_activos"))
     return (join_same(channels, spread, ["id_cliente"]).orderBy(F.desc("ops"), "id_cliente")
             .select("id_cliente", "ops", "canales", "canal", "simbolos", "dias_activos", F.round("m", 0).alias("monto_ars")))
 
