@@ -322,6 +322,36 @@ def test_quality_on_texts_it_has_not_learnt(spark, docs, rows):
     assert quality.keep(docs, model).columns == docs.columns
 
 
+def test_quality_against_one_text_at_a_time(spark, docs, rows):
+    """Scores from the stored model by fresh compressors and the written-out curve."""
+    good = [(100 + i, " ".join(words_(i, 200))) for i in range(30)]
+    bad = [(200 + i, "buy now cheap " * (20 + i)) for i in range(30)]
+    known = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    model = quality.fit(known, labels)
+    kind = zstandard.DICT_TYPE_AUTO if model["trained"] else zstandard.DICT_TYPE_RAWCONTENT
+
+    def size(text, given):
+        extra = {"dict_data": zstandard.ZstdCompressionDict(given, dict_type=kind)} if given else {}
+        coder = zstandard.ZstdCompressor(level=quality.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, **extra)
+        return len(coder.compress(text))
+
+    def plain(text):
+        raw = (text or "").encode()
+        with_good, with_bad, alone = (size(raw, d) for d in (model["good"], model["bad"], None))
+        rate, length = with_good / (len(raw) + 8), math.log1p(len(raw))
+        features = [(with_bad - with_good) / alone, rate, rate * rate, length, rate * length, 1.0]
+        z = sum(w * x for w, x in zip(model["curve"], features))
+        return 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
+    want = sorted((str(i), round(plain(t), 9)) for i, t in rows)
+    assert sorted((str(r.doc_id), round(r.score, 9)) for r in quality.score(docs, model).collect()) == want
+
+
+def words_(seed, n):
+    r = random.Random(seed)
+    return ["".join(r.choice("abcdefghiklmnoprstu") for _ in range(r.randint(2, 9))) for _ in range(n)]
+
+
 def test_quality_without_labels(spark, docs):
     none = spark.createDataFrame([(1, None), (None, 1), (2, 1)], "doc_id long, quality int")
     model = quality.fit(docs, none)
