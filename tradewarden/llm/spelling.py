@@ -21,7 +21,6 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tradewarden.llm.common import stored, text_of
 
@@ -107,11 +106,11 @@ def near_words(vocabulary: DataFrame, crowd: int = CROWD) -> DataFrame:
         "word", "n", "_s.*", F.lit(0).alias("lo"), (length - F.col("_s.shift")).cast("int").alias("hi"))
     found = []
     while True:
-        by_key = Window.partitionBy("key")
-        split = _split(rows).withColumns({
-            "chunks": F.count(F.when(F.col("chunk"), 1)).over(by_key), "grams": F.count(F.when(~F.col("chunk"), 1)).over(by_key)})
+        # Stored before they meet their counts, so that both sides are shuffled and the rows of a crowded key can be split.
+        split = stored(_split(rows), "split")
+        sizes = split.groupBy("key").agg(F.count_if("chunk").alias("chunks"), F.count_if(~F.col("chunk")).alias("grams"))
         # A word meets itself; a key with nothing else is of no use.
-        rows = stored(split.where("chunks > 0 AND chunks + grams > 2"), "chunks")
+        rows = stored(split.join(sizes.where("chunks > 0 AND chunks + grams > 2"), "key"), "chunks")
         crowded = (F.col("grams") > crowd) & (F.col("hi") - F.col("lo") > 1)
         found.append(_meet(rows.where(~crowded)))
         rows = rows.where(crowded).drop("key", "chunks", "grams")
