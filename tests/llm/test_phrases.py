@@ -57,7 +57,7 @@ def corpus():
 SCHEMA = "word string, lang string, text string, shard int, n int, phrase string"
 
 
-@pytest.mark.parametrize("limits", [{}, {"HOT_COUNT": 60, "HOT_WORDS": 10 ** 9}, {"HOT_COUNT": 0, "HOT_WORDS": 10 ** 9, "SHARD_POINTERS": 300, "FAN_OUT": 3}])
+@pytest.mark.parametrize("limits", [{}, {"HOT_COUNT": 60, "HOT_WORDS": 10 ** 9}, {"HOT_COUNT": 0, "HOT_WORDS": 10 ** 9, "SHARD_POINTERS": 300, "FAN_OUT": 3, "BROADCAST_ROWS": 0}])
 def test_collocations(spark, corpus, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(phrases, name, value)

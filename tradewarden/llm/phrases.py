@@ -32,6 +32,8 @@ HOT_WORDS, HOT_COUNT = 500_000, 1_000_000
 SHARD_POINTERS, SLICE = 500_000, 2 << 20
 #: Shards that a slice is dealt to at once; more shards are dealt in a second step.
 FAN_OUT = 10_000
+#: Counts that are sent to every task, and parts of a language that are ranked before the language is.
+BROADCAST_ROWS, RANK_PARTS = 100_000, 64
 NO_LANG = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -291,7 +293,7 @@ def frequent_phrases(docs: DataFrame, words: DataFrame, lang_col: str = "lang",
 
 def _known(phrases: DataFrame, counts: DataFrame, names: list[str], out: str) -> DataFrame:
     """Add the count of the words in `names`; words of very many phrases are split."""
-    return keyed_join(phrases, counts.toDF("lang", *names, out), ["lang", *names], out, "phrase")
+    return keyed_join(phrases, counts.toDF("lang", *names, out), ["lang", *names], out, "phrase", broadcast_rows=BROADCAST_ROWS)
 
 
 def _score(whole: Column, left: Column, right: Column) -> Column:
@@ -329,7 +331,10 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     options = [F.struct(_score(F.col("a"), F.col(f"l{k}"), F.col(f"r{k}")).alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r"))
                for k in (1, 2)]
     scored3 = cuts.select("lang", "phrase", "a", F.least(*options).alias("c")).select("lang", "phrase", "a", "c.l", "c.r", "c.score")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = scored2.unionByName(scored3).withColumn("rank", rank).where(F.col("rank") <= top)
+    # A language's best are among the best of its parts, so one task sees no more than RANK_PARTS * top rows of it.
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    ranked = scored2.unionByName(scored3).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(words.groupBy("lang").agg(F.sum("n").alias("n")), "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
