@@ -251,7 +251,7 @@ def test_scores_against_a_plain_loop(spark, docs, rows, head):
     texts = docs.select("text").fillna("")
     model = lm.fit(texts, head_words=head, steps=60)
     counts = {bytes(r.word): (r.c, r.g) for r in model["counts"].collect()}
-    assert len(model["words"]) <= min(head, len(counts))
+    assert len(model["words"]) <= min(head + lm.ANCHORS, len(counts)) and set(model["anchors"]) <= set(model["words"])
     # All words and the unseen one share out one whole after any two classes.
     held, n = model["held"], model["classes"].n
     own = {w: (int(model["class_of"][model["words"].index(w)]) if w in model["words"] else int(model["classes"].tails[g])) for w, (_, g) in counts.items()}

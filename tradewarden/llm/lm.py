@@ -70,19 +70,23 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield heavy(found)
 
 
+def _numbers(words: list[list[bytes]], index: dict[bytes, int], missing: int) -> np.ndarray:
+    """The number of every word of all texts, `missing` where it has none."""
+    get = index.get
+    return np.array([get(w, missing) for part in words for w in part], dtype=np.int64)
+
+
 class Stretches:
-    """The stretches of texts and how often each anchor occurs in them."""
+    """The stretches of texts and how often each anchor occurs in them; `anchor` is the anchor of every token, -1 for none."""
 
-    def __init__(self, texts: list[str], anchor_of: dict[bytes, int], n_anchors: int):
-        self.words = [tokens(t) for t in texts]
-        get = anchor_of.get
-        sizes = np.fromiter(map(len, self.words), dtype=np.int64, count=len(self.words))
+    def __init__(self, words: list[list[bytes]], anchor: np.ndarray, n_anchors: int):
+        self.words = words
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         self.starts = np.cumsum(sizes) - sizes
         pieces = -(-sizes // STRETCH)
         first = np.cumsum(pieces) - pieces
         self.text_of_stretch = np.repeat(np.arange(len(sizes)), pieces)
         self.stretch = np.repeat(first, sizes) + (np.arange(sizes.sum()) - np.repeat(self.starts, sizes)) // STRETCH
-        anchor = np.array([get(w, -1) for part in self.words for w in part], dtype=np.int64)
         at = np.flatnonzero(anchor >= 0)
         self.counts = np.bincount(self.stretch[at] * n_anchors + anchor[at], minlength=len(self.text_of_stretch) * n_anchors).reshape(-1, max(1, n_anchors))
 
@@ -109,7 +113,8 @@ def _together(anchors: list[bytes]):
         index, n = {w: i for i, w in enumerate(anchors)}, len(anchors)
         found = np.zeros((n, n))
         for part in _slices(batches):
-            seen = np.minimum(Stretches(part.column("text").to_pylist(), index, n).counts, 1).astype(np.float64)
+            words = [tokens(t) for t in part.column("text").to_pylist()]
+            seen = np.minimum(Stretches(words, _numbers(words, index, -1), n).counts, 1).astype(np.float64)
             found += seen.T @ seen
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(n), pa.int32()), pa.array(list(found), pa.list_(pa.float64()))], names=["i", "row"])
     return run
@@ -141,7 +146,8 @@ def _count(anchors: list[bytes], group_of_anchor: np.ndarray, groups: int):
         index = {w: i for i, w in enumerate(anchors)}
         found = [Counter() for _ in range(groups)]
         for part in _slices(batches):
-            split = Stretches(part.column("text").to_pylist(), index, len(anchors))
+            texts = [tokens(t) for t in part.column("text").to_pylist()]
+            split = Stretches(texts, _numbers(texts, index, -1), len(anchors))
             group = split.groups(group_of_anchor, groups)
             for start, words in zip(split.starts.tolist(), split.words, strict=True):
                 own = group[start:start + len(words)]
@@ -187,17 +193,18 @@ class Reader:
 
     def __init__(self, model: dict):
         self.index = {w: i for i, w in enumerate(model["words"])}
-        self.anchor_of = {w: i for i, w in enumerate(model["anchors"])}
-        self.class_of, self.group_of_anchor, self.classes = model["class_of"], model["group_of_anchor"], model["classes"]
+        self.class_of, self.group_of_anchor, self.classes = np.append(model["class_of"], 0), model["group_of_anchor"], model["classes"]
+        # All anchors are in the table, under the classes that follow 0.
+        self.anchor_at = np.where((self.class_of > 0) & (self.class_of <= self.classes.anchors), self.class_of - 1, -1)
         self.end = int(self.class_of[self.index[END]]) if END in self.index else 0
 
     def read(self, texts: list[str]) -> tuple[Stretches, np.ndarray, np.ndarray]:
         """The texts' words; each token's place in the table, the table's size where it has none; its class."""
-        split = Stretches(texts, self.anchor_of, len(self.anchor_of))
-        get, size = self.index.get, len(self.index)
-        place = np.array([get(w, size) for part in split.words for w in part], dtype=np.int64)
+        words, size = [tokens(t) for t in texts], len(self.index)
+        place = _numbers(words, self.index, size)
+        split = Stretches(words, self.anchor_at[place], self.classes.anchors)
         group = split.groups(self.group_of_anchor, self.classes.groups)
-        return split, place, np.where(place < size, np.append(self.class_of, 0)[place], self.classes.tails[group])
+        return split, place, np.where(place < size, self.class_of[place], self.classes.tails[group])
 
 
 def _events(shipped):
@@ -344,7 +351,9 @@ def fit(texts: DataFrame, head_words: int = HEAD_WORDS, steps: int = STEPS) -> d
         weight[r.g] = r.w
 
     head = heaviest(counts.where(F.octet_length("word") <= HEAD_BYTES), "c", head_words).select("word", "c", "g").toArrow()
-    rows = sorted(zip(head["word"].to_pylist(), head["c"].to_pylist(), head["g"].to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
+    rows = set(zip(head["word"].to_pylist(), head["c"].to_pylist(), head["g"].to_pylist(), strict=True))
+    rows |= {(bytes(r.word), r.c, r.g) for r in counts.where(F.col("word").isin(anchors)).collect()} if anchors else set()
+    rows = sorted(rows, key=lambda r: (-r[1], r[0]))
     words, c, g = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.int64)
     classes = Classes(len(anchors), GROUPS)
     anchor_of = {w: i for i, w in enumerate(anchors)}
