@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 
 from tradewarden.params import Params
-from tradewarden.plans import profile
+from tradewarden.plans import cube, profile
 from tradewarden.plans.pipeline import Pipeline
 
 import micro
@@ -43,3 +43,11 @@ def test_the_profile_sorts_in_tasks_of_a_number_of_rows(p):
     got = {r.id_cliente: (r.ops, r.simbolos, r.simbolo_principal, r.dias_activos) for r in df.collect()}
     assert got["C9"] == (1, 1, "RARE", 1) and got["C0"] == (14, 4, "S0", 2) and len(got) == 4
     assert sorted(df.collect()) == sorted(profile.client_profile(p.enriched, P).collect())
+
+
+def test_the_cube_has_no_row_with_the_keys_of_both_groupings(p):
+    df = cube.activity_cube(p.trades, p.rated_days)
+    assert "Expand" not in plan(df)
+    cells, clients = cube.cells(df).collect(), cube.client_cells(df).collect()
+    assert sum(r.ops for r in cells) == sum(r.ops for r in clients) == 41 and all(r.con_tc and r.mes == date(2026, 1, 1) for r in cells)
+    assert {r.franja_horaria for r in cells} == {r.franja_horaria for r in p.enriched.collect()}
