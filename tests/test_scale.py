@@ -6,9 +6,11 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from tradewarden.operators import ranking
 from tradewarden.params import Params
-from tradewarden.plans import cube, profile
+from tradewarden.plans import cube, patterns, profile
 from tradewarden.plans.pipeline import Pipeline
 
 import micro
@@ -51,3 +53,27 @@ def test_the_cube_has_no_row_with_the_keys_of_both_groupings(p):
     cells, clients = cube.cells(df).collect(), cube.client_cells(df).collect()
     assert sum(r.ops for r in cells) == sum(r.ops for r in clients) == 41 and all(r.con_tc and r.mes == date(2026, 1, 1) for r in cells)
     assert {r.franja_horaria for r in cells} == {r.franja_horaria for r in p.enriched.collect()}
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+@pytest.mark.parametrize("max_distinct", [200_000, 2])
+def test_groups_too_small_for_a_median_are_dropped_first(spark, monkeypatch, most, max_distinct):
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", most)
+    rows = [("a", None, v) for v in (1, 2, 4, 8)] + [("b", 1, 5), ("b", 1, None), (None, 2, 3), (None, 2, 3), (None, 2, 9)] + [("c", i, i) for i in range(9)]
+    df = spark.createDataFrame([(g, h, None if v is None else Decimal(v)) for g, h, v in rows], "g string, h int, v decimal(9,2)")
+    got = ranking.medians_by_group(df, ["g", "h"], "v", "m", "n", max_distinct, least=3)
+    assert {(r.g, r.h): (r.m, r.n) for r in got.collect()} == {("a", None): (Decimal(3), 4), (None, 2): (Decimal(3), 3)}
+    assert got.schema["m"].dataType.simpleString() == "decimal(11,3)"
+    if most and max_distinct > 2:
+        assert "LeftSemi" in plan(got).split("REPARTITION_BY_COL")[1]
+
+
+def test_reference_prices_move_only_the_rows_of_enough(p):
+    assert "LeftSemi" in plan(patterns.reference_prices(p.enriched, P))
+    assert p.references.where(F.col("simbolo_titulo") == "RARE").isEmpty()
+
+
+def test_medians_of_small_groups_take_one_exchange(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").cast("decimal(9,2)").alias("v"))
+    text = plan(ranking.medians_by_group(df, ["g"], "v", "m"))
+    assert "ExistingRDD" not in text and text.count("Exchange hashpartitioning") <= 2

@@ -227,9 +227,8 @@ def reference_prices(enriched: DataFrame, p: Params) -> DataFrame:
     """Median price and trade count per (symbol, day) with enough trades. Option tickers are never
     judged, so they are left out before the shuffle. Prices have six decimals, their medians seven."""
     medians = medians_by_group(enriched.where(~F.col("simbolo_titulo").rlike(OPTION_TICKER)),
-                               ["simbolo_titulo", "dia_art"], "precio", "mediana", size_as="ops_referencia")
-    return (medians.where(F.col("ops_referencia") >= p.p4_min_refs)
-            .select("simbolo_titulo", "dia_art", "mediana", "ops_referencia"))
+                               ["simbolo_titulo", "dia_art"], "precio", "mediana", size_as="ops_referencia", least=p.p4_min_refs)
+    return medians.select("simbolo_titulo", "dia_art", "mediana", "ops_referencia")
 
 
 def off_market(p: Params) -> Column:
