@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -77,3 +78,9 @@ def test_medians_of_small_groups_take_one_exchange(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").cast("decimal(9,2)").alias("v"))
     text = plan(ranking.medians_by_group(df, ["g"], "v", "m"))
     assert "ExistingRDD" not in text and text.count("Exchange hashpartitioning") <= 2
+
+
+def test_symbols_and_days_of_a_client_are_dealt_and_move_once(spark, p):
+    df = profile.client_profile(p.enriched, P, 37 * profile.SORTED_CELLS)
+    assert plan(df).count(", 37), REPARTITION_BY_NUM") == 2 and "_part" in plan(df)
+    assert "hashpartitioning(id_cliente, simbolo_titulo" not in " ".join(re.sub(r"#\d+L?", "", plan(df)).split())

@@ -12,6 +12,8 @@ from tradewarden.plans.explore import n_ops
 
 # Cells that one task sorts by client.
 SORTED_CELLS = 500_000
+# Tasks over which a client's symbols, and its days, are dealt.
+CLIENT_PARTS = 8
 
 PROFILE_COLUMNS = (
     "id_cliente", "ops", "monto_ars", "max_monto_op_ars", "dias_activos", "simbolos", "canales", "canal_principal",
@@ -36,10 +38,11 @@ def _most_frequent(name: str, cells: Column) -> Column:
 def client_profile(enriched: DataFrame, p: Params, n_trades: int | None = None) -> DataFrame:
     """One wide row per client.
 
-    Trades are cut to (client, channel) and (client, symbol) cells, combined on the map side, so a client with a third of the
-    trades arrives as a few cells. Days are told apart where a client's day lies; no more than the two columns move. The most
-    frequent symbol is text, for which Spark sorts. Symbol cells and days move to tasks of some SORTED_CELLS, by `n_trades`, their
-    most, as adaptive execution merges tasks by packed bytes, which tell little of what a sort or a hash table holds."""
+    Trades are cut to (client, channel) cells, combined on the map side. Of its symbols and its days the two columns move once, to
+    CLIENT_PARTS tasks per client, where a symbol or a day lies whole: what goes on from there is a row per client and part, so
+    a client with a third of the trades is neither in one task nor one long list. The most frequent symbol is text, for which
+    Spark sorts. These tasks are of some SORTED_CELLS, by `n_trades`, their most, as adaptive execution merges tasks by packed
+    bytes, which tell little of what a sort or a hash table holds."""
     spark = enriched.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (n_trades or 0) // SORTED_CELLS)
     base, second, third, after = (F.lit(d) for d in p.period_starts)
@@ -64,10 +67,13 @@ def client_profile(enriched: DataFrame, p: Params, n_trades: int | None = None)
         *[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,4)").alias(c) for c in ("monto_ene", "monto_feb_mar")]
     ).withColumnRenamed("_ops", "ops")
 
-    symbols = enriched.groupBy("id_cliente", "simbolo_titulo").agg(n_ops()).repartition(tasks, "id_cliente").groupBy("id_cliente").agg(
+    def dealt(col: str) -> DataFrame:
+        rows = enriched.select("id_cliente", col, F.pmod(F.xxhash64(col), F.lit(CLIENT_PARTS)).cast("int").alias("_part"))
+        return rows.repartition(tasks, "id_cliente", "_part").groupBy("id_cliente", "_part", col).agg(n_ops())
+
+    symbols = dealt("simbolo_titulo").groupBy("id_cliente").agg(
         F.count("simbolo_titulo").alias("simbolos"), _most_frequent("simbolo_titulo", F.lit(True)).alias("simbolo_principal"))
-    active = (enriched.select("id_cliente", "dia_art").repartition(tasks, "id_cliente", "dia_art").distinct()
-              .groupBy("id_cliente").agg(F.count("dia_art").alias("dias_activos")))
+    active = dealt("dia_art").groupBy("id_cliente").agg(F.count("dia_art").alias("dias_activos"))
     return (totals.join(symbols, "id_cliente").join(active, "id_cliente")
             .withColumn("pct_compras", pct(F.col("compras"), F.col("ops"), 1))
             .withColumn("monto_ars", F.col("monto_ars").cast("decimal(38,4)"))
