@@ -13,6 +13,7 @@ from tradewarden.operators import ranking
 from tradewarden.params import Params
 from tradewarden.plans import cube, patterns, profile
 from tradewarden.plans.pipeline import Pipeline
+from tradewarden.sources import adapters
 
 import micro
 
@@ -84,3 +85,28 @@ def test_symbols_and_days_of_a_client_are_dealt_and_move_once(spark, p):
     df = profile.client_profile(p.enriched, P, 37 * profile.SORTED_CELLS)
     assert plan(df).count(", 37), REPARTITION_BY_NUM") == 2 and "_part" in plan(df)
     assert "hashpartitioning(id_cliente, simbolo_titulo" not in " ".join(re.sub(r"#\d+L?", "", plan(df)).split())
+
+
+def test_a_row_is_counted_once_for_all_percentiles(spark):
+    rows = [(g, Decimal(i % 7)) for g in ("a", "b", None) for i in range(200)] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v decimal(10,2)")
+    seen = []
+    real = ranking.settle
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ranking, "settle", lambda d: seen.append(plan(d)) or real(d))
+        got = {r.g: (r.lo, r.hi) for r in ranking.percentiles(df, ["g"], "v", {"lo": 0.25, "hi": 0.9}).collect()}
+    assert all("Generate explode" not in t for t in seen[:2])
+    assert got == {r.g: (r.lo, r.hi) for r in df.groupBy("g").agg(
+        F.expr("percentile(v, 0.25)").alias("lo"), F.expr("percentile(v, 0.9)").alias("hi")).collect()}
+
+
+def test_lines_meet_their_orders_in_tasks_of_a_number_of_lines(spark, monkeypatch, tmp_path):
+    spark.range(300).selectExpr("if(id % 50 = 0, null, id % 60) l_orderkey", "id % 40 l_partkey", "id % 3 l_suppkey", "cast(id % 7 as int) l_linenumber",
+                                "cast(1 + id % 9 as double) l_quantity", "cast(100 + id as double) l_extendedprice", "'N' l_returnflag", "'O' l_linestatus",
+                                "timestamp_ntz'1998-01-01 00:00:00' l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(50).selectExpr("id o_orderkey", "id % 9 o_custkey", "'1-URGENT' o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    whole = adapters.line_trades(spark, str(tmp_path), P.local_zone)
+    monkeypatch.setattr(adapters, "TASK_LINES", 30)
+    df = adapters.line_trades(spark, str(tmp_path), P.local_zone)
+    assert ", 10), REPARTITION_BY_NUM" in plan(df)
+    assert sorted(df.collect()) == sorted(whole.collect()) and df.count() > 200

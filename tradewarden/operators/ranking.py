@@ -203,21 +203,18 @@ def percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping
     marked = join_same(rows, F.broadcast(sketch), by)
     low = [F.element_at("_marks", 2 * i + 1) for i in range(len(names))]
     high = [F.element_at("_marks", 2 * i + 2) for i in range(len(names))]
-    v, nothing = F.col(value), F.lit(None).cast(df.schema[value].dataType)
-
-    def entry(q: int, what: Column) -> Column:
-        return F.struct(F.lit(q).alias("_q"), what.alias(value))
-    # One pass for all counts: every row under -1, the rows below a bracket without their value, those inside with it.
-    entries = F.array_compact(F.array(
-        entry(-1, nothing), *[F.when(v < lo, entry(i, nothing)) for i, lo in enumerate(low)],
-        *[F.when(v.between(lo, hi), entry(i, v)) for i, (lo, hi) in enumerate(zip(low, high))]))
-    cells = marked.select(*by, F.explode(entries).alias("_e")).select(*by, "_e._q", F.col(f"_e.{value}").alias(value))
-    cells = settle(cells.groupBy(*by, "_q", value).agg(F.count("*").alias("_n")))
-    without = cells.where(F.col(value).isNull())
-    counts = without.groupBy(*by).agg(
-        F.sum(F.when(F.col("_q") == -1, F.col("_n"))).alias("_size"),
-        *[F.coalesce(F.sum(F.when(F.col("_q") == i, F.col("_n"))), F.lit(0)).alias(f"_below{i}") for i in range(len(names))])
-    hist = cells.where(F.col(value).isNotNull())
+    v = F.col(value)
+    # One pass for all counts, a row of the table once: where it lies to each bracket (0 below, 1 inside, 2 above), and its value
+    # only if it lies inside of any.
+    places = [f"_at{i}" for i in range(len(names))]
+    sides = [F.when(v < lo, 0).when(v <= hi, 1).otherwise(2).alias(a) for a, lo, hi in zip(places, low, high)]
+    inside = reduce(Column.__or__, [F.col(a) == 1 for a in places])
+    cells = marked.select(*by, value, *sides).select(*by, *places, F.when(inside, v).alias(value))
+    cells = settle(cells.groupBy(*by, *places, value).agg(F.count("*").alias("_n")))
+    counts = cells.groupBy(*by).agg(F.sum("_n").alias("_size"), *[
+        F.coalesce(F.sum(F.when(F.col(a) == 0, F.col("_n"))), F.lit(0)).alias(f"_below{i}") for i, a in enumerate(places)])
+    of = F.array_compact(F.array(*[F.when(F.col(a) == 1, F.lit(i)) for i, a in enumerate(places)]))
+    hist = cells.where(inside).select(*by, F.explode(of).alias("_q"), value, "_n")
     run = join_same(running_total(hist, [value], {"_start": "_n"}, [*by, "_q"]), F.broadcast(counts), by)
     picks = [_at(F.col("_q") == i, value, F.col("_start") + F.col(f"_below{i}"), F.col("_n"),
                  side(_position(F.col("_size"), quantiles[out]))).cast("double").alias(f"_{out}_{name}")

@@ -68,12 +68,24 @@ def event_trades(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
         F.lpad(F.pmod(eid, F.lit(2)) * 10, 3, "0").alias("ms_flag"))
 
 
+# Order lines that one task joins, turns to trades and sorts.
+TASK_LINES = 500_000
+
+
 def line_trades(spark: SparkSession, sf_dir: str, zone: str) -> DataFrame:
-    """One trade per order line: customer, order priority as channel, part as instrument."""
-    lines = spread(table(spark, sf_dir, "lineitem").select(
+    """One trade per order line: customer, order priority as channel, part as instrument.
+
+    Lines and orders meet in tasks of some TASK_LINES lines: a trade is many times as wide as its line when packed, so tasks of
+    a number of bytes would hold too many of them."""
+    lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_returnflag", "l_linestatus", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    tasks = lines.count() // TASK_LINES
+    if tasks > spark.sparkContext.defaultParallelism:
+        lines, orders = lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
+    else:
+        lines = spread(lines)
     ticker, description = _instrument(F.col("l_partkey"))
     second = F.pmod(F.col("l_orderkey") * 37 + F.col("l_partkey") * 11 + F.col("l_linenumber") * 3607, F.lit(86400))
     utc = F.timestamp_add("SECOND", second, F.col("l_shipdate").cast("timestamp_ntz"))
