@@ -13,7 +13,7 @@ from tradewarden.operators import ranking
 from tradewarden.params import Params
 from tradewarden.plans import cube, patterns, profile
 from tradewarden.plans.pipeline import Pipeline
-from tradewarden.sources import adapters
+from tradewarden.sources import adapters, storage
 
 import micro
 
@@ -100,6 +100,18 @@ def test_a_row_is_counted_once_for_all_percentiles(spark):
         F.expr("percentile(v, 0.25)").alias("lo"), F.expr("percentile(v, 0.9)").alias("hi")).collect()}
 
 
+def test_what_deals_a_hot_key_is_neither_moved_nor_stored(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(storage, "BUCKET_ROWS", 5)
+    rows = spark.range(40).select(F.when(F.col("id") < 30, "hot").otherwise(F.concat(F.lit("c"), "id")).alias("k"), F.col("id").cast("string").alias("t"),
+                                  F.when(F.col("id") < 30, 30).otherwise(1).alias("n"), "id")
+    store = storage.TableStore(spark, str(tmp_path))
+    got = store.bucketed("x", lambda: rows, ["k"], 16, "n", "t")
+    assert got.columns == ["k", "id"] and sorted(r.id for r in got.collect()) == list(range(40))
+    files = {r.f: r.c for r in got.where("k = 'hot'").groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("c")).collect()}
+    assert len(files) > 1 and sum(files.values()) == 30
+    store.remove()
+
+
 def test_lines_meet_their_orders_in_tasks_of_a_number_of_lines(spark, monkeypatch, tmp_path):
     spark.range(300).selectExpr("if(id % 50 = 0, null, id % 60) l_orderkey", "id % 40 l_partkey", "id % 3 l_suppkey", "cast(id % 7 as int) l_linenumber",
                                 "cast(1 + id % 9 as double) l_quantity", "cast(100 + id as double) l_extendedprice", "'N' l_returnflag", "'O' l_linestatus",

@@ -212,11 +212,11 @@ class Pipeline:
     def flagged(self) -> DataFrame:
         """The trades of flagged clients, read in even splits: a bucket as a whole would be one task, whatever its client."""
         self._flagged_buckets()
-        return self.spark.read.parquet(self.store.path("operaciones_en_alerta")).drop("id_transaccion")
+        return self.spark.read.parquet(self.store.path("operaciones_en_alerta"))
 
     def flagged_of(self, client: str) -> DataFrame:
         """One client's flagged trades, from the client's bucket."""
-        return self._flagged_buckets().drop("id_transaccion").where(F.col("id_cliente") == client)
+        return self._flagged_buckets().where(F.col("id_cliente") == client)
 
     def _flagged_buckets(self) -> DataFrame:
         return self.store.bucketed("operaciones_en_alerta", lambda: casefile.weighted_flagged_trades(self.enriched, self.risk).select(
