@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding with a relational lattice.
 
-A text is the sequence of its units, each a run of word marks with what follows up to the next one; no piece of the model
-reaches over a unit's end, so each distinct unit is encoded once. Its substrings of bounded length are exploded and joined
-with the table of pieces, and the edges found are grouped by unit into a lattice. A fold over the lattices of many units at
-once, in array steps, takes the best-scored edge that spans exactly one cut, the leftmost among equals, until none is left.
+A text is the sequence of its units, each a run of word marks with what follows up to the next one, and a unit that of its
+segments: it is cut wherever two characters follow each other that do so in no piece. No piece of the model reaches over a
+segment's end, so each distinct segment is encoded once. Its substrings of bounded length are exploded and joined with the table
+of pieces, and the edges found are grouped by segment into a lattice. A fold over the lattices of many segments at once, in array steps, takes the best-scored edge that spans exactly one cut, the leftmost among equals, until none is left.
 That is the order in which this kind of model merges; the best sum of scores over a lattice, which other models ask for,
 would give other pieces. Characters without a piece become bytes.
 """
@@ -12,8 +12,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from tradewarden.llm.common import heaviest, parts, stored, text_of
 
 MARK = "▁"
-#: Units from this many characters on have more cuts than a long has bits and go through the library.
+#: Segments of more characters have more cuts than a long has bits and go through the library.
 FOLDED = 61
 HEAD_UNITS, HEAD_BYTES = 200_000, 64
 MEMO_UNITS = 300_000
@@ -45,6 +49,35 @@ def _model(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+@cache
+def _links(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character of the pieces, 0 for all others, and which two numbers follow each other in some piece."""
+    model = _model(path)
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    letters = sorted(set("".join(names)))
+    number = np.zeros(sys.maxunicode + 1, dtype=np.int32)
+    number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+    linked = np.zeros((len(letters) + 1, len(letters) + 1), dtype=bool)
+    for a, b in {name[i:i + 2] for name in names for i in range(len(name) - 1)}:
+        linked[number[ord(a)], number[ord(b)]] = True
+    return number, linked
+
+
+def segments(words: list[str], path: str) -> tuple[list[str], np.ndarray]:
+    """The segments of units (none empty, with all their marks), one after the other, and how many each has.
+
+    A merge always makes a piece, so two characters that follow each other in no piece are never merged."""
+    number, linked = _links(path)
+    whole = "".join(words)
+    kinds = number[np.frombuffer(whole.encode("utf-32-le"), dtype=np.uint32)]
+    ends = np.cumsum([0, *map(len, words)])
+    cut = np.ones(len(whole) + 1, dtype=bool)
+    cut[1:-1] = ~linked[kinds[:-1], kinds[1:]]
+    cut[ends] = True
+    places = np.flatnonzero(cut)
+    return [whole[a:b] for a, b in pairwise(places.tolist())], np.diff(np.searchsorted(places, ends))
+
+
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
     """piece, id, rank (smaller merges first) of the model's ordinary pieces. Its size is the vocabulary's."""
     model = _model(path)
@@ -55,9 +88,12 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
 
 def _fallback(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(path)
+        model, number = _model(path), _links(path)[0]
+        # What stands before a segment in a text is never merged with it; neither is a character that no piece has.
+        other = chr(0xE000 + int(np.flatnonzero(number[0xE000:] == 0)[0]))
+        before = len(model.encode(other))
         for batch in batches:
-            found = [model.encode(u.replace(MARK, " ")) for u in batch.column("unit").to_pylist()]
+            found = [model.encode(other + u.replace(MARK, " "))[before:] for u in batch.column("unit").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("unit"), batch.column("n"), pa.array(found, pa.list_(pa.int32()))],
                                              names=["unit", "n", "ids"])
     return run
@@ -72,7 +108,7 @@ def _fold(byte0: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [MARK + u for u in batch.column("unit").to_pylist()]
+            words = batch.column("unit").to_pylist()
             lists = batch.column("edges")
             flat = lists.flatten()
             start, length, rank = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "length", "rank"))
@@ -108,42 +144,54 @@ def _fold(byte0: int):
 
 
 def encode_units(counted: DataFrame, path: str) -> DataFrame:
-    """unit, n, ids for distinct units (without their first mark) with their numbers of occurrences."""
+    """unit, n, ids for distinct segments with their numbers of occurrences."""
     model = _model(path)
     pieces = piece_table(counted.sparkSession, path)
     longest = max(len(model.id_to_piece(i)) for i in range(model.get_piece_size()) if not model.is_byte(i))
     byte0 = model.piece_to_id("<0x00>")
-    # Dealt by unit before its substrings are exploded: the join with the pieces and the grouping of the edges then stay
-    # where they are, and a task's lattices fit its memory.
-    short = counted.where(F.length("unit") < FOLDED).repartition(parts(counted.sparkSession, counted.count(), TASK_UNITS), "unit")
-    short = short.withColumn("word", F.concat(F.lit(MARK), "unit")).withColumn("size", F.length("word"))
+    # Dealt by a number before substrings are exploded: the join with the pieces and the grouping of the edges then stay
+    # where they are, a task's lattices fit its memory, and edges are sorted by a number instead of a text.
+    short = counted.where(F.length("unit") <= FOLDED).withColumn("k", F.monotonically_increasing_id())
+    short = short.repartition(parts(counted.sparkSession, counted.count(), TASK_UNITS), "k").withColumn("size", F.length("unit"))
     starts = short.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     spans = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("size") - F.col("start")))))
-    spans = spans.withColumn("piece", F.expr("substring(word, start + 1, length)"))
+    spans = spans.withColumn("piece", F.expr("substring(unit, start + 1, length)"))
     # The piece table is as large as the vocabulary of the model, whatever the corpus.
     edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or length = 1")
-    lattice = edges.groupBy("unit").agg(
-        F.first("n").cast("long").alias("n"), F.collect_list(F.struct("start", "length", "rank", "id")).alias("edges"))
+    lattice = edges.groupBy("k").agg(F.first("unit").alias("unit"), F.first("n").cast("long").alias("n"),
+                                     F.collect_list(F.struct("start", "length", "rank", "id")).alias("edges")).drop("k")
     ids = lattice.mapInArrow(_fold(byte0), "unit string, n long, ids array<int>")
-    long = counted.where(F.length("unit") >= FOLDED).mapInArrow(_fallback(path), "unit string, n long, ids array<int>")
+    long = counted.where(F.length("unit") > FOLDED).mapInArrow(_fallback(path), "unit string, n long, ids array<int>")
     return ids.unionByName(long)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(text: str, path: str) -> list[str]:
+    words = [MARK + u for u in units(text)]
+    return segments(words, path)[0] if words else []
+
+
+def _count(path: str):
     def rows(found: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["unit", "n"])
-    found: Counter = Counter()
-    for text in (x.as_py() for batch in batches for x in batch.column("text")):
-        found.update(units(text))
-        if len(found) > MEMO_UNITS:
-            yield rows(found)
-            found = Counter()
-    yield rows(found)
+        cut, many = segments([MARK + u for u in found], path) if found else ([], [])
+        added: Counter = Counter()
+        for unit, n in zip(cut, np.repeat(list(found.values()), many).tolist(), strict=True):
+            added[unit] += n
+        return pa.RecordBatch.from_arrays([pa.array(added.keys(), pa.string()), pa.array(added.values(), pa.int64())], names=["unit", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for text in (x.as_py() for batch in batches for x in batch.column("text")):
+            found.update(units(text))
+            if len(found) > MEMO_UNITS:
+                yield rows(found)
+                found = Counter()
+        yield rows(found)
+    return run
 
 
 def dictionary(texts: DataFrame, path: str) -> DataFrame:
-    """unit, n, ids of all distinct units of `texts` (text)."""
-    counted = texts.select("text").mapInArrow(_count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    """unit, n, ids of all distinct segments of `texts` (text)."""
+    counted = texts.select("text").mapInArrow(_count(path), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     return encode_units(stored(counted, "units"), path)
 
 
@@ -167,7 +215,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = units(text)
+                found = _cut(text, path)
                 yield pa.RecordBatch.from_arrays([pa.array([uid] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()),
                                                   pa.array(found, pa.string())], names=["uid", "at", "unit"])
     placed = texts.select("uid", "text").mapInArrow(run, "uid long, at int, unit string").join(known, "unit")
@@ -181,7 +229,7 @@ SCANNED = ("uid long, doc_id long, n_bytes long, n_units long, pieces long, byte
            "tail array<struct<unit:string,k:int>>")
 
 
-def _scan(head):
+def _scan(head, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, sums = head.value
         index = {u: i for i, u in enumerate(known)}
@@ -190,7 +238,8 @@ def _scan(head):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                split = [units(t) for t in part.column("text").to_pylist()]
+                texts = part.column("text").to_pylist()
+                split = [_cut(t, path) for t in texts]
                 flat = np.array([get(u, none) for us in split for u in us], dtype=np.int64)
                 ends = np.cumsum([len(us) for us in split])
                 total = np.vstack([np.zeros((1, 4), dtype=np.int64), np.cumsum(sums[flat], axis=0)])
@@ -200,7 +249,7 @@ def _scan(head):
                     rest = np.flatnonzero(flat[a:b] == none)
                     tails.append([{"unit": u, "k": k} for u, k in Counter(us[i] for i in rest.tolist()).items()])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), part.column("doc_id"), part.column("n_bytes"), pa.array([len(us) for us in split], pa.int64()),
+                    [part.column("uid"), part.column("doc_id"), part.column("n_bytes"), pa.array([len(units(t)) for t in texts], pa.int64()),
                      *(pa.array(added[:, i]) for i in range(4)), pa.array(tails, _TAIL)],
                     names=["uid", "doc_id", "n_bytes", "n_units", "pieces", "bytes", "ids", "wrong", "tail"])
     return run
@@ -209,7 +258,7 @@ def _scan(head):
 def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS) -> DataFrame:
     """doc_id, n_bytes, n_units, n_pieces, n_byte_pieces, id_sum, round_trip: the encoding of each whole text in figures.
 
-    round_trip: every unit's ids decode to the unit again. The most frequent units go to every task as a table of bounded
+    round_trip: every segment's ids decode to the segment again. The most frequent segments go to every task as a table of bounded
     size, all others are joined. NULL and empty texts have no pieces; rows with NULL or repeated ids stay; an empty table
     gives an empty result; other columns are ignored, whatever their names."""
     spark, text = docs.sparkSession, text_of(text_col)
@@ -218,7 +267,7 @@ def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     plain = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     known = dictionary(plain, path)
-    back = F.replace("unit", F.lit(MARK), F.lit(" "))
+    back = F.regexp_replace(F.replace("unit", F.lit(MARK), F.lit(" ")), "^ ", "")
     figures = known.select(
         "unit", "n", F.size("ids").cast("long").alias("pieces"),
         F.size(F.filter("ids", lambda i: i.between(byte0, byte0 + 255))).cast("long").alias("bytes"),
@@ -229,7 +278,7 @@ def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     head = head.select("unit", "pieces", "bytes", "ids", "wrong").toArrow()
     sums = np.column_stack([head[c].to_numpy() for c in ("pieces", "bytes", "ids", "wrong")]).astype(np.int64)
     shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), sums))
-    scanned = stored(plain.mapInArrow(_scan(shipped), SCANNED), "unit-scanned")
+    scanned = stored(plain.mapInArrow(_scan(shipped, path), SCANNED), "unit-scanned")
     tail = scanned.select("uid", F.explode("tail").alias("t")).select("uid", "t.unit", "t.k").join(figures, "unit")
     cols = ("pieces", "bytes", "ids", "wrong")
     more = tail.groupBy("uid").agg(*[F.sum(F.col("k") * F.col(c)).alias(f"more_{c}") for c in cols])
@@ -240,38 +289,77 @@ def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 _PLACES = pa.list_(pa.struct([("at", pa.int32()), ("unit", pa.string())]))
-PLACED = "uid long, doc_id long, n_bytes long, sha256 binary, ids array<int>, tail array<struct<at:int,unit:string>>"
 
 
-def _place(head):
-    """The ids of each text in order, with -1 where a unit isn't in the table; these units with their rank among them."""
+def _placed(kind: str) -> str:
+    return f"uid long, doc_id long, n_bytes long, sha256 binary, ids array<{kind}>, tail array<struct<at:int,unit:string>>"
+
+
+def _place(head, path: str, kind: pa.DataType):
+    """The ids of each text in order, with -1 where a segment isn't in the table; these segments with their rank among them.
+
+    A task keeps the ids of the units it has met, and forgets them when they are too many."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sizes, values = head.value
-        get, none = {u: i for i, u in enumerate(known)}.get, len(known)
-        sizes, values = np.append(sizes, 1), np.append(values, -1).astype(np.int32)
-        starts = np.cumsum(sizes) - sizes
+        known, ends, values = head.value
+        get = dict(zip(known, zip([0, *ends], ends))).get
+        values = values.tolist()
+        met, open_units, sizes, found = {}, {}, array("q"), array("i")
+
+        def meet(new: list[str]) -> None:
+            cut, many = segments([MARK + u for u in new], path)
+            rest = iter(cut)
+            for u, n in zip(new, many.tolist(), strict=True):
+                size, unknown = len(found), []
+                for piece in islice(rest, n):
+                    if (at := get(piece)) is None:
+                        found.append(-1)
+                        unknown.append(piece)
+                    else:
+                        found.extend(values[at[0]:at[1]])
+                if unknown:
+                    open_units[len(met)] = unknown
+                met[u] = len(met)
+                sizes.append(len(found) - size)
+
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column("text").to_pylist()
                 split = [units(t) for t in texts]
-                flat = np.array([get(u, none) for us in split for u in us], dtype=np.int64)
-                ends = np.append(0, np.cumsum([len(us) for us in split]))
-                many = sizes[flat]
+                if len(met) > MEMO_UNITS:
+                    met, open_units, sizes, found = {}, {}, array("q"), array("i")
+                if new := [u for u in dict.fromkeys(u for us in split for u in us) if u not in met]:
+                    meet(new)
+                flat = np.array([met[u] for us in split for u in us], dtype=np.int64)
+                bounds = np.append(0, np.cumsum([len(us) for us in split]))
+                size, value = np.array(sizes, dtype=np.int64), np.array(found, dtype=np.int32)
+                many = size[flat]
                 place = np.append(0, np.cumsum(many))
-                ids = values[np.repeat(starts[flat] - place[:-1], many) + np.arange(place[-1])]
+                ids = value[np.repeat((np.cumsum(size) - size)[flat] - place[:-1], many) + np.arange(place[-1])]
+                is_open = np.zeros(len(size), dtype=bool)
+                is_open[list(open_units)] = True
+                holes = np.flatnonzero(is_open[flat])
+                marks = np.searchsorted(holes, bounds)
                 tails = []
-                for a, b, us in zip(ends[:-1].tolist(), ends[1:].tolist(), split, strict=True):
-                    rest = np.flatnonzero(flat[a:b] == none).tolist()
-                    tails.append([{"at": k, "unit": us[i]} for k, i in enumerate(rest)])
+                for a, b in pairwise(marks.tolist()):
+                    rest = [x for k in flat[holes[a:b]].tolist() for x in open_units[k]]
+                    tails.append([{"at": k, "unit": x} for k, x in enumerate(rest)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("uid"), part.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()),
                      pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(place[ends], pa.int32()), pa.array(ids, pa.int32())), pa.array(tails, _PLACES)],
+                     pa.ListArray.from_arrays(pa.array(place[bounds], pa.int32()), pa.array(ids, kind)), pa.array(tails, _PLACES)],
                     names=["uid", "doc_id", "n_bytes", "sha256", "ids", "tail"])
     return run
 
 
+def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        tail = batch.column("tail")
+        rows = tail.flatten()
+        uid = np.repeat(batch.column("uid").to_numpy(), np.diff(tail.offsets.to_numpy()))
+        yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), rows.field("at"), rows.field("unit")], names=["uid", "at", "unit"])
+
+
 def _splice(table: list[bytes]):
     """The ids with the joined ones in their places, and whether they decode to the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,19 +367,19 @@ def _splice(table: list[bytes]):
             for at in range(0, batch.num_rows, 256):
                 part, out, same = batch.slice(at, 256), [], []
                 for ids, rest, digest in zip(part.column("ids"), part.column("rest"), part.column("sha256").to_pylist(), strict=True):
-                    whole = ids.values.to_numpy()
+                    whole = ids.values.to_numpy().astype(np.int32)
                     if rest.is_valid:
                         found = rest.values.to_pylist()
                         holes = np.flatnonzero(whole < 0)
                         if len(found) != len(holes):
-                            raise ValueError("a unit of a text has no ids")
+                            raise ValueError("a segment of a text has no ids")
                         many = np.ones(len(whole), dtype=np.int64)
                         many[holes] = [len(x) for x in found]
                         joined = np.repeat(whole, many)
                         joined[joined < 0] = [i for x in found for i in x]
                         whole = joined
                     if len(whole) and whole.min() < 0:
-                        raise ValueError("a unit of a text has no ids")
+                        raise ValueError("a segment of a text has no ids")
                     text = b"".join(map(table.__getitem__, whole.tolist())).replace(MARK.encode(), b" ").removeprefix(b" ")
                     out.append(whole)
                     same.append(hashlib.sha256(text).digest() == digest)
@@ -307,7 +395,7 @@ def encode_whole(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """doc_id, n_bytes, ids, round_trip: the encoding of each whole text, one row per row of `docs`, as the library encodes it.
 
     round_trip: the ids, decoded together, give the text again, byte for byte; a word mark in a text comes back as a blank.
-    The most frequent units go to every task as a table of bounded size, all others are joined and put in their places. NULL
+    The most frequent segments go to every task as a table of bounded size, all others are joined and put in their places. NULL
     and empty texts have no ids; rows with NULL or repeated ids stay; an empty table gives an empty result; other columns are
     ignored, whatever their names."""
     spark, model = docs.sparkSession, _model(path)
@@ -316,13 +404,16 @@ def encode_whole(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     known = stored(dictionary(plain, path), "unit-dictionary")
     head = heaviest(known.where(F.octet_length("unit") <= HEAD_BYTES), "n", head_units).select("unit", "ids").toArrow().combine_chunks()
     lists = head["ids"].to_pylist()
-    shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), np.array([len(x) for x in lists], dtype=np.int64),
+    shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), np.cumsum([len(x) for x in lists]).tolist(),
                                             np.array([i for x in lists for i in x], dtype=np.int32)))
-    placed = stored(plain.mapInArrow(_place(shipped), PLACED), "ids-placed")
-    tail = placed.select("uid", F.explode("tail").alias("t")).select("uid", "t.at", "t.unit").join(known.select("unit", F.col("ids").alias("found")), "unit")
-    rest = tail.groupBy("uid").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "found"))), lambda x: x["found"]).alias("rest"))
-    holed = placed.where(F.size("tail") > 0).drop("tail").join(rest, "uid", "left")
-    full = placed.where(F.size("tail") == 0).drop("tail").withColumn("rest", F.lit(None).cast("array<array<int>>"))
+    small = model.get_piece_size() <= 1 << 15
+    # The ids move once, to where the missing ones come to them; both branches below read this one exchange, so both
+    # take all of its columns.
+    placed = plain.mapInArrow(_place(shipped, path, pa.int16() if small else pa.int32()), _placed("smallint" if small else "int")).repartition("uid")
+    tail = placed.mapInArrow(_tails, "uid long, at int, unit string").join(known.select("unit", F.col("ids").alias("found")), "unit")
+    rest = tail.groupBy(F.col("uid").alias("of")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "found"))), lambda x: x["found"]).alias("rest"))
     table = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i)
              else model.id_to_piece(i).encode() for i in range(model.get_piece_size())]
-    return full.unionByName(holed).mapInArrow(_splice(table), "doc_id long, n_bytes long, ids array<int>, round_trip boolean")
+    return placed.join(rest, F.col("uid") == F.col("of"), "left").mapInArrow(
+        _splice(table), "doc_id long, n_bytes long, ids array<int>, round_trip boolean")
