@@ -30,8 +30,10 @@ MARK = "▁"
 #: Segments of more characters have more cuts than a long has bits and go through the library.
 FOLDED = 61
 HEAD_UNITS, HEAD_BYTES = 200_000, 64
+#: The segments that every task of `encode_whole` has at hand are told by about so many texts.
+SAMPLE_ROWS, SAMPLE_UNITS = 30_000, 400_000
 MEMO_UNITS = 300_000
-TASK_UNITS = 10_000
+TASK_UNITS, TASK_ROWS = 10_000, 1_000
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -86,27 +88,25 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, rank long")
 
 
-def _fallback(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, number = _model(path), _links(path)[0]
-        # What stands before a segment in a text is never merged with it; neither is a character that no piece has.
-        other = chr(0xE000 + int(np.flatnonzero(number[0xE000:] == 0)[0]))
-        before = len(model.encode(other))
-        for batch in batches:
-            found = [model.encode(other + u.replace(MARK, " "))[before:] for u in batch.column("unit").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("unit"), batch.column("n"), pa.array(found, pa.list_(pa.int32()))],
-                                             names=["unit", "n", "ids"])
-    return run
+def _by_library(path: str):
+    """The library's ids of a single segment."""
+    model, number = _model(path), _links(path)[0]
+    # What stands before a segment in a text is never merged with it; neither is a character that no piece has.
+    other = chr(0xE000 + int(np.flatnonzero(number[0xE000:] == 0)[0]))
+    before = len(model.encode(other))
+    return lambda unit: model.encode(other + unit.replace(MARK, " "))[before:]
 
 
-def _fold(byte0: int):
+def _fold(byte0: int, path: str):
     """The ids of each unit from its lattice, for all units of a batch at once.
 
     A unit's state is the set of cuts between its characters, as bits. Each round every unit takes its best-ranked edge that
-    spans exactly one cut, the leftmost among equals, and drops that cut; it is done when there is no such edge."""
+    spans exactly one cut, the leftmost among equals, and drops that cut; it is done when there is no such edge. A unit too long
+    for this has one edge and gets the library's ids."""
     one = np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library = None
         for batch in batches:
             words = batch.column("unit").to_pylist()
             lists = batch.column("edges")
@@ -116,7 +116,7 @@ def _fold(byte0: int):
             unit = np.repeat(np.arange(len(words)), np.diff(lists.offsets.to_numpy()))
             left, right = start.astype(np.uint64), (start + length).astype(np.uint64)
             ends, inner = (one << left) | (one << right), (one << right) - (one << (left + one))
-            cuts = (one << (np.fromiter(map(len, words), dtype=np.uint64, count=len(words)) + one)) - one
+            cuts = (one << (np.minimum(np.fromiter(map(len, words), dtype=np.uint64, count=len(words)), np.uint64(FOLDED)) + one)) - one
             going = np.lexsort((start, rank, unit))
             going = going[length[going] > 1]
             while len(going):
@@ -129,40 +129,47 @@ def _fold(byte0: int):
                 going = going[alive[at]]
             kept = np.flatnonzero(((cuts[unit] & ends) == ends) & ((cuts[unit] & inner) == 0))
             kept = kept[np.lexsort((start[kept], unit[kept]))]
-            unknown = {k: words[unit[e]][start[e]].encode() for k, e in enumerate(kept.tolist()) if ids[e] < 0}
+            spelled = {}
+            for k, e in enumerate(kept.tolist()):
+                word = words[unit[e]]
+                if len(word) > FOLDED:
+                    library = library or _by_library(path)
+                    spelled[k] = library(word)
+                elif ids[e] < 0:
+                    spelled[k] = [byte0 + x for x in word[start[e]].encode()]
             many = np.ones(len(kept), dtype=np.int64)
-            many[list(unknown)] = [len(x) for x in unknown.values()]
+            many[list(spelled)] = [len(x) for x in spelled.values()]
             out = np.repeat(ids[kept], many)
             place = np.cumsum(many) - many
-            for k, raw in unknown.items():
-                out[place[k]:place[k] + len(raw)] = np.frombuffer(raw, dtype=np.uint8).astype(np.int64) + byte0
+            for k, found in spelled.items():
+                out[place[k]:place[k] + len(found)] = found
             offsets = np.append(0, np.cumsum(np.bincount(unit[kept], weights=many, minlength=len(words)).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("unit"), batch.column("n"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))],
-                names=["unit", "n", "ids"])
+                [batch.column("unit"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))], names=["unit", "ids"])
     return run
 
 
-def encode_units(counted: DataFrame, path: str) -> DataFrame:
-    """unit, n, ids for distinct segments with their numbers of occurrences."""
+def fold_units(distinct: DataFrame, path: str) -> DataFrame:
+    """unit, ids of distinct segments (unit), each folded by the task that has it: dealt by unit, so the join with the pieces and
+    the grouping of the edges stay where they are."""
     model = _model(path)
-    pieces = piece_table(counted.sparkSession, path)
+    pieces = piece_table(distinct.sparkSession, path)
     longest = max(len(model.id_to_piece(i)) for i in range(model.get_piece_size()) if not model.is_byte(i))
     byte0 = model.piece_to_id("<0x00>")
-    # Dealt by a number before substrings are exploded: the join with the pieces and the grouping of the edges then stay
-    # where they are, a task's lattices fit its memory, and edges are sorted by a number instead of a text.
-    short = counted.where(F.length("unit") <= FOLDED).withColumn("k", F.monotonically_increasing_id())
-    short = short.repartition(parts(counted.sparkSession, counted.count(), TASK_UNITS), "k").withColumn("size", F.length("unit"))
-    starts = short.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
+    folded = F.length("unit") <= FOLDED
+    starts = distinct.withColumn("size", F.when(folded, F.length("unit")).otherwise(1))
+    starts = starts.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     spans = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("size") - F.col("start")))))
     spans = spans.withColumn("piece", F.expr("substring(unit, start + 1, length)"))
     # The piece table is as large as the vocabulary of the model, whatever the corpus.
     edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or length = 1")
-    lattice = edges.groupBy("k").agg(F.first("unit").alias("unit"), F.first("n").cast("long").alias("n"),
-                                     F.collect_list(F.struct("start", "length", "rank", "id")).alias("edges")).drop("k")
-    ids = lattice.mapInArrow(_fold(byte0), "unit string, n long, ids array<int>")
-    long = counted.where(F.length("unit") > FOLDED).mapInArrow(_fallback(path), "unit string, n long, ids array<int>")
-    return ids.unionByName(long)
+    lattice = edges.groupBy("unit").agg(F.collect_list(F.struct("start", "length", "rank", "id")).alias("edges"))
+    return lattice.mapInArrow(_fold(byte0, path), "unit string, ids array<int>")
+
+
+def encode_units(counted: DataFrame, path: str) -> DataFrame:
+    """unit, ids for distinct segments (unit)."""
+    return fold_units(counted.select("unit").repartition(parts(counted.sparkSession, counted.count(), TASK_UNITS), "unit"), path)
 
 
 def _cut(text: str, path: str) -> list[str]:
@@ -189,10 +196,15 @@ def _count(path: str):
     return run
 
 
+def count_units(texts: DataFrame, path: str) -> DataFrame:
+    """unit, n: all distinct segments of `texts` (text) with their numbers of occurrences."""
+    return texts.select("text").mapInArrow(_count(path), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+
+
 def dictionary(texts: DataFrame, path: str) -> DataFrame:
     """unit, n, ids of all distinct segments of `texts` (text)."""
-    counted = texts.select("text").mapInArrow(_count(path), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    return encode_units(stored(counted, "units"), path)
+    counted = stored(count_units(texts, path), "units")
+    return encode_units(counted, path).join(counted, "unit")
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -288,22 +300,21 @@ def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                         F.col("ids").alias("id_sum"), (F.col("wrong") == 0).alias("round_trip"))
 
 
-_PLACES = pa.list_(pa.struct([("at", pa.int32()), ("unit", pa.string())]))
-
-
-def _placed(kind: str) -> str:
-    return f"uid long, doc_id long, n_bytes long, sha256 binary, ids array<{kind}>, tail array<struct<at:int,unit:string>>"
+PLACED = "uid long, doc_id long, n_bytes long, sha256 binary, n_ids long, ids binary, holes array<int>, tail array<string>"
 
 
-def _place(head, path: str, kind: pa.DataType):
-    """The ids of each text in order, with -1 where a segment isn't in the table; these segments with their rank among them.
+def _place(head, path: str, kind: type):
+    """The ids of each text in order, packed, with the largest number where a segment isn't in the table; for each such place
+    the index of its segment among the text's distinct ones that aren't.
 
     A task keeps the ids of the units it has met, and forgets them when they are too many."""
+    hole = np.iinfo(kind).max
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ends, values = head.value
-        get = dict(zip(known, zip([0, *ends], ends))).get
-        values = values.tolist()
-        met, open_units, sizes, found = {}, {}, array("q"), array("i")
+        get = {u: i for i, u in enumerate(known)}.get
+        ends, values = [0, *ends.tolist()], array("I", values.tolist())
+        met, open_units, sizes, found = {}, {}, array("q"), array("I")
 
         def meet(new: list[str]) -> None:
             cut, many = segments([MARK + u for u in new], path)
@@ -312,10 +323,10 @@ def _place(head, path: str, kind: pa.DataType):
                 size, unknown = len(found), []
                 for piece in islice(rest, n):
                     if (at := get(piece)) is None:
-                        found.append(-1)
+                        found.append(hole)
                         unknown.append(piece)
                     else:
-                        found.extend(values[at[0]:at[1]])
+                        found.extend(values[ends[at]:ends[at + 1]])
                 if unknown:
                     open_units[len(met)] = unknown
                 met[u] = len(met)
@@ -327,61 +338,64 @@ def _place(head, path: str, kind: pa.DataType):
                 texts = part.column("text").to_pylist()
                 split = [units(t) for t in texts]
                 if len(met) > MEMO_UNITS:
-                    met, open_units, sizes, found = {}, {}, array("q"), array("i")
+                    met, open_units, sizes, found = {}, {}, array("q"), array("I")
                 if new := [u for u in dict.fromkeys(u for us in split for u in us) if u not in met]:
                     meet(new)
                 flat = np.array([met[u] for us in split for u in us], dtype=np.int64)
                 bounds = np.append(0, np.cumsum([len(us) for us in split]))
-                size, value = np.array(sizes, dtype=np.int64), np.array(found, dtype=np.int32)
+                size, value = np.array(sizes, dtype=np.int64), np.array(found, dtype=kind)
                 many = size[flat]
                 place = np.append(0, np.cumsum(many))
                 ids = value[np.repeat((np.cumsum(size) - size)[flat] - place[:-1], many) + np.arange(place[-1])]
                 is_open = np.zeros(len(size), dtype=bool)
                 is_open[list(open_units)] = True
-                holes = np.flatnonzero(is_open[flat])
-                marks = np.searchsorted(holes, bounds)
-                tails = []
-                for a, b in pairwise(marks.tolist()):
-                    rest = [x for k in flat[holes[a:b]].tolist() for x in open_units[k]]
-                    tails.append([{"at": k, "unit": x} for k, x in enumerate(rest)])
+                open_at = np.flatnonzero(is_open[flat])
+                holes, tails = [], []
+                for a, b in pairwise(np.searchsorted(open_at, bounds).tolist()):
+                    index: dict[str, int] = {}
+                    holes.append([index.setdefault(x, len(index)) for k in flat[open_at[a:b]].tolist() for x in open_units[k]])
+                    tails.append(list(index))
+                packed = [pa.compress(ids[a:b].tobytes(), codec="zstd", asbytes=True) for a, b in pairwise(place[bounds].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("uid"), part.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()),
                      pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(place[bounds], pa.int32()), pa.array(ids, kind)), pa.array(tails, _PLACES)],
-                    names=["uid", "doc_id", "n_bytes", "sha256", "ids", "tail"])
+                     pa.array(np.diff(place[bounds]), pa.int64()), pa.array(packed, pa.binary()),
+                     pa.array(holes, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.string()))],
+                    names=["uid", "doc_id", "n_bytes", "sha256", "n_ids", "ids", "holes", "tail"])
     return run
 
 
 def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         tail = batch.column("tail")
-        rows = tail.flatten()
-        uid = np.repeat(batch.column("uid").to_numpy(), np.diff(tail.offsets.to_numpy()))
-        yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), rows.field("at"), rows.field("unit")], names=["uid", "at", "unit"])
+        ends = tail.offsets.to_numpy()
+        many = np.diff(ends)
+        uid, at = np.repeat(batch.column("uid").to_numpy(), many), np.arange(many.sum()) - np.repeat(ends[:-1] - ends[0], many)
+        yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(at, pa.int32()), tail.flatten()], names=["uid", "at", "unit"])
 
 
-def _splice(table: list[bytes]):
+def _splice(table: list[bytes], kind: type):
     """The ids with the joined ones in their places, and whether they decode to the text."""
+    hole = np.iinfo(kind).max
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out, same = batch.slice(at, 256), [], []
-                for ids, rest, digest in zip(part.column("ids"), part.column("rest"), part.column("sha256").to_pylist(), strict=True):
-                    whole = ids.values.to_numpy().astype(np.int32)
-                    if rest.is_valid:
-                        found = rest.values.to_pylist()
-                        holes = np.flatnonzero(whole < 0)
-                        if len(found) != len(holes):
-                            raise ValueError("a segment of a text has no ids")
-                        many = np.ones(len(whole), dtype=np.int64)
-                        many[holes] = [len(x) for x in found]
-                        joined = np.repeat(whole, many)
-                        joined[joined < 0] = [i for x in found for i in x]
-                        whole = joined
-                    if len(whole) and whole.min() < 0:
+                cols = [part.column(c).to_pylist() for c in ("n_ids", "ids", "holes", "tail", "rest", "sha256")]
+                for n, packed, order, tail, rest, digest in zip(*cols, strict=True):
+                    size = n * np.dtype(kind).itemsize
+                    whole = np.frombuffer(pa.decompress(packed, size, codec="zstd", asbytes=True), dtype=kind)
+                    places = np.flatnonzero(whole == hole)
+                    if len(places) != len(order) or len(rest or []) != len(tail):
                         raise ValueError("a segment of a text has no ids")
-                    text = b"".join(map(table.__getitem__, whole.tolist())).replace(MARK.encode(), b" ").removeprefix(b" ")
-                    out.append(whole)
+                    many = np.ones(len(whole), dtype=np.int64)
+                    many[places] = [len(rest[k]) for k in order]
+                    joined = np.repeat(whole.astype(np.int32), many)
+                    if order:
+                        joined[np.repeat(whole == hole, many)] = [i for k in order for i in rest[k]]
+                    text = b"".join(map(table.__getitem__, joined.tolist())).replace(MARK.encode(), b" ").removeprefix(b" ")
+                    out.append(joined)
                     same.append(hashlib.sha256(text).digest() == digest)
                 offsets = np.append(0, np.cumsum([len(x) for x in out]))
                 yield pa.RecordBatch.from_arrays(
@@ -391,29 +405,32 @@ def _splice(table: list[bytes]):
     return run
 
 
-def encode_whole(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", head_units: int = HEAD_UNITS) -> DataFrame:
+def encode_whole(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", head_units: int = SAMPLE_UNITS) -> DataFrame:
     """doc_id, n_bytes, ids, round_trip: the encoding of each whole text, one row per row of `docs`, as the library encodes it.
 
     round_trip: the ids, decoded together, give the text again, byte for byte; a word mark in a text comes back as a blank.
-    The most frequent segments go to every task as a table of bounded size, all others are joined and put in their places. NULL
-    and empty texts have no ids; rows with NULL or repeated ids stay; an empty table gives an empty result; other columns are
+    Segments that are frequent in a sample of the texts go to every task as a table of bounded size; all others, whatever their
+    number, are looked up by a join and put in their places, so the sample has no part in the result. NULL and empty texts have no ids; rows with NULL or repeated ids stay; an empty table gives an empty result; other columns are
     ignored, whatever their names."""
     spark, model = docs.sparkSession, _model(path)
+    kind = np.uint16 if model.get_piece_size() < np.iinfo(np.uint16).max else np.uint32
     plain = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         text_of(text_col).alias("text"))
-    known = stored(dictionary(plain, path), "unit-dictionary")
-    head = heaviest(known.where(F.octet_length("unit") <= HEAD_BYTES), "n", head_units).select("unit", "ids").toArrow().combine_chunks()
+    n_rows = docs.count()
+    some = stored(count_units(plain.sample(min(1.0, SAMPLE_ROWS / max(1, n_rows)), 1), path), "units")
+    head = heaviest(some.where(F.octet_length("unit") <= HEAD_BYTES), "n", head_units)
+    head = encode_units(head, path).select("unit", "ids").toArrow().combine_chunks()
     lists = head["ids"].to_pylist()
-    shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), np.cumsum([len(x) for x in lists]).tolist(),
-                                            np.array([i for x in lists for i in x], dtype=np.int32)))
-    small = model.get_piece_size() <= 1 << 15
-    # The ids move once, to where the missing ones come to them; both branches below read this one exchange, so both
+    shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), np.cumsum([len(x) for x in lists], dtype=np.int64),
+                                            np.array([i for x in lists for i in x], dtype=np.int64)))
+    # The ids move once, packed, to where the missing ones come to them. Both branches below read this one exchange, so both
     # take all of its columns.
-    placed = plain.mapInArrow(_place(shipped, path, pa.int16() if small else pa.int32()), _placed("smallint" if small else "int")).repartition("uid")
-    tail = placed.mapInArrow(_tails, "uid long, at int, unit string").join(known.select("unit", F.col("ids").alias("found")), "unit")
-    rest = tail.groupBy(F.col("uid").alias("of")).agg(
+    placed = plain.mapInArrow(_place(shipped, path, kind), PLACED).repartition("uid")
+    tail = placed.mapInArrow(_tails, "uid long, at int, unit string")
+    known = fold_units(tail.select("unit").repartition(parts(spark, n_rows, TASK_ROWS), "unit").distinct(), path)
+    rest = tail.join(known.withColumnRenamed("ids", "found"), "unit").groupBy(F.col("uid").alias("of")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "found"))), lambda x: x["found"]).alias("rest"))
     table = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i)
              else model.id_to_piece(i).encode() for i in range(model.get_piece_size())]
     return placed.join(rest, F.col("uid") == F.col("of"), "left").mapInArrow(
-        _splice(table), "doc_id long, n_bytes long, ids array<int>, round_trip boolean")
+        _splice(table, kind), "doc_id long, n_bytes long, ids array<int>, round_trip boolean")
