@@ -128,3 +128,20 @@ def test_empty_tables(no_docs):
 
 def test_whole_texts_of_an_empty_table(no_docs):
     assert pieces.encode_whole(no_docs, PIECE).count() == 0
+
+
+def test_units_are_cut_where_no_piece_reaches(spark):
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    cut, many = pieces.segments(["▁end.\nThe", "▁²x", "▁"], PIECE)
+    assert "".join(cut) == "▁end.\nThe▁²x▁" and many.sum() == len(cut) and cut[0] == "▁end" and cut[-1] == "▁"
+    rows = [(1, "thein" * 40 + "².x"), (2, "a " + "on" * 50 + "▁" * 70 + "y"), (3, " " * 200), (4, "日本" * 80)]
+    got = pieces.encode_whole(spark.createDataFrame(rows, "doc_id long, text string"), PIECE, head_units=0).collect()
+    assert sorted((r.doc_id, list(r.ids)) for r in got) == [(i, model.encode(t)) for i, t in rows]
+
+
+def test_packed_numbers():
+    numbers = np.array([0, 127, 128, 5, 16_383, 16_384, 3_000_000, 1], dtype=np.int32)
+    packed, sizes = pieces.pack(numbers, np.array([0, 3, 3, 8]))
+    back, bounds = pieces.unpack(packed, sizes)
+    assert back.tolist() == numbers.tolist() and bounds.tolist() == [0, 3, 3, 8] and sizes == [4, 0, 11]

@@ -17,7 +17,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice, pairwise
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -98,7 +98,7 @@ def _by_library(path: str):
 
 
 def _fold(byte0: int, path: str):
-    """The ids of each unit from its lattice, for all units of a batch at once.
+    """The ids of each unit from its lattice, for all units of a batch at once, beside the unit's other columns.
 
     A unit's state is the set of cuts between its characters, as bits. Each round every unit takes its best-ranked edge that
     spans exactly one cut, the leftmost among equals, and drops that cut; it is done when there is no such edge. A unit too long
@@ -108,7 +108,7 @@ def _fold(byte0: int, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = None
         for batch in batches:
-            words = batch.column("unit").to_pylist()
+            words, kept_names = batch.column("unit").to_pylist(), [c for c in batch.schema.names if c != "edges"]
             lists = batch.column("edges")
             flat = lists.flatten()
             start, length, rank = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "length", "rank"))
@@ -145,17 +145,17 @@ def _fold(byte0: int, path: str):
                 out[place[k]:place[k] + len(found)] = found
             offsets = np.append(0, np.cumsum(np.bincount(unit[kept], weights=many, minlength=len(words)).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("unit"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))], names=["unit", "ids"])
+                [*map(batch.column, kept_names), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))],
+                names=[*kept_names, "ids"])
     return run
 
 
-def fold_units(distinct: DataFrame, path: str) -> DataFrame:
-    """unit, ids of distinct segments (unit), each folded by the task that has it: dealt by unit, so the join with the pieces and
-    the grouping of the edges stay where they are."""
+def lattices(distinct: DataFrame, path: str) -> DataFrame:
+    """unit, edges of distinct segments (unit). Dealt by unit, they stay where they are: the join with the pieces and the grouping of
+    the edges move nothing."""
     model = _model(path)
     pieces = piece_table(distinct.sparkSession, path)
     longest = max(len(model.id_to_piece(i)) for i in range(model.get_piece_size()) if not model.is_byte(i))
-    byte0 = model.piece_to_id("<0x00>")
     folded = F.length("unit") <= FOLDED
     starts = distinct.withColumn("size", F.when(folded, F.length("unit")).otherwise(1))
     starts = starts.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
@@ -163,13 +163,20 @@ def fold_units(distinct: DataFrame, path: str) -> DataFrame:
     spans = spans.withColumn("piece", F.expr("substring(unit, start + 1, length)"))
     # The piece table is as large as the vocabulary of the model, whatever the corpus.
     edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or length = 1")
-    lattice = edges.groupBy("unit").agg(F.collect_list(F.struct("start", "length", "rank", "id")).alias("edges"))
-    return lattice.mapInArrow(_fold(byte0, path), "unit string, ids array<int>")
+    return edges.groupBy("unit").agg(F.collect_list(F.struct("start", "length", "rank", "id")).alias("edges"))
+
+
+def fold(lattice: DataFrame, path: str) -> DataFrame:
+    """The columns of `lattice`, with ids in place of edges."""
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in lattice.schema if f.name != "edges"]
+    rows = lattice.select(*[c for c in lattice.columns if c != "edges"], "edges")
+    return rows.mapInArrow(_fold(_model(path).piece_to_id("<0x00>"), path), ", ".join([*kept, "ids array<int>"]))
 
 
 def encode_units(counted: DataFrame, path: str) -> DataFrame:
     """unit, ids for distinct segments (unit)."""
-    return fold_units(counted.select("unit").repartition(parts(counted.sparkSession, counted.count(), TASK_UNITS), "unit"), path)
+    dealt = counted.select("unit").repartition(parts(counted.sparkSession, counted.count(), TASK_UNITS), "unit")
+    return fold(lattices(dealt, path), path)
 
 
 def _cut(text: str, path: str) -> list[str]:
@@ -300,21 +307,42 @@ def summarise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                         F.col("ids").alias("id_sum"), (F.col("wrong") == 0).alias("round_trip"))
 
 
-PLACED = "uid long, doc_id long, n_bytes long, sha256 binary, n_ids long, ids binary, holes array<int>, tail array<string>"
+PLACED = "uid long, doc_id long, n_bytes long, sha256 binary, size long, ids binary, holes array<int>, tail array<string>"
 
 
-def _place(head, path: str, kind: type):
-    """The ids of each text in order, packed, with the largest number where a segment isn't in the table; for each such place
-    the index of its segment among the text's distinct ones that aren't.
+def pack(numbers: np.ndarray, bounds: np.ndarray) -> tuple[list[bytes], list[int]]:
+    """Each stretch of the numbers between two bounds in few bytes, and how many bytes that are when they are unpacked: seven bits
+    a byte, the smallest first, in a byte of their own if below 128."""
+    many = 1 + (numbers >= 1 << 7) + (numbers >= 1 << 14) + (numbers >= 1 << 21)
+    ends = np.append(0, np.cumsum(many))
+    out = np.empty(ends[-1], dtype=np.uint8)
+    for k in range(4):
+        at = np.flatnonzero(many > k)
+        out[ends[at] + k] = (numbers[at] >> 7 * k) & 127 | (many[at] > k + 1) << 7
+    raw, codec = out.tobytes(), pa.Codec("zstd", compression_level=3)
+    cuts = ends[bounds]
+    return [codec.compress(raw[a:b], asbytes=True) for a, b in pairwise(cuts.tolist())], np.diff(cuts).tolist()
 
-    A task keeps the ids of the units it has met, and forgets them when they are too many."""
-    hole = np.iinfo(kind).max
 
+def unpack(packed: list[bytes], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all stretches, one after the other, and their bounds."""
+    raw = np.frombuffer(b"".join(pa.decompress(x, n, codec="zstd", asbytes=True) for x, n in zip(packed, sizes, strict=True)), dtype=np.uint8)
+    ends = np.append(0, np.flatnonzero(raw < 128) + 1)
+    shift = np.arange(len(raw)) - np.repeat(ends[:-1], np.diff(ends))
+    bits = (raw & 127).astype(np.int32) << 7 * shift.astype(np.int32)
+    return np.add.reduceat(bits, ends[:-1]) if len(raw) else bits, np.searchsorted(ends, np.append(0, np.cumsum(sizes)))
+
+
+def _place(head, path: str):
+    """The ids of each text in order, packed as numbers, 0 where a segment isn't in the table; for each such place the index of
+    its segment among the text's distinct ones that aren't.
+
+    A task keeps the ids of the units it has met, and forgets them when they are too many."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ends, values = head.value
+        known, ends, values, numbers = head.value
         get = {u: i for i, u in enumerate(known)}.get
-        ends, values = [0, *ends.tolist()], array("I", values.tolist())
-        met, open_units, sizes, found = {}, {}, array("q"), array("I")
+        ends, values = [0, *ends.tolist()], array("i", numbers[values].tolist())
+        met, open_units, sizes, found = {}, {}, array("q"), array("i")
 
         def meet(new: list[str]) -> None:
             cut, many = segments([MARK + u for u in new], path)
@@ -323,7 +351,7 @@ def _place(head, path: str, kind: type):
                 size, unknown = len(found), []
                 for piece in islice(rest, n):
                     if (at := get(piece)) is None:
-                        found.append(hole)
+                        found.append(0)
                         unknown.append(piece)
                     else:
                         found.extend(values[ends[at]:ends[at + 1]])
@@ -336,14 +364,15 @@ def _place(head, path: str, kind: type):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column("text").to_pylist()
-                split = [units(t) for t in texts]
+                split, coded = [units(t) for t in texts], [t.encode() for t in texts]
                 if len(met) > MEMO_UNITS:
-                    met, open_units, sizes, found = {}, {}, array("q"), array("I")
-                if new := [u for u in dict.fromkeys(u for us in split for u in us) if u not in met]:
+                    met, open_units, sizes, found = {}, {}, array("q"), array("i")
+                every = list(chain.from_iterable(split))
+                if new := list(set(every).difference(met)):
                     meet(new)
-                flat = np.array([met[u] for us in split for u in us], dtype=np.int64)
+                flat = np.fromiter(map(met.__getitem__, every), dtype=np.int64, count=len(every))
                 bounds = np.append(0, np.cumsum([len(us) for us in split]))
-                size, value = np.array(sizes, dtype=np.int64), np.array(found, dtype=kind)
+                size, value = np.array(sizes, dtype=np.int64), np.array(found, dtype=np.int32)
                 many = size[flat]
                 place = np.append(0, np.cumsum(many))
                 ids = value[np.repeat((np.cumsum(size) - size)[flat] - place[:-1], many) + np.arange(place[-1])]
@@ -355,13 +384,13 @@ def _place(head, path: str, kind: type):
                     index: dict[str, int] = {}
                     holes.append([index.setdefault(x, len(index)) for k in flat[open_at[a:b]].tolist() for x in open_units[k]])
                     tails.append(list(index))
-                packed = [pa.compress(ids[a:b].tobytes(), codec="zstd", asbytes=True) for a, b in pairwise(place[bounds].tolist())]
+                packed, raw_sizes = pack(ids, place[bounds])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), part.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()),
-                     pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
-                     pa.array(np.diff(place[bounds]), pa.int64()), pa.array(packed, pa.binary()),
+                    [part.column("uid"), part.column("doc_id"), pa.array([len(t) for t in coded], pa.int64()),
+                     pa.array([hashlib.sha256(t).digest() for t in coded], pa.binary()),
+                     pa.array(raw_sizes, pa.int64()), pa.array(packed, pa.binary()),
                      pa.array(holes, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.string()))],
-                    names=["uid", "doc_id", "n_bytes", "sha256", "n_ids", "ids", "holes", "tail"])
+                    names=["uid", "doc_id", "n_bytes", "sha256", "size", "ids", "holes", "tail"])
     return run
 
 
@@ -371,36 +400,36 @@ def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = tail.offsets.to_numpy()
         many = np.diff(ends)
         uid, at = np.repeat(batch.column("uid").to_numpy(), many), np.arange(many.sum()) - np.repeat(ends[:-1] - ends[0], many)
-        yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(at, pa.int32()), tail.flatten()], names=["uid", "at", "unit"])
+        place = pa.StructArray.from_arrays([pa.array(uid, pa.int64()), pa.array(at, pa.int32())], names=["uid", "at"])
+        yield pa.RecordBatch.from_arrays([place, tail.flatten()], names=["place", "unit"])
 
 
-def _splice(table: list[bytes], kind: type):
+def _splice(table: list[bytes], ranked: np.ndarray):
     """The ids with the joined ones in their places, and whether they decode to the text."""
-    hole = np.iinfo(kind).max
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part, out, same = batch.slice(at, 256), [], []
-                cols = [part.column(c).to_pylist() for c in ("n_ids", "ids", "holes", "tail", "rest", "sha256")]
-                for n, packed, order, tail, rest, digest in zip(*cols, strict=True):
-                    size = n * np.dtype(kind).itemsize
-                    whole = np.frombuffer(pa.decompress(packed, size, codec="zstd", asbytes=True), dtype=kind)
-                    places = np.flatnonzero(whole == hole)
-                    if len(places) != len(order) or len(rest or []) != len(tail):
-                        raise ValueError("a segment of a text has no ids")
-                    many = np.ones(len(whole), dtype=np.int64)
-                    many[places] = [len(rest[k]) for k in order]
-                    joined = np.repeat(whole.astype(np.int32), many)
-                    if order:
-                        joined[np.repeat(whole == hole, many)] = [i for k in order for i in rest[k]]
-                    text = b"".join(map(table.__getitem__, joined.tolist())).replace(MARK.encode(), b" ").removeprefix(b" ")
-                    out.append(joined)
-                    same.append(hashlib.sha256(text).digest() == digest)
-                offsets = np.append(0, np.cumsum([len(x) for x in out]))
+                part = batch.slice(at, 256)
+                size, packed, order, tail, rest, digest = (
+                    part.column(c).to_pylist() for c in ("size", "ids", "holes", "tail", "rest", "sha256"))
+                numbers, bounds = unpack(packed, size)
+                missing = numbers == 0
+                counts = np.diff(np.append(0, np.cumsum(missing))[bounds]).tolist()
+                if counts != [len(x) for x in order] or any(len(r or []) != len(t) for r, t in zip(rest, tail, strict=True)):
+                    raise ValueError("a segment of a text has no ids")
+                found = [r[k] for ks, r in zip(order, rest, strict=True) for k in ks]
+                many = np.ones(len(numbers), dtype=np.int64)
+                many[missing] = [len(x) for x in found]
+                whole = np.repeat(ranked[numbers - 1], many)
+                whole[np.repeat(missing, many)] = list(chain.from_iterable(found))
+                offsets = np.append(0, np.cumsum(many))[bounds]
+                names, same = list(map(table.__getitem__, whole.tolist())), []
+                for a, b, x in zip(offsets[:-1].tolist(), offsets[1:].tolist(), digest, strict=True):
+                    text = b"".join(names[a:b]).replace(MARK.encode(), b" ").removeprefix(b" ")
+                    same.append(hashlib.sha256(text).digest() == x)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("n_bytes"), pa.ListArray.from_arrays(
-                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(out), pa.int32())), pa.array(same, pa.bool_())],
+                        pa.array(offsets, pa.int32()), pa.array(whole, pa.int32())), pa.array(same, pa.bool_())],
                     names=["doc_id", "n_bytes", "ids", "round_trip"])
     return run
 
@@ -413,24 +442,29 @@ def encode_whole(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     number, are looked up by a join and put in their places, so the sample has no part in the result. NULL and empty texts have no ids; rows with NULL or repeated ids stay; an empty table gives an empty result; other columns are
     ignored, whatever their names."""
     spark, model = docs.sparkSession, _model(path)
-    kind = np.uint16 if model.get_piece_size() < np.iinfo(np.uint16).max else np.uint32
     plain = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         text_of(text_col).alias("text"))
     n_rows = docs.count()
     some = stored(count_units(plain.sample(min(1.0, SAMPLE_ROWS / max(1, n_rows)), 1), path), "units")
     head = heaviest(some.where(F.octet_length("unit") <= HEAD_BYTES), "n", head_units)
-    head = encode_units(head, path).select("unit", "ids").toArrow().combine_chunks()
-    lists = head["ids"].to_pylist()
-    shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), np.cumsum([len(x) for x in lists], dtype=np.int64),
-                                            np.array([i for x in lists for i in x], dtype=np.int64)))
+    head = encode_units(head, path).join(some, "unit").select("unit", "ids", "n").toArrow().combine_chunks()
+    many = np.array([len(x) for x in head["ids"].to_pylist()], dtype=np.int64)
+    values = np.array([i for x in head["ids"].to_pylist() for i in x], dtype=np.int64)
+    # Ids that are frequent in the sample get small numbers, which take less room.
+    used = np.bincount(values, weights=np.repeat(head["n"].to_numpy(), many), minlength=model.get_piece_size())
+    ranked = np.argsort(-used, kind="stable").astype(np.int32)
+    shipped = spark.sparkContext.broadcast((head["unit"].to_pylist(), np.cumsum(many), values, np.argsort(ranked) + 1))
     # The ids move once, packed, to where the missing ones come to them. Both branches below read this one exchange, so both
-    # take all of its columns.
-    placed = plain.mapInArrow(_place(shipped, path, kind), PLACED).repartition("uid")
-    tail = placed.mapInArrow(_tails, "uid long, at int, unit string")
-    known = fold_units(tail.select("unit").repartition(parts(spark, n_rows, TASK_ROWS), "unit").distinct(), path)
-    rest = tail.join(known.withColumnRenamed("ids", "found"), "unit").groupBy(F.col("uid").alias("of")).agg(
+    # take all of its columns; so do the two that read `missing`.
+    placed = plain.mapInArrow(_place(shipped, path), PLACED).repartition("uid")
+    missing = placed.mapInArrow(_tails, "place struct<uid:long,at:int>, unit string").repartition(parts(spark, n_rows, TASK_ROWS), "unit")
+    lattice = lattices(missing.groupBy("unit").agg(F.count("place").alias("n")).where("n > 0").select("unit"), path)
+    places = missing.groupBy("unit").agg(F.collect_list("place").alias("places"))
+    known = fold(lattice.join(places.hint("shuffle_hash"), "unit"), path)
+    rest = known.select(F.explode("places").alias("p"), F.col("ids").alias("found")).select(F.col("p.uid").alias("of"), "p.at", "found")
+    rest = rest.repartition("of").groupBy("of").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "found"))), lambda x: x["found"]).alias("rest"))
     table = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i)
              else model.id_to_piece(i).encode() for i in range(model.get_piece_size())]
     return placed.join(rest, F.col("uid") == F.col("of"), "left").mapInArrow(
-        _splice(table, kind), "doc_id long, n_bytes long, ids array<int>, round_trip boolean")
+        _splice(table, ranked), "doc_id long, n_bytes long, ids array<int>, round_trip boolean")
