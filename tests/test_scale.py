@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from datetime import date
+from dataclasses import replace
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tradewarden.operators import ranking
 from tradewarden.params import Params
-from tradewarden.plans import cube, patterns, profile
+from tradewarden.plans import casefile, cube, patterns, pipeline, profile
 from tradewarden.plans.pipeline import Pipeline
 from tradewarden.sources import adapters, storage
 
@@ -24,8 +25,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
 
 
-@pytest.fixture(scope="module")
-def p(spark):
+def small_pipeline(spark):
     rows = [{"id_cliente": f"C{i % 3}", "simbolo_titulo": f"S{i % 4}", "origen": ("API", "Web")[i % 2], "precio": str(100 + i),
              "fecha": f"2026-01-{5 + i % 6:02d}T1{i % 8}:20:00.000Z"} for i in range(40)]
     rows += [{"id_cliente": "C9", "simbolo_titulo": "RARE", "precio": "7"}]
@@ -35,6 +35,11 @@ def p(spark):
     return Pipeline(spark, lambda: micro.trades(spark, *rows), lambda: holidays, lambda: quotes, params=P)
 
 
+@pytest.fixture(scope="module")
+def p(spark):
+    return small_pipeline(spark)
+
+
 def test_changes_of_behaviour_need_no_cube(p):
     days = p.days.collect()
     assert not p.store.has("cubo_actividad")
@@ -122,3 +127,41 @@ def test_lines_meet_their_orders_in_tasks_of_a_number_of_lines(spark, monkeypatc
     df = adapters.line_trades(spark, str(tmp_path), P.local_zone)
     assert ", 10), REPARTITION_BY_NUM" in plan(df)
     assert sorted(df.collect()) == sorted(whole.collect()) and df.count() > 200
+
+
+def test_profile_and_case_files_are_made_where_a_client_lies(spark, p):
+    rows, hot = p._by_client()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert hot is None and "Exchange" not in plan(profile.client_profile(rows, P, together=True))
+        for side in casefile.trade_fields(casefile.flagged_in_place(rows, p.risk), together=True):
+            text = plan(side)  # of the flagged clients alone the names move
+            assert "SelectedBucketsCount" in text and 0 < text.count("Exchange hashpartitioning") <= text.count("LeftSemi")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert p.cases.count() > 0 and not p.store.has("operaciones_en_alerta")
+
+
+def test_hot_clients_are_taken_apart_and_come_out_the_same(spark, monkeypatch, p):
+    monkeypatch.setattr(pipeline, "BUCKET_ROWS", 13)
+    monkeypatch.setattr(storage, "BUCKET_ROWS", 5)
+    split = small_pipeline(spark)
+    rows, hot = split._by_client()
+    assert {r.id_cliente for r in split.hot_clients.collect()} == {"C0"}
+    assert hot.count() == 14 and {r.id_cliente for r in rows.select("id_cliente").distinct().collect()} == {"C1", "C2", "C9"}
+    for name in ("profile", "risk", "cases"):
+        got, want = getattr(split, name).collect(), getattr(p, name).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want)) and got, name
+
+
+def test_short_off_market_lists_move_once(spark):
+    schema = ("id_cliente string, fecha_art timestamp_ntz, id_transaccion string, tipo_tran string, simbolo_titulo string, cantidad long, "
+              "precio decimal(20,6), precio_mediana_dia decimal(20,4), origen string")
+    rows = [(c, datetime(2026, 1, 5 + i % 3, 12), f"t{i}", "Compra", "S", i, Decimal(i), Decimal(1), "API") for c, n in (("a", 3), (None, 2), ("b", 8)) for i in range(n)]
+    p4 = spark.createDataFrame(rows, schema)
+    whole = casefile.p4_detail_nested(p4, P)
+    assert plan(whole).count("Exchange") == 1
+    parts = {(r.id_cliente, r.parte): [e.cantidad for e in r.detalle] for r in casefile.p4_detail_nested(p4, replace(P, detail_chunk=3)).collect()}
+    assert parts == {("a", 0): [0, 1, 2], (None, 0): [0, 1], ("b", 0): [0, 3, 6], ("b", 1): [1, 4, 7], ("b", 2): [2, 5]}
+    assert {r.id_cliente: [e.cantidad for e in r.detalle] for r in whole.collect()} == {
+        "a": [0, 1, 2], None: [0, 1], "b": [0, 3, 6, 1, 4, 7, 2, 5]}
