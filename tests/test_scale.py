@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import time
 from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +167,18 @@ def test_short_off_market_lists_move_once(spark):
     assert parts == {("a", 0): [0, 1, 2], (None, 0): [0, 1], ("b", 0): [0, 3, 6], ("b", 1): [1, 4, 7], ("b", 2): [2, 5]}
     assert {r.id_cliente: [e.cantidad for e in r.detalle] for r in whole.collect()} == {
         "a": [0, 1, 2], None: [0, 1], "b": [0, 3, 6, 1, 4, 7, 2, 5]}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
+    def files() -> set[str]:
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {str(f) for d in dirs for f in Path(str(d)).rglob("shuffle_*")}
+    before, set_to = files(), spark.conf.get(storage.CLEANUP)
+    df = spark.range(1000).repartition(3, "id")
+    storage.write_parquet(df, str(tmp_path / "t"))
+    assert storage.settle(df).count() == df.count() == 1000 == spark.read.parquet(str(tmp_path / "t")).count()
+    end = time.time() + 20
+    ours = spark.range(10).repartition(2).count()  # an action of the user's keeps its own
+    while time.time() < end and len(files() - before) > 8:
+        time.sleep(0.2)
+    assert ours == 10 and spark.conf.get(storage.CLEANUP) == set_to
