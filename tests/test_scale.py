@@ -169,6 +169,17 @@ def test_short_off_market_lists_move_once(spark):
         "a": [0, 1, 2], None: [0, 1], "b": [0, 3, 6, 1, 4, 7, 2, 5]}
 
 
+def test_a_grouping_of_the_cube_is_built_by_itself(spark):
+    one = small_pipeline(spark)
+    jobs = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(storage, "write_parquet", lambda df, path, *a: (jobs.append(plan(df)), df.write.parquet(path)))
+        assert one.client_cells.agg(F.sum("ops")).collect() == [(41,)]
+    assert not one.store.has("cubo_celdas") and "Union" not in jobs[-1] and "REBALANCE" not in jobs[-1]
+    assert one.cells.agg(F.sum("ops")).collect() == [(41,)]
+    assert {r.conjunto: r["sum(ops)"] for r in one.cube.groupBy("conjunto").agg(F.sum("ops")).collect()} == {"celdas": 41, "clientes": 41}
+
+
 def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
     def files() -> set[str]:
         dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
